@@ -18,3 +18,134 @@ SQL["sales_summary"] = o.sales_summary_sql()
 SQL["product_performance"] = o.product_performance_sql()
 SQL["rfm_segments"] = o.rfm_segments_sql()
 SQL["seller_performance"] = o.seller_performance_sql()
+
+
+def _q(body: str, *silver: str, bronze: tuple[str, ...] = ()) -> str:
+    return o.with_ctes(o.layer_ctes(*silver, bronze=bronze), body)
+
+
+_PROD_COLS = ", ".join(f"p.{c}" for c in o.ROLE_COLUMNS["products"]
+                       if c != "product_category_name")
+
+SQL.update({
+    "bronze_lineage": _q("SELECT * FROM b_orders", bronze=("orders",)),
+    "project_derived": _q(
+        "SELECT order_id, order_item_id, product_id, seller_id, shipping_limit_date, "
+        "price, freight_value, CAST(price + freight_value AS DECIMAL(18,2)) AS total_item_value "
+        f"FROM ({o.typed_sql('order_items', 'b_order_items')}) t",
+        bronze=("order_items",)),
+    "drop_metadata": _q(
+        f"SELECT p.product_category_name, {_PROD_COLS}, t.product_category_name_english "
+        "FROM b_products p LEFT JOIN b_category_translation t "
+        "ON p.product_category_name = t.product_category_name",
+        bronze=("products", "category_translation")),
+    "project_select": _q(
+        "SELECT order_id, customer_id, order_status, order_purchase_timestamp FROM s_orders",
+        "orders"),
+    "filter_status": _q("SELECT * FROM s_orders WHERE order_status = 'delivered'", "orders"),
+    "filter_positive": _q("SELECT * FROM s_order_items WHERE freight_value > 0",
+                          "order_items"),
+    "filter_not_null": _q(
+        "SELECT * FROM s_orders WHERE order_delivered_customer_date IS NOT NULL", "orders"),
+    # joins
+    "join_left_preagg": _q(
+        "SELECT o.order_id, o.customer_id, o.order_purchase_timestamp, "
+        "CAST(p.total_payment AS DOUBLE) AS total_payment, p.payment_methods_used "
+        "FROM s_orders o LEFT JOIN (SELECT order_id, SUM(payment_value) AS total_payment, "
+        "COUNT(DISTINCT payment_type) AS payment_methods_used FROM s_order_payments "
+        "GROUP BY order_id) p ON o.order_id = p.order_id "
+        "WHERE o.order_status = 'delivered'",
+        "orders", "order_payments"),
+    "join_left_dim": _q(
+        "SELECT i.*, p.category FROM s_order_items i "
+        "LEFT JOIN s_products p ON i.product_id = p.product_id",
+        "order_items", "products"),
+    "join_semi_delivered": _q(
+        "SELECT * FROM s_order_items WHERE order_id IN "
+        "(SELECT order_id FROM s_orders WHERE order_status = 'delivered')",
+        "order_items", "orders"),
+    "join_inner_filtered": _q(
+        "SELECT i.*, o.* EXCLUDE (order_id) FROM s_order_items i "
+        "JOIN s_orders o ON i.order_id = o.order_id WHERE o.order_status = 'delivered'",
+        "order_items", "orders"),
+    # aggregations
+    "agg_by_key": _q(
+        "SELECT order_id, CAST(SUM(payment_value) AS DOUBLE) AS total_payment, "
+        "COUNT(payment_type) AS payment_count FROM s_order_payments GROUP BY order_id",
+        "order_payments"),
+    "agg_expr_key": _q(
+        "SELECT order_year, order_month, CAST(order_purchase_timestamp AS DATE) AS order_date, "
+        "COUNT(order_id) AS total_orders FROM s_orders GROUP BY 1, 2, 3", "orders"),
+    "agg_distinct": _q(
+        "SELECT product_id, COUNT(DISTINCT order_id) AS unique_orders, "
+        "COUNT(DISTINCT seller_id) AS unique_sellers FROM s_order_items GROUP BY product_id",
+        "order_items"),
+    "agg_avg": _q(
+        f"SELECT seller_id, {o.mean('price')} AS avg_item_price, "
+        f"{o.mean('freight_value')} AS avg_freight FROM s_order_items GROUP BY seller_id",
+        "order_items"),
+    "agg_two_stage": _q(
+        f"SELECT i.seller_id, {o.mean('r.avg_score')} AS avg_review_score "
+        "FROM s_order_items i LEFT JOIN (SELECT order_id, "
+        f"{o.order_mean('review_score')} AS avg_score FROM s_order_reviews GROUP BY order_id) r "
+        "ON i.order_id = r.order_id GROUP BY i.seller_id",
+        "order_items", "order_reviews"),
+    "agg_conditional": _q(
+        "SELECT CAST(order_purchase_timestamp AS DATE) AS order_date, "
+        "COUNT(order_id) AS total_orders, "
+        "CAST(SUM(CASE WHEN is_late THEN 1 ELSE 0 END) AS BIGINT) AS late_deliveries "
+        "FROM s_orders WHERE order_status = 'delivered' GROUP BY 1", "orders"),
+    "agg_max": _q(
+        "SELECT customer_id, MAX(order_purchase_timestamp) AS last_purchase, "
+        "(SELECT MAX(order_purchase_timestamp) FROM s_orders) AS as_of "
+        "FROM s_orders GROUP BY customer_id", "orders"),
+    "scalar_asof": _q(
+        "SELECT customer_id, CAST(date_diff('day', CAST(MAX(order_purchase_timestamp) AS DATE), "
+        "CAST((SELECT MAX(order_purchase_timestamp) FROM s_orders) AS DATE)) AS INTEGER) "
+        "AS recency_days FROM s_orders WHERE order_status = 'delivered' GROUP BY customer_id",
+        "orders"),
+    # window and sorts
+    "window_rank": _q(
+        "SELECT product_id, category, CAST(revenue AS DOUBLE) AS total_revenue, "
+        "CAST(RANK() OVER (PARTITION BY category ORDER BY revenue DESC NULLS LAST) AS INTEGER) "
+        "AS revenue_rank FROM (SELECT i.product_id, p.category, SUM(i.price) AS revenue "
+        "FROM s_order_items i LEFT JOIN s_products p ON i.product_id = p.product_id "
+        "GROUP BY i.product_id, p.category) t",
+        "order_items", "products"),
+    "sort_asc": SQL["sales_summary"] + "\nORDER BY order_date",
+    "sort_desc": SQL["product_performance"] + "\nORDER BY total_revenue DESC",
+    # scalar functions
+    "fn_to_timestamp": (
+        "SELECT o_orderkey AS order_id, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS purchase_text, "
+        "TRY_CAST(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS purchase_ts, "
+        "TRY_CAST(o_orderpriority AS TIMESTAMP) AS priority_ts FROM orders"),
+    "fn_date_parts": _q(
+        "SELECT order_id, CAST(order_purchase_timestamp AS DATE) AS order_date, order_year, "
+        "order_month, order_dow FROM s_orders", "orders"),
+    "fn_datediff": _q(
+        "SELECT order_id, delivery_days, CAST(date_diff('day', "
+        "CAST(order_purchase_timestamp AS DATE), CAST(order_delivered_carrier_date AS DATE)) "
+        "AS INTEGER) AS carrier_days FROM s_orders", "orders"),
+    "fn_try_cast": (
+        "SELECT l_orderkey, l_linenumber, "
+        "TRY_CAST(CAST(l_linenumber AS VARCHAR) AS INTEGER) AS line_int, "
+        "TRY_CAST(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS DOUBLE) AS price_double, "
+        "TRY_CAST(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS DECIMAL(18,2)) AS price_money, "
+        "TRY_CAST(l_returnflag AS INTEGER) AS flag_int FROM lineitem"),
+    "fn_ratio": _q(
+        f"SELECT order_id, order_item_id, {o.pct('freight_value', 'price')} AS freight_pct, "
+        f"{o.ratio('price', 'freight_value')} AS price_per_freight FROM s_order_items",
+        "order_items"),
+    "fn_round": _q(
+        f"SELECT order_id, order_item_id, {o.round2(o.pct('freight_value', 'price'))} "
+        f"AS freight_pct, {o.round2(o.ratio('price', 'order_item_id'))} AS price_per_line "
+        "FROM s_order_items", "order_items"),
+    "fn_coalesce": _q(
+        "SELECT p.product_id, COALESCE(t.product_category_name_english, "
+        "p.product_category_name) AS category FROM b_products p "
+        "LEFT JOIN b_category_translation t ON p.product_category_name = t.product_category_name",
+        bronze=("products", "category_translation")),
+    "fn_is_late": _q(
+        "SELECT order_id, order_delivered_customer_date, order_estimated_delivery_date, "
+        "is_late FROM s_orders", "orders"),
+})

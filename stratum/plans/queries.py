@@ -79,3 +79,295 @@ def seller_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return build_marts(_silver(spark, sf_dir))
+
+
+# --- projections and filters ---------------------------------------
+
+def _bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    from stratum.plans.roles import bronze_roles
+    return bronze_roles(spark, sf_dir)
+
+
+@query("bronze_lineage")
+def bronze_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bronze(spark, sf_dir)["orders"]
+
+
+@query("project_derived")
+def project_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.operators.refine import SPECS, derive_order_items, drop_lineage, type_columns
+    items = _bronze(spark, sf_dir)["order_items"]
+    return drop_lineage(derive_order_items(type_columns(items, SPECS["order_items"])))
+
+
+@query("drop_metadata")
+def drop_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both join sides carry lineage columns; one drop removes all of them."""
+    from stratum.operators.refine import drop_lineage
+    b = _bronze(spark, sf_dir)
+    joined = b["products"].join(b["category_translation"], "product_category_name", "left")
+    return drop_lineage(joined)
+
+
+@query("project_select")
+def project_select(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _silver(spark, sf_dir)["orders"].select(
+        "order_id", "customer_id", "order_status", "order_purchase_timestamp")
+
+
+@query("filter_status")
+def filter_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.delivered_orders(_silver(spark, sf_dir)["orders"])
+
+
+@query("filter_positive")
+def filter_positive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    return _silver(spark, sf_dir)["order_items"].where(F.col("freight_value") > 0)
+
+
+@query("filter_not_null")
+def filter_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _silver(spark, sf_dir)["orders"].dropna(subset=["order_delivered_customer_date"])
+
+
+# --- joins -----------------------------------------------------------
+
+@query("join_left_preagg")
+def join_left_preagg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.functions import as_double
+    s = _silver(spark, sf_dir)
+    per_order = marts.payments_per_order(s["order_payments"])
+    return (
+        marts.delivered_orders(s["orders"])
+        .select("order_id", "customer_id", "order_purchase_timestamp")
+        .join(per_order, "order_id", "left")
+        .withColumn("total_payment", as_double("total_payment"))
+    )
+
+
+@query("join_left_dim")
+def join_left_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _silver(spark, sf_dir)
+    return s["order_items"].join(s["products"].select("product_id", "category"),
+                                 "product_id", "left")
+
+
+@query("join_semi_delivered")
+def join_semi_delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _silver(spark, sf_dir)
+    delivered = marts.delivered_orders(s["orders"]).select("order_id")
+    return s["order_items"].join(delivered, "order_id", "left_semi")
+
+
+@query("join_inner_filtered")
+def join_inner_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _silver(spark, sf_dir)
+    return s["order_items"].join(marts.delivered_orders(s["orders"]), "order_id", "inner")
+
+
+# --- aggregations ------------------------------------------------------
+
+@query("agg_by_key")
+def agg_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    from stratum.functions import as_double
+    pays = _silver(spark, sf_dir)["order_payments"]
+    return pays.groupBy("order_id").agg(
+        as_double(F.sum("payment_value")).alias("total_payment"),
+        F.count("payment_type").alias("payment_count"),
+    )
+
+
+@query("agg_expr_key")
+def agg_expr_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    from stratum.functions import to_day
+    orders = _silver(spark, sf_dir)["orders"]
+    return orders.groupBy(
+        "order_year", "order_month", to_day("order_purchase_timestamp").alias("order_date"),
+    ).agg(F.count("order_id").alias("total_orders"))
+
+
+@query("agg_distinct")
+def agg_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    items = _silver(spark, sf_dir)["order_items"]
+    return items.groupBy("product_id").agg(
+        F.count_distinct("order_id").alias("unique_orders"),
+        F.count_distinct("seller_id").alias("unique_sellers"),
+    )
+
+
+@query("agg_avg")
+def agg_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.functions import mean
+    items = _silver(spark, sf_dir)["order_items"]
+    return items.groupBy("seller_id").agg(
+        mean("price").alias("avg_item_price"),
+        mean("freight_value").alias("avg_freight"),
+    )
+
+
+@query("agg_two_stage")
+def agg_two_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews averaged per order first, then over the seller's items."""
+    from stratum.functions import mean
+    s = _silver(spark, sf_dir)
+    return (
+        s["order_items"]
+        .join(marts.reviews_per_order(s["order_reviews"], "avg_score"), "order_id", "left")
+        .groupBy("seller_id")
+        .agg(mean("avg_score").alias("avg_review_score"))
+    )
+
+
+@query("agg_conditional")
+def agg_conditional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    from stratum.functions import to_day
+    orders = marts.delivered_orders(_silver(spark, sf_dir)["orders"])
+    return orders.groupBy(to_day("order_purchase_timestamp").alias("order_date")).agg(
+        F.count("order_id").alias("total_orders"),
+        F.count_if(F.col("is_late")).alias("late_deliveries"),
+    )
+
+
+@query("agg_max")
+def agg_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    orders = _silver(spark, sf_dir)["orders"]
+    latest = orders.select(F.max("order_purchase_timestamp")).scalar()
+    return orders.groupBy("customer_id").agg(
+        F.max("order_purchase_timestamp").alias("last_purchase"),
+        latest.alias("as_of"),
+    )
+
+
+@query("scalar_asof")
+def scalar_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    orders = _silver(spark, sf_dir)["orders"]
+    as_of = orders.select(F.max("order_purchase_timestamp")).scalar()
+    return marts.delivered_orders(orders).groupBy("customer_id").agg(
+        F.datediff(as_of, F.max("order_purchase_timestamp")).alias("recency_days"))
+
+
+# --- window and sorts -----------------------------------------------------
+
+@query("window_rank")
+def window_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    from stratum.functions import as_double
+    s = _silver(spark, sf_dir)
+    per_product = (
+        s["order_items"].join(s["products"].select("product_id", "category"),
+                              "product_id", "left")
+        .groupBy("product_id", "category").agg(F.sum("price").alias("revenue"))
+    )
+    ranked = marts.rank_desc_within(per_product, "category", "revenue", "revenue_rank")
+    return ranked.select("product_id", "category",
+                         as_double("revenue").alias("total_revenue"), "revenue_rank")
+
+
+@query("sort_asc")
+def sort_asc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.sort_for_report(sales_summary(spark, sf_dir), "order_date")
+
+
+@query("sort_desc")
+def sort_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.sort_for_report(product_performance(spark, sf_dir), "total_revenue",
+                                 descending=True)
+
+
+# --- scalar functions -----------------------------------------------------
+
+@query("fn_to_timestamp")
+def fn_to_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    from stratum.functions import as_timestamp
+    o = read_tables(spark, sf_dir)["orders"]
+    text = F.col("o_orderdate").cast("string")
+    return o.select(
+        F.col("o_orderkey").alias("order_id"),
+        text.alias("purchase_text"),
+        as_timestamp(text).alias("purchase_ts"),
+        as_timestamp(F.col("o_orderpriority")).alias("priority_ts"),
+    )
+
+
+@query("fn_date_parts")
+def fn_date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.functions import to_day
+    return _silver(spark, sf_dir)["orders"].select(
+        "order_id", to_day("order_purchase_timestamp").alias("order_date"),
+        "order_year", "order_month", "order_dow")
+
+
+@query("fn_datediff")
+def fn_datediff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.functions import day_diff
+    return _silver(spark, sf_dir)["orders"].select(
+        "order_id", "delivery_days",
+        day_diff("order_delivered_carrier_date", "order_purchase_timestamp")
+        .alias("carrier_days"))
+
+
+@query("fn_try_cast")
+def fn_try_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text to int / double / money; text that is not a number becomes null."""
+    from pyspark.sql import functions as F
+    from stratum.functions import as_double_value, as_int, money
+    li = read_tables(spark, sf_dir)["lineitem"]
+    price_text = F.col("l_extendedprice").cast("decimal(18,2)").cast("string")
+    return li.select(
+        "l_orderkey", "l_linenumber",
+        as_int(F.col("l_linenumber").cast("string")).alias("line_int"),
+        as_double_value(price_text).alias("price_double"),
+        money(price_text).alias("price_money"),
+        as_int(F.col("l_returnflag")).alias("flag_int"),
+    )
+
+
+@query("fn_ratio")
+def fn_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.functions import pct, ratio
+    items = _silver(spark, sf_dir)["order_items"]
+    return items.select(
+        "order_id", "order_item_id",
+        pct("freight_value", "price").alias("freight_pct"),
+        ratio("price", "freight_value").alias("price_per_freight"),
+    )
+
+
+@query("fn_round")
+def fn_round(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.functions import pct, ratio, round2
+    items = _silver(spark, sf_dir)["order_items"]
+    return items.select(
+        "order_id", "order_item_id",
+        round2(pct("freight_value", "price")).alias("freight_pct"),
+        round2(ratio("price", "order_item_id")).alias("price_per_line"),
+    )
+
+
+@query("fn_coalesce")
+def fn_coalesce(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.functions import coalesce_first
+    b = _bronze(spark, sf_dir)
+    joined = b["products"].join(
+        b["category_translation"].select("product_category_name",
+                                         "product_category_name_english"),
+        "product_category_name", "left")
+    return joined.select(
+        "product_id",
+        coalesce_first("product_category_name_english", "product_category_name")
+        .alias("category"))
+
+
+@query("fn_is_late")
+def fn_is_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _silver(spark, sf_dir)["orders"].select(
+        "order_id", "order_delivered_customer_date", "order_estimated_delivery_date",
+        "is_late")
