@@ -423,3 +423,14 @@ FROM ps LEFT JOIN s_sellers s ON ps.seller_id = s.seller_id"""
 
 def seller_performance_sql() -> str:
     return _mart(layer_ctes("order_items", "orders", "sellers", "order_reviews"), SELLER_TAIL)
+
+
+DERIVED_NAMES = {
+    "orders": ["order_year", "order_month", "order_dow", "delivery_days", "is_late"],
+    "order_items": ["total_item_value"],
+    "products": ["category"],
+}
+
+
+def silver_columns(table: str) -> list[str]:
+    return [*silver_output_columns(table), *DERIVED_NAMES.get(table, [])]

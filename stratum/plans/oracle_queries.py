@@ -149,3 +149,47 @@ SQL.update({
         "SELECT order_id, order_delivered_customer_date, order_estimated_delivery_date, "
         "is_late FROM s_orders", "orders"),
 })
+
+
+# --- data quality ----------------------------------------------------------------------
+
+def _dq_sql(layer: str, *kinds: str) -> str:
+    from stratum.plans import suites
+    from stratum.plans.oracle_quality import suites_sql
+    if layer == "bronze":
+        suite = suites.bronze_suite()
+        rels = {t: f"({o.bronze_sql(t)})" for t in suite}
+        cols = {t: [*o.ROLE_COLUMNS[t], *o.LINEAGE_COLS] for t in suite}
+    elif layer == "silver":
+        suite = suites.silver_suite()
+        rels = {t: "(" + o.with_ctes(o.layer_ctes(t), f"SELECT * FROM s_{t}") + ")"
+                for t in suite}
+        cols = {t: o.silver_columns(t) for t in suite}
+    else:
+        suite = suites.gold_suite()
+        rels = {"gold_sales_summary": f"({SQL['sales_summary']})",
+                "gold_product_performance": f"({SQL['product_performance']})",
+                "gold_customer_segments": f"({SQL['rfm_segments']})",
+                "gold_seller_performance": f"({SQL['seller_performance']})"}
+        cols = {}
+    if kinds:
+        suite = {t: [e for e in exps if e.kind in kinds] for t, exps in suite.items()}
+        suite = {t: exps for t, exps in suite.items() if exps}
+    return suites_sql(rels, cols, suite)
+
+
+_DQ = {
+    "dq_not_null": ("bronze", ("not_null",)),
+    "dq_unique": ("bronze", ("unique",)),
+    "dq_row_count": ("bronze", ("row_count",)),
+    "dq_in_set": ("bronze", ("in_set",)),
+    "dq_between": ("bronze", ("between",)),
+    "dq_column_exists": ("silver", ("exists",)),
+    "dq_no_lineage": ("silver", ("absent",)),
+    "dq_suite_bronze": ("bronze", ()),
+    "dq_suite_silver": ("silver", ()),
+    "dq_suite_gold": ("gold", ()),
+    "dq_gate": ("gold", ()),
+}
+for _k, (_layer, _kinds) in _DQ.items():
+    SQL[_k] = _dq_sql(_layer, *_kinds)

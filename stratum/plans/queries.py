@@ -371,3 +371,50 @@ def fn_is_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _silver(spark, sf_dir)["orders"].select(
         "order_id", "order_delivered_customer_date", "order_estimated_delivery_date",
         "is_late")
+
+
+# --- data quality -------------------------------------------------------
+
+def _only(suite: dict, *kinds: str) -> dict:
+    return {t: [e for e in exps if e.kind in kinds] for t, exps in suite.items()
+            if any(e.kind in kinds for e in exps)}
+
+
+def _dq(layer: str, *kinds: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from stratum.operators.quality import evaluate_suites
+        from stratum.plans import suites
+        if layer == "bronze":
+            tables, suite = _bronze(spark, sf_dir), suites.bronze_suite()
+        elif layer == "silver":
+            tables, suite = _silver(spark, sf_dir), suites.silver_suite()
+        else:
+            tables, suite = all_marts(spark, sf_dir), suites.gold_suite()
+        return evaluate_suites(tables, _only(suite, *kinds) if kinds else suite)
+    return run
+
+
+DQ_QUERIES = {
+    "dq_not_null": ("bronze", ("not_null",)),
+    "dq_unique": ("bronze", ("unique",)),
+    "dq_row_count": ("bronze", ("row_count",)),
+    "dq_in_set": ("bronze", ("in_set",)),
+    "dq_between": ("bronze", ("between",)),
+    "dq_column_exists": ("silver", ("exists",)),
+    "dq_no_lineage": ("silver", ("absent",)),
+    "dq_suite_bronze": ("bronze", ()),
+    "dq_suite_silver": ("silver", ()),
+    "dq_suite_gold": ("gold", ()),
+}
+for _name, (_layer, _kinds) in DQ_QUERIES.items():
+    REGISTRY[_name] = _dq(_layer, *_kinds)
+
+
+@query("dq_gate")
+def dq_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gate over the marts: raises QualityGateError on any failure, else
+    returns the (small) result rows."""
+    from stratum.operators.quality import gate
+    results = _dq("gold")(spark, sf_dir)
+    gate(results, "gold")
+    return results
