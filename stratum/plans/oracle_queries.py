@@ -193,3 +193,70 @@ _DQ = {
 }
 for _k, (_layer, _kinds) in _DQ.items():
     SQL[_k] = _dq_sql(_layer, *_kinds)
+
+
+# --- scans, sinks, layered runs ----------------------------------------------------------
+
+_D1 = ("2026-01-01T06:00:00", "2026-01-01")
+_D2 = ("2026-01-02T06:00:00", "2026-01-02")
+_ORDERS = f"({o.ROLE_SQL['orders']})"
+
+
+def _with_lineage(rel: str, table: str, day: tuple[str, str], where: str = "") -> str:
+    return f"SELECT r.*, {o.lineage(table, *day)} FROM {rel} r {where}"
+
+
+def _counts(rels: dict[str, str], extra: str = "") -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, COUNT(*) AS row_count{extra} FROM {rel}"
+        for t, rel in rels.items())
+
+
+_ITEM_TEXT = ", ".join(
+    f"strftime({c}, '%Y-%m-%d %H:%M:%S') AS {c}" if c == "shipping_limit_date"
+    else f"CAST({c} AS VARCHAR) AS {c}" for c in o.ROLE_COLUMNS["order_items"])
+
+_S1 = o.silver_from("orders", "day1_b")
+_S2 = o.silver_from("orders", "day2_b")
+_DAY1_COLS = ", ".join(
+    "'processing' AS order_status" if c == "order_status"
+    else "CAST(NULL AS TIMESTAMP) AS order_delivered_customer_date"
+    if c == "order_delivered_customer_date" else c
+    for c in o.ROLE_COLUMNS["orders"])
+
+_ROLE_RELS = {t: f"({o.ROLE_SQL[t]})" for t in o.ROLE_SQL}
+
+SQL.update({
+    "csv_scan": f"SELECT {_ITEM_TEXT} FROM ({o.ROLE_SQL['order_items']}) r",
+    "bronze_ingest_report": (
+        "SELECT table_name, row_count FROM (" + _counts(_ROLE_RELS) + ") c\nUNION ALL\n"
+        "SELECT 'TOTAL' AS table_name, CAST(SUM(row_count) AS BIGINT) FROM ("
+        + _counts(_ROLE_RELS) + ") t"),
+    "bronze_partition_overwrite": (
+        _with_lineage(_ORDERS, "orders", _D1, "WHERE order_status = 'delivered'")
+        + "\nUNION ALL\n" + _with_lineage(_ORDERS, "orders", _D2)),
+    "parquet_scan_pruned": _with_lineage(_ORDERS, "orders", _D2),
+    "table_scan": SQL["silver_orders"],
+    "upsert_first_load": SQL["silver_orders"],
+    "gold_overwrite": SQL["sales_summary"],
+    "upsert_merge": (
+        f"WITH day1_b AS (SELECT {_DAY1_COLS}, {o.lineage('orders', *_D1)} FROM {_ORDERS} r "
+        "WHERE order_purchase_timestamp < TIMESTAMP '1998-01-01'),\n"
+        f"day2_b AS ({_with_lineage(_ORDERS, 'orders', _D2)} "
+        "WHERE order_purchase_timestamp >= TIMESTAMP '1997-01-01'),\n"
+        f"s1 AS ({_S1}),\ns2 AS ({_S2})\n"
+        "SELECT * FROM s1 WHERE NOT EXISTS (SELECT 1 FROM s2 "
+        "WHERE s2.order_id IS NOT DISTINCT FROM s1.order_id)\nUNION ALL\nSELECT * FROM s2"),
+    "silver_row_counts": o.with_ctes(
+        o.layer_ctes(*o.SILVER_TABLES), _counts({t: f"s_{t}" for t in o.SILVER_TABLES})),
+    "silver_pipeline": o.with_ctes(
+        o.layer_ctes(*o.SILVER_TABLES),
+        "SELECT 'silver' AS layer, table_name, row_count, 'created' AS action FROM ("
+        + _counts({t: f"s_{t}" for t in o.SILVER_TABLES}) + ") c"),
+    "gold_pipeline": "SELECT 'gold' AS layer, table_name, row_count, 'overwritten' AS action "
+    "FROM (" + _counts({
+        "gold_sales_summary": f"({SQL['sales_summary']})",
+        "gold_product_performance": f"({SQL['product_performance']})",
+        "gold_customer_segments": f"({SQL['rfm_segments']})",
+        "gold_seller_performance": f"({SQL['seller_performance']})"}) + ") c",
+})

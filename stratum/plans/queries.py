@@ -418,3 +418,217 @@ def dq_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     results = _dq("gold")(spark, sf_dir)
     gate(results, "gold")
     return results
+
+
+# --- scans, sinks and layered runs -----------
+
+DAY1_TS, DAY2_TS = "2026-01-01T06:00:00", "2026-01-02T06:00:00"
+DAY1, DAY2 = DAY1_TS[:10], DAY2_TS[:10]
+
+
+def _role_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    from stratum.plans.roles import ROLE_BUILDERS, category_translation_role
+    t = read_tables(spark, sf_dir)
+    frames = {name: build(t) for name, build in ROLE_BUILDERS.items()}
+    frames["category_translation"] = category_translation_role(spark)
+    return frames
+
+
+def export_landing(spark: SparkSession, sf_dir: str, base: str):
+    """Write the role tables as CSV landing files (Spark job per table) and
+    return the source registry pointing at them."""
+    from stratum.plans.pipeline import Source
+    from stratum.plans.roles import SOURCE_FILES
+    from stratum.sources.files import write_csv
+    sources = {}
+    for name, df in _role_frames(spark, sf_dir).items():
+        path = f"{base}/landing/{name}"
+        write_csv(df, path)
+        sources[name] = Source(path, df.schema, SOURCE_FILES[name])
+    return sources
+
+
+@query("csv_scan")
+def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw landing scan: header, explicit all-text schema, no inference."""
+    from stratum.session import new_path
+    from stratum.sources.files import read_csv, string_schema, write_csv
+    items = _role_frames(spark, sf_dir)["order_items"]
+    path = new_path(spark, "landing-items")
+    write_csv(items, path)
+    return read_csv(spark, path, string_schema(items.columns))
+
+
+@query("bronze_ingest_report")
+def bronze_ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land all nine sources (CSV -> lineage -> date partition) with row
+    counts observed during the writes, plus a grand total."""
+    from stratum.plans.pipeline import Layout, ingest_bronze
+    from stratum.session import new_path
+    base = new_path(spark, "ingest")
+    rows = ingest_bronze(spark, export_landing(spark, sf_dir, base), Layout(base), DAY1_TS)
+    report = [(name, n) for _, name, n, _ in rows]
+    report.append(("TOTAL", sum(n for _, n in report)))
+    return spark.createDataFrame(report, "table_name string, row_count bigint")
+
+
+def _land_two_days(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+    from stratum.operators.lineage import add_lineage
+    from stratum.sources.sinks import write_partitioned
+    orders = _role_frames(spark, sf_dir)["orders"]
+    write_partitioned(add_lineage(orders, "orders.csv", DAY1_TS), path)
+    write_partitioned(add_lineage(orders, "orders.csv", DAY2_TS), path)
+    return orders
+
+
+@query("bronze_partition_overwrite")
+def bronze_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land two dates, then land day 1 again with only delivered orders:
+    dynamic overwrite replaces that one partition and keeps day 2."""
+    from pyspark.sql import functions as F
+    from stratum.operators.lineage import add_lineage
+    from stratum.session import new_path
+    from stratum.sources.files import read_bronze
+    from stratum.sources.sinks import write_partitioned
+    path = new_path(spark, "bronze-orders")
+    orders = _land_two_days(spark, sf_dir, path)
+    rerun = orders.where(F.col("order_status") == "delivered")
+    write_partitioned(add_lineage(rerun, "orders.csv", DAY1_TS), path)
+    return read_bronze(spark, path)
+
+
+@query("parquet_scan_pruned")
+def parquet_scan_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Read one landed date of a two-date bronze table (partition pruning)."""
+    from stratum.session import new_path
+    from stratum.sources.files import read_bronze
+    path = new_path(spark, "bronze-orders")
+    _land_two_days(spark, sf_dir, path)
+    return read_bronze(spark, path, [DAY2])
+
+
+@query("table_scan")
+def table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.session import new_path
+    from stratum.sources.files import read_table
+    from stratum.sources.sinks import overwrite
+    path = new_path(spark, "silver-orders")
+    overwrite(_silver(spark, sf_dir)["orders"], path, "parquet")
+    return read_table(spark, path, "parquet")
+
+
+@query("gold_overwrite")
+def gold_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write a mart, overwrite it with a newer build, read it back."""
+    from stratum.session import new_path
+    from stratum.sources.files import read_table
+    from stratum.sources.sinks import overwrite
+    s = _silver(spark, sf_dir)
+    path = new_path(spark, "gold-sales")
+    overwrite(marts.sales_summary(s["orders"], s["order_payments"], s["order_items"],
+                                  status="shipped"), path)
+    overwrite(marts.sales_summary(s["orders"], s["order_payments"], s["order_items"]), path)
+    return read_table(spark, path)
+
+
+@query("upsert_first_load")
+def upsert_first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.operators.refine import MERGE_KEYS
+    from stratum.session import new_path
+    from stratum.sources.files import read_table
+    from stratum.sources.sinks import upsert
+    path = new_path(spark, "silver-orders")
+    upsert(spark, _silver(spark, sf_dir)["orders"], path, MERGE_KEYS["orders"])
+    return read_table(spark, path)
+
+
+def upsert_days(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Two daily extracts of the orders source: day 1 holds orders placed
+    before 1998 as still processing and undelivered; day 2 holds orders
+    placed from 1997 on in their current state (overlap = updates)."""
+    from pyspark.sql import functions as F
+    from stratum.operators.lineage import add_lineage
+    purchase = F.col("order_purchase_timestamp")
+    day1 = (orders.where(purchase < F.lit("1998-01-01").cast("timestamp_ntz"))
+            .withColumns({"order_status": F.lit("processing"),
+                          "order_delivered_customer_date":
+                          F.lit(None).cast("timestamp_ntz")}))
+    day2 = orders.where(purchase >= F.lit("1997-01-01").cast("timestamp_ntz"))
+    return (add_lineage(day1, "orders.csv", DAY1_TS), add_lineage(day2, "orders.csv", DAY2_TS))
+
+
+@query("upsert_merge")
+def upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Update matched keys, insert new keys, keep keys absent from the source."""
+    from stratum.operators.refine import MERGE_KEYS, refine_orders
+    from stratum.session import new_path
+    from stratum.sources.files import read_table
+    from stratum.sources.sinks import upsert
+    day1, day2 = upsert_days(_role_frames(spark, sf_dir)["orders"])
+    path = new_path(spark, "silver-orders")
+    upsert(spark, refine_orders(day1), path, MERGE_KEYS["orders"])
+    upsert(spark, refine_orders(day2), path, MERGE_KEYS["orders"])
+    return read_table(spark, path)
+
+
+@query("silver_row_counts")
+def silver_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    frames = [df.agg(F.count(F.lit(1)).alias("row_count"))
+              .select(F.lit(name).alias("table_name"), "row_count")
+              for name, df in _silver(spark, sf_dir).items()]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _landed_bronze(spark: SparkSession, sf_dir: str, base: str):
+    from stratum.operators.lineage import add_lineage
+    from stratum.plans.pipeline import Layout
+    from stratum.plans.roles import SOURCE_FILES
+    from stratum.sources.sinks import write_partitioned
+    layout = Layout(base)
+    for name, df in _role_frames(spark, sf_dir).items():
+        write_partitioned(add_lineage(df, SOURCE_FILES[name], DAY1_TS), layout.bronze(name))
+    return layout
+
+
+@query("silver_pipeline")
+def silver_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze landed -> eight refined tables upserted; report per table."""
+    from stratum.plans.pipeline import REPORT_SCHEMA, run_silver
+    from stratum.session import new_path
+    layout = _landed_bronze(spark, sf_dir, new_path(spark, "lake"))
+    return spark.createDataFrame(run_silver(spark, layout, DAY1), REPORT_SCHEMA)
+
+
+@query("gold_pipeline")
+def gold_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Refined tables written -> four marts overwritten; report per mart."""
+    from stratum.plans.pipeline import REPORT_SCHEMA, Layout, run_gold
+    from stratum.session import new_path
+    from stratum.sources.sinks import overwrite
+    layout = Layout(new_path(spark, "lake"))
+    for name, df in _silver(spark, sf_dir).items():
+        overwrite(df, layout.silver(name))
+    return spark.createDataFrame(run_gold(spark, layout), REPORT_SCHEMA)
+
+
+@query("pipeline_end_to_end")
+def pipeline_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV landing -> bronze -> gate -> silver -> gate -> gold -> gate, with
+    the source pipeline's suites. Gates run in ``continue`` mode so the
+    report lists every layer; the gate outcome of each layer is joined onto
+    its table rows."""
+    from stratum.plans.pipeline import run_pipeline
+    from stratum.session import new_path
+    base = new_path(spark, "lake")
+    report = run_pipeline(spark, export_landing(spark, sf_dir, base), base, DAY1_TS,
+                          on_failure="continue")
+    gates = {layer: (checks, failed) for layer, checks, failed in report.gates}
+    rows = [(layer, name, n, action, *gates.get(layer, (0, 0)))
+            for layer, name, n, action in report.tables]
+    return spark.createDataFrame(
+        rows, "layer string, table_name string, row_count bigint, action string, "
+              "layer_checks bigint, layer_failed_checks bigint")

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.functions import plus_days
+from stratum.operators.lineage import add_lineage
 
 # Status words of the commerce source, keyed by the test
 # tables' status letter (F = fulfilled).
@@ -193,16 +194,6 @@ ROLE_BUILDERS = {
 }
 
 
-def add_lineage(df: DataFrame, source_file: str, run_ts: str = RUN_TS,
-                run_date: str = RUN_DATE) -> DataFrame:
-    """Bronze lineage: run stamp (ISO text), source file, run date."""
-    return df.withColumns({
-        "_ingested_at": F.lit(run_ts),
-        "_source_file": F.lit(source_file),
-        "_ingestion_date": F.lit(run_date).cast("date"),
-    })
-
-
 def bronze_roles(spark: SparkSession, sf_dir: str, run_ts: str = RUN_TS,
                  run_date: str = RUN_DATE) -> dict[str, DataFrame]:
     """All nine source roles with lineage columns, as bronze would hold them."""
