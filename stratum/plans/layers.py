@@ -24,9 +24,25 @@ def refine_all(bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return out
 
 
-def silver_views(spark: SparkSession, sf_dir: str, run_ts: str = RUN_TS,
-                 run_date: str = RUN_DATE) -> dict[str, DataFrame]:
-    return refine_all(bronze_roles(spark, sf_dir, run_ts, run_date))
+# Built (lazy) plans per session and input folder. Building the role and
+# refine plans costs thousands of driver-to-JVM calls; the plans are
+# immutable and their inputs read-only, so queries share them.
+_PLANS: dict[tuple, dict[str, DataFrame]] = {}
+
+
+def _memo(kind: str, spark: SparkSession, sf_dir: str, build) -> dict[str, DataFrame]:
+    key = (kind, id(spark._jsparkSession), sf_dir)
+    if key not in _PLANS:
+        _PLANS[key] = build()
+    return dict(_PLANS[key])
+
+
+def bronze_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return _memo("bronze", spark, sf_dir, lambda: bronze_roles(spark, sf_dir, RUN_TS, RUN_DATE))
+
+
+def silver_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return _memo("silver", spark, sf_dir, lambda: refine_all(bronze_views(spark, sf_dir)))
 
 
 def build_marts(s: dict[str, DataFrame]) -> dict[str, DataFrame]:

@@ -84,8 +84,8 @@ def all_marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 # --- projections and filters ---------------------------------------
 
 def _bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    from stratum.plans.roles import bronze_roles
-    return bronze_roles(spark, sf_dir)
+    from stratum.plans.layers import bronze_views
+    return bronze_views(spark, sf_dir)
 
 
 @query("bronze_lineage")

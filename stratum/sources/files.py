@@ -77,8 +77,19 @@ def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
         except ImportError:
             return False
         return DeltaTable.isDeltaTable(spark, path)
-    try:
-        spark.read.format(fmt).load(path).schema  # noqa: B018 (metadata only)
-        return True
-    except AnalysisException:
-        return False
+    return path_exists(spark, path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence of a file-system path through the session's Hadoop
+    configuration (works for any Hadoop URI: hdfs, s3a, abfs, file)."""
+    sc = spark.sparkContext
+    jvm = getattr(sc, "_jvm", None)
+    if jvm is None:  # no JVM gateway (remote session): fall back to a read
+        try:
+            spark.read.format("parquet").load(path).schema  # noqa: B018
+            return True
+        except AnalysisException:
+            return False
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(jpath.getFileSystem(sc._jsc.hadoopConfiguration()).exists(jpath))
