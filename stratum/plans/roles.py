@@ -144,9 +144,12 @@ def products_role(t: dict[str, DataFrame]) -> DataFrame:
 
 
 def category_translation_role(spark: SparkSession) -> DataFrame:
-    rows = sorted(CATEGORY_TRANSLATION.items())
-    return spark.createDataFrame(
-        rows, "product_category_name string, product_category_name_english string")
+    """The fixed translation rows as an inline table (a one-row range plus a
+    generator), so the planner knows it is tiny and broadcasts it."""
+    rows = [F.struct(F.lit(k).alias("product_category_name"),
+                     F.lit(v).alias("product_category_name_english"))
+            for k, v in sorted(CATEGORY_TRANSLATION.items())]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def sellers_role(t: dict[str, DataFrame]) -> DataFrame:
