@@ -1,0 +1,11 @@
+"""Incremental landing with Structured Streaming.
+
+The source pipeline has no streams; its bronze layer lands each day's files.
+:func:`land_new_files` is the same landing as a file-source stream run with
+``trigger(availableNow=True)``: every run picks up exactly the files that
+arrived since the previous run (the stream checkpoint records them), adds
+the lineage columns and appends to the date partition through the file sink,
+whose commit log makes a retried batch land once.
+"""
+
+from stratum.streaming.landing import land_new_files  # noqa: F401

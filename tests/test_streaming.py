@@ -1,0 +1,30 @@
+"""Incremental landing picks up only new files, once."""
+
+import os
+import tempfile
+
+from stratum.session import new_path
+from stratum.sources.files import read_bronze, string_schema
+from stratum.streaming import land_new_files
+
+
+def _write(d, name, rows):
+    with open(os.path.join(d, name), "w", encoding="utf-8") as f:
+        f.write("order_id,order_status\n" + "".join(f"{a},{b}\n" for a, b in rows))
+
+
+def test_second_run_lands_only_new_files(spark):
+    landing = tempfile.mkdtemp(prefix="landing-", dir="/tmp")
+    bronze, ckpt = new_path(spark, "bronze-stream"), new_path(spark, "ckpt-stream")
+    schema = string_schema(["order_id", "order_status"])
+    _write(landing, "a.csv", [("o1", "delivered"), ("o2", "shipped")])
+    n1 = land_new_files(spark, landing, schema, "orders.csv", bronze, ckpt,
+                        "2026-01-01T06:00:00")
+    _write(landing, "b.csv", [("o3", "created")])
+    n2 = land_new_files(spark, landing, schema, "orders.csv", bronze, ckpt,
+                        "2026-01-02T06:00:00")
+    n3 = land_new_files(spark, landing, schema, "orders.csv", bronze, ckpt,
+                        "2026-01-03T06:00:00")
+    assert (n1, n2, n3) == (2, 1, 0)
+    got = {(r.order_id, str(r._ingestion_date)) for r in read_bronze(spark, bronze).collect()}
+    assert got == {("o1", "2026-01-01"), ("o2", "2026-01-01"), ("o3", "2026-01-02")}
