@@ -31,7 +31,7 @@ _PLANS: dict[tuple, dict[str, DataFrame]] = {}
 
 
 def _memo(kind: str, spark: SparkSession, sf_dir: str, build) -> dict[str, DataFrame]:
-    key = (kind, id(spark._jsparkSession), sf_dir)
+    key = (kind, spark.sparkContext.applicationId, id(spark._jsparkSession), sf_dir)
     if key not in _PLANS:
         _PLANS[key] = build()
     return dict(_PLANS[key])

@@ -70,10 +70,15 @@ def scratch_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
+        "spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-        return configured.rstrip("/")
+        return (sc.getCheckpointDir() or configured).rstrip("/")
+    if not sc.master.startswith("local"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: on a cluster it must name a shared folder "
+            "(HDFS / object store) that every executor can reach")
     local = tempfile.mkdtemp(prefix="stratum-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return local
