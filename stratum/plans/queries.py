@@ -10,11 +10,54 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+
+from stratum.functions import (
+    as_double,
+    as_double_value,
+    as_int,
+    as_timestamp,
+    coalesce_first,
+    day_diff,
+    mean,
+    money,
+    pct,
+    ratio,
+    round2,
+    to_day,
+)
 from stratum.operators import marts
 from stratum.operators.dedup import dedup_latest
-from stratum.plans.layers import build_marts, silver_views
-from stratum.plans.roles import read_tables
+from stratum.operators.lineage import add_lineage
+from stratum.operators.quality import evaluate_suites, gate
+from stratum.operators.refine import (
+    MERGE_KEYS,
+    SPECS,
+    derive_order_items,
+    drop_lineage,
+    refine_orders,
+    type_columns,
+)
+from stratum.plans import suites
+from stratum.plans.layers import bronze_views, build_marts, silver_views
+from stratum.plans.pipeline import (
+    REPORT_SCHEMA,
+    Layout,
+    Source,
+    ingest_bronze,
+    run_gold,
+    run_pipeline,
+    run_silver,
+)
+from stratum.plans.roles import (
+    ROLE_BUILDERS,
+    SOURCE_FILES,
+    category_translation_role,
+    read_tables,
+)
+from stratum.session import new_path
+from stratum.sources.files import read_bronze, read_csv, read_table, string_schema, write_csv
+from stratum.sources.sinks import overwrite, upsert, write_partitioned
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -84,7 +127,6 @@ def all_marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 # --- projections and filters ---------------------------------------
 
 def _bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    from stratum.plans.layers import bronze_views
     return bronze_views(spark, sf_dir)
 
 
@@ -95,7 +137,6 @@ def bronze_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("project_derived")
 def project_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from stratum.operators.refine import SPECS, derive_order_items, drop_lineage, type_columns
     items = _bronze(spark, sf_dir)["order_items"]
     return drop_lineage(derive_order_items(type_columns(items, SPECS["order_items"])))
 
@@ -103,7 +144,6 @@ def project_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("drop_metadata")
 def drop_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both join sides carry lineage columns; one drop removes all of them."""
-    from stratum.operators.refine import drop_lineage
     b = _bronze(spark, sf_dir)
     joined = b["products"].join(b["category_translation"], "product_category_name", "left")
     return drop_lineage(joined)
@@ -122,7 +162,6 @@ def filter_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("filter_positive")
 def filter_positive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
     return _silver(spark, sf_dir)["order_items"].where(F.col("freight_value") > 0)
 
 
@@ -135,7 +174,6 @@ def filter_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("join_left_preagg")
 def join_left_preagg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from stratum.functions import as_double
     s = _silver(spark, sf_dir)
     per_order = marts.payments_per_order(s["order_payments"])
     return (
@@ -170,8 +208,6 @@ def join_inner_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("agg_by_key")
 def agg_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-    from stratum.functions import as_double
     pays = _silver(spark, sf_dir)["order_payments"]
     return pays.groupBy("order_id").agg(
         as_double(F.sum("payment_value")).alias("total_payment"),
@@ -181,8 +217,6 @@ def agg_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("agg_expr_key")
 def agg_expr_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-    from stratum.functions import to_day
     orders = _silver(spark, sf_dir)["orders"]
     return orders.groupBy(
         "order_year", "order_month", to_day("order_purchase_timestamp").alias("order_date"),
@@ -191,7 +225,6 @@ def agg_expr_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("agg_distinct")
 def agg_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
     items = _silver(spark, sf_dir)["order_items"]
     return items.groupBy("product_id").agg(
         F.count_distinct("order_id").alias("unique_orders"),
@@ -201,7 +234,6 @@ def agg_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("agg_avg")
 def agg_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from stratum.functions import mean
     items = _silver(spark, sf_dir)["order_items"]
     return items.groupBy("seller_id").agg(
         mean("price").alias("avg_item_price"),
@@ -212,7 +244,6 @@ def agg_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("agg_two_stage")
 def agg_two_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews averaged per order first, then over the seller's items."""
-    from stratum.functions import mean
     s = _silver(spark, sf_dir)
     return (
         s["order_items"]
@@ -224,8 +255,6 @@ def agg_two_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("agg_conditional")
 def agg_conditional(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-    from stratum.functions import to_day
     orders = marts.delivered_orders(_silver(spark, sf_dir)["orders"])
     return orders.groupBy(to_day("order_purchase_timestamp").alias("order_date")).agg(
         F.count("order_id").alias("total_orders"),
@@ -235,7 +264,6 @@ def agg_conditional(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("agg_max")
 def agg_max(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
     orders = _silver(spark, sf_dir)["orders"]
     latest = orders.select(F.max("order_purchase_timestamp")).scalar()
     return orders.groupBy("customer_id").agg(
@@ -246,7 +274,6 @@ def agg_max(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("scalar_asof")
 def scalar_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
     orders = _silver(spark, sf_dir)["orders"]
     as_of = orders.select(F.max("order_purchase_timestamp")).scalar()
     return marts.delivered_orders(orders).groupBy("customer_id").agg(
@@ -257,8 +284,6 @@ def scalar_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("window_rank")
 def window_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-    from stratum.functions import as_double
     s = _silver(spark, sf_dir)
     per_product = (
         s["order_items"].join(s["products"].select("product_id", "category"),
@@ -285,8 +310,6 @@ def sort_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("fn_to_timestamp")
 def fn_to_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-    from stratum.functions import as_timestamp
     o = read_tables(spark, sf_dir)["orders"]
     text = F.col("o_orderdate").cast("string")
     return o.select(
@@ -299,7 +322,6 @@ def fn_to_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("fn_date_parts")
 def fn_date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from stratum.functions import to_day
     return _silver(spark, sf_dir)["orders"].select(
         "order_id", to_day("order_purchase_timestamp").alias("order_date"),
         "order_year", "order_month", "order_dow")
@@ -307,7 +329,6 @@ def fn_date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("fn_datediff")
 def fn_datediff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from stratum.functions import day_diff
     return _silver(spark, sf_dir)["orders"].select(
         "order_id", "delivery_days",
         day_diff("order_delivered_carrier_date", "order_purchase_timestamp")
@@ -317,8 +338,6 @@ def fn_datediff(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("fn_try_cast")
 def fn_try_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text to int / double / money; text that is not a number becomes null."""
-    from pyspark.sql import functions as F
-    from stratum.functions import as_double_value, as_int, money
     li = read_tables(spark, sf_dir)["lineitem"]
     price_text = F.col("l_extendedprice").cast("decimal(18,2)").cast("string")
     return li.select(
@@ -332,7 +351,6 @@ def fn_try_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("fn_ratio")
 def fn_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from stratum.functions import pct, ratio
     items = _silver(spark, sf_dir)["order_items"]
     return items.select(
         "order_id", "order_item_id",
@@ -343,7 +361,6 @@ def fn_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("fn_round")
 def fn_round(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from stratum.functions import pct, ratio, round2
     items = _silver(spark, sf_dir)["order_items"]
     return items.select(
         "order_id", "order_item_id",
@@ -354,7 +371,6 @@ def fn_round(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("fn_coalesce")
 def fn_coalesce(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from stratum.functions import coalesce_first
     b = _bronze(spark, sf_dir)
     joined = b["products"].join(
         b["category_translation"].select("product_category_name",
@@ -382,8 +398,6 @@ def _only(suite: dict, *kinds: str) -> dict:
 
 def _dq(layer: str, *kinds: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        from stratum.operators.quality import evaluate_suites
-        from stratum.plans import suites
         if layer == "bronze":
             tables, suite = _bronze(spark, sf_dir), suites.bronze_suite()
         elif layer == "silver":
@@ -414,7 +428,6 @@ for _name, (_layer, _kinds) in DQ_QUERIES.items():
 def dq_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gate over the marts: raises QualityGateError on any failure, else
     returns the (small) result rows."""
-    from stratum.operators.quality import gate
     results = _dq("gold")(spark, sf_dir)
     gate(results, "gold")
     return results
@@ -427,7 +440,6 @@ DAY1, DAY2 = DAY1_TS[:10], DAY2_TS[:10]
 
 
 def _role_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    from stratum.plans.roles import ROLE_BUILDERS, category_translation_role
     t = read_tables(spark, sf_dir)
     frames = {name: build(t) for name, build in ROLE_BUILDERS.items()}
     frames["category_translation"] = category_translation_role(spark)
@@ -437,9 +449,6 @@ def _role_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def export_landing(spark: SparkSession, sf_dir: str, base: str):
     """Write the role tables as CSV landing files (Spark job per table) and
     return the source registry pointing at them."""
-    from stratum.plans.pipeline import Source
-    from stratum.plans.roles import SOURCE_FILES
-    from stratum.sources.files import write_csv
     sources = {}
     for name, df in _role_frames(spark, sf_dir).items():
         path = f"{base}/landing/{name}"
@@ -451,8 +460,6 @@ def export_landing(spark: SparkSession, sf_dir: str, base: str):
 @query("csv_scan")
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw landing scan: header, explicit all-text schema, no inference."""
-    from stratum.session import new_path
-    from stratum.sources.files import read_csv, string_schema, write_csv
     items = _role_frames(spark, sf_dir)["order_items"]
     path = new_path(spark, "landing-items")
     write_csv(items, path)
@@ -463,8 +470,6 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze_ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land all nine sources (CSV -> lineage -> date partition) with row
     counts observed during the writes, plus a grand total."""
-    from stratum.plans.pipeline import Layout, ingest_bronze
-    from stratum.session import new_path
     base = new_path(spark, "ingest")
     rows = ingest_bronze(spark, export_landing(spark, sf_dir, base), Layout(base), DAY1_TS)
     report = [(name, n) for _, name, n, _ in rows]
@@ -473,8 +478,6 @@ def bronze_ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _land_two_days(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
-    from stratum.operators.lineage import add_lineage
-    from stratum.sources.sinks import write_partitioned
     orders = _role_frames(spark, sf_dir)["orders"]
     write_partitioned(add_lineage(orders, "orders.csv", DAY1_TS), path)
     write_partitioned(add_lineage(orders, "orders.csv", DAY2_TS), path)
@@ -485,11 +488,6 @@ def _land_two_days(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
 def bronze_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land two dates, then land day 1 again with only delivered orders:
     dynamic overwrite replaces that one partition and keeps day 2."""
-    from pyspark.sql import functions as F
-    from stratum.operators.lineage import add_lineage
-    from stratum.session import new_path
-    from stratum.sources.files import read_bronze
-    from stratum.sources.sinks import write_partitioned
     path = new_path(spark, "bronze-orders")
     orders = _land_two_days(spark, sf_dir, path)
     rerun = orders.where(F.col("order_status") == "delivered")
@@ -500,8 +498,6 @@ def bronze_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("parquet_scan_pruned")
 def parquet_scan_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Read one landed date of a two-date bronze table (partition pruning)."""
-    from stratum.session import new_path
-    from stratum.sources.files import read_bronze
     path = new_path(spark, "bronze-orders")
     _land_two_days(spark, sf_dir, path)
     return read_bronze(spark, path, [DAY2])
@@ -509,9 +505,6 @@ def parquet_scan_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("table_scan")
 def table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from stratum.session import new_path
-    from stratum.sources.files import read_table
-    from stratum.sources.sinks import overwrite
     path = new_path(spark, "silver-orders")
     overwrite(_silver(spark, sf_dir)["orders"], path, "parquet")
     return read_table(spark, path, "parquet")
@@ -520,9 +513,6 @@ def table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("gold_overwrite")
 def gold_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write a mart, overwrite it with a newer build, read it back."""
-    from stratum.session import new_path
-    from stratum.sources.files import read_table
-    from stratum.sources.sinks import overwrite
     s = _silver(spark, sf_dir)
     path = new_path(spark, "gold-sales")
     overwrite(marts.sales_summary(s["orders"], s["order_payments"], s["order_items"],
@@ -533,10 +523,6 @@ def gold_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("upsert_first_load")
 def upsert_first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from stratum.operators.refine import MERGE_KEYS
-    from stratum.session import new_path
-    from stratum.sources.files import read_table
-    from stratum.sources.sinks import upsert
     path = new_path(spark, "silver-orders")
     upsert(spark, _silver(spark, sf_dir)["orders"], path, MERGE_KEYS["orders"])
     return read_table(spark, path)
@@ -546,8 +532,6 @@ def upsert_days(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Two daily extracts of the orders source: day 1 holds orders placed
     before 1998 as still processing and undelivered; day 2 holds orders
     placed from 1997 on in their current state (overlap = updates)."""
-    from pyspark.sql import functions as F
-    from stratum.operators.lineage import add_lineage
     purchase = F.col("order_purchase_timestamp")
     day1 = (orders.where(purchase < F.lit("1998-01-01").cast("timestamp_ntz"))
             .withColumns({"order_status": F.lit("processing"),
@@ -560,10 +544,6 @@ def upsert_days(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
 @query("upsert_merge")
 def upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Update matched keys, insert new keys, keep keys absent from the source."""
-    from stratum.operators.refine import MERGE_KEYS, refine_orders
-    from stratum.session import new_path
-    from stratum.sources.files import read_table
-    from stratum.sources.sinks import upsert
     day1, day2 = upsert_days(_role_frames(spark, sf_dir)["orders"])
     path = new_path(spark, "silver-orders")
     upsert(spark, refine_orders(day1), path, MERGE_KEYS["orders"])
@@ -573,7 +553,6 @@ def upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("silver_row_counts")
 def silver_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
     frames = [df.agg(F.count(F.lit(1)).alias("row_count"))
               .select(F.lit(name).alias("table_name"), "row_count")
               for name, df in _silver(spark, sf_dir).items()]
@@ -584,10 +563,6 @@ def silver_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _landed_bronze(spark: SparkSession, sf_dir: str, base: str):
-    from stratum.operators.lineage import add_lineage
-    from stratum.plans.pipeline import Layout
-    from stratum.plans.roles import SOURCE_FILES
-    from stratum.sources.sinks import write_partitioned
     layout = Layout(base)
     for name, df in _role_frames(spark, sf_dir).items():
         write_partitioned(add_lineage(df, SOURCE_FILES[name], DAY1_TS), layout.bronze(name))
@@ -597,8 +572,6 @@ def _landed_bronze(spark: SparkSession, sf_dir: str, base: str):
 @query("silver_pipeline")
 def silver_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze landed -> eight refined tables upserted; report per table."""
-    from stratum.plans.pipeline import REPORT_SCHEMA, run_silver
-    from stratum.session import new_path
     layout = _landed_bronze(spark, sf_dir, new_path(spark, "lake"))
     return spark.createDataFrame(run_silver(spark, layout, DAY1), REPORT_SCHEMA)
 
@@ -606,9 +579,6 @@ def silver_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("gold_pipeline")
 def gold_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Refined tables written -> four marts overwritten; report per mart."""
-    from stratum.plans.pipeline import REPORT_SCHEMA, Layout, run_gold
-    from stratum.session import new_path
-    from stratum.sources.sinks import overwrite
     layout = Layout(new_path(spark, "lake"))
     for name, df in _silver(spark, sf_dir).items():
         overwrite(df, layout.silver(name))
@@ -621,8 +591,6 @@ def pipeline_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     the source pipeline's suites. Gates run in ``continue`` mode so the
     report lists every layer; the gate outcome of each layer is joined onto
     its table rows."""
-    from stratum.plans.pipeline import run_pipeline
-    from stratum.session import new_path
     base = new_path(spark, "lake")
     report = run_pipeline(spark, export_landing(spark, sf_dir, base), base, DAY1_TS,
                           on_failure="continue")
