@@ -39,6 +39,7 @@ from stratum.operators.refine import (
     type_columns,
 )
 from stratum.plans import suites
+from stratum.plans.concurrent import run_all
 from stratum.plans.layers import bronze_views, build_marts, silver_views
 from stratum.plans.pipeline import (
     REPORT_SCHEMA,
@@ -449,12 +450,14 @@ def _role_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def export_landing(spark: SparkSession, sf_dir: str, base: str):
     """Write the role tables as CSV landing files (Spark job per table) and
     return the source registry pointing at them."""
-    sources = {}
-    for name, df in _role_frames(spark, sf_dir).items():
-        path = f"{base}/landing/{name}"
-        write_csv(df, path)
-        sources[name] = Source(path, df.schema, SOURCE_FILES[name])
-    return sources
+    frames = _role_frames(spark, sf_dir)
+
+    def export(name: str, df: DataFrame):
+        return lambda: write_csv(df, f"{base}/landing/{name}")
+
+    run_all(spark, {name: export(name, df) for name, df in frames.items()})
+    return {name: Source(f"{base}/landing/{name}", df.schema, SOURCE_FILES[name])
+            for name, df in frames.items()}
 
 
 @query("csv_scan")
@@ -564,8 +567,12 @@ def silver_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _landed_bronze(spark: SparkSession, sf_dir: str, base: str):
     layout = Layout(base)
-    for name, df in _role_frames(spark, sf_dir).items():
-        write_partitioned(add_lineage(df, SOURCE_FILES[name], DAY1_TS), layout.bronze(name))
+
+    def land(name: str, df: DataFrame):
+        return lambda: write_partitioned(add_lineage(df, SOURCE_FILES[name], DAY1_TS),
+                                         layout.bronze(name))
+
+    run_all(spark, {name: land(name, df) for name, df in _role_frames(spark, sf_dir).items()})
     return layout
 
 
@@ -580,8 +587,11 @@ def silver_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gold_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Refined tables written -> four marts overwritten; report per mart."""
     layout = Layout(new_path(spark, "lake"))
-    for name, df in _silver(spark, sf_dir).items():
-        overwrite(df, layout.silver(name))
+
+    def publish(name: str, df: DataFrame):
+        return lambda: overwrite(df, layout.silver(name))
+
+    run_all(spark, {name: publish(name, df) for name, df in _silver(spark, sf_dir).items()})
     return spark.createDataFrame(run_gold(spark, layout), REPORT_SCHEMA)
 
 
