@@ -17,10 +17,12 @@ report the table's row count as ``element_count``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 RESULT_COLUMNS = ("table_name", "expectation", "column_name", "arguments",
@@ -103,102 +105,128 @@ def columns_absent(columns: Sequence[str]) -> Expectation:
     return Expectation("absent", None, values=tuple(columns))
 
 
-def _in_range(c: Column, lo, hi) -> Column:
-    cond = F.lit(True)
+# --- SQL text of the aggregates -------------------------------------------------
+# Each table's checks are one ``selectExpr`` (a global aggregate) and one
+# ``inline`` of result structs: a handful of driver-to-JVM calls per table
+# instead of several per expression, which matters for suites with many checks.
+
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _text(v) -> str:
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _lit(v) -> str:
+    """SQL literal with the type ``F.lit`` would give (int, double, string)."""
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, int):
+        return str(v)
+    if isinstance(v, float):
+        return f"{v!r}D" if math.isfinite(v) else f"CAST({_text(v)} AS DOUBLE)"
+    return _text(v)
+
+
+def _range_sql(c: str, lo, hi) -> str:
+    parts = []
     if lo is not None:
-        cond = cond & (c >= F.lit(lo))
+        parts.append(f"{c} >= {_lit(lo)}")
     if hi is not None:
-        cond = cond & (c <= F.lit(hi))
-    return cond
-
-
-def _counts(e: Expectation, df: DataFrame) -> tuple[Column, Column]:
-    """(element_count, unexpected_count) aggregate expressions."""
-    rows = F.count(F.lit(1))
-    if e.kind in ("exists", "absent"):
-        cols = set(df.columns)
-        if e.kind == "exists":
-            bad = 0 if e.column in cols else 1
-        else:
-            bad = sum(1 for c in e.values if c in cols)
-        return rows, F.lit(bad).cast("bigint")
+        parts.append(f"{c} <= {_lit(hi)}")
+    return " AND ".join(parts) or "TRUE"
+
+
+def _counts(e: Expectation, columns: Sequence[str]) -> tuple[str, str]:
+    """(element_count, unexpected_count) aggregate expressions, as SQL."""
+    rows = "count(1)"
+    if e.kind == "exists":
+        return rows, "0" if e.column in columns else "1"
+    if e.kind == "absent":
+        return rows, str(sum(1 for c in e.values if c in columns))
     if e.kind == "row_count":
-        return rows, F.lit(None).cast("bigint")
-    c = F.col(e.column)
+        return rows, "CAST(NULL AS BIGINT)"
+    c = _ident(e.column)
     if e.kind == "not_null":
-        return rows, F.count_if(c.isNull())
+        return rows, f"count_if({c} IS NULL)"
     if e.kind == "in_set":
-        return F.count(c), F.count_if(c.isNotNull() & ~c.isin(*e.values))
+        if not e.values:
+            return f"count({c})", f"count({c})"
+        values = ", ".join(_lit(v) for v in e.values)
+        return f"count({c})", f"count_if({c} IS NOT NULL AND NOT {c} IN ({values}))"
     if e.kind == "between":
-        return F.count(c), F.count_if(c.isNotNull() & ~_in_range(c, e.min_value, e.max_value))
+        return (f"count({c})",
+                f"count_if({c} IS NOT NULL AND NOT ({_range_sql(c, e.min_value, e.max_value)}))")
     raise ValueError(e.kind)
 
 
-def _row(table: str, e: Expectation, n: Column, u: Column) -> Column:
-    return F.struct(
-        F.lit(table).alias("table_name"), F.lit(e.name).alias("expectation"),
-        F.lit(e.column).cast("string").alias("column_name"),
-        F.lit(e.arguments).alias("arguments"),
-        n.cast("bigint").alias("element_count"), u.cast("bigint").alias("unexpected_count"),
-        F.lit(e.mostly).alias("mostly"), F.lit(e.kind).alias("kind"),
-        F.lit(e.min_value).cast("double").alias("lo"), F.lit(e.max_value).cast("double").alias("hi"),
-    )
+def _row(table: str, e: Expectation, n: str, u: str) -> str:
+    column = "CAST(NULL AS STRING)" if e.column is None else _text(e.column)
+    return (
+        f"named_struct('table_name', {_text(table)}, 'expectation', {_text(e.name)}, "
+        f"'column_name', {column}, 'arguments', {_text(e.arguments)}, "
+        f"'element_count', CAST({n} AS BIGINT), 'unexpected_count', CAST({u} AS BIGINT), "
+        f"'mostly', {_lit(float(e.mostly))}, 'kind', {_text(e.kind)}, "
+        f"'lo', CAST({_lit(e.min_value)} AS DOUBLE), 'hi', CAST({_lit(e.max_value)} AS DOUBLE))")
+
+
+_FINISH = (
+    "table_name", "expectation", "column_name", "arguments", "element_count",
+    "unexpected_count",
+    "try_divide(CAST(unexpected_count AS DOUBLE) * 100.0D, CAST(element_count AS DOUBLE))"
+    " AS unexpected_pct",
+    "CASE WHEN kind = 'row_count' THEN (lo IS NULL OR element_count >= lo)"
+    " AND (hi IS NULL OR element_count <= hi)"
+    " WHEN kind IN ('exists', 'absent') THEN unexpected_count = 0"
+    " ELSE element_count = 0 OR try_divide(CAST(element_count - unexpected_count AS DOUBLE),"
+    " CAST(element_count AS DOUBLE)) >= mostly END AS success",
+)
 
 
 def _finish(rows: DataFrame) -> DataFrame:
-    n, u = F.col("element_count"), F.col("unexpected_count")
-    lo, hi = F.col("lo"), F.col("hi")
-    count_ok = ((lo.isNull() | (n >= lo)) & (hi.isNull() | (n <= hi)))
-    share_ok = (n == 0) | (F.try_divide((n - u).cast("double"), n.cast("double"))
-                           >= F.col("mostly"))
-    return rows.select(
-        "table_name", "expectation", "column_name", "arguments", "element_count",
-        "unexpected_count",
-        F.try_divide(u.cast("double") * F.lit(100.0), n.cast("double")).alias("unexpected_pct"),
-        F.when(F.col("kind") == "row_count", count_ok)
-        .when(F.col("kind").isin("exists", "absent"), u == 0)
-        .otherwise(share_ok).alias("success"),
-    )
+    return rows.selectExpr(*_FINISH)
 
 
-def evaluate(df: DataFrame, table: str, expectations: Sequence[Expectation]) -> DataFrame:
-    """All expectations of one table: one fused scan + one aggregate per
-    uniqueness check. Returns one result row per expectation (in order)."""
+def _raw(df: DataFrame, table: str, expectations: Sequence[Expectation]) -> DataFrame:
+    """Unfinished result rows of one table (counts and the rule's inputs)."""
     fused = [e for e in expectations if e.kind != "unique"]
     parts: list[DataFrame] = []
     if fused:
-        aggs = []
+        columns = df.columns if any(e.kind in ("exists", "absent") for e in fused) else ()
+        aggs, structs = [], []
         for i, e in enumerate(fused):
-            n, u = _counts(e, df)
-            aggs += [n.alias(f"n{i}"), u.alias(f"u{i}")]
-        one = df.agg(*aggs)
-        structs = [_row(table, e, F.col(f"n{i}"), F.col(f"u{i}")) for i, e in enumerate(fused)]
-        parts.append(one.select(F.inline(F.array(*structs))))
+            n, u = _counts(e, columns)
+            aggs += [f"{n} AS n{i}", f"{u} AS u{i}"]
+            structs.append(_row(table, e, f"n{i}", f"u{i}"))
+        one = df.selectExpr(*aggs)
+        parts.append(one.selectExpr(f"inline(array({', '.join(structs)}))"))
     for e in expectations:
         if e.kind != "unique":
             continue
-        c = F.col(e.column)
-        per_value = df.where(c.isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("k"))
-        summary = per_value.agg(
-            F.coalesce(F.sum("k"), F.lit(0)).alias("n"),
-            F.coalesce(F.sum(F.when(F.col("k") > 1, F.col("k"))), F.lit(0)).alias("u"))
-        parts.append(summary.select(F.inline(F.array(
-            _row(table, e, F.col("n"), F.col("u"))))))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return _finish(out)
+        c = _ident(e.column)
+        per_value = df.where(f"{c} IS NOT NULL").groupBy(F.col(c)).agg(
+            F.count(F.lit(1)).alias("k"))
+        summary = per_value.selectExpr(
+            "coalesce(sum(k), 0) AS n", "coalesce(sum(CASE WHEN k > 1 THEN k END), 0) AS u")
+        parts.append(summary.selectExpr(f"inline(array({_row(table, e, 'n', 'u')}))"))
+    return reduce(DataFrame.union, parts)
+
+
+def evaluate(df: DataFrame, table: str, expectations: Sequence[Expectation]) -> DataFrame:
+    """All expectations of one table: one fused scan + one aggregate per
+    uniqueness check. Returns one result row per expectation (in order)."""
+    return _finish(_raw(df, table, expectations))
 
 
 def evaluate_suites(tables: dict[str, DataFrame],
                     suites: dict[str, Sequence[Expectation]]) -> DataFrame:
     """Results for several tables (only tables with a suite), as one frame."""
-    frames = [evaluate(tables[name], name, exps) for name, exps in suites.items()
-              if name in tables]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    frames = [_raw(tables[name], name, exps) for name, exps in suites.items()
+              if name in tables and exps]
+    return _finish(reduce(DataFrame.union, frames))
 
 
 def failures(results: DataFrame) -> DataFrame:
