@@ -7,9 +7,10 @@ same result (rank with gaps, ties share a rank) from a global order:
 
 1. one range-partitioned sort on ``(g, v DESC, tiebreak)``: the range
    partitioner splits a large group across many tasks;
-2. the sorted rows are checkpointed to the shared checkpoint folder, which
-   fixes their partitioning, so positions stay identical if a task or an
-   executor is lost and parts are recomputed;
+2. the sorted rows are written, with their ids, to a new folder under the
+   shared checkpoint folder: the ids are computed once and stored, so they
+   stay identical when a task or an executor is lost and parts are re-read
+   (recomputing them could re-sample the range bounds differently);
 3. global position = rows in earlier partitions (a table with one row per
    partition) + position inside the partition;
 4. rank = first position of the row's tie group - first position of its
@@ -23,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratum.session import scratch_dir
+from stratum.session import new_path
 
 _LOW_BITS = (1 << 33) - 1  # monotonically_increasing_id: partition << 33 | row
 
@@ -40,11 +41,14 @@ def rank_desc_within(df: DataFrame, group: str, value: str, name: str,
     gaps after ties). ``tiebreak`` columns must make the order total (for
     example the row key); they do not affect the result."""
     spark = df.sparkSession
-    scratch_dir(spark)  # checkpoint folder must be configured
-    ordered = df.orderBy(F.col(group).asc_nulls_first(), F.col(value).desc_nulls_last(),
-                         *[F.col(c).asc_nulls_first() for c in tiebreak])
-    fixed = ordered.checkpoint(eager=True)
-    ids = fixed.withColumn("__mid", F.monotonically_increasing_id())
+    base = new_path(spark, "rank")
+    # the input is computed once: the range sort samples it, then sorts it
+    df.write.parquet(f"{base}/input")
+    ordered = spark.read.parquet(f"{base}/input").orderBy(
+        F.col(group).asc_nulls_first(), F.col(value).desc_nulls_last(),
+        *[F.col(c).asc_nulls_first() for c in tiebreak])
+    ordered.withColumn("__mid", F.monotonically_increasing_id()).write.parquet(f"{base}/sorted")
+    ids = spark.read.parquet(f"{base}/sorted")
     ids = ids.withColumns({"__part": F.shiftright("__mid", 33),
                            "__local": F.col("__mid").bitwiseAND(F.lit(_LOW_BITS))})
     # one row per partition: rows before it in the global order

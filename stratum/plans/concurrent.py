@@ -41,9 +41,22 @@ def run_all(spark: SparkSession, jobs: Mapping[str, Callable[[], T]],
     scratch_dir(spark)
     if len(jobs) == 1 or max_jobs <= 1:
         return {name: fn() for name, fn in jobs.items()}
+    sc = spark.sparkContext
+    parent = sc.getLocalProperty("spark.job.description")
+
+    def labelled(name: str, fn: Callable[[], T]) -> Callable[[], T]:
+        def job() -> T:
+            # thread-local: names the Spark jobs of this table in the event log
+            sc.setJobDescription(f"{parent}: {name}" if parent else name)
+            try:
+                return fn()
+            finally:
+                sc.setJobDescription(None)
+        return job
+
     with ThreadPoolExecutor(max_workers=min(max_jobs, len(jobs)),
                             thread_name_prefix="stratum-job") as pool:
-        futures = {name: pool.submit(fn) for name, fn in jobs.items()}
+        futures = {name: pool.submit(labelled(name, fn)) for name, fn in jobs.items()}
         errors = [f.exception() for f in futures.values()]
     first = next((e for e in errors if e is not None), None)
     if first is not None:

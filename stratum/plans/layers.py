@@ -14,14 +14,14 @@ SILVER_TABLES = ("orders", "order_items", "order_payments", "customers", "produc
                  "sellers", "order_reviews", "geolocation")
 
 
+def refine_table(name: str, bronze: dict[str, DataFrame]) -> DataFrame:
+    if name == "products":
+        return REFINERS[name](bronze["products"], bronze["category_translation"])
+    return REFINERS[name](bronze[name])
+
+
 def refine_all(bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    out = {}
-    for name in SILVER_TABLES:
-        if name == "products":
-            out[name] = REFINERS[name](bronze["products"], bronze["category_translation"])
-        else:
-            out[name] = REFINERS[name](bronze[name])
-    return out
+    return {name: refine_table(name, bronze) for name in SILVER_TABLES}
 
 
 # Built (lazy) plans per session and input folder. Building the role and

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.session import scratch_dir
+from stratum.session import new_path
 from stratum.sources.files import read_table, table_exists
 
 
@@ -61,11 +61,12 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
 
     Returns ``(action, rows_written)``; action is ``created`` on first load.
     With Delta available and ``fmt="delta"`` this is a ``MERGE``. For plain
-    file formats the merged result is checkpointed into the shared
-    checkpoint folder (``spark.checkpoint.dir``), which cuts its lineage to
-    the target files, and then replaces the table. This is single-writer and
-    not atomic: a failure during the final write leaves the table partly
-    rewritten (the checkpoint still holds the full merged data).
+    file formats the merged result is written once, as Parquet, to a new
+    folder under the shared checkpoint folder (``spark.checkpoint.dir``),
+    which cuts its lineage to the target files; the table is then replaced
+    from that copy. This is single-writer and not atomic: a failure during
+    the final write leaves the table partly rewritten, while the staged copy
+    still holds the full merged data.
     """
     if not table_exists(spark, path, fmt):
         return "created", overwrite(source, path, fmt)
@@ -75,7 +76,7 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
         (DeltaTable.forPath(spark, path).alias("t").merge(source.alias("s"), cond)
          .whenMatchedUpdateAll().whenNotMatchedInsertAll().execute())
         return "merged", read_table(spark, path, fmt).count()
-    scratch_dir(spark)  # make sure a checkpoint folder is configured
     target = read_table(spark, path, fmt)
-    merged = merge_frames(target, source, keys).checkpoint(eager=True)
-    return "merged", overwrite(merged, path, fmt)
+    staged = new_path(spark, "upsert")
+    merge_frames(target, source, keys).write.parquet(staged)
+    return "merged", overwrite(read_table(spark, staged), path, fmt)
