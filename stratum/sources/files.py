@@ -93,3 +93,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
             return False
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     return bool(jpath.getFileSystem(sc._jsc.hadoopConfiguration()).exists(jpath))
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder (recursively) through the session's Hadoop
+    configuration; True when something was deleted. Used for staged copies
+    in the shared scratch folder once they are no longer needed."""
+    sc = spark.sparkContext
+    jvm = getattr(sc, "_jvm", None)
+    if jvm is None:  # no JVM gateway (remote session): leave it to the folder's lifecycle
+        return False
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(jpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(jpath, True))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.session import new_path
-from stratum.sources.files import read_table, table_exists
+from stratum.sources.files import read_table, remove_path, table_exists
 
 
 def observed_write(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
@@ -66,7 +66,8 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
     which cuts its lineage to the target files; the table is then replaced
     from that copy. This is single-writer and not atomic: a failure during
     the final write leaves the table partly rewritten, while the staged copy
-    still holds the full merged data.
+    still holds the full merged data. The staged copy is deleted once the
+    table has been replaced.
     """
     if not table_exists(spark, path, fmt):
         return "created", overwrite(source, path, fmt)
@@ -79,4 +80,6 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
     target = read_table(spark, path, fmt)
     staged = new_path(spark, "upsert")
     merge_frames(target, source, keys).write.parquet(staged)
-    return "merged", overwrite(read_table(spark, staged), path, fmt)
+    rows = overwrite(read_table(spark, staged), path, fmt)
+    remove_path(spark, staged)  # kept only while the table is being replaced
+    return "merged", rows

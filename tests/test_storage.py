@@ -73,3 +73,21 @@ def test_merge_row_count_is_key_union(spark, target, source):
     want = dict(target)
     want.update(dict(source))
     assert {r.k: r.v for r in merged} == want
+
+
+def test_upsert_leaves_no_staged_copy(spark):
+    from stratum.session import scratch_dir
+    from stratum.sources.files import path_exists
+
+    path = new_path(spark, "silver-staging")
+    src = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    upsert(spark, src, path, ["k"])
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    before = {st.getPath().getName() for st in fs.listStatus(root)}
+    upsert(spark, spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string"), path, ["k"])
+    after = {st.getPath().getName() for st in fs.listStatus(root)}
+    assert not [n for n in after - before if n.startswith("upsert-")]
+    assert path_exists(spark, path)
+    assert sorted(map(tuple, read_table(spark, path).collect())) == [(1, "a"), (2, "c"), (3, "d")]
