@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stratum.operators import marts
 from stratum.operators.refine import REFINERS
+from stratum.plans.concurrent import run_all
 from stratum.plans.roles import RUN_DATE, RUN_TS, bronze_roles
 
 SILVER_TABLES = ("orders", "order_items", "order_payments", "customers", "products",
@@ -42,7 +43,10 @@ def bronze_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def silver_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return _memo("silver", spark, sf_dir, lambda: refine_all(bronze_views(spark, sf_dir)))
+    def build() -> dict[str, DataFrame]:
+        bronze = bronze_views(spark, sf_dir)
+        return run_all(spark, {n: (lambda n=n: refine_table(n, bronze)) for n in SILVER_TABLES})
+    return _memo("silver", spark, sf_dir, build)
 
 
 MART_BUILDERS = {

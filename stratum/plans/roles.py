@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.functions import plus_days
+from stratum.plans.concurrent import run_all
 from stratum.operators.lineage import add_lineage
 
 # Status words of the commerce source, keyed by the test
@@ -64,7 +65,9 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def read_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES}
+    # opening a Parquet file reads its footer; open the tables together
+    return run_all(spark, {t: (lambda t=t: spark.read.parquet(f"{sf_dir}/{t}.parquet"))
+                           for t in TABLES})
 
 
 def _map(col: str, mapping: dict[str, str]):
@@ -201,8 +204,12 @@ def bronze_roles(spark: SparkSession, sf_dir: str, run_ts: str = RUN_TS,
                  run_date: str = RUN_DATE) -> dict[str, DataFrame]:
     """All nine source roles with lineage columns, as bronze would hold them."""
     t = read_tables(spark, sf_dir)
-    out = {name: add_lineage(build(t), SOURCE_FILES[name], run_ts, run_date)
-           for name, build in ROLE_BUILDERS.items()}
+
+    def role(name: str, build):
+        return lambda: add_lineage(build(t), SOURCE_FILES[name], run_ts, run_date)
+
+    # plan building is driver work (analysis per step); build the roles together
+    out = run_all(spark, {name: role(name, build) for name, build in ROLE_BUILDERS.items()})
     out["category_translation"] = add_lineage(
         category_translation_role(spark), SOURCE_FILES["category_translation"],
         run_ts, run_date)
