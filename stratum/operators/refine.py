@@ -53,6 +53,9 @@ class RefineSpec:
     drop: tuple[str, ...] = ()
     required: tuple[str, ...] = ()
     keep_if: Callable[[], Column] | None = field(default=None, compare=False)
+    # Storage layout of the refined table: partition folders that never change
+    # for a key, so a daily upsert reads and rewrites only the touched ones.
+    partition_by: tuple[str, ...] = ()
 
 
 def type_columns(df: DataFrame, spec: RefineSpec) -> DataFrame:
@@ -129,7 +132,8 @@ def derive_products(df: DataFrame) -> DataFrame:
 SPECS: dict[str, RefineSpec] = {
     "orders": RefineSpec(
         "orders", ("order_id",), timestamps=ORDER_TIMESTAMPS,
-        derive=derive_orders, required=("order_id",)),
+        derive=derive_orders, required=("order_id",),
+        partition_by=("order_year", "order_month")),
     "order_items": RefineSpec(
         "order_items", ("order_id", "order_item_id"),
         money=("price", "freight_value"), ints=("order_item_id",),
@@ -159,8 +163,9 @@ SPECS: dict[str, RefineSpec] = {
         required=("geolocation_zip_code_prefix",)),
 }
 
-# Merge keys of the refined tables (used by the upsert sink).
+# Merge keys and partition folders of the refined tables (used by the upsert sink).
 MERGE_KEYS = {name: spec.keys for name, spec in SPECS.items()}
+PARTITION_COLUMNS = {name: spec.partition_by for name, spec in SPECS.items()}
 
 
 def refine_orders(df: DataFrame) -> DataFrame:

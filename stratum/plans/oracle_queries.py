@@ -260,3 +260,5 @@ SQL.update({
         "gold_customer_segments": f"({SQL['rfm_segments']})",
         "gold_seller_performance": f"({SQL['seller_performance']})"}) + ") c",
 })
+# A merge scoped to partition folders must give the same table.
+SQL["upsert_merge_partitioned"] = SQL["upsert_merge"]

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.session import new_path
@@ -24,20 +24,46 @@ def observed_write(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
     return int(obs.get["rows"])
 
 
-def write_partitioned(df: DataFrame, path: str, partition_by: str = "_ingestion_date",
+def write_partitioned(df: DataFrame, path: str,
+                      partition_by: str | Sequence[str] = "_ingestion_date",
                       fmt: str = "parquet") -> int:
     """Replace only the partitions present in ``df`` (dynamic overwrite);
     partitions of other dates are left as they are."""
+    cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
+
     def write(d: DataFrame) -> None:
         (d.write.format(fmt).mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
-         .partitionBy(partition_by).save(path))
+         .partitionBy(*cols).save(path))
     return observed_write(df, write)
 
 
-def overwrite(df: DataFrame, path: str, fmt: str = "parquet") -> int:
-    """Full rewrite of a table."""
-    return observed_write(df, lambda d: d.write.format(fmt).mode("overwrite").save(path))
+def overwrite(df: DataFrame, path: str, fmt: str = "parquet",
+              partition_by: Sequence[str] = ()) -> int:
+    """Full rewrite of a table (laid out by ``partition_by`` when given)."""
+    def write(d: DataFrame) -> None:
+        w = d.write.format(fmt).mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.save(path)
+    return observed_write(df, write)
+
+
+def touched_partitions(source: DataFrame, target: DataFrame,
+                       partition_by: Sequence[str]) -> Column:
+    """Predicate selecting the target partitions that ``source`` has rows
+    for (null-safe, so a null partition value matches its own partition).
+
+    The distinct partition values are collected: one row per touched
+    partition, bounded by the table's partition count (the metadata the
+    driver already lists), never by its rows. As a literal predicate it
+    prunes the target scan to those partitions' folders."""
+    types = {f.name: f.dataType for f in target.schema.fields}
+    values = source.select(*partition_by).distinct().collect()
+    match = [reduce(lambda a, b: a & b,
+                    [F.col(c).eqNullSafe(F.lit(row[c]).cast(types[c])) for c in partition_by])
+             for row in values]
+    return reduce(lambda a, b: a | b, match) if match else F.lit(False)
 
 
 def _null_safe_match(target: DataFrame, source: DataFrame, keys: Sequence[str]):
@@ -56,7 +82,7 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
 
 
 def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
-           fmt: str = "parquet") -> tuple[str, int]:
+           fmt: str = "parquet", partition_by: Sequence[str] = ()) -> tuple[str, int]:
     """Keyed upsert of ``source`` into the table at ``path``.
 
     Returns ``(action, rows_written)``; action is ``created`` on first load.
@@ -68,9 +94,18 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
     the final write leaves the table partly rewritten, while the staged copy
     still holds the full merged data. The staged copy is deleted once the
     table has been replaced.
+
+    ``partition_by`` lays the table out in partition folders and scopes the
+    merge to them: only the partitions the source touches are read, merged
+    and replaced (dynamic partition overwrite), so a daily run costs the
+    touched partitions instead of the whole table. The partition columns
+    must never change for a key (an order's purchase month, for example);
+    otherwise the old row would stay in its old partition. ``rows_written``
+    then counts the rewritten partitions only.
     """
+    partition_by = list(partition_by)
     if not table_exists(spark, path, fmt):
-        return "created", overwrite(source, path, fmt)
+        return "created", overwrite(source, path, fmt, partition_by)
     if fmt == "delta":
         from delta.tables import DeltaTable  # optional dependency
         cond = " AND ".join(f"t.`{k}` <=> s.`{k}`" for k in keys)
@@ -78,8 +113,12 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
          .whenMatchedUpdateAll().whenNotMatchedInsertAll().execute())
         return "merged", read_table(spark, path, fmt).count()
     target = read_table(spark, path, fmt)
+    if partition_by:
+        target = target.where(touched_partitions(source, target, partition_by))
     staged = new_path(spark, "upsert")
     merge_frames(target, source, keys).write.parquet(staged)
-    rows = overwrite(read_table(spark, staged), path, fmt)
+    merged = read_table(spark, staged)
+    rows = (write_partitioned(merged, path, partition_by, fmt) if partition_by
+            else overwrite(merged, path, fmt))
     remove_path(spark, staged)  # kept only while the table is being replaced
     return "merged", rows

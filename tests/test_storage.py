@@ -91,3 +91,34 @@ def test_upsert_leaves_no_staged_copy(spark):
     assert not [n for n in after - before if n.startswith("upsert-")]
     assert path_exists(spark, path)
     assert sorted(map(tuple, read_table(spark, path).collect())) == [(1, "a"), (2, "c"), (3, "d")]
+
+
+def test_partitioned_upsert_rewrites_only_touched_partitions(spark):
+    import os
+
+    from stratum.sources.sinks import touched_partitions
+
+    schema = "k int, p int, v string"
+    day1 = spark.createDataFrame([(1, 1, "a"), (2, 1, "b"), (3, 2, "c"), (4, None, "d"),
+                                  (5, 3, "e")], schema)
+    day2 = spark.createDataFrame([(2, 1, "B"), (4, None, "D"), (6, 1, "f")], schema)
+    flat, parted = new_path(spark, "flat"), new_path(spark, "parted")
+    for src in (day1, day2):
+        upsert(spark, src, flat, ["k"])
+    assert upsert(spark, day1, parted, ["k"], partition_by=["p"])[0] == "created"
+    local = parted.replace("file:", "")
+    untouched = {d: sorted(os.listdir(os.path.join(local, d))) for d in ("p=2", "p=3")}
+    action, n = upsert(spark, day2, parted, ["k"], partition_by=["p"])
+    assert (action, n) == ("merged", 4)  # partitions p=1 (3 rows) and null (1 row)
+    # untouched partitions keep their files
+    assert {d: sorted(os.listdir(os.path.join(local, d))) for d in untouched} == untouched
+    got = sorted(map(tuple, read_table(spark, parted).select("k", "p", "v").collect()),
+                 key=repr)
+    want = sorted(map(tuple, read_table(spark, flat).select("k", "p", "v").collect()), key=repr)
+    assert got == want
+    assert (4, None, "D") in got and (5, 3, "e") in got
+    # the merge's target scan is pruned to the touched partitions
+    target = read_table(spark, parted)
+    plan = target.where(touched_partitions(day2, target, ["p"]))._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "<=>" in plan
