@@ -208,9 +208,10 @@ def _raw(df: DataFrame, table: str, expectations: Sequence[Expectation]) -> Data
             continue
         c = _ident(e.column)
         per_value = df.where(f"{c} IS NOT NULL").groupBy(F.col(c)).agg(
-            F.count(F.lit(1)).alias("k"))
+            F.count(F.lit(1)).alias("__rows"))
         summary = per_value.selectExpr(
-            "coalesce(sum(k), 0) AS n", "coalesce(sum(CASE WHEN k > 1 THEN k END), 0) AS u")
+            "coalesce(sum(__rows), 0) AS n",
+            "coalesce(sum(CASE WHEN __rows > 1 THEN __rows END), 0) AS u")
         parts.append(summary.selectExpr(f"inline(array({_row(table, e, 'n', 'u')}))"))
     return reduce(DataFrame.union, parts)
 
