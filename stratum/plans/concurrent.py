@@ -46,12 +46,16 @@ def run_all(spark: SparkSession, jobs: Mapping[str, Callable[[], T]],
 
     def labelled(name: str, fn: Callable[[], T]) -> Callable[[], T]:
         def job() -> T:
-            # thread-local: names the Spark jobs of this table in the event log
+            # thread-local: names the Spark jobs of this table in the event log;
+            # under spark.scheduler.mode=FAIR each table also gets its own pool,
+            # so a large table cannot hold every slot (ignored under FIFO)
             sc.setJobDescription(f"{parent}: {name}" if parent else name)
+            sc.setLocalProperty("spark.scheduler.pool", name)
             try:
                 return fn()
             finally:
                 sc.setJobDescription(None)
+                sc.setLocalProperty("spark.scheduler.pool", None)
         return job
 
     with ThreadPoolExecutor(max_workers=min(max_jobs, len(jobs)),

@@ -28,3 +28,24 @@ def test_second_run_lands_only_new_files(spark):
     assert (n1, n2, n3) == (2, 1, 0)
     got = {(r.order_id, str(r._ingestion_date)) for r in read_bronze(spark, bronze).collect()}
     assert got == {("o1", "2026-01-01"), ("o2", "2026-01-01"), ("o3", "2026-01-02")}
+
+
+def test_count_when_progress_history_is_shorter_than_the_run(spark):
+    landing = tempfile.mkdtemp(prefix="landing-", dir="/tmp")
+    bronze, ckpt = new_path(spark, "bronze-stream"), new_path(spark, "ckpt-stream")
+    schema = string_schema(["order_id", "order_status"])
+    for i in range(3):
+        _write(landing, f"f{i}.csv", [(f"o{i}a", "delivered"), (f"o{i}b", "shipped")])
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, "1")
+    try:
+        n = land_new_files(spark, landing, schema, "orders.csv", bronze, ckpt,
+                           "2026-01-05T06:00:00", max_files_per_batch=1)
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+    assert n == 6
+    assert read_bronze(spark, bronze).count() == 6
