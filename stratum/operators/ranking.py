@@ -42,11 +42,11 @@ def rank_desc_within(df: DataFrame, group: str, value: str, name: str,
     example the row key); they do not affect the result."""
     spark = df.sparkSession
     base = new_path(spark, "rank")
-    # the input is computed once: the range sort samples it, then sorts it
-    df.write.parquet(f"{base}/input")
-    ordered = spark.read.parquet(f"{base}/input").orderBy(
-        F.col(group).asc_nulls_first(), F.col(value).desc_nulls_last(),
-        *[F.col(c).asc_nulls_first() for c in tiebreak])
+    # The range exchange samples its input in a separate job; both that job
+    # and the sort read the input's last shuffle output, so the work above
+    # it is not repeated.
+    ordered = df.orderBy(F.col(group).asc_nulls_first(), F.col(value).desc_nulls_last(),
+                         *[F.col(c).asc_nulls_first() for c in tiebreak])
     ordered.withColumn("__mid", F.monotonically_increasing_id()).write.parquet(f"{base}/sorted")
     ids = spark.read.parquet(f"{base}/sorted")
     ids = ids.withColumns({"__part": F.shiftright("__mid", 33),
