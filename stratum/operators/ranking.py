@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.session import new_path
+from stratum.sources.files import remove_on_exit
 
 _LOW_BITS = (1 << 33) - 1  # monotonically_increasing_id: partition << 33 | row
 
@@ -48,6 +49,7 @@ def rank_desc_within(df: DataFrame, group: str, value: str, name: str,
     ordered = df.orderBy(F.col(group).asc_nulls_first(), F.col(value).desc_nulls_last(),
                          *[F.col(c).asc_nulls_first() for c in tiebreak])
     ordered.withColumn("__mid", F.monotonically_increasing_id()).write.parquet(f"{base}/sorted")
+    remove_on_exit(spark, base)  # read lazily by the result, so kept until the end
     ids = spark.read.parquet(f"{base}/sorted")
     ids = ids.withColumns({"__part": F.shiftright("__mid", 33),
                            "__local": F.col("__mid").bitwiseAND(F.lit(_LOW_BITS))})

@@ -105,3 +105,15 @@ def remove_path(spark: SparkSession, path: str) -> bool:
         return False
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     return bool(jpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(jpath, True))
+
+
+def remove_on_exit(spark: SparkSession, path: str) -> None:
+    """Delete ``path`` when the application's file system is closed (end of
+    the application): for staged tables that a returned DataFrame still
+    reads lazily, so they cannot be deleted right away."""
+    sc = spark.sparkContext
+    jvm = getattr(sc, "_jvm", None)
+    if jvm is None:
+        return
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(jpath)
