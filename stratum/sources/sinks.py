@@ -24,12 +24,23 @@ def observed_write(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
     return int(obs.get["rows"])
 
 
+def _clustered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Group rows by their partition folder before a partitioned write, so a
+    folder gets a few well-sized files rather than one small file per task.
+    AQE's rebalance splits a folder that holds a large share of the rows
+    across tasks and merges small ones, so a hot partition is not one task."""
+    return df.hint("rebalance", *partition_by)
+
+
 def write_partitioned(df: DataFrame, path: str,
                       partition_by: str | Sequence[str] = "_ingestion_date",
-                      fmt: str = "parquet") -> int:
+                      fmt: str = "parquet", cluster: bool = False) -> int:
     """Replace only the partitions present in ``df`` (dynamic overwrite);
-    partitions of other dates are left as they are."""
+    partitions of other dates are left as they are. ``cluster`` groups the
+    rows by folder first (for writes spanning many folders)."""
     cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
+    if cluster:
+        df = _clustered(df, cols)
 
     def write(d: DataFrame) -> None:
         (d.write.format(fmt).mode("overwrite")
@@ -41,6 +52,9 @@ def write_partitioned(df: DataFrame, path: str,
 def overwrite(df: DataFrame, path: str, fmt: str = "parquet",
               partition_by: Sequence[str] = ()) -> int:
     """Full rewrite of a table (laid out by ``partition_by`` when given)."""
+    if partition_by:
+        df = _clustered(df, partition_by)
+
     def write(d: DataFrame) -> None:
         w = d.write.format(fmt).mode("overwrite")
         if partition_by:
@@ -118,7 +132,7 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
     staged = new_path(spark, "upsert")
     merge_frames(target, source, keys).write.parquet(staged)
     merged = read_table(spark, staged)
-    rows = (write_partitioned(merged, path, partition_by, fmt) if partition_by
+    rows = (write_partitioned(merged, path, partition_by, fmt, cluster=True) if partition_by
             else overwrite(merged, path, fmt))
     remove_path(spark, staged)  # kept only while the table is being replaced
     return "merged", rows
