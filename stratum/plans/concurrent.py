@@ -37,8 +37,13 @@ def run_all(spark: SparkSession, jobs: Mapping[str, Callable[[], T]],
     return ``{name: result}`` in the order given."""
     if not jobs:
         return {}
-    # Resolve the shared checkpoint folder once, before threads race to set it.
-    scratch_dir(spark)
+    # Resolve the shared checkpoint folder once, before threads race to set
+    # it. Without one on a cluster, only jobs that stage data need it, and
+    # they raise on their own.
+    try:
+        scratch_dir(spark)
+    except RuntimeError:
+        pass
     if len(jobs) == 1 or max_jobs <= 1:
         return {name: fn() for name, fn in jobs.items()}
     sc = spark.sparkContext
