@@ -127,12 +127,23 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
          .whenMatchedUpdateAll().whenNotMatchedInsertAll().execute())
         return "merged", read_table(spark, path, fmt).count()
     target = read_table(spark, path, fmt)
+    staged_source = None
     if partition_by:
+        # One snapshot of the source serves both the touched-partition list
+        # and the merge: were the source evaluated twice and its input changed
+        # in between, a partition missing from the list would be overwritten
+        # without its unread target rows. It also computes the source once.
+        staged_source = new_path(spark, "upsert-source")
+        source.write.parquet(staged_source)
+        source = read_table(spark, staged_source)
         target = target.where(touched_partitions(source, target, partition_by))
     staged = new_path(spark, "upsert")
     merge_frames(target, source, keys).write.parquet(staged)
     merged = read_table(spark, staged)
     rows = (write_partitioned(merged, path, partition_by, fmt, cluster=True) if partition_by
             else overwrite(merged, path, fmt))
-    remove_path(spark, staged)  # kept only while the table is being replaced
+    # staged copies are kept only while the table is being replaced
+    for folder in (staged, staged_source):
+        if folder:
+            remove_path(spark, folder)
     return "merged", rows
