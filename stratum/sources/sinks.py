@@ -10,8 +10,10 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NullType
 
 from stratum.session import new_path
 from stratum.sources.files import read_table, remove_path, table_exists
@@ -73,9 +75,14 @@ def touched_partitions(source: DataFrame, target: DataFrame,
     driver already lists), never by its rows. As a literal predicate it
     prunes the target scan to those partitions' folders."""
     types = {f.name: f.dataType for f in target.schema.fields}
+
+    def value(c: str, v) -> Column:
+        # a folder column whose only folder is the null one is typed void
+        return F.lit(v) if isinstance(types[c], NullType) else F.lit(v).cast(types[c])
+
     values = source.select(*partition_by).distinct().collect()
     match = [reduce(lambda a, b: a & b,
-                    [F.col(c).eqNullSafe(F.lit(row[c]).cast(types[c])) for c in partition_by])
+                    [F.col(c).eqNullSafe(value(c, row[c])) for c in partition_by])
              for row in values]
     return reduce(lambda a, b: a | b, match) if match else F.lit(False)
 
@@ -126,7 +133,15 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
         (DeltaTable.forPath(spark, path).alias("t").merge(source.alias("s"), cond)
          .whenMatchedUpdateAll().whenNotMatchedInsertAll().execute())
         return "merged", read_table(spark, path, fmt).count()
-    target = read_table(spark, path, fmt)
+    try:
+        target = read_table(spark, path, fmt)
+    except AnalysisException as e:
+        condition = getattr(e, "getCondition", getattr(e, "getErrorClass", lambda: None))()
+        if condition != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        # the folder holds no data files (a partitioned write of no rows):
+        # there is nothing to merge with
+        return "created", overwrite(source, path, fmt, partition_by)
     staged_source = None
     if partition_by:
         # One snapshot of the source serves both the touched-partition list
