@@ -31,10 +31,12 @@ def test_dedup_idempotent_and_one_row_per_key(spark, data):
 
 @settings(**SETTINGS)
 @given(data=st.lists(st.tuples(st.sampled_from(["x", "y", None]),
-                               st.integers(0, 5)), min_size=1, max_size=30))
+                               st.one_of(st.none(), st.integers(0, 5))),
+                     min_size=1, max_size=30))
 def test_rank_starts_at_one_and_matches_window(spark, data):
-    df = spark.createDataFrame([(i, g, Decimal(v)) for i, (g, v) in enumerate(data)],
-                               "k int, g string, v decimal(18,2)")
+    df = spark.createDataFrame(
+        [(i, g, None if v is None else Decimal(v)) for i, (g, v) in enumerate(data)],
+        "k int, g string, v decimal(18,2)")
     fast = {r.k: r.r for r in rank_desc_within(df, "g", "v", "r", ["k"]).collect()}
     slow = {r.k: r.r for r in rank_window(df, "g", "v", "r").collect()}
     assert fast == slow
@@ -82,3 +84,39 @@ def test_partitioned_upsert_equals_plain_merge(spark, first, second):
     expected = {k: (p, v) for k, p, v in _day(first)}
     expected.update({k: (p, v) for k, p, v in _day(second)})
     assert got == sorted(((k, p, v) for k, (p, v) in expected.items()), key=repr)
+
+
+@settings(**SETTINGS)
+@given(data=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 4)),
+                               st.one_of(st.none(), st.sampled_from(["a", "b", "c'q"]))),
+                     max_size=25),
+       lo=st.one_of(st.none(), st.integers(0, 2)), hi=st.one_of(st.none(), st.integers(2, 4)),
+       mostly=st.sampled_from([1.0, 0.5]))
+def test_expectations_match_brute_force(spark, data, lo, hi, mostly):
+    from stratum.operators import quality as q
+
+    df = spark.createDataFrame(data, "n int, s string")
+    exps = [q.not_null("n", mostly=mostly), q.between("n", lo, hi, mostly=mostly),
+            q.in_set("s", ["a", "c'q"]), q.unique("n"), q.row_count_between(1, 10)]
+    got = {r.expectation: r for r in q.evaluate(df, "t", exps).collect()}
+    ns = [n for n, _ in data if n is not None]
+    ss = [s for _, s in data if s is not None]
+
+    def ok(total, bad):
+        return total == 0 or (total - bad) / total >= mostly
+
+    nn = got["expect_column_values_to_not_be_null"]
+    bad = sum(1 for n, _ in data if n is None)
+    assert (nn.element_count, nn.unexpected_count, nn.success) == (
+        len(data), bad, ok(len(data), bad))
+    bw = got["expect_column_values_to_be_between"]
+    bad = sum(1 for n in ns if (lo is not None and n < lo) or (hi is not None and n > hi))
+    assert (bw.element_count, bw.unexpected_count, bw.success) == (len(ns), bad, ok(len(ns), bad))
+    st_ = got["expect_column_values_to_be_in_set"]
+    bad = sum(1 for s in ss if s not in ("a", "c'q"))
+    assert (st_.element_count, st_.unexpected_count) == (len(ss), bad)
+    un = got["expect_column_values_to_be_unique"]
+    dup = sum(c for c in (ns.count(v) for v in set(ns)) if c > 1)
+    assert (un.element_count, un.unexpected_count, un.success) == (len(ns), dup, dup == 0)
+    rc = got["expect_table_row_count_to_be_between"]
+    assert rc.success == (1 <= len(data) <= 10)
