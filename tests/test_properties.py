@@ -120,3 +120,21 @@ def test_expectations_match_brute_force(spark, data, lo, hi, mostly):
     assert (un.element_count, un.unexpected_count, un.success) == (len(ns), dup, dup == 0)
     rc = got["expect_table_row_count_to_be_between"]
     assert rc.success == (1 <= len(data) <= 10)
+
+
+@settings(**SETTINGS)
+@given(data=st.lists(st.tuples(st.integers(0, 3), st.one_of(st.none(), st.integers(1, 3)),
+                               st.one_of(st.none(), st.sampled_from(["06:00", "18:00"])),
+                               st.one_of(st.none(), st.integers(0, 9))), max_size=25))
+def test_dedup_keeps_newest_then_greatest(spark, data):
+    df = spark.createDataFrame(data, "k int, d int, t string, v int")
+    got = {r.k: (r.d, r.t, r.v) for r in dedup_latest(df, ["k"], ["d", "t"]).collect()}
+
+    def order(row):  # nulls lowest, as in the struct ordering
+        return tuple((0,) if x is None else (1, x) for x in row)
+
+    want = {}
+    for k, *rest in data:
+        if k not in want or order(rest) > order(want[k]):
+            want[k] = tuple(rest)
+    assert got == want
