@@ -5,12 +5,16 @@ from __future__ import annotations
 from stratum.llm.bpe import op4_bpe
 from stratum.llm.fingerprints import op9_fingerprints
 from stratum.llm.packing import op2_best_fit_packing
+from stratum.llm.simhash import op8_simhash_near_dedup
 from stratum.llm.token_counts import op7_token_counts
+from stratum.llm.toxicity import op6_toxicity
 
 QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op4_bpe": op4_bpe,
+    "op6_toxicity": op6_toxicity,
     "op7_token_counts": op7_token_counts,
+    "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_fingerprints": op9_fingerprints,
 }
 
