@@ -161,10 +161,12 @@ def with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     order = sorted(first)
     before = {b: a for a, b in zip(order, order[1:])}
     # ties of the first id stand in the same range: all of its rows go along, the smallest text counts
-    heads = F.array().cast("array<int>")
-    for b, a in before.items():
-        heads = F.when((F.col("range") == b) & F.col("doc_id").eqNullSafe(F.lit(first[b]["first"]["doc_id"])),
-                       F.array(F.lit(a))).otherwise(heads)
+    ids = [first[r]["first"]["doc_id"] if r in first else None for r in range(ranges)]
+    id_type = rows.schema["doc_id"].dataType
+    first_id = F.element_at(F.array(*[F.lit(i).cast(id_type) for i in ids]), F.col("range") + 1)
+    previous = F.element_at(F.array(*[F.lit(before.get(r)).cast("int") for r in range(ranges)]), F.col("range") + 1)
+    heads = F.when(previous.isNotNull() & F.col("doc_id").eqNullSafe(first_id),
+                   F.array(previous)).otherwise(F.array().cast("array<int>"))
     own = F.struct(F.col("range").alias("range"), F.lit(False).alias("tail"))
     also = F.transform(heads, lambda a: F.struct(a.alias("range"), F.lit(True).alias("tail")))
     dealt = (rows.select("doc_id", "text", F.explode(F.concat(F.array(own), also)).alias("to"))
