@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from stratum.llm.bpe import op4_bpe
 from stratum.llm.fingerprints import op9_fingerprints
+from stratum.llm.language_model import op5_lm_scoring
+from stratum.llm.neighbours import op3_nearest_neighbours
 from stratum.llm.packing import op2_best_fit_packing
 from stratum.llm.quality import op1_quality_classifier
 from stratum.llm.simhash import op8_simhash_near_dedup
@@ -14,7 +16,9 @@ from stratum.llm.url_filters import OP10_SQL, op10_url_filters
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_nearest_neighbours": op3_nearest_neighbours,
     "op4_bpe": op4_bpe,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_toxicity": op6_toxicity,
     "op7_token_counts": op7_token_counts,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,

@@ -252,9 +252,10 @@ def simhash_groups(df: DataFrame, words: int = 4, most: int = 4, blocks: int | N
     docs = staged(map_texts(df, setup, [StructField("fp", LongType())], id_col, text_col), "simhash-docs")
     distinct = staged(docs.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
     roots = components(hamming_links(distinct.select("fp"), most, blocks))
-    rooted = (distinct.join(roots, F.col("fp") == F.col("node"), "left")
-              .select("fp", "first", F.coalesce("root", "fp").alias("root")))
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    # both written, so that the last join may split a large group's rows
+    rooted = staged(distinct.join(roots, F.col("fp") == F.col("node"), "left")
+                    .select("fp", "first", F.coalesce("root", "fp").alias("root")), "simhash-rooted")
+    smallest = staged(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-smallest")
     of = rooted.join(smallest, "root").select("fp", "component_id")
     return docs.join(of, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
