@@ -18,14 +18,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, purpose: str) -> DataFrame:
+def staged(df: DataFrame, purpose: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` once to the shared scratch folder (``spark.checkpoint.dir``)
     and read it back: cuts the lineage, survives lost executors, and lets several
     later steps use the rows without computing them again. The folder is deleted
     when the application ends."""
     spark = df.sparkSession
     path = new_path(spark, purpose)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     remove_on_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
