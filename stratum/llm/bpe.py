@@ -23,9 +23,10 @@ from array import array
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField
 
-from stratum.llm.common import map_texts, table
+from stratum.llm.common import map_texts, map_values, table
 
 #: bounds of a task's memory: transducer states, remembered word encodings
 MAX_STATES = 250_000
@@ -294,15 +295,12 @@ def encode_texts(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "do
 def decode_ids(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
                ids_col: str = "ids") -> DataFrame:
     """``doc_id, text`` from id lists (null or empty list: empty text)."""
-    from pyspark.sql import functions as F
-
-    source = df.select(F.col(id_col).alias("doc_id"), F.col(ids_col).alias("text"))
+    source = df.select(F.col(id_col).alias("doc_id"), F.col(ids_col).alias("ids"))
 
     def setup():
         decode = codec(ranks_path, pattern).decode
         return lambda lists: [[decode(x or []) for x in lists]]
-    return map_texts(source.withColumn("text", F.coalesce("text", F.array().cast("array<int>"))),
-                     setup, [StructField("decoded", StringType())]).withColumnRenamed("decoded", "text")
+    return map_values(source, setup, [StructField("text", StringType())])
 
 
 def round_trip(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",

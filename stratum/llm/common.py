@@ -43,8 +43,13 @@ def map_texts(df: DataFrame, setup: Callable[[], Callable[[list[str]], list[list
     """One row per text: its id (any type, passed through untouched) and
     ``fields``. ``setup`` runs once in each task and returns the function that
     turns a batch of texts into one list per field. Narrow: no shuffle."""
-    source = texts_of(df, id_col, text_col)
-    schema = StructType([source.schema["doc_id"], *fields])
+    return map_values(texts_of(df, id_col, text_col), setup, fields)
+
+
+def map_values(source: DataFrame, setup: Callable[[], Callable[[list], list[list]]],
+               fields: list[StructField]) -> DataFrame:
+    """The same for the second column of ``source``, whatever its type."""
+    schema = StructType([source.schema.fields[0], *fields])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
