@@ -5,14 +5,14 @@ whole-stage code generation; none is a Python UDF.
 """
 
 from stratum.functions.money import (  # noqa: F401
-    MONEY,
     as_double,
     mean,
     money,
     pct,
     ratio,
     round2,
-    to_cents,
+    total,
+    total_mean,
 )
 from stratum.functions.dates import (  # noqa: F401
     as_timestamp,

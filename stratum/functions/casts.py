@@ -12,7 +12,8 @@ def _col(c) -> Column:
 
 
 def as_int(c) -> Column:
-    return _col(c).try_cast("int")
+    """Whole number; decimals are cut off (``'5.0'`` and ``'5.9'`` give 5)."""
+    return F.coalesce(_col(c).try_cast("int"), _col(c).try_cast("decimal(38,18)").try_cast("int"))
 
 
 def as_double_value(c) -> Column:

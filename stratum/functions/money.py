@@ -1,9 +1,9 @@
-"""Exact money arithmetic.
+"""Money and other measures: held as the source's doubles, added up exactly.
 
-Money is held as ``decimal(18,2)`` from the refined layer on. Sums stay
-decimal (exact, independent of partitioning and summation order) and are
-turned into ``double`` once, at the edge of a mart. Averages are one division
-of an exact sum by a count, so every engine produces the same double.
+A refined value keeps the precision it came with, so filters see the unrounded
+number. Sums go through decimals that hold each double's shortest text, so a
+sum doesn't depend on partitioning or summation order, and become a double
+once. Values such a decimal can't hold are summed as doubles instead.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-MONEY = DecimalType(18, 2)
+# Holds doubles below 1e20 to 18 places.
+EXACT = DecimalType(38, 18)
 # Intermediate precision used before rounding a double to two places.
 _ROUNDING = DecimalType(24, 8)
 
@@ -22,13 +23,8 @@ def _col(c) -> Column:
 
 
 def money(c) -> Column:
-    """Parse or convert to cents; text that is not a number becomes null."""
-    return _col(c).try_cast(MONEY)
-
-
-def to_cents(c) -> Column:
-    """Round an exact decimal (any scale) to cents, half away from zero."""
-    return _col(c).cast(MONEY)
+    """Parse or convert an amount; text that is not a number becomes null."""
+    return _col(c).try_cast("double")
 
 
 def as_double(c) -> Column:
@@ -49,11 +45,26 @@ def round2(c) -> Column:
     """Round to two decimals, half away from zero, returned as double.
 
     Going through a decimal avoids the binary-fraction surprises of rounding a
-    double directly (``round(1.005, 2)``)."""
-    return F.round(_col(c).cast(_ROUNDING), 2).cast("double")
+    double directly (``round(1.005, 2)``); numbers too large for it have no
+    decimals to round."""
+    col = as_double(c)
+    return F.coalesce(F.round(col.try_cast(_ROUNDING), 2).cast("double"), F.round(col, 2))
+
+
+def total(c) -> Column:
+    """Sum of the non-null doubles, independent of their order."""
+    col = _col(c)
+    exact = col.try_cast(EXACT)
+    return F.coalesce(F.when(F.count(exact) == F.count(col), F.try_sum(exact)).cast("double"),
+                      F.sum(col.cast("double")))
+
+
+def total_mean(c) -> Column:
+    """Average of the non-null doubles: :func:`total` divided once by the count."""
+    return F.try_divide(total(c), F.count(_col(c)))
 
 
 def mean(c) -> Column:
-    """Average of the non-null values: exact sum divided once by the count."""
+    """Average of the non-null whole numbers: their sum divided once by the count."""
     col = _col(c)
     return F.try_divide(F.sum(col).cast("double"), F.count(col))

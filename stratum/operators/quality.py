@@ -11,8 +11,9 @@ unexpected_count, unexpected_pct, success``
 Null rules: value checks (unique, in-set, between) look at non-null values
 only and use the non-null count as denominator; not-null uses all rows.
 ``success`` holds when ``(element_count - unexpected_count) / element_count
->= mostly``; an empty denominator passes. Column checks are metadata-only but
-report the table's row count as ``element_count``.
+>= mostly``; an empty denominator passes. Range checks on a text column read
+its numbers; text that is no number counts as unexpected. Column checks look
+at the schema only: no rows are read and ``element_count`` is null.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 RESULT_COLUMNS = ("table_name", "expectation", "column_name", "arguments",
                   "element_count", "unexpected_count", "unexpected_pct", "success")
@@ -143,13 +145,10 @@ def _range_sql(c: str, lo, hi) -> str:
     return " AND ".join(parts) or "TRUE"
 
 
-def _counts(e: Expectation, columns: Sequence[str]) -> tuple[str, str]:
-    """(element_count, unexpected_count) aggregate expressions, as SQL."""
+def _counts(e: Expectation, texts: Sequence[str]) -> tuple[str, str]:
+    """(element_count, unexpected_count) aggregate expressions, as SQL; ``texts``
+    names the text columns."""
     rows = "count(1)"
-    if e.kind == "exists":
-        return rows, "0" if e.column in columns else "1"
-    if e.kind == "absent":
-        return rows, str(sum(1 for c in e.values if c in columns))
     if e.kind == "row_count":
         return rows, "CAST(NULL AS BIGINT)"
     c = _ident(e.column)
@@ -161,8 +160,9 @@ def _counts(e: Expectation, columns: Sequence[str]) -> tuple[str, str]:
         values = ", ".join(_lit(v) for v in e.values)
         return f"count({c})", f"count_if({c} IS NOT NULL AND NOT {c} IN ({values}))"
     if e.kind == "between":
-        return (f"count({c})",
-                f"count_if({c} IS NOT NULL AND NOT ({_range_sql(c, e.min_value, e.max_value)}))")
+        value = f"try_cast({c} AS DOUBLE)" if e.column in texts else c
+        fits = f"coalesce({_range_sql(value, e.min_value, e.max_value)}, FALSE)"
+        return f"count({c})", f"count_if({c} IS NOT NULL AND NOT {fits})"
     raise ValueError(e.kind)
 
 
@@ -195,13 +195,20 @@ def _finish(rows: DataFrame) -> DataFrame:
 
 def _raw(df: DataFrame, table: str, expectations: Sequence[Expectation]) -> DataFrame:
     """Unfinished result rows of one table (counts and the rule's inputs)."""
-    fused = [e for e in expectations if e.kind != "unique"]
+    metadata = [e for e in expectations if e.kind in ("exists", "absent")]
+    fused = [e for e in expectations if e.kind not in ("unique", "exists", "absent")]
     parts: list[DataFrame] = []
+    if metadata:
+        names = set(df.columns)
+        wrong = [str(int(e.column not in names) if e.kind == "exists" else sum(c in names for c in e.values))
+                 for e in metadata]
+        structs = ", ".join(_row(table, e, "NULL", u) for e, u in zip(metadata, wrong))
+        parts.append(df.sparkSession.range(1, numPartitions=1).selectExpr(f"inline(array({structs}))"))
     if fused:
-        columns = df.columns if any(e.kind in ("exists", "absent") for e in fused) else ()
+        texts = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
         aggs, structs = [], []
         for i, e in enumerate(fused):
-            n, u = _counts(e, columns)
+            n, u = _counts(e, texts)
             aggs += [f"{n} AS n{i}", f"{u} AS u{i}"]
             structs.append(_row(table, e, f"n{i}", f"u{i}"))
         one = df.selectExpr(*aggs)
@@ -227,9 +234,12 @@ def evaluate(df: DataFrame, table: str, expectations: Sequence[Expectation]) ->
 
 def evaluate_suites(tables: dict[str, DataFrame],
                     suites: dict[str, Sequence[Expectation]]) -> DataFrame:
-    """Results for several tables (only tables with a suite), as one frame."""
-    frames = [_raw(tables[name], name, exps) for name, exps in suites.items()
-              if name in tables and exps]
+    """Results for several tables, as one frame. A suite whose table is missing
+    is an error: nothing would have been checked."""
+    missing = [name for name, exps in suites.items() if exps and name not in tables]
+    if missing:
+        raise QualityGateError("no table for the suites of: " + ", ".join(missing))
+    frames = [_raw(tables[name], name, exps) for name, exps in suites.items() if exps]
     if not frames:  # nothing to check: no result rows, so a gate passes
         spark = SparkSession.getActiveSession() or next(iter(tables.values())).sparkSession
         return spark.createDataFrame([], RESULT_SCHEMA)

@@ -7,14 +7,13 @@ same result (rank with gaps, ties share a rank) from a global order:
 
 1. one range-partitioned sort on ``(g, v DESC, tiebreak)``: the range
    partitioner splits a large group across many tasks;
-2. the sorted rows are written, with their ids, to a new folder under the
-   shared checkpoint folder: the ids are computed once and stored, so they
-   stay identical when a task or an executor is lost and parts are re-read
-   (recomputing them could re-sample the range bounds differently);
-3. global position = rows in earlier partitions (a table with one row per
-   partition) + position inside the partition;
-4. rank = first position of the row's tie group - first position of its
-   group + 1; both are partial-aggregate ``min``s, skew-safe.
+2. the sorted rows are written, with the number of their part, to a new folder
+   under the shared checkpoint folder, so that a part stays the same when a task
+   or an executor is lost and it is read again;
+3. rows are ranked within their part and group; no part holds a whole hot group;
+4. a carry table with one row per part and group gives what earlier parts add: how
+   many rows of the group they hold, and where a tie that goes on began. It is
+   joined on part and group.
 """
 
 from __future__ import annotations
@@ -27,8 +26,6 @@ from pyspark.sql import functions as F
 from stratum.session import new_path
 from stratum.sources.files import remove_on_exit
 
-_LOW_BITS = (1 << 33) - 1  # monotonically_increasing_id: partition << 33 | row
-
 
 def rank_window(df: DataFrame, group: str, value: str, name: str) -> DataFrame:
     """Plain window rank (all rows of a group in one task)."""
@@ -48,27 +45,28 @@ def rank_desc_within(df: DataFrame, group: str, value: str, name: str,
     # it is not repeated.
     ordered = df.orderBy(F.col(group).asc_nulls_first(), F.col(value).desc_nulls_last(),
                          *[F.col(c).asc_nulls_first() for c in tiebreak])
-    ordered.withColumn("__mid", F.monotonically_increasing_id()).write.parquet(f"{base}/sorted")
+    ordered.withColumn("__part", F.spark_partition_id()).write.parquet(f"{base}/sorted")
     remove_on_exit(spark, base)  # read lazily by the result, so kept until the end
-    ids = spark.read.parquet(f"{base}/sorted")
-    ids = ids.withColumns({"__part": F.shiftright("__mid", 33),
-                           "__local": F.col("__mid").bitwiseAND(F.lit(_LOW_BITS))})
-    # one row per partition: rows before it in the global order
-    sizes = ids.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0))
-                           .alias("__offset"))
-    pos = (ids.join(offsets, "__part")
-           .withColumn("__pos", F.col("__offset") + F.col("__local"))
-           .drop("__mid", "__part", "__local", "__offset"))
-    group_start = pos.groupBy(group).agg(F.min("__pos").alias("__gstart"))
-    tie_start = pos.groupBy(group, value).agg(F.min("__pos").alias("__tstart"))
-    g = pos.alias("p")
-    ranked = (
-        g.join(group_start.alias("s"), F.col(f"p.{group}").eqNullSafe(F.col(f"s.{group}")))
-        .join(tie_start.alias("t"),
-              F.col(f"p.{group}").eqNullSafe(F.col(f"t.{group}"))
-              & F.col(f"p.{value}").eqNullSafe(F.col(f"t.{value}")))
-    )
-    rank = (F.col("__tstart") - F.col("__gstart") + 1).cast("int")
-    return ranked.select(*[F.col(f"p.{c}") for c in df.columns], rank.alias(name))
+    inside = Window.partitionBy("__part", group).orderBy(F.col(value).desc_nulls_last())
+    local = spark.read.parquet(f"{base}/sorted").withColumn("__rank", F.rank().over(inside))
+
+    v = F.col(value)
+    parts = local.groupBy("__part", group).agg(
+        F.count(F.lit(1)).alias("__n"), F.max(v).alias("__first"),
+        F.when(F.count(v) == F.count(F.lit(1)), F.min(v)).alias("__last"),
+        (F.max("__rank") - 1).alias("__above_last"))
+    along = Window.partitionBy(group).orderBy("__part")
+    earlier = F.coalesce(F.sum("__n").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    carry = (parts.withColumn("__before", earlier)
+             .withColumn("__tie", F.min(F.col("__before") + F.col("__above_last"))
+                         .over(Window.partitionBy(group, "__last")))
+             .withColumns({"__goes_on": F.lag(F.lit(True)).over(along)
+                           & F.lag("__last").over(along).eqNullSafe(F.col("__first")),
+                           "__tie": F.lag("__tie").over(along)}))
+    r, c = local.alias("r"), carry.alias("c")
+    joined = r.join(c, (F.col("r.__part") == F.col("c.__part"))
+                    & F.col(f"r.{group}").eqNullSafe(F.col(f"c.{group}")))
+    rank = (F.when(F.col("c.__goes_on") & F.col(f"r.{value}").eqNullSafe(F.col("c.__first")),
+                   F.col("c.__tie") + 1)
+            .otherwise(F.col("c.__before") + F.col("r.__rank")).cast("int"))
+    return joined.select(*[F.col(f"r.{x}") for x in df.columns], rank.alias(name))

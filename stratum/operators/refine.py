@@ -24,7 +24,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratum.functions import (
-    MONEY,
     as_double_value,
     as_int,
     as_timestamp,
@@ -120,7 +119,7 @@ def derive_orders(df: DataFrame) -> DataFrame:
 
 def derive_order_items(df: DataFrame) -> DataFrame:
     return df.withColumn(
-        "total_item_value", (F.col("price") + F.col("freight_value")).cast(MONEY))
+        "total_item_value", F.col("price") + F.col("freight_value"))
 
 
 def derive_products(df: DataFrame) -> DataFrame:
@@ -186,9 +185,11 @@ def refine_customers(df: DataFrame) -> DataFrame:
 
 def refine_products(products: DataFrame, translation: DataFrame) -> DataFrame:
     """Products with an English category where a translation exists, else the
-    source name. The translation is a small dimension; the planner broadcasts
+    source name; of a category landed more than once the newest counts. The translation is a small dimension; the planner broadcasts
     it when its measured size is under the broadcast threshold."""
-    names = translation.select("product_category_name", "product_category_name_english")
+    newest = dedup_latest(translation, ["product_category_name"],
+                          [c for c in NEWEST_FIRST if c in translation.columns])
+    names = newest.select("product_category_name", "product_category_name_english")
     joined = products.join(names, on="product_category_name", how="left")
     return refine(joined, SPECS["products"])
 

@@ -21,32 +21,13 @@ def refine_table(name: str, bronze: dict[str, DataFrame]) -> DataFrame:
     return REFINERS[name](bronze[name])
 
 
-def refine_all(bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {name: refine_table(name, bronze) for name in SILVER_TABLES}
-
-
-# Built (lazy) plans per session and input folder. Building the role and
-# refine plans costs thousands of driver-to-JVM calls; the plans are
-# immutable and their inputs read-only, so queries share them.
-_PLANS: dict[tuple, dict[str, DataFrame]] = {}
-
-
-def _memo(kind: str, spark: SparkSession, sf_dir: str, build) -> dict[str, DataFrame]:
-    key = (kind, spark.sparkContext.applicationId, id(spark._jsparkSession), sf_dir)
-    if key not in _PLANS:
-        _PLANS[key] = build()
-    return dict(_PLANS[key])
-
-
 def bronze_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return _memo("bronze", spark, sf_dir, lambda: bronze_roles(spark, sf_dir, RUN_TS, RUN_DATE))
+    return bronze_roles(spark, sf_dir, RUN_TS, RUN_DATE)
 
 
 def silver_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    def build() -> dict[str, DataFrame]:
-        bronze = bronze_views(spark, sf_dir)
-        return run_all(spark, {n: (lambda n=n: refine_table(n, bronze)) for n in SILVER_TABLES})
-    return _memo("silver", spark, sf_dir, build)
+    bronze = bronze_views(spark, sf_dir)
+    return run_all(spark, {n: (lambda n=n: refine_table(n, bronze)) for n in SILVER_TABLES})
 
 
 MART_BUILDERS = {

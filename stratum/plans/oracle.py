@@ -4,8 +4,8 @@ They run on the driver's pre-registered views (orders, lineitem, ...), so
 the role views, refined tables and marts are restated here in plain SQL.
 Numeric rules shared with the Spark side:
 
-* money is DECIMAL(18,2); sums stay decimal and become DOUBLE once;
-* an average is CAST(SUM(x) AS DOUBLE) / COUNT(x);
+* amounts are doubles; a sum adds the decimals of their shortest texts and
+  becomes DOUBLE once; an average is such a sum divided by the count;
 * rounding to two places goes through DECIMAL(24,8);
 * day of week is 1 = Sunday (DuckDB's dayofweek + 1);
 * every integer output is cast to the type Spark produces.
@@ -51,8 +51,12 @@ def mean(expr: str) -> str:
     return f"(CAST(SUM({expr}) AS DOUBLE) / NULLIF(COUNT({expr}), 0))"
 
 
-def order_mean(expr: str) -> str:
-    return f"ROUND(CAST({mean(expr)} AS DECIMAL(24,8)), 6)"
+def total(expr: str) -> str:
+    return f"CAST(SUM(CAST(CAST(CAST({expr} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,18))) AS DOUBLE)"
+
+
+def total_mean(expr: str) -> str:
+    return f"({total(expr)} / NULLIF(COUNT({expr}), 0))"
 
 
 def dedup(src: str, keys: list[str], order: list[str]) -> str:
@@ -172,13 +176,13 @@ TYPED = {
     "orders": None,  # all typed already
     "order_items": {
         "order_item_id": "TRY_CAST(order_item_id AS INTEGER)",
-        "price": "TRY_CAST(price AS DECIMAL(18,2))",
-        "freight_value": "TRY_CAST(freight_value AS DECIMAL(18,2))",
+        "price": "TRY_CAST(price AS DOUBLE)",
+        "freight_value": "TRY_CAST(freight_value AS DOUBLE)",
     },
     "order_payments": {
         "payment_sequential": "TRY_CAST(payment_sequential AS INTEGER)",
         "payment_installments": "TRY_CAST(payment_installments AS INTEGER)",
-        "payment_value": "TRY_CAST(payment_value AS DECIMAL(18,2))",
+        "payment_value": "TRY_CAST(payment_value AS DOUBLE)",
     },
     "customers": None,
     "products": {
@@ -237,7 +241,7 @@ DERIVED = {
        CAST(date_diff('day', CAST(order_purchase_timestamp AS DATE),
                       CAST(order_delivered_customer_date AS DATE)) AS INTEGER) AS delivery_days,
        order_delivered_customer_date > order_estimated_delivery_date AS is_late""",
-    "order_items": ",\n       CAST(price + freight_value AS DECIMAL(18,2)) AS total_item_value",
+    "order_items": ",\n       price + freight_value AS total_item_value",
     "products": ",\n       COALESCE(product_category_name_english, product_category_name) AS category",
 }
 
@@ -304,18 +308,18 @@ def layer_ctes(*silver: str, bronze: tuple[str, ...] = ()) -> dict[str, str]:
 # --- marts -----------------------------------------------------------------------
 
 SALES_SUMMARY_BODY = f"""
-, pay AS (SELECT order_id, SUM(payment_value) AS total_payment
+, pay AS (SELECT order_id, {total('payment_value')} AS total_payment
           FROM s_order_payments GROUP BY order_id)
-, itm AS (SELECT order_id, SUM(freight_value) AS freight_revenue,
+, itm AS (SELECT order_id, {total('freight_value')} AS freight_revenue,
                  COUNT(order_item_id) AS items_count
           FROM s_order_items GROUP BY order_id)
 , daily AS (
   SELECT o.order_year, o.order_month, CAST(o.order_purchase_timestamp AS DATE) AS order_date,
          COUNT(o.order_id) AS total_orders,
-         SUM(p.total_payment) AS revenue,
-         {mean('p.total_payment')} AS avg_order_value,
+         {total('p.total_payment')} AS revenue,
+         {total_mean('p.total_payment')} AS avg_order_value,
          CAST(SUM(i.items_count) AS BIGINT) AS total_items_sold,
-         SUM(i.freight_revenue) AS freight,
+         {total('i.freight_revenue')} AS freight,
          {mean('o.delivery_days')} AS avg_delivery_days,
          CAST(SUM(CASE WHEN o.is_late THEN 1 ELSE 0 END) AS BIGINT) AS late_deliveries
   FROM s_orders o
@@ -341,15 +345,15 @@ def sales_summary_sql() -> str:
 
 
 PRODUCT_PERF_TAIL = f"""
-, rv AS (SELECT order_id, {order_mean('review_score')} AS avg_review_score
+, rv AS (SELECT order_id, {mean('review_score')} AS avg_review_score
          FROM s_order_reviews GROUP BY order_id)
 , pp AS (
   SELECT i.product_id, p.category,
          COUNT(i.order_id) AS total_orders,
-         SUM(i.price) AS revenue,
-         {mean('i.price')} AS avg_price,
-         SUM(i.freight_value) AS freight,
-         {mean('r.avg_review_score')} AS avg_rating,
+         {total('i.price')} AS revenue,
+         {total_mean('i.price')} AS avg_price,
+         {total('i.freight_value')} AS freight,
+         {total_mean('r.avg_review_score')} AS avg_rating,
          COUNT(DISTINCT i.order_id) AS unique_orders
   FROM s_order_items i
   LEFT JOIN s_products p ON i.product_id = p.product_id
@@ -370,7 +374,7 @@ def product_performance_sql() -> str:
 
 
 RFM_TAIL = f"""
-, ov AS (SELECT order_id, SUM(payment_value) AS order_value
+, ov AS (SELECT order_id, {total('payment_value')} AS order_value
          FROM s_order_payments GROUP BY order_id)
 , rfm AS (
   SELECT o.customer_id,
@@ -378,12 +382,12 @@ RFM_TAIL = f"""
               CAST((SELECT MAX(order_purchase_timestamp) FROM s_orders) AS DATE)) AS INTEGER)
            AS recency_days,
          COUNT(o.order_id) AS frequency,
-         SUM(v.order_value) AS monetary
+         {total('v.order_value')} AS monetary
   FROM s_orders o LEFT JOIN ov v ON o.order_id = v.order_id
   WHERE o.order_status = 'delivered'
   GROUP BY o.customer_id)
 SELECT r.customer_id, c.customer_state, c.customer_city, r.recency_days, r.frequency,
-       CAST(r.monetary AS DOUBLE) AS monetary,
+       {round2('r.monetary')} AS monetary,
        CASE WHEN r.recency_days <= 90 AND r.frequency >= 2 AND r.monetary >= 500 THEN 'Champion'
             WHEN r.recency_days <= 180 AND r.frequency >= 2 THEN 'Loyal'
             WHEN r.recency_days <= 90 AND r.frequency = 1 THEN 'New Customer'
@@ -392,27 +396,41 @@ SELECT r.customer_id, c.customer_state, c.customer_city, r.recency_days, r.frequ
 FROM rfm r LEFT JOIN s_customers c ON r.customer_id = c.customer_id"""
 
 
+def rfm_by_person_sql() -> str:
+    """RFM_TAIL with orders and customers under their person's key."""
+    tail = RFM_TAIL.replace("FROM s_orders o LEFT JOIN ov", "FROM people_orders o LEFT JOIN ov").replace(
+        "s_customers c", "people c").replace("r.customer_id", "r.customer_id AS customer_unique_id", 1)
+    key = "concat_ws('/', customer_state, customer_city)"
+    people = f"""
+, ids AS (SELECT customer_id, {key} AS person, customer_state, customer_city FROM s_customers)
+, people_orders AS (SELECT o.* REPLACE (i.person AS customer_id) FROM s_orders o
+                    LEFT JOIN ids i ON o.customer_id = i.customer_id)
+, people AS (SELECT person AS customer_id, arg_max(customer_state, customer_id) AS customer_state,
+                    arg_max(customer_city, customer_id) AS customer_city FROM ids GROUP BY person)"""
+    return _mart(layer_ctes("orders", "order_payments", "customers"), people + tail)
+
+
 def rfm_segments_sql() -> str:
     return _mart(layer_ctes("orders", "order_payments", "customers"), RFM_TAIL)
 
 
 SELLER_TAIL = f"""
-, rv AS (SELECT order_id, {order_mean('review_score')} AS avg_score
+, rv AS (SELECT order_id, {mean('review_score')} AS avg_score
          FROM s_order_reviews GROUP BY order_id)
 , ps AS (
   SELECT i.seller_id,
          COUNT(i.order_id) AS total_orders,
-         SUM(i.price) AS revenue,
-         {mean('i.price')} AS avg_item_price,
+         {total('i.price')} AS revenue,
+         {total_mean('i.price')} AS avg_item_price,
          {mean('o.delivery_days')} AS avg_delivery_days,
-         {mean('r.avg_score')} AS score,
+         {total_mean('r.avg_score')} AS score,
          CAST(SUM(CASE WHEN o.is_late THEN 1 ELSE 0 END) AS BIGINT) AS late_orders,
          COUNT(DISTINCT i.product_id) AS unique_products
   FROM s_order_items i
   JOIN s_orders o ON i.order_id = o.order_id AND o.order_status = 'delivered'
   LEFT JOIN rv r ON i.order_id = r.order_id
   GROUP BY i.seller_id)
-SELECT ps.seller_id, ps.total_orders, CAST(ps.revenue AS DOUBLE) AS total_revenue,
+SELECT ps.seller_id, ps.total_orders, {round2('ps.revenue')} AS total_revenue,
        ps.avg_item_price, ps.avg_delivery_days,
        {round2('ps.score')} AS avg_review_score,
        ps.late_orders, ps.unique_products,

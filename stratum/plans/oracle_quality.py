@@ -46,9 +46,9 @@ def expectation_sql(table: str, rel: str, e: Expectation, columns: Sequence[str]
         elif e.kind == "row_count":
             n, u = "COUNT(*)", "NULL"
         elif e.kind == "exists":
-            n, u = "COUNT(*)", "0" if c in columns else "1"
+            n, u, src = "NULL", "0" if c in columns else "1", "(SELECT 1) one"
         elif e.kind == "absent":
-            n, u = "COUNT(*)", str(sum(1 for x in e.values if x in columns))
+            n, u, src = "NULL", str(sum(1 for x in e.values if x in columns)), "(SELECT 1) one"
         else:
             raise ValueError(e.kind)
     inner = (f"SELECT {meta}, CAST({n} AS BIGINT) AS element_count, "

@@ -31,7 +31,7 @@ SQL.update({
     "bronze_lineage": _q("SELECT * FROM b_orders", bronze=("orders",)),
     "project_derived": _q(
         "SELECT order_id, order_item_id, product_id, seller_id, shipping_limit_date, "
-        "price, freight_value, CAST(price + freight_value AS DECIMAL(18,2)) AS total_item_value "
+        "price, freight_value, price + freight_value AS total_item_value "
         f"FROM ({o.typed_sql('order_items', 'b_order_items')}) t",
         bronze=("order_items",)),
     "drop_metadata": _q(
@@ -50,8 +50,8 @@ SQL.update({
     # joins
     "join_left_preagg": _q(
         "SELECT o.order_id, o.customer_id, o.order_purchase_timestamp, "
-        "CAST(p.total_payment AS DOUBLE) AS total_payment, p.payment_methods_used "
-        "FROM s_orders o LEFT JOIN (SELECT order_id, SUM(payment_value) AS total_payment, "
+        "p.total_payment, p.payment_methods_used "
+        f"FROM s_orders o LEFT JOIN (SELECT order_id, {o.total('payment_value')} AS total_payment, "
         "COUNT(DISTINCT payment_type) AS payment_methods_used FROM s_order_payments "
         "GROUP BY order_id) p ON o.order_id = p.order_id "
         "WHERE o.order_status = 'delivered'",
@@ -70,7 +70,7 @@ SQL.update({
         "order_items", "orders"),
     # aggregations
     "agg_by_key": _q(
-        "SELECT order_id, CAST(SUM(payment_value) AS DOUBLE) AS total_payment, "
+        f"SELECT order_id, {o.total('payment_value')} AS total_payment, "
         "COUNT(payment_type) AS payment_count FROM s_order_payments GROUP BY order_id",
         "order_payments"),
     "agg_expr_key": _q(
@@ -81,13 +81,13 @@ SQL.update({
         "COUNT(DISTINCT seller_id) AS unique_sellers FROM s_order_items GROUP BY product_id",
         "order_items"),
     "agg_avg": _q(
-        f"SELECT seller_id, {o.mean('price')} AS avg_item_price, "
-        f"{o.mean('freight_value')} AS avg_freight FROM s_order_items GROUP BY seller_id",
+        f"SELECT seller_id, {o.total_mean('price')} AS avg_item_price, "
+        f"{o.total_mean('freight_value')} AS avg_freight FROM s_order_items GROUP BY seller_id",
         "order_items"),
     "agg_two_stage": _q(
-        f"SELECT i.seller_id, {o.mean('r.avg_score')} AS avg_review_score "
+        f"SELECT i.seller_id, {o.total_mean('r.avg_score')} AS avg_review_score "
         "FROM s_order_items i LEFT JOIN (SELECT order_id, "
-        f"{o.order_mean('review_score')} AS avg_score FROM s_order_reviews GROUP BY order_id) r "
+        f"{o.mean('review_score')} AS avg_score FROM s_order_reviews GROUP BY order_id) r "
         "ON i.order_id = r.order_id GROUP BY i.seller_id",
         "order_items", "order_reviews"),
     "agg_conditional": _q(
@@ -108,7 +108,7 @@ SQL.update({
     "window_rank": _q(
         "SELECT product_id, category, CAST(revenue AS DOUBLE) AS total_revenue, "
         "CAST(RANK() OVER (PARTITION BY category ORDER BY revenue DESC NULLS LAST) AS INTEGER) "
-        "AS revenue_rank FROM (SELECT i.product_id, p.category, SUM(i.price) AS revenue "
+        f"AS revenue_rank FROM (SELECT i.product_id, p.category, {o.total('i.price')} AS revenue "
         "FROM s_order_items i LEFT JOIN s_products p ON i.product_id = p.product_id "
         "GROUP BY i.product_id, p.category) t",
         "order_items", "products"),
@@ -130,7 +130,8 @@ SQL.update({
         "SELECT l_orderkey, l_linenumber, "
         "TRY_CAST(CAST(l_linenumber AS VARCHAR) AS INTEGER) AS line_int, "
         "TRY_CAST(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS DOUBLE) AS price_double, "
-        "TRY_CAST(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS DECIMAL(18,2)) AS price_money, "
+        "TRY_CAST(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS DOUBLE) AS price_money, "
+        "CAST(l_linenumber AS INTEGER) AS line_decimal_text, "
         "TRY_CAST(l_returnflag AS INTEGER) AS flag_int FROM lineitem"),
     "fn_ratio": _q(
         f"SELECT order_id, order_item_id, {o.pct('freight_value', 'price')} AS freight_pct, "
@@ -260,5 +261,28 @@ SQL.update({
         "gold_customer_segments": f"({SQL['rfm_segments']})",
         "gold_seller_performance": f"({SQL['seller_performance']})"}) + ") c",
 })
+SQL["upsert_after_failed_write"] = SQL["upsert_merge"]
+# Whatever way they came in, the refined rows are the same in the end.
+SQL["upsert_moved_partition"] = SQL["upsert_backfill"] = SQL["silver_orders"]
+SQL["silver_products_all_dates"] = SQL["silver_products"]
+SQL["rfm_by_person"] = o.rfm_by_person_sql()
+
+
+def _layered_report() -> str:
+    """Counts of every table of a first run, with each layer's gate."""
+    def layer(name: str, action: str, counts: str, gate: str) -> str:
+        return (f"SELECT '{name}' AS layer, c.table_name, c.row_count, '{action}' AS action, "
+                f"g.n AS layer_checks, g.bad AS layer_failed_checks FROM ({counts}) c, "
+                f"(SELECT COUNT(*) AS n, CAST(COUNT(*) FILTER (WHERE NOT success) AS BIGINT) AS bad FROM ({gate}) r) g")
+    marts = {"gold_sales_summary": "sales_summary", "gold_product_performance": "product_performance",
+             "gold_customer_segments": "rfm_segments", "gold_seller_performance": "seller_performance"}
+    refined = o.with_ctes(o.layer_ctes(*o.SILVER_TABLES), _counts({t: f"s_{t}" for t in o.SILVER_TABLES}))
+    return "\nUNION ALL\n".join((
+        layer("bronze", "partition_replaced", _counts(_ROLE_RELS), SQL["dq_suite_bronze"]),
+        layer("silver", "created", refined, SQL["dq_suite_silver"]),
+        layer("gold", "overwritten", _counts({t: f"({SQL[q]})" for t, q in marts.items()}), SQL["dq_suite_gold"])))
+
+
+SQL["pipeline_end_to_end"] = _layered_report()
 # A merge scoped to partition folders must give the same table.
 SQL["upsert_merge_partitioned"] = SQL["upsert_merge"]

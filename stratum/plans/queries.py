@@ -13,18 +13,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.functions import (
-    as_double,
     as_double_value,
     as_int,
     as_timestamp,
     coalesce_first,
     day_diff,
-    mean,
     money,
     pct,
     ratio,
     round2,
     to_day,
+    total,
+    total_mean,
 )
 from stratum.operators import marts
 from stratum.operators.dedup import dedup_latest
@@ -37,6 +37,7 @@ from stratum.operators.refine import (
     derive_order_items,
     drop_lineage,
     refine_orders,
+    refine_products,
     type_columns,
 )
 from stratum.plans import suites
@@ -177,12 +178,13 @@ def filter_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("join_left_preagg")
 def join_left_preagg(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _silver(spark, sf_dir)
-    per_order = marts.payments_per_order(s["order_payments"])
+    per_order = s["order_payments"].groupBy("order_id").agg(
+        total("payment_value").alias("total_payment"),
+        F.count_distinct("payment_type").alias("payment_methods_used"))
     return (
         marts.delivered_orders(s["orders"])
         .select("order_id", "customer_id", "order_purchase_timestamp")
         .join(per_order, "order_id", "left")
-        .withColumn("total_payment", as_double("total_payment"))
     )
 
 
@@ -212,7 +214,7 @@ def join_inner_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
 def agg_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     pays = _silver(spark, sf_dir)["order_payments"]
     return pays.groupBy("order_id").agg(
-        as_double(F.sum("payment_value")).alias("total_payment"),
+        total("payment_value").alias("total_payment"),
         F.count("payment_type").alias("payment_count"),
     )
 
@@ -238,8 +240,8 @@ def agg_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 def agg_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = _silver(spark, sf_dir)["order_items"]
     return items.groupBy("seller_id").agg(
-        mean("price").alias("avg_item_price"),
-        mean("freight_value").alias("avg_freight"),
+        total_mean("price").alias("avg_item_price"),
+        total_mean("freight_value").alias("avg_freight"),
     )
 
 
@@ -251,7 +253,7 @@ def agg_two_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
         s["order_items"]
         .join(marts.reviews_per_order(s["order_reviews"], "avg_score"), "order_id", "left")
         .groupBy("seller_id")
-        .agg(mean("avg_score").alias("avg_review_score"))
+        .agg(total_mean("avg_score").alias("avg_review_score"))
     )
 
 
@@ -290,11 +292,11 @@ def window_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_product = (
         s["order_items"].join(s["products"].select("product_id", "category"),
                               "product_id", "left")
-        .groupBy("product_id", "category").agg(F.sum("price").alias("revenue"))
+        .groupBy("product_id", "category").agg(total("price").alias("revenue"))
     )
     ranked = marts.rank_desc_within(per_product, "category", "revenue", "revenue_rank")
     return ranked.select("product_id", "category",
-                         as_double("revenue").alias("total_revenue"), "revenue_rank")
+                         F.col("revenue").alias("total_revenue"), "revenue_rank")
 
 
 @query("sort_asc")
@@ -347,6 +349,7 @@ def fn_try_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
         as_int(F.col("l_linenumber").cast("string")).alias("line_int"),
         as_double_value(price_text).alias("price_double"),
         money(price_text).alias("price_money"),
+        as_int(F.concat(F.col("l_linenumber").cast("string"), F.lit(".0"))).alias("line_decimal_text"),
         as_int(F.col("l_returnflag")).alias("flag_int"),
     )
 
@@ -463,10 +466,11 @@ def export_landing(spark: SparkSession, sf_dir: str, base: str):
 
 @query("csv_scan")
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw landing scan: header, explicit all-text schema, no inference."""
+    """Raw landing scan: header, explicit all-text schema, no inference; the file
+    has its columns in another order than the schema."""
     items = _role_frames(spark, sf_dir)["order_items"]
     path = new_path(spark, "landing-items")
-    write_csv(items, path)
+    write_csv(items.select(*reversed(items.columns)), path)
     return read_csv(spark, path, string_schema(items.columns))
 
 
@@ -569,6 +573,76 @@ def upsert_merge_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path)
 
 
+@query("upsert_after_failed_write")
+def upsert_after_failed_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rewrite that fails in its tasks between the two merges changes nothing:
+    same result as ``upsert_merge``."""
+    day1, day2 = upsert_days(_role_frames(spark, sf_dir)["orders"])
+    path = new_path(spark, "silver-orders")
+    upsert(spark, refine_orders(day1), path, MERGE_KEYS["orders"])
+    broken = read_table(spark, path).withColumn("order_status", F.raise_error(F.lit("lost")).cast("string"))
+    try:
+        overwrite(broken, path)
+    except Exception as e:  # noqa: BLE001 the failure is the point
+        if "lost" not in str(e):
+            raise
+    upsert(spark, refine_orders(day2), path, MERGE_KEYS["orders"])
+    return read_table(spark, path)
+
+
+@query("upsert_moved_partition")
+def upsert_moved_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders that land without a purchase time and get it the next day move to
+    another partition folder; each stays one row."""
+    orders = _role_frames(spark, sf_dir)["orders"]
+    late = F.col("customer_id") % 7 == 0
+    purchase = F.col("order_purchase_timestamp")
+    day1 = orders.withColumn("order_purchase_timestamp", F.when(~late, purchase))
+    path = new_path(spark, "silver-orders")
+    for frame, ts in ((day1, DAY1_TS), (orders.where(late), DAY2_TS)):
+        upsert(spark, refine_orders(add_lineage(frame, "orders.csv", ts)), path, MERGE_KEYS["orders"],
+               partition_by=PARTITION_COLUMNS["orders"])
+    return read_table(spark, path)
+
+
+@query("upsert_backfill")
+def upsert_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two landed dates, the later refined first, then the earlier again: newer
+    rows stay."""
+    orders = _role_frames(spark, sf_dir)["orders"]
+    bronze, path = new_path(spark, "bronze-orders"), new_path(spark, "silver-orders")
+    older = orders.withColumn("order_status", F.lit("processing"))
+    write_partitioned(add_lineage(older, "orders.csv", DAY1_TS), bronze)
+    write_partitioned(add_lineage(orders, "orders.csv", DAY2_TS), bronze)
+    for day in (DAY2, DAY1):
+        upsert(spark, refine_orders(read_bronze(spark, bronze, since=day)), path, MERGE_KEYS["orders"])
+    return read_table(spark, path)
+
+
+@query("silver_products_all_dates")
+def silver_products_all_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products and category names landed on two dates, names changed in between:
+    one row per product, with the newer name."""
+    frames = _role_frames(spark, sf_dir)
+    names = frames["category_translation"]
+    older = names.withColumn("product_category_name_english", F.concat(F.lit("zz_"), "product_category_name_english"))
+    base = Layout(new_path(spark, "lake"))
+    for frame, ts in ((older, DAY1_TS), (names, DAY2_TS)):
+        write_partitioned(add_lineage(frames["products"], "products.csv", ts), base.bronze("products"))
+        write_partitioned(add_lineage(frame, "names.csv", ts), base.bronze("category_translation"))
+    return refine_products(read_bronze(spark, base.bronze("products")),
+                           read_bronze(spark, base.bronze("category_translation")))
+
+
+@query("rfm_by_person")
+def rfm_by_person(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments with all customer ids of a person together; in the role view a
+    person is a customer's place of residence and business."""
+    s = _silver(spark, sf_dir)
+    person = s["customers"].withColumn("customer_unique_id", F.concat_ws("/", "customer_state", "customer_city"))
+    return marts.customer_segments(s["orders"], s["order_payments"], person, customer_key="customer_unique_id")
+
+
 @query("silver_row_counts")
 def silver_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = [df.agg(F.count(F.lit(1)).alias("row_count"))

@@ -10,13 +10,14 @@ session, creating a local one only when none is configured (tests, laptop).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings the library needs. Each is applied only when the session does not
-# set it already, so a cluster's own tuning wins.
+# Settings the library needs. Each is applied only when the loaded configuration
+# does not set it, so a cluster's own tuning, submit options included, wins.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -27,8 +28,6 @@ DEFAULT_CONF = {
     # everything else falls back to a shuffle join.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    "spark.ui.enabled": "false",
 }
 
 
@@ -42,14 +41,17 @@ def get_session(app_name: str = "stratum", master: str | None = None,
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
+    conf = dict(extra or {})
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
+    spark = builder.config("spark.ui.enabled", "false").getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    given = {k for k, _ in spark.sparkContext.getConf().getAll()}
+    for key, value in DEFAULT_CONF.items():
+        if key not in given:
+            spark.conf.set(key, value)
     return spark
 
 
@@ -62,9 +64,9 @@ def ensure_settings(spark: SparkSession) -> None:
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for staged tables and checkpoints.
 
-    On a cluster this is ``spark.checkpoint.dir`` (a shared file system every
-    executor can reach). Only when the session has none, as in tests, is a
-    fresh local folder created and registered as the checkpoint directory.
+    This is ``spark.checkpoint.dir``, which on a cluster is a file system that
+    every executor can reach. Only where the session has none and driver and
+    executors are one process, as in tests, is a fresh local folder made.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -75,7 +77,7 @@ def scratch_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return (sc.getCheckpointDir() or configured).rstrip("/")
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
         raise RuntimeError(
             "spark.checkpoint.dir is not set: on a cluster it must name a shared folder "
             "(HDFS / object store) that every executor can reach")

@@ -7,9 +7,9 @@ turns codes such as ``01037`` into numbers).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -37,13 +37,21 @@ def string_schema(columns: Sequence[str]) -> StructType:
 
 def read_csv(spark: SparkSession, path: str, schema: StructType,
              multi_line: bool = False) -> DataFrame:
-    """CSV with header under an explicit schema.
+    """CSV with header under an explicit schema, whose columns are found by their
+    names in the header, in any order there.
 
     ``multi_line`` is needed only for sources whose quoted fields contain line
     breaks; such files cannot be split, so it is off by default to keep one
     task per file split."""
-    return (spark.read.schema(schema).options(**CSV_OPTIONS)
-            .option("multiLine", str(multi_line).lower()).csv(path))
+    reader = spark.read.options(**CSV_OPTIONS).option("multiLine", str(multi_line).lower())
+    header = reader.csv(path).columns  # reads the first line
+    missing = [c for c in schema.names if c not in header]
+    if missing:
+        raise ValueError(f"{path}: the header lacks {', '.join(missing)}")
+    # every column of the header, in its order; then those asked for
+    types = {f.name: f for f in schema.fields}
+    full = StructType([types.get(c, StructField(c, StringType())) for c in header])
+    return reader.schema(full).csv(path).select(*schema.names)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -51,22 +59,24 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
-def read_bronze(spark: SparkSession, path: str,
-                dates: Sequence[str] | None = None) -> DataFrame:
+def read_bronze(spark: SparkSession, path: str, dates: Sequence[str] | None = None,
+                since: str | None = None) -> DataFrame:
     """Bronze table partitioned by ``_ingestion_date``; ``dates`` restricts
-    the scan to those partitions (partition pruning, no file is opened for
+    the scan to those partitions, ``since`` to that date and later ones (partition pruning, no file is opened for
     other dates)."""
     df = spark.read.option("basePath", path).parquet(path)
     if dates:
         df = df.where(F.col("_ingestion_date").isin(
             *[F.lit(d).cast("date") for d in dates]))
+    if since:
+        df = df.where(F.col("_ingestion_date") >= F.lit(since).cast("date"))
     return df
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """A refined or mart table in any data-source format (parquet, orc,
     delta when the session has it)."""
-    return spark.read.format(fmt).load(path)
+    return spark.read.format(fmt).load(path if fmt == "delta" else location(spark, path))
 
 
 def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
@@ -80,17 +90,50 @@ def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
     return path_exists(spark, path)
 
 
+# A table written by this library is a folder of versions. A version counts once
+# an empty file of its name stands among the commits; the greatest name is the
+# current one, so a write that fails leaves the version before it in place.
+COMMITS, VERSIONS = "_commits", "_versions"
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in fs.listStatus(jpath)) if fs.exists(jpath) else []
+
+
+def versions(spark: SparkSession, path: str) -> list[str]:
+    """Committed versions of a table, oldest first."""
+    return _names(spark, f"{path}/{COMMITS}")
+
+
+def location(spark: SparkSession, path: str) -> str:
+    """Folder of a table's current files: its last committed version, or the
+    folder itself for tables that others wrote."""
+    done = versions(spark, path)
+    return f"{path}/{VERSIONS}/{done[-1]}" if done else path
+
+
+def new_version(spark: SparkSession, path: str) -> str:
+    done = versions(spark, path)
+    return f"{int(done[-1].split('-')[0]) + 1 if done else 1:012d}-{uuid.uuid4().hex[:8]}"
+
+
+def commit_version(spark: SparkSession, path: str, version: str, keep: int = 2) -> None:
+    """Make a written version the current one; drop all but the last ``keep``, so
+    that readers of the one before can end."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{COMMITS}/{version}")
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(jpath, False).close()
+    for old in versions(spark, path)[:-keep]:
+        remove_path(spark, f"{path}/{COMMITS}/{old}")
+        remove_path(spark, f"{path}/{VERSIONS}/{old}")
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence of a file-system path through the session's Hadoop
     configuration (works for any Hadoop URI: hdfs, s3a, abfs, file)."""
     sc = spark.sparkContext
-    jvm = getattr(sc, "_jvm", None)
-    if jvm is None:  # no JVM gateway (remote session): fall back to a read
-        try:
-            spark.read.format("parquet").load(path).schema  # noqa: B018
-            return True
-        except AnalysisException:
-            return False
+    jvm = sc._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     return bool(jpath.getFileSystem(sc._jsc.hadoopConfiguration()).exists(jpath))
 
@@ -100,9 +143,7 @@ def remove_path(spark: SparkSession, path: str) -> bool:
     configuration; True when something was deleted. Used for staged copies
     in the shared scratch folder once they are no longer needed."""
     sc = spark.sparkContext
-    jvm = getattr(sc, "_jvm", None)
-    if jvm is None:  # no JVM gateway (remote session): leave it to the folder's lifecycle
-        return False
+    jvm = sc._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     return bool(jpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(jpath, True))
 
@@ -112,8 +153,6 @@ def remove_on_exit(spark: SparkSession, path: str) -> None:
     the application): for staged tables that a returned DataFrame still
     reads lazily, so they cannot be deleted right away."""
     sc = spark.sparkContext
-    jvm = getattr(sc, "_jvm", None)
-    if jvm is None:
-        return
+    jvm = sc._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(jpath)

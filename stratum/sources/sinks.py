@@ -11,12 +11,21 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NullType
 
 from stratum.session import new_path
-from stratum.sources.files import read_table, remove_path, table_exists
+from stratum.sources.files import (
+    VERSIONS,
+    commit_version,
+    location,
+    new_version,
+    read_table,
+    remove_path,
+    table_exists,
+    versions,
+)
 
 
 def observed_write(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
@@ -53,37 +62,45 @@ def write_partitioned(df: DataFrame, path: str,
 
 def overwrite(df: DataFrame, path: str, fmt: str = "parquet",
               partition_by: Sequence[str] = ()) -> int:
-    """Full rewrite of a table (laid out by ``partition_by`` when given)."""
+    """Full rewrite of a table (laid out by ``partition_by`` when given), written
+    once as a new version: until it is complete, readers and a failed run keep
+    the version before it."""
+    spark = df.sparkSession
     if partition_by:
         df = _clustered(df, partition_by)
+    version = new_version(spark, path)
+    target = path if fmt == "delta" else f"{path}/{VERSIONS}/{version}"
 
     def write(d: DataFrame) -> None:
-        w = d.write.format(fmt).mode("overwrite")
+        w = d.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.save(path)
-    return observed_write(df, write)
+        w.save(target)
+    rows = observed_write(df, write)
+    if fmt != "delta":
+        commit_version(spark, path, version)
+    return rows
+
 
+def partition_values(df: DataFrame, partition_by: Sequence[str]) -> set[Row]:
+    """Distinct partition values of ``df``: one row per partition, bounded by the
+    table's partition count (the metadata the driver already lists)."""
+    return set(df.select(*partition_by).distinct().collect())
 
-def touched_partitions(source: DataFrame, target: DataFrame,
-                       partition_by: Sequence[str]) -> Column:
-    """Predicate selecting the target partitions that ``source`` has rows
-    for (null-safe, so a null partition value matches its own partition).
 
-    The distinct partition values are collected: one row per touched
-    partition, bounded by the table's partition count (the metadata the
-    driver already lists), never by its rows. As a literal predicate it
-    prunes the target scan to those partitions' folders."""
+def in_partitions(values: set[Row], target: DataFrame, partition_by: Sequence[str]) -> Column:
+    """Predicate selecting those partitions of the target (null-safe, so a null
+    partition value matches its own partition). As a literal predicate it prunes
+    the target scan to those partitions' folders."""
     types = {f.name: f.dataType for f in target.schema.fields}
 
     def value(c: str, v) -> Column:
         # a folder column whose only folder is the null one is typed void
         return F.lit(v) if isinstance(types[c], NullType) else F.lit(v).cast(types[c])
 
-    values = source.select(*partition_by).distinct().collect()
     match = [reduce(lambda a, b: a & b,
                     [F.col(c).eqNullSafe(value(c, row[c])) for c in partition_by])
-             for row in values]
+             for row in sorted(values, key=str)]
     return reduce(lambda a, b: a | b, match) if match else F.lit(False)
 
 
@@ -96,10 +113,11 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     """Update-all / insert-all / no delete, as a relational plan: target rows
     whose key has no match in the source, plus every source row. Keys match
     null-safely, so a rerun with a null key replaces instead of duplicating.
-    The anti join shuffles on the keys; a small daily source is broadcast by
+    Both sides must have the same columns: a source without one would null it in
+    every matched row. The anti join shuffles on the keys; a small daily source is broadcast by
     the planner when its measured size allows."""
     kept = target.join(source, _null_safe_match(target, source, keys), "left_anti")
-    return kept.unionByName(source, allowMissingColumns=True)
+    return kept.unionByName(source)
 
 
 def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
@@ -108,21 +126,17 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
 
     Returns ``(action, rows_written)``; action is ``created`` on first load.
     With Delta available and ``fmt="delta"`` this is a ``MERGE``. For plain
-    file formats the merged result is written once, as Parquet, to a new
-    folder under the shared checkpoint folder (``spark.checkpoint.dir``),
-    which cuts its lineage to the target files; the table is then replaced
-    from that copy. This is single-writer and not atomic: a failure during
-    the final write leaves the table partly rewritten, while the staged copy
-    still holds the full merged data. The staged copy is deleted once the
-    table has been replaced.
+    file formats the merged rows are written once, as a new version of the table
+    that counts from its commit on: a failure midway leaves the table as it was.
+    Single-writer. A target that exists but can't be read is an error, never a
+    first load.
 
     ``partition_by`` lays the table out in partition folders and scopes the
-    merge to them: only the partitions the source touches are read, merged
-    and replaced (dynamic partition overwrite), so a daily run costs the
-    touched partitions instead of the whole table. The partition columns
-    must never change for a key (an order's purchase month, for example);
-    otherwise the old row would stay in its old partition. ``rows_written``
-    then counts the rewritten partitions only.
+    merge to them: only the partitions that hold the source's keys, before or
+    after the merge, are read in full, merged and replaced in the current
+    version by dynamic partition overwrite. Which partitions held a key that
+    moves is found by a scan of the target's key and partition columns alone.
+    ``rows_written`` then counts the rewritten partitions only.
     """
     partition_by = list(partition_by)
     if not table_exists(spark, path, fmt):
@@ -137,28 +151,36 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
         target = read_table(spark, path, fmt)
     except AnalysisException as e:
         condition = getattr(e, "getCondition", getattr(e, "getErrorClass", lambda: None))()
-        if condition != "UNABLE_TO_INFER_SCHEMA":
-            raise
-        # the folder holds no data files (a partitioned write of no rows):
-        # there is nothing to merge with
-        return "created", overwrite(source, path, fmt, partition_by)
-    staged_source = None
-    if partition_by:
-        # One snapshot of the source serves both the touched-partition list
-        # and the merge: were the source evaluated twice and its input changed
-        # in between, a partition missing from the list would be overwritten
-        # without its unread target rows. It also computes the source once.
-        staged_source = new_path(spark, "upsert-source")
-        source.write.parquet(staged_source)
-        source = read_table(spark, staged_source)
-        target = target.where(touched_partitions(source, target, partition_by))
+        if condition == "UNABLE_TO_INFER_SCHEMA" and versions(spark, path):
+            # a committed version of no rows, written in partition folders: nothing to merge with
+            return "created", overwrite(source, path, fmt, partition_by)
+        raise RuntimeError(f"{path} exists but holds no readable table; it is not taken for a first load") from e
+    differing = set(source.columns) ^ set(target.columns)
+    if differing:
+        raise ValueError(f"source and {path} differ in columns: {', '.join(sorted(differing))}")
+    if not partition_by:
+        return "merged", overwrite(merge_frames(target, source, keys), path, fmt)
+    # One snapshot of the source serves the touched-partition list and the merge:
+    # were it evaluated twice and its input changed in between, a partition missing
+    # from the list would be overwritten without its unread target rows.
+    staged_source = new_path(spark, "upsert-source")
+    source.write.parquet(staged_source)
+    source = read_table(spark, staged_source)
+    index = target.select(*dict.fromkeys([*keys, *partition_by]))
+    held = index.join(source, _null_safe_match(index, source, keys), "left_semi").select(*partition_by)
+    touched = partition_values(source.select(*partition_by).unionByName(held), partition_by)
+    target = target.where(in_partitions(touched, target, partition_by))
     staged = new_path(spark, "upsert")
     merge_frames(target, source, keys).write.parquet(staged)
     merged = read_table(spark, staged)
-    rows = (write_partitioned(merged, path, partition_by, fmt, cluster=True) if partition_by
-            else overwrite(merged, path, fmt))
-    # staged copies are kept only while the table is being replaced
+    rows = write_partitioned(merged, location(spark, path), partition_by, fmt, cluster=True)
+    # A partition whose keys all moved away gets no rows, so the write left it as
+    # it was. Removed last: a run that ends before is mended by running it again.
+    utils = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    for row in touched - partition_values(merged, partition_by):
+        folder = "/".join(utils.getPartitionPathString(c, None if row[c] is None else str(row[c]))
+                          for c in partition_by)
+        remove_path(spark, f"{location(spark, path)}/{folder}")
     for folder in (staged, staged_source):
-        if folder:
-            remove_path(spark, folder)
+        remove_path(spark, folder)
     return "merged", rows

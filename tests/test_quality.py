@@ -71,3 +71,34 @@ def test_suite_fused_single_scan_plan(df):
     res = q.evaluate(df, "t", [q.not_null("id"), q.between("v", 0, 1), q.in_set("s", ["a"])])
     plan = res._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Scan ExistingRDD") + plan.count("LocalTableScan") <= 1
+
+
+def test_ranges_on_text_and_missing_tables(spark):
+    import pytest
+
+    from stratum.operators.quality import QualityGateError, between, column_exists, columns_absent, evaluate, evaluate_suites
+
+    df = spark.createDataFrame([("13.29",), ("abc",), (None,), ("-1",)], "price string")
+    row = evaluate(df, "t", [between("price", 0, 10_000)]).collect()[0]
+    assert (row.element_count, row.unexpected_count) == (3, 2)
+    with pytest.raises(QualityGateError, match="missing"):
+        evaluate_suites({"t": df}, {"t": [column_exists("price")], "missing": [column_exists("x")]})
+    schema_only = evaluate(df, "t", [column_exists("price"), columns_absent(["price"])])
+    assert [(r.element_count, r.success) for r in schema_only.collect()] == [(None, True), (None, False)]
+    plan = schema_only._jdf.queryExecution().executedPlan().toString()
+    assert "Scan" not in plan.replace("OneRowRelation", "")
+
+
+def test_validate_one_layer(spark):
+    import pytest
+
+    from stratum.operators.quality import QualityGateError, not_null
+    from stratum.plans.pipeline import Layout, validate
+    from stratum.session import new_path
+    from stratum.sources.sinks import overwrite
+
+    lake = Layout(new_path(spark, "lake"))
+    overwrite(spark.range(3), lake.gold("a"))
+    assert validate(spark, lake, "gold", suite={"a": [not_null("id")]}).count() == 1
+    with pytest.raises(QualityGateError):
+        validate(spark, lake, "gold", suite={"a": [not_null("id")], "b": [not_null("id")]})

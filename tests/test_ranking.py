@@ -1,5 +1,7 @@
 """Skew-safe rank equals the window rank, including ties and null groups."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from stratum.operators.ranking import rank_desc_within, rank_window
@@ -18,11 +20,33 @@ def test_matches_window_rank_on_hot_group_with_ties(spark):
     assert min(fast.values()) == 1
 
 
-def test_no_exchange_on_group_alone(spark):
+def test_rows_are_never_dealt_by_group_alone(spark):
     df = spark.range(100).select(F.lit("one").alias("g"), F.col("id").alias("v"),
                                  F.col("id").alias("k"))
-    out = rank_desc_within(df, "g", "v", "r", ["k"])
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    # the only window left runs over the per-partition size table
-    assert "windowspecdefinition(g" not in plan
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = rank_desc_within(df, "g", "v", "r", ["k"])
+        lines = out._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    dealt = [i for i, line in enumerate(lines) if re.search(r"Exchange hashpartitioning\(g#\d+, \d+", line)]
+    # only the carry table, one row per part and group, meets by group
+    assert dealt and all("Aggregate" in lines[i + 1] for i in dealt)
+    assert sum("FileScan" in line for line in lines) == 2  # one exchange at run time: the other is reused
     assert sorted(r.r for r in out.collect()) == list(range(1, 101))
+
+
+def test_ties_that_span_parts(spark):
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(400).select(F.when(F.col("id") % 5 > 0, F.lit("g")).alias("g"),
+                                     F.when(F.col("id") % 3 > 0, F.floor(F.col("id") / 150)).alias("v"),
+                                     F.col("id").alias("k"))
+        fast = {r.k: r.r for r in rank_desc_within(df, "g", "v", "r", ["k"]).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert fast == {r.k: r.r for r in rank_window(df, "g", "v", "r").collect()}

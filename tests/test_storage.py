@@ -96,7 +96,8 @@ def test_upsert_leaves_no_staged_copy(spark):
 def test_partitioned_upsert_rewrites_only_touched_partitions(spark):
     import os
 
-    from stratum.sources.sinks import touched_partitions
+    from stratum.sources.files import location
+    from stratum.sources.sinks import in_partitions, partition_values
 
     schema = "k int, p int, v string"
     day1 = spark.createDataFrame([(1, 1, "a"), (2, 1, "b"), (3, 2, "c"), (4, None, "d"),
@@ -106,7 +107,7 @@ def test_partitioned_upsert_rewrites_only_touched_partitions(spark):
     for src in (day1, day2):
         upsert(spark, src, flat, ["k"])
     assert upsert(spark, day1, parted, ["k"], partition_by=["p"])[0] == "created"
-    local = parted.replace("file:", "")
+    local = location(spark, parted).replace("file:", "")
     untouched = {d: sorted(os.listdir(os.path.join(local, d))) for d in ("p=2", "p=3")}
     action, n = upsert(spark, day2, parted, ["k"], partition_by=["p"])
     assert (action, n) == ("merged", 4)  # partitions p=1 (3 rows) and null (1 row)
@@ -119,6 +120,77 @@ def test_partitioned_upsert_rewrites_only_touched_partitions(spark):
     assert (4, None, "D") in got and (5, 3, "e") in got
     # the merge's target scan is pruned to the touched partitions
     target = read_table(spark, parted)
-    plan = target.where(touched_partitions(day2, target, ["p"]))._jdf.queryExecution() \
+    plan = target.where(in_partitions(partition_values(day2, ["p"]), target, ["p"]))._jdf.queryExecution() \
         .executedPlan().toString()
     assert "PartitionFilters: [" in plan and "<=>" in plan
+
+
+def test_failed_write_leaves_the_table(spark):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from stratum.sources.files import versions
+    from stratum.sources.sinks import overwrite
+
+    path = new_path(spark, "t-safe")
+    rows = spark.createDataFrame([(i, "a") for i in range(3)], "k int, v string")
+    upsert(spark, rows, path, ["k"])
+    with pytest.raises(Exception, match="broken"):
+        overwrite(rows.withColumn("v", F.raise_error(F.lit("broken")).cast("string")), path)
+    assert read_table(spark, path).count() == 3
+    assert upsert(spark, rows.where("k = 0").withColumn("v", F.lit("b")), path, ["k"]) == ("merged", 3)
+    assert sorted(map(tuple, read_table(spark, path).collect())) == [(0, "b"), (1, "a"), (2, "a")]
+    assert len(versions(spark, path)) == 2  # the current one and the one before
+    with pytest.raises(ValueError, match="differ in columns: v"):
+        upsert(spark, rows.drop("v"), path, ["k"])
+
+
+def test_existing_folder_without_a_table_is_no_first_load(spark):
+    import pytest
+
+    path = new_path(spark, "t-empty")
+    spark.range(3).write.parquet(path)
+    for name in os.listdir(path.replace("file:", "")):
+        os.remove(os.path.join(path.replace("file:", ""), name))
+    with pytest.raises(RuntimeError, match="not taken for a first load"):
+        upsert(spark, spark.range(1).toDF("id"), path, ["id"])
+
+
+def test_keys_move_between_partitions(spark):
+    path = new_path(spark, "t-moved")
+    schema = "k int, p string, v string"
+    upsert(spark, spark.createDataFrame([(1, None, "a"), (2, "x y", "a"), (3, "x y", "a"), (4, "z", "a")], schema),
+           path, ["k"], partition_by=["p"])
+    upsert(spark, spark.createDataFrame([(1, "z", "b"), (2, "w", "b"), (3, None, "b")], schema), path, ["k"],
+           partition_by=["p"])
+    got = {tuple(r) for r in read_table(spark, path).select("k", "p", "v").collect()}
+    assert got == {(1, "z", "b"), (2, "w", "b"), (3, None, "b"), (4, "z", "a")}
+
+
+def test_overwrite_of_partitions_is_full(spark):
+    from stratum.sources.sinks import overwrite
+
+    path = new_path(spark, "t-full")
+    for n in (4, 2):
+        overwrite(spark.range(n).selectExpr("id AS k", "id AS p"), path, partition_by=["p"])
+    assert read_table(spark, path).count() == 2
+
+
+def test_csv_columns_by_header(spark):
+    import pytest
+
+    d = tempfile.mkdtemp(prefix="csv-", dir="/tmp")
+    path = os.path.join(d, "x.csv")
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("b,extra,a\n1,2,3\n")
+    got = read_csv(spark, path, string_schema(["a", "b"]))
+    assert [tuple(r) for r in got.collect()] == [("3", "1")]
+    with pytest.raises(ValueError, match="lacks c"):
+        read_csv(spark, path, string_schema(["a", "c"]))
+
+
+def test_session_defaults_do_not_override(spark):
+    from stratum.session import DEFAULT_CONF
+
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert "spark.sql.sources.partitionOverwriteMode" not in DEFAULT_CONF
