@@ -23,3 +23,4 @@ from stratum.functions.dates import (  # noqa: F401
     to_day,
 )
 from stratum.functions.casts import as_int, as_double_value, coalesce_first  # noqa: F401
+from stratum.functions.checksum import checksum  # noqa: F401

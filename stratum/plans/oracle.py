@@ -55,6 +55,17 @@ def total(expr: str) -> str:
     return f"CAST(SUM(CAST(CAST(CAST({expr} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,18))) AS DOUBLE)"
 
 
+def checksum(columns: list[str]) -> str:
+    """Sum over rows of 32 bits of the md5 of each row's text."""
+    def text(c: str) -> str:
+        number = f"TRY_CAST(CAST({c} AS VARCHAR) AS DOUBLE)"
+        places = f"CAST(TRY_CAST(floor({number} * 1000000 + 0.5) AS BIGINT) AS VARCHAR)"
+        return (f"COALESCE(CASE WHEN typeof({c}) = 'DOUBLE' AND abs({number}) < 1e12 THEN {places} "
+                f"ELSE CAST({c} AS VARCHAR) END, '~')")
+    row = f"concat_ws('|', {', '.join(text(c) for c in sorted(columns))})"
+    return f"COALESCE(CAST(SUM(CAST('0x' || substr(md5({row}), 1, 8) AS BIGINT)) AS VARCHAR), '0')"
+
+
 def total_mean(expr: str) -> str:
     return f"({total(expr)} / NULLIF(COUNT({expr}), 0))"
 
@@ -450,5 +461,21 @@ DERIVED_NAMES = {
 }
 
 
+MART_COLUMNS = {
+    "gold_sales_summary": [
+        "order_year", "order_month", "order_date", "total_orders", "total_revenue", "avg_order_value",
+        "total_items_sold", "total_freight", "avg_delivery_days", "late_deliveries", "late_delivery_rate",
+        "revenue_per_item"],
+    "gold_product_performance": [
+        "product_id", "category", "total_orders", "total_revenue", "avg_price", "total_freight", "avg_rating",
+        "unique_orders", "revenue_rank", "freight_ratio"],
+    "gold_customer_segments": [
+        "customer_id", "customer_state", "customer_city", "recency_days", "frequency", "monetary", "segment"],
+    "gold_seller_performance": [
+        "seller_id", "total_orders", "total_revenue", "avg_item_price", "avg_delivery_days", "avg_review_score",
+        "late_orders", "unique_products", "seller_zip_code_prefix", "seller_city", "seller_state", "late_rate"],
+}
+
+
 def silver_columns(table: str) -> list[str]:
     return [*silver_output_columns(table), *DERIVED_NAMES.get(table, [])]

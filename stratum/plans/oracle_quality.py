@@ -41,8 +41,9 @@ def expectation_sql(table: str, rel: str, e: Expectation, columns: Sequence[str]
             n, u = f"COUNT({c})", f"COUNT(*) FILTER (WHERE {c} IS NOT NULL AND {c} NOT IN ({vals}))"
         elif e.kind == "between":
             n = f"COUNT({c})"
+            number = f"TRY_CAST({c} AS DOUBLE)"
             u = (f"COUNT(*) FILTER (WHERE {c} IS NOT NULL AND NOT "
-                 f"({_range(c, e.min_value, e.max_value)}))")
+                 f"COALESCE({_range(number, e.min_value, e.max_value)}, FALSE))")
         elif e.kind == "row_count":
             n, u = "COUNT(*)", "NULL"
         elif e.kind == "exists":

@@ -179,6 +179,12 @@ def _dq_sql(layer: str, *kinds: str) -> str:
     return suites_sql(rels, cols, suite)
 
 
+def _dq_text_sql() -> str:
+    from stratum.plans import suites
+    from stratum.plans.oracle_quality import suites_sql
+    return suites_sql({"order_items": _BAD_PRICES}, {}, {"order_items": suites.bronze_suite()["order_items"]})
+
+
 _DQ = {
     "dq_not_null": ("bronze", ("not_null",)),
     "dq_unique": ("bronze", ("unique",)),
@@ -207,9 +213,11 @@ def _with_lineage(rel: str, table: str, day: tuple[str, str], where: str = "") -
     return f"SELECT r.*, {o.lineage(table, *day)} FROM {rel} r {where}"
 
 
-def _counts(rels: dict[str, str], extra: str = "") -> str:
+def _counts(rels: dict[str, str], columns: dict[str, list[str]] | None = None) -> str:
+    """Row count of each relation and, with its ``columns``, its checksum."""
     return "\nUNION ALL\n".join(
-        f"SELECT '{t}' AS table_name, COUNT(*) AS row_count{extra} FROM {rel}"
+        f"SELECT '{t}' AS table_name, COUNT(*) AS row_count"
+        + (f", {o.checksum(columns[t])} AS checksum" if columns else "") + f" FROM {rel}"
         for t, rel in rels.items())
 
 
@@ -226,13 +234,22 @@ _DAY1_COLS = ", ".join(
     for c in o.ROLE_COLUMNS["orders"])
 
 _ROLE_RELS = {t: f"({o.ROLE_SQL[t]})" for t in o.ROLE_SQL}
+_MARTS = {"gold_sales_summary": "sales_summary", "gold_product_performance": "product_performance",
+          "gold_customer_segments": "rfm_segments", "gold_seller_performance": "seller_performance"}
+_BRONZE_COLS = {t: [*o.ROLE_COLUMNS[t], *o.LINEAGE_COLS] for t in o.ROLE_SQL}
+_BRONZE_HELD = _counts({t: "(" + _with_lineage(rel, t, _D1) + ")" for t, rel in _ROLE_RELS.items()}, _BRONZE_COLS)
+_SILVER_HELD = o.with_ctes(o.layer_ctes(*o.SILVER_TABLES), _counts(
+    {t: f"s_{t}" for t in o.SILVER_TABLES}, {t: o.silver_columns(t) for t in o.SILVER_TABLES}))
+_GOLD_HELD = _counts({t: f"({SQL[q]})" for t, q in _MARTS.items()}, o.MART_COLUMNS)
+_BAD_PRICES = ("(SELECT * REPLACE (CASE WHEN order_item_id % 3 = 0 THEN 'n/a' ELSE CAST(price AS VARCHAR) END "
+               f"AS price) FROM ({o.ROLE_SQL['order_items']}) r)")
 
 SQL.update({
     "csv_scan": f"SELECT {_ITEM_TEXT} FROM ({o.ROLE_SQL['order_items']}) r",
     "bronze_ingest_report": (
-        "SELECT table_name, row_count FROM (" + _counts(_ROLE_RELS) + ") c\nUNION ALL\n"
-        "SELECT 'TOTAL' AS table_name, CAST(SUM(row_count) AS BIGINT) FROM ("
-        + _counts(_ROLE_RELS) + ") t"),
+        f"SELECT table_name, row_count, CAST(0 AS BIGINT) AS malformed_rows, checksum FROM ({_BRONZE_HELD}) c\n"
+        "UNION ALL\nSELECT 'TOTAL' AS table_name, CAST(SUM(row_count) AS BIGINT), CAST(0 AS BIGINT), NULL "
+        f"FROM ({_counts(_ROLE_RELS)}) t"),
     "bronze_partition_overwrite": (
         _with_lineage(_ORDERS, "orders", _D1, "WHERE order_status = 'delivered'")
         + "\nUNION ALL\n" + _with_lineage(_ORDERS, "orders", _D2)),
@@ -250,16 +267,10 @@ SQL.update({
         "WHERE s2.order_id IS NOT DISTINCT FROM s1.order_id)\nUNION ALL\nSELECT * FROM s2"),
     "silver_row_counts": o.with_ctes(
         o.layer_ctes(*o.SILVER_TABLES), _counts({t: f"s_{t}" for t in o.SILVER_TABLES})),
-    "silver_pipeline": o.with_ctes(
-        o.layer_ctes(*o.SILVER_TABLES),
-        "SELECT 'silver' AS layer, table_name, row_count, 'created' AS action FROM ("
-        + _counts({t: f"s_{t}" for t in o.SILVER_TABLES}) + ") c"),
-    "gold_pipeline": "SELECT 'gold' AS layer, table_name, row_count, 'overwritten' AS action "
-    "FROM (" + _counts({
-        "gold_sales_summary": f"({SQL['sales_summary']})",
-        "gold_product_performance": f"({SQL['product_performance']})",
-        "gold_customer_segments": f"({SQL['rfm_segments']})",
-        "gold_seller_performance": f"({SQL['seller_performance']})"}) + ") c",
+    "silver_pipeline": "SELECT 'silver' AS layer, table_name, row_count, 'created' AS action, checksum "
+    f"FROM ({_SILVER_HELD}) c",
+    "gold_pipeline": "SELECT 'gold' AS layer, table_name, row_count, 'overwritten' AS action, checksum "
+    f"FROM ({_GOLD_HELD}) c",
 })
 SQL["upsert_after_failed_write"] = SQL["upsert_merge"]
 # Whatever way they came in, the refined rows are the same in the end.
@@ -269,20 +280,32 @@ SQL["rfm_by_person"] = o.rfm_by_person_sql()
 
 
 def _layered_report() -> str:
-    """Counts of every table of a first run, with each layer's gate."""
-    def layer(name: str, action: str, counts: str, gate: str) -> str:
+    """Every table of a first run, with each layer's gate."""
+    def layer(name: str, action: str, held: str, gate: str) -> str:
         return (f"SELECT '{name}' AS layer, c.table_name, c.row_count, '{action}' AS action, "
-                f"g.n AS layer_checks, g.bad AS layer_failed_checks FROM ({counts}) c, "
+                f"g.n AS layer_checks, g.bad AS layer_failed_checks, c.checksum FROM ({held}) c, "
                 f"(SELECT COUNT(*) AS n, CAST(COUNT(*) FILTER (WHERE NOT success) AS BIGINT) AS bad FROM ({gate}) r) g")
-    marts = {"gold_sales_summary": "sales_summary", "gold_product_performance": "product_performance",
-             "gold_customer_segments": "rfm_segments", "gold_seller_performance": "seller_performance"}
-    refined = o.with_ctes(o.layer_ctes(*o.SILVER_TABLES), _counts({t: f"s_{t}" for t in o.SILVER_TABLES}))
     return "\nUNION ALL\n".join((
-        layer("bronze", "partition_replaced", _counts(_ROLE_RELS), SQL["dq_suite_bronze"]),
-        layer("silver", "created", refined, SQL["dq_suite_silver"]),
-        layer("gold", "overwritten", _counts({t: f"({SQL[q]})" for t, q in marts.items()}), SQL["dq_suite_gold"])))
+        layer("bronze", "partition_replaced", _BRONZE_HELD, SQL["dq_suite_bronze"]),
+        layer("silver", "created", _SILVER_HELD, SQL["dq_suite_silver"]),
+        layer("gold", "overwritten", _GOLD_HELD, SQL["dq_suite_gold"])))
+
+
+def _two_days() -> str:
+    """What all tables hold after two runs, the first with older orders."""
+    def landed(table: str) -> str:
+        first = (f"SELECT {_DAY1_COLS}, {o.lineage(table, *_D1)} FROM {_ORDERS} r "
+                 "WHERE order_purchase_timestamp < TIMESTAMP '1998-01-01'"
+                 if table == "orders" else _with_lineage(_ROLE_RELS[table], table, _D1))
+        return f"({first} UNION ALL {_with_lineage(_ROLE_RELS[table], table, _D2)})"
+    bronze = _counts({t: landed(t) for t in _ROLE_RELS}, _BRONZE_COLS)
+    return "\nUNION ALL\n".join(
+        f"SELECT '{layer}.' || table_name AS table_name, row_count, checksum FROM ({held}) c"
+        for layer, held in (("bronze", bronze), ("silver", _SILVER_HELD), ("gold", _GOLD_HELD)))
 
 
+SQL["pipeline_two_days"] = _two_days()
+SQL["dq_bronze_text"] = _dq_text_sql()
 SQL["pipeline_end_to_end"] = _layered_report()
 # A merge scoped to partition folders must give the same table.
 SQL["upsert_merge_partitioned"] = SQL["upsert_merge"]

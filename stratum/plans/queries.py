@@ -42,15 +42,19 @@ from stratum.operators.refine import (
 )
 from stratum.plans import suites
 from stratum.plans.concurrent import run_all
-from stratum.plans.layers import bronze_views, build_marts, silver_views
+from stratum.plans.layers import MART_BUILDERS, bronze_views, build_marts, silver_views
 from stratum.plans.pipeline import (
     REPORT_SCHEMA,
     Layout,
     Source,
+    bronze_tables,
+    contents,
+    gold_tables,
     ingest_bronze,
     run_gold,
     run_pipeline,
     run_silver,
+    silver_tables,
 )
 from stratum.plans.roles import (
     ROLE_BUILDERS,
@@ -451,10 +455,10 @@ def _role_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return frames
 
 
-def export_landing(spark: SparkSession, sf_dir: str, base: str):
-    """Write the role tables as CSV landing files (Spark job per table) and
-    return the source registry pointing at them."""
-    frames = _role_frames(spark, sf_dir)
+def export_landing(spark: SparkSession, sf_dir: str, base: str, changed: dict[str, DataFrame] | None = None):
+    """Write the role tables (or those ``changed`` in their place) as CSV landing
+    files, a Spark job per table, and return the source registry pointing at them."""
+    frames = _role_frames(spark, sf_dir) | (changed or {})
 
     def export(name: str, df: DataFrame):
         return lambda: write_csv(df, f"{base}/landing/{name}")
@@ -477,12 +481,37 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("bronze_ingest_report")
 def bronze_ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land all nine sources (CSV -> lineage -> date partition) with row
-    counts observed during the writes, plus a grand total."""
+    counts and malformed lines observed during the writes, a checksum of what
+    then lies in bronze, and a grand total."""
     base = new_path(spark, "ingest")
     rows = ingest_bronze(spark, export_landing(spark, sf_dir, base), Layout(base), DAY1_TS)
-    report = [(name, n) for _, name, n, _ in rows]
-    report.append(("TOTAL", sum(n for _, n in report)))
-    return spark.createDataFrame(report, "table_name string, row_count bigint")
+    held = _held(contents(bronze_tables(spark, Layout(base), [r[1] for r in rows])))
+    report = [(name, n, bad, held[name][1]) for _, name, n, _, bad in rows]
+    report.append(("TOTAL", sum(r[1] for r in report), sum(r[2] for r in report), None))
+    return spark.createDataFrame(report, "table_name string, row_count bigint, malformed_rows bigint, checksum string")
+
+
+def _held(found: DataFrame) -> dict[str, tuple[int, str]]:
+    """Row count and checksum by table (one row each)."""
+    return {r["table_name"]: (r["row_count"], r["checksum"]) for r in found.collect()}
+
+
+def _with_checksums(spark: SparkSession, report: list[tuple], tables: dict[str, DataFrame]) -> DataFrame:
+    """Report rows of written tables, each with the checksum of what it now holds."""
+    held = _held(contents(tables))
+    return spark.createDataFrame([(*row, held[row[1]][1]) for row in report], f"{REPORT_SCHEMA}, checksum string")
+
+
+@query("dq_bronze_text")
+def dq_bronze_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bronze item checks over an all-text landing in which the prices of every
+    third line are no numbers."""
+    items = _role_frames(spark, sf_dir)["order_items"]
+    bad = F.when(F.col("order_item_id") % 3 == 0, "n/a").otherwise(F.col("price").cast("string"))
+    path = new_path(spark, "landing-items")
+    write_csv(items.withColumn("price", bad), path)
+    landed = read_csv(spark, path, string_schema(items.columns))
+    return evaluate_suites({"order_items": landed}, {"order_items": suites.bronze_suite()["order_items"]})
 
 
 def _land_two_days(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
@@ -669,7 +698,8 @@ def _landed_bronze(spark: SparkSession, sf_dir: str, base: str):
 def silver_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze landed -> eight refined tables upserted; report per table."""
     layout = _landed_bronze(spark, sf_dir, new_path(spark, "lake"))
-    return spark.createDataFrame(run_silver(spark, layout, DAY1), REPORT_SCHEMA)
+    report = run_silver(spark, layout, DAY1)
+    return _with_checksums(spark, report, silver_tables(spark, layout))
 
 
 @query("gold_pipeline")
@@ -681,7 +711,8 @@ def gold_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
         return lambda: overwrite(df, layout.silver(name))
 
     run_all(spark, {name: publish(name, df) for name, df in _silver(spark, sf_dir).items()})
-    return spark.createDataFrame(run_gold(spark, layout), REPORT_SCHEMA)
+    report = run_gold(spark, layout)
+    return _with_checksums(spark, report, gold_tables(spark, layout, [r[1] for r in report]))
 
 
 @query("pipeline_end_to_end")
@@ -694,8 +725,30 @@ def pipeline_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = run_pipeline(spark, export_landing(spark, sf_dir, base), base, DAY1_TS,
                           on_failure="continue")
     gates = {layer: (checks, failed) for layer, checks, failed in report.gates}
-    rows = [(layer, name, n, action, *gates.get(layer, (0, 0)))
+    held = _held(contents(_stored(spark, Layout(base))))
+    rows = [(layer, name, n, action, *gates.get(layer, (0, 0)), held[f"{layer}.{name}"][1])
             for layer, name, n, action in report.tables]
     return spark.createDataFrame(
         rows, "layer string, table_name string, row_count bigint, action string, "
-              "layer_checks bigint, layer_failed_checks bigint")
+              "layer_checks bigint, layer_failed_checks bigint, checksum string")
+
+
+def _stored(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
+    """All tables of a finished run, by layer and name."""
+    layers = {"bronze": bronze_tables(spark, layout, list(SOURCE_FILES)), "silver": silver_tables(spark, layout),
+              "gold": gold_tables(spark, layout, list(MART_BUILDERS))}
+    return {f"{layer}.{name}": df for layer, tables in layers.items() for name, df in tables.items()}
+
+
+@query("pipeline_two_days")
+def pipeline_two_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two daily runs without gates: the first day has the orders before 1998, as
+    processing and undelivered, the second all orders as they are now. What every
+    table then holds: bronze both days, the layers above the state of the second."""
+    base = new_path(spark, "lake")
+    older = upsert_days(_role_frames(spark, sf_dir)["orders"])[0]
+    no_gates = {"bronze": {}, "silver": {}, "gold": {}}
+    for ts, changed in ((DAY1_TS, {"orders": drop_lineage(older)}), (DAY2_TS, {})):
+        sources = export_landing(spark, sf_dir, f"{base}/{ts[:10]}", changed)
+        run_pipeline(spark, sources, base, ts, suites=no_gates)
+    return contents(_stored(spark, Layout(base)))

@@ -36,9 +36,11 @@ def string_schema(columns: Sequence[str]) -> StructType:
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType,
-             multi_line: bool = False) -> DataFrame:
+             multi_line: bool = False, malformed: str | None = None) -> DataFrame:
     """CSV with header under an explicit schema, whose columns are found by their
-    names in the header, in any order there.
+    names in the header, in any order there. ``malformed`` names a further column
+    that holds the text of lines with too many or too few fields, or with a value
+    that its type can't hold (null for all others).
 
     ``multi_line`` is needed only for sources whose quoted fields contain line
     breaks; such files cannot be split, so it is off by default to keep one
@@ -51,7 +53,11 @@ def read_csv(spark: SparkSession, path: str, schema: StructType,
     # every column of the header, in its order; then those asked for
     types = {f.name: f for f in schema.fields}
     full = StructType([types.get(c, StructField(c, StringType())) for c in header])
-    return reader.schema(full).csv(path).select(*schema.names)
+    if malformed:
+        # a line's fields can be counted only if none is pruned
+        reader = reader.option("columnPruning", "false").option("columnNameOfCorruptRecord", malformed)
+        full = full.add(malformed, StringType())
+    return reader.schema(full).csv(path).select(*schema.names, *([malformed] if malformed else []))
 
 
 def write_csv(df: DataFrame, path: str) -> None:

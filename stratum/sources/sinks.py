@@ -30,9 +30,16 @@ from stratum.sources.files import (
 
 def observed_write(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
     """Run ``write`` on ``df`` and return the number of rows it wrote."""
+    rows, df = observed(df, F.count(F.lit(1)))
+    write(df)
+    return rows()
+
+
+def observed(df: DataFrame, measure: Column) -> tuple[Callable[[], int], DataFrame]:
+    """``df`` with an aggregate that is taken when it is first written, and the
+    function that gives its value from then on."""
     obs = Observation()
-    write(df.observe(obs, F.count(F.lit(1)).alias("rows")))
-    return int(obs.get["rows"])
+    return (lambda: int(obs.get["measure"])), df.observe(obs, measure.alias("measure"))
 
 
 def _clustered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:

@@ -1,11 +1,15 @@
 """Scans and sinks: CSV landing, partition replacement, upsert."""
 
+import hashlib
 import os
 import tempfile
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from stratum.functions import checksum
+from stratum.plans.pipeline import Layout, Source, ingest_bronze
 from stratum.session import new_path
 from stratum.sources.files import read_bronze, read_csv, read_table, string_schema
 from stratum.sources.sinks import merge_frames, upsert, write_partitioned
@@ -194,3 +198,34 @@ def test_session_defaults_do_not_override(spark):
 
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     assert "spark.sql.sources.partitionOverwriteMode" not in DEFAULT_CONF
+
+
+def test_malformed_lines_are_landed_and_counted(spark, tmp_path):
+    path = str(tmp_path / "lines.csv")
+    with open(path, "w") as f:
+        f.write("a,n,b\nx,1,y\nshort\nlong,2,z,more\nbad,one,z\n\"quoted,\"\"1\"\"\",3,\n")
+    schema = StructType([StructField("b", StringType()), StructField("n", IntegerType())])
+    got = read_csv(spark, path, schema, malformed="bad").collect()
+    assert sorted(r["bad"] for r in got if r["bad"]) == ["bad,one,z", "long,2,z,more", "short"]
+    assert sorted((r["b"] or "", r["n"] or 0) for r in got if not r["bad"]) == [("", 3), ("y", 1)]
+    text = string_schema(["a", "n", "b"])
+    landed = ingest_bronze(spark, {"lines": Source(path, text, "lines.csv")}, Layout(str(tmp_path / "lake")),
+                           "2026-01-01T06:00:00")
+    assert landed == [("bronze", "lines", 5, "partition_replaced", 2)]
+    held = read_bronze(spark, str(tmp_path / "lake/bronze/lines"))
+    assert held.columns == ["a", "n", "b", "_ingested_at", "_source_file", "_ingestion_date"]
+    assert held.where("n = 'one'").count() == 1  # the raw text stays
+
+
+def test_checksum_is_of_contents_not_of_order(spark):
+    df = spark.createDataFrame([(1, "x", 0.1, None), (2, None, 2.5, True), (2, None, 2.5, True)],
+                               "k int, s string, d double, b boolean")
+    rows = ["~|0.100000|1|x", "true|2.500000|2|~", "true|2.500000|2|~"]
+    texts = ["|".join([b, str(round(float(d) * 1e6)), k, s]) for b, d, k, s in (r.split("|") for r in rows)]
+    want = str(sum(int(hashlib.md5(t.encode()).hexdigest()[:8], 16) for t in texts))
+    assert df.agg(checksum(df)).first()[0] == want
+    moved = df.orderBy("d", ascending=False).select("s", "b", "d", "k").repartition(3)
+    assert moved.agg(checksum(moved)).first()[0] == want
+    none, other = df.where("k = 5"), df.where("k = 2").distinct()
+    assert none.agg(checksum(none)).first()[0] == "0"
+    assert other.agg(checksum(other)).first()[0] != want
