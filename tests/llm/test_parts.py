@@ -175,11 +175,12 @@ def test_language_model_probabilities_sum_to_one():
     counts = np.sort(rng.integers(1, 4000, 300))[::-1]
     v = lm.Vocabulary(np.array([lm.word_hash(w) for w in words]), counts, int(counts.sum()), 300)
     texts = [rng.integers(0, 300, 40) for _ in range(50)]
-    m = lm.empty_model(v, lm.find_classes(v, texts))
+    m = lm.empty_model(v, lm.find_classes(v, texts), lm.word_kinds(v, texts, lm.FINER_KINDS, 5))
     m.weights[:] = rng.normal(0, 0.5, m.weights.shape)
     # every word, and the class of the rest, after the same two words
     flat = np.concatenate([[3, 5, w] for w in range(301)]).astype(np.int32)
     both = m.text_scores(flat, np.full(301, 3))
     before = m.text_scores(np.tile([3, 5], 301).astype(np.int32), np.full(301, 2))
     assert (10 ** (both - before)).sum() == pytest.approx(1.0, abs=1e-5)
-    assert (m.slot >= 0).any() and (m.slot[:300] < 0).any()
+    # words alone in their place of a class, and words that share one
+    assert ((m.slot[:300] >= 0) & (m.within[:300] == 0)).any() and ((m.slot[:300] >= 0) & (m.within[:300] < 0)).any()
