@@ -202,7 +202,9 @@ def train(texts: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Scorer:
             found = [(votes(m), *features(m, s)) for m, s in map(measure, ts)]
             return [[f[0] for f in found], [f[1].tolist() for f in found], [f[2].tolist() for f in found]]
         return run
-    rows = map_texts(about(texts, sample_rows, "doc_id"), extract, [
+    # by id and text, equal rows once: an id that many rows share doesn't outgrow the bound
+    sample = about(texts, sample_rows, "doc_id", "text").distinct()
+    rows = map_texts(sample, extract, [
         StructField("votes", StringType()), StructField("place", ArrayType(IntegerType())),
         StructField("value", ArrayType(DoubleType()))]).orderBy("doc_id", "votes").collect()
     if not rows:

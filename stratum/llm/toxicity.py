@@ -122,11 +122,11 @@ def held_out(id_col: Column, parts: int, part: int) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit(""))) % parts == part
 
 
-def about(df: DataFrame, rows: int, key: str) -> DataFrame:
-    """About ``rows`` rows, chosen by a hash of ``key``; all if there are fewer."""
+def about(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """About ``rows`` rows, chosen by a hash of ``keys``; all if there are fewer."""
     n = df.count()
     share = min(1.0, rows / max(n, 1))
-    return df.where(F.pmod(F.xxhash64(key, F.lit(11)), F.lit(1 << 20)) < int(share * (1 << 20))) if share < 1 else df
+    return df.where(F.pmod(F.xxhash64(*keys, F.lit(11)), F.lit(1 << 20)) < int(share * (1 << 20))) if share < 1 else df
 
 
 def told(n: Column, ones: Column, rows: int, positive: int) -> Column:
@@ -141,8 +141,10 @@ def told(n: Column, ones: Column, rows: int, positive: int) -> Column:
 def train(texts: DataFrame, sample_rows: int = SAMPLE_ROWS, max_terms: int = MAX_TERMS) -> Machine:
     """A machine for ``texts(doc_id, text, label)``. Terms are counted by Spark
     over the bounded sample; term places of its rows come to the driver, which
-    takes the gradient steps."""
-    sample = about(texts.where("label IN (0, 1)"), sample_rows, "doc_id")
+    takes the gradient steps. Rows are chosen by id and text and equal ones count
+    once, so an id or a text that many rows share doesn't outgrow the bound."""
+    labelled_rows = texts.select("doc_id", "text", "label").where("label IN (0, 1)")
+    sample = about(labelled_rows, sample_rows, "doc_id", "text").distinct()
     keyed = sample.select(F.struct("doc_id", F.col("label").cast("int").alias("label")).alias("doc_id"), "text")
     hashes = map_texts(keyed, lambda: (lambda ts, t=Terms(): [[list(t.of(x)) for x in ts]]),
                        [StructField("terms", ArrayType(LongType()))])
@@ -177,7 +179,7 @@ def score_texts(df: DataFrame, machine: Machine, id_col: str = "doc_id", text_co
 
 def labelled(docs: DataFrame, labels: DataFrame, column: str) -> DataFrame:
     """``doc_id, text, label`` of training rows: labels that aren't null and whose
-    id isn't held out. Documents with several labels count once for each."""
+    id isn't held out. Documents with several labels have a row for each."""
     marks = (labels.select(F.col("doc_id").alias("label_id"), F.col(column).alias("label"))
              .where("label IS NOT NULL AND label_id IS NOT NULL").where(~held_out(F.col("label_id"), 5, 0)))
     return docs.select("doc_id", "text").join(marks, F.col("doc_id") == F.col("label_id")).drop("label_id")

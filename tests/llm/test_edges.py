@@ -109,3 +109,13 @@ def test_pipeline_runs(spark):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     got = corpus_pipeline.run(spark, sf)
     assert 0 < got.select("doc_id").distinct().count() < docs.count()
+
+
+def test_sample_stays_bounded_with_hot_ids(spark):
+    """A third of the rows have one id, another third none, and a text stands 1,000 times."""
+    rows = spark.range(6000).selectExpr(
+        "CASE id % 3 WHEN 0 THEN 7 WHEN 1 THEN NULL ELSE id END AS doc_id",
+        "CASE WHEN id % 6 = 0 THEN 'same' ELSE concat('text ', id) END AS text")
+    chosen = toxicity.about(rows, 600, "doc_id", "text").distinct()
+    assert 350 < chosen.count() < 700
+    assert 100 < chosen.where("doc_id = 7").count() < 200 and 100 < chosen.where("doc_id IS NULL").count() < 300
