@@ -184,3 +184,12 @@ def test_language_model_probabilities_sum_to_one():
     assert (10 ** (both - before)).sum() == pytest.approx(1.0, abs=1e-5)
     # words alone in their place of a class, and words that share one
     assert ((m.slot[:300] >= 0) & (m.within[:300] == 0)).any() and ((m.slot[:300] >= 0) & (m.within[:300] < 0)).any()
+
+
+def test_language_model_sees_three_words_back():
+    from stratum.llm import language_model as lm
+
+    classes = np.arange(20, dtype=np.int32) % lm.CLASSES
+    one, other = (lm.contexts(np.array([a, 2, 3, 4], np.int32), np.array([4]), classes)[0] for a in (1, 5))
+    assert (one[:, 3] != other[:, 3]).sum() == 1  # the third back alone
+    assert lm.CLASSES == 58
