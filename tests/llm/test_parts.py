@@ -193,3 +193,22 @@ def test_language_model_sees_three_words_back():
     one, other = (lm.contexts(np.array([a, 2, 3, 4], np.int32), np.array([4]), classes)[0] for a in (1, 5))
     assert (one[:, 3] != other[:, 3]).sum() == 1  # the third back alone
     assert lm.CLASSES == 58
+
+
+def test_language_model_kinds_cover_all_texts(spark, monkeypatch):
+    """Every word of a text of one kind gets that kind, however few texts place the kinds."""
+    from stratum.llm import language_model as lm
+
+    monkeypatch.setattr(lm, "CLASS_TEXTS", 40)
+    monkeypatch.setattr(lm, "KINDS", 2)
+    made = []
+    monkeypatch.setattr(lm, "classes_of", lambda v, kind, f=lm.classes_of: made.append(kind) or f(v, kind))
+    monkeypatch.setattr(lm, "train_round", lambda model, texts: None)
+    n = 1000  # words 0-5 and 6-11 mark two kinds of text; each text has a word of its own
+    texts = [[*range(i % 2 * 6, i % 2 * 6 + 6)] * 3 + [12 + i] for i in range(n)]
+    counts = np.array([n // 2 * 3] * 12 + [1] * n)
+    v = lm.Vocabulary(np.arange(12 + n), counts, int(counts.sum()), 12 + n)
+    monkeypatch.setattr(lm, "ANCHORS", 12)
+    lm.train(spark.createDataFrame(list(enumerate(texts)), "row long, numbers array<int>"), v)
+    own = made[0][12:]
+    assert set(own) == {0, 1} and len(set(own[::2])) == len(set(own[1::2])) == 1
