@@ -1,6 +1,8 @@
 """Parts of the operators against plain versions, with random input."""
 
 import datetime as dt
+import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -212,3 +214,44 @@ def test_language_model_kinds_cover_all_texts(spark, monkeypatch):
     lm.train(spark.createDataFrame(list(enumerate(texts)), "row long, numbers array<int>"), v)
     own = made[0][12:]
     assert set(own) == {0, 1} and len(set(own[::2])) == len(set(own[1::2])) == 1
+
+
+def test_language_model_counts_all_contexts(spark, monkeypatch):
+    """Words beyond the numbered ones are told apart by what stands before them."""
+    from stratum.llm import language_model as lm
+
+    monkeypatch.setattr(lm, "MAX_WORDS", 3)
+    rows = [(i, f"l{i % 40} r{i % 40}") for i in range(1400)] + [(None, "l3 r3")]
+    out = [i for i in range(2000, 2100) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
+    docs = spark.createDataFrame([*rows, (out[0], "l3 r3"), (out[1], "l3 r7")], "doc_id long, text string")
+    got = {r.doc_id: r for r in lm.language_model_scores(docs).collect()}
+    assert got[out[0]].held_out and got[out[1]].held_out
+    assert got[out[0]].score > got[out[1]].score + 0.5
+    # a training text: without itself in the counts, so near to a held-out one
+    assert got[None].score == pytest.approx(got[out[0]].score, abs=0.1)
+
+
+def test_language_model_counts_by_hand(spark, monkeypatch):
+    from stratum.llm import language_model as lm
+
+    monkeypatch.setattr(lm, "CHUNK", 5)
+    asked = []
+    monkeypatch.setattr(lm, "context_counts", lambda t, v, f=lm.context_counts: asked.append(f(t, v)) or asked[0])
+    texts = ["a b a b", "a b c", "c a b", "", "a"]
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 7 != 2][:5]
+    lm.language_model_scores(spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")).collect()
+    words = [[np.uint64(lm.word_hash(w) % (1 << 64)) for w in lm.split_words(t)] for t in texts]
+    after = Counter(int(k) for w in words for k in lm.keys_of(np.array(w), np.zeros(0, int), np.array([len(w)])).counted(np.array([0])))
+    got = {(r.chunk, r.key % (1 << 64)): r.n for r in asked[0].collect()}
+    assert {k: n for (_, k), n in got.items()} == {k: n for k, n in after.items() if n > 1}
+    pair = int(lm._key(np.array([words[0][0]]), np.array([words[0][1]]), 1)[0])
+    assert after[pair] == 4  # a b
+
+
+def test_language_model_interpolation_sums_to_one():
+    from stratum.llm import language_model as lm
+
+    rng = np.random.default_rng(1)
+    n = [rng.integers(0, 9, 50) for _ in range(3)]
+    p = lm.interpolated(rng.dirichlet(np.ones(50)), [(x, np.full(50, x.sum())) for x in n])
+    assert p.sum() == pytest.approx(1.0)
