@@ -236,14 +236,16 @@ def test_language_model_counts_by_hand(spark, monkeypatch):
 
     monkeypatch.setattr(lm, "CHUNK", 5)
     asked = []
-    monkeypatch.setattr(lm, "context_counts", lambda t, v, f=lm.context_counts: asked.append(f(t, v)) or asked[0])
+    monkeypatch.setattr(lm, "context_counts", lambda t, v, b, f=lm.context_counts: asked.append((f(t, v, b), b)) or asked[0][0])
     texts = ["a b a b", "a b c", "c a b", "", "a"]
     ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 7 != 2][:5]
     lm.language_model_scores(spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")).collect()
     words = [[np.uint64(lm.word_hash(w) % (1 << 64)) for w in lm.split_words(t)] for t in texts]
-    after = Counter(int(k) for w in words for k in lm.keys_of(np.array(w), np.zeros(0, int), np.array([len(w)])).counted(np.array([0])))
-    got = {(r.chunk, r.key % (1 << 64)): r.n for r in asked[0].collect()}
-    assert {k: n for (_, k), n in got.items()} == {k: n for k, n in after.items() if n > 1}
+    after = Counter(int(k) for w in words for k in lm.keys_of(np.array(w), np.zeros(0, int), np.array([len(w)])).counted(np.array([0])) for k in k)
+    rows, bits = asked[0][0].collect(), asked[0][1]
+    got = {k: n for r in rows for k, n in zip(*(x.tolist() for x in lm._unpacked(r.bucket, r["keys"], r.n)))}
+    seen = {k >> 16 - bits: n for k, n in after.items()}
+    assert {k: seen[k] for k in got} == got and got.keys() >= {k for k, n in seen.items() if n > 1}
     pair = int(lm._key(np.array([words[0][0]]), np.array([words[0][1]]), 1)[0])
     assert after[pair] == 4  # a b
 
