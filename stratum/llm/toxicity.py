@@ -2,8 +2,9 @@
 
 Terms are a text's distinct lower-case words and their first letters (so that
 other endings of a known stem count too), as 64-bit hashes. Terms in too few
-training texts, or whose share among toxic ones may be chance, are left out;
-the most telling rest, up to a bound, gets a weight and factors each. A score adds the weights of a text's terms
+training texts are left out; the rest, up to a bound the most frequent, gets a
+weight and factors each, whatever a term tells of the label by itself, as a pair
+may tell what neither term does. A score adds the weights of a text's terms
 and, for every pair of them, the product of their factors, which is linear to
 compute: half of the squared sum less the sum of squares. So two terms that
 mean little alone can say much together.
@@ -28,8 +29,6 @@ SAMPLE_ROWS = 16_384
 #: terms that get parameters; with the factors this bounds what is broadcast (10 MB)
 MAX_TERMS = 1 << 18
 MIN_TEXTS = 3
-#: terms that tell less of the label by chance alone in all but one of 1000 cases
-LEAST_TOLD = 10.83
 FACTORS = 8
 STEMS = (4, 5)
 MEMO = 400_000
@@ -129,15 +128,6 @@ def about(df: DataFrame, rows: int, *keys: str) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(*keys, F.lit(11)), F.lit(1 << 20)) < int(share * (1 << 20))) if share < 1 else df
 
 
-def told(n: Column, ones: Column, rows: int, positive: int) -> Column:
-    """How much a term tells of the label: the log-likelihood ratio of its count
-    among positive and other texts against the shares of all texts."""
-    def part(seen: Column, share: float) -> Column:
-        return F.when(seen > 0, seen * F.log(seen / (n * F.lit(max(share, 1e-9))))).otherwise(0.0)
-    share = positive / max(rows, 1)
-    return 2 * (part(ones.cast("double"), share) + part((n - ones).cast("double"), 1 - share))
-
-
 def train(texts: DataFrame, sample_rows: int = SAMPLE_ROWS, max_terms: int = MAX_TERMS) -> Machine:
     """A machine for ``texts(doc_id, text, label)``. Terms are counted by Spark
     over the bounded sample; term places of its rows come to the driver, which
@@ -148,12 +138,9 @@ def train(texts: DataFrame, sample_rows: int = SAMPLE_ROWS, max_terms: int = MAX
     keyed = sample.select(F.struct("doc_id", F.col("label").cast("int").alias("label")).alias("doc_id"), "text")
     hashes = map_texts(keyed, lambda: (lambda ts, t=Terms(): [[list(t.of(x)) for x in ts]]),
                        [StructField("terms", ArrayType(LongType()))])
-    total = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
-    counted = (hashes.select("doc_id.label", F.explode("terms").alias("term")).groupBy("term")
-               .agg(F.count("*").alias("n"), F.sum("label").alias("ones"))
-               .withColumn("told", told(F.col("n"), F.col("ones"), *total))
-               .where((F.col("n") >= MIN_TEXTS) & (F.col("told") >= LEAST_TOLD)))
-    kept = counted.orderBy(F.col("told").desc(), "term").limit(max_terms).select("term").toPandas()
+    counted = (hashes.select(F.explode("terms").alias("term")).groupBy("term")
+               .agg(F.count("*").alias("n")).where(F.col("n") >= MIN_TEXTS))
+    kept = counted.orderBy(F.col("n").desc(), "term").limit(max_terms).select("term").toPandas()
     places = kept["term"].to_numpy(np.int64)
     known = sample.sparkSession.sparkContext.broadcast({h: i for i, h in enumerate(places.tolist())})
 

@@ -257,3 +257,21 @@ def test_language_model_interpolation_sums_to_one():
     n = [rng.integers(0, 9, 50) for _ in range(3)]
     p = lm.interpolated(rng.dirichlet(np.ones(50)), [(x, np.full(50, x.sum())) for x in n])
     assert p.sum() == pytest.approx(1.0)
+
+
+def test_toxicity_learns_pairs_that_tell_nothing_alone(spark):
+    """Two words each as common in clean texts as in toxic ones, but toxic together."""
+    from stratum.llm import toxicity
+
+    def made(n, seed):
+        rng = np.random.default_rng(seed)
+        told = ["alpha omega", "alpha", "omega", "slur"]
+        return [(i, " ".join([*(f"f{w}" for w in rng.integers(0, 300, 30)), told[i % 4]]), int(i % 4 in (0, 3)))
+                for i in range(n)]
+
+    machine = toxicity.train(spark.createDataFrame(made(4000, 1), "doc_id long, text string, label int"))
+    known = set(machine.terms.tolist())
+    assert all(toxicity.term_hashes(w)[0] in known for w in ("alpha", "omega"))
+    rows = made(400, 2)
+    predicted = machine.scorer()([text for _, text, _ in rows])[1]
+    assert np.mean([p == label for p, (*_, label) in zip(predicted, rows)]) > 0.97
