@@ -119,3 +119,31 @@ def test_sample_stays_bounded_with_hot_ids(spark):
     chosen = toxicity.about(rows, 600, "doc_id", "text").distinct()
     assert 350 < chosen.count() < 700
     assert 100 < chosen.where("doc_id = 7").count() < 200 and 100 < chosen.where("doc_id IS NULL").count() < 300
+
+
+def test_pipeline_equals_a_plain_chain(spark):
+    """Decisions of each stage's operator, near copies by brute force, and every piece packed once."""
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    machine = toxicity.train(toxicity.labelled(docs, spark.read.parquet(f"{sf}/labels.parquet"), "toxic"))
+    clean = docs.join(toxicity.score_texts(docs, machine).where("predicted = 0").select("doc_id"), "doc_id", "left_semi")
+    scorer = quality.train(clean.select("doc_id", "text"))
+    good = clean.join(quality.score_texts(clean, scorer).where("keep = 1").select("doc_id"), "doc_id", "left_semi")
+    marks = {r.doc_id: int(r.fingerprint, 16) for r in simhash.simhash_groups(good.select("doc_id", "text")).collect()}
+    assert len(marks) == good.count() > 0  # no id repeats here
+    home = {i: i for i in marks}
+
+    def root(i):
+        while home[i] != i:
+            i = home[i]
+        return i
+
+    ids = sorted(marks)
+    for n, a in enumerate(ids):
+        for b in ids[n + 1:]:
+            if (marks[a] ^ marks[b]).bit_count() <= 4:
+                x, y = sorted((root(a), root(b)))
+                home[y] = x
+    got = corpus_pipeline.run(spark, sf).collect()
+    assert {r.doc_id for r in got} == {i for i in ids if root(i) == i}
+    assert len({(r.doc_id, r.piece) for r in got}) == len(got)
