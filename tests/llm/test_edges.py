@@ -5,8 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stratum.llm import (bpe, fingerprints, language_model, neighbours, packing, quality, simhash, token_counts,
-                         toxicity, url_filters)
+from stratum.llm import (bpe, fill_in_middle, fingerprints, language_id, language_model, neighbours, packing, quality,
+                         runs, simhash, token_counts, toxicity, url_filters)
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 BY_TEXT = {
@@ -17,6 +17,9 @@ BY_TEXT = {
     "token_counts": lambda d, m: token_counts.token_counts(d, public_tokenizers.path("piece_bpe_32k.model")),
     "simhash": lambda d, m: simhash.simhash_groups(d),
     "fingerprints": lambda d, m: fingerprints.edited_neighbours(d, ranges=3),
+    "language_id": lambda d, m: language_id.languages_of(d),
+    "runs": lambda d, m: runs.periodic_runs(d),
+    "fill_in_middle": lambda d, m: fill_in_middle.fill_in_middle(d),
 }
 
 
