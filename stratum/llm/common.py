@@ -86,3 +86,16 @@ def explode_texts(df: DataFrame, setup: Callable[[], Callable[[str], list[tuple]
             yield pa.RecordBatch.from_arrays([ids, *arrays], schema=arrow)
 
     return source.mapInArrow(run, schema)
+
+
+def text_groups(texts: list[str], most: int) -> Iterator[tuple[int, int]]:
+    """Index ranges of texts of at most ``most`` characters together; a longer text
+    stands alone."""
+    at = size = 0
+    for i, t in enumerate(texts):
+        if size and size + len(t) > most:
+            yield at, i
+            at, size = i, 0
+        size += len(t)
+    if len(texts) > at:
+        yield at, len(texts)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from stratum.llm.common import table
+from stratum.llm.common import table, text_groups
 
 WORD, SPACE, LINE, END = range(4)
 #: class of each character up to the blank; all others are WORD
@@ -106,18 +106,6 @@ class Borders:
         return low
 
 
-def batches_of(texts: list[str], most: int = BATCH_CHARS) -> Iterator[tuple[int, int]]:
-    """Index ranges of texts that share a matrix."""
-    at = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > most:
-            yield at, i
-            at, size = i, 0
-        size += len(t)
-    if len(texts) > at:
-        yield at, len(texts)
-
-
 def rearrange(texts: list[str], draws: list[np.ndarray], rate: int, spm_rate: int,
               unit: str = "tokens") -> list[list]:
     """``n, form, prefix_chars, middle_chars, output`` of each text, by lists."""
@@ -166,7 +154,7 @@ def fill_in_middle(df: DataFrame, seed: int = 42, rate: int = 50, spm_rate: int
         for part in parts:
             texts = part.column(1).to_pylist()
             draws = [part.column(2 + k).to_numpy() for k in range(4)]
-            for i, j in batches_of(texts):
+            for i, j in text_groups(texts, BATCH_CHARS):
                 made = rearrange(texts[i:j], [d[i:j] for d in draws], rate, spm_rate, unit)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).slice(i, j - i).cast(arrow.field(0).type),

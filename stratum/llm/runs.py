@@ -23,26 +23,26 @@ and kept if long enough.
 
 from __future__ import annotations
 
-import hashlib
 from collections import defaultdict
-from collections.abc import Iterator
-from fractions import Fraction
+from collections.abc import Callable, Iterator
 from itertools import accumulate, count
 from zlib import crc32
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from stratum.llm.common import map_texts, map_values, table
+from stratum.llm.common import table, text_groups
 
 #: a run has at least so many words, and so many periods
 LEAST, PERIODS = 24, 3
 #: words of the smallest block; LEAST words hold an aligned one and its next copy
 BLOCK = 8
-#: words that share one array of suffixes; a longer text has one of its own
-BATCH_WORDS = 400_000
+#: characters of the texts that share one array of suffixes; a longer text has one of its own
+BATCH_CHARS = 1_500_000
 
 
 def words_of(text: str) -> list[bytes]:
@@ -249,18 +249,6 @@ def runs_of(texts: list[list[bytes]]) -> list[list[tuple[int, int, int]]]:
     return out
 
 
-def groups_of(sizes: list[int], most: int = BATCH_WORDS) -> Iterator[tuple[int, int]]:
-    """Index ranges of texts that share an array."""
-    at = held = 0
-    for i, size in enumerate(sizes):
-        if held and held + size > most:
-            yield at, i
-            at, held = i, 0
-        held += size
-    if len(sizes) > at:
-        yield at, len(sizes)
-
-
 def collapsed(words: list[bytes], runs: list[tuple[int, int, int]]) -> list[bytes]:
     """The words without those that a run holds after its first period."""
     if not runs:
@@ -275,34 +263,59 @@ def collapsed(words: list[bytes], runs: list[tuple[int, int, int]]) -> list[byte
 RUN = StructType([StructField(c, LongType()) for c in ("start", "length", "period")])
 
 
-def periodic_runs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def periodic_runs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  edit: Callable[[str | None, list[bytes]], list[bytes]] | None = None) -> DataFrame:
     """``doc_id, n_words, runs, collapsed``: every run of a whole text as ``(start,
     length, period)`` in words, by start, then period, and the text without the
-    repeats (words joined by one blank).
+    repeats (words joined by one blank). ``edit`` changes a text's words first; it
+    gets the id as text.
 
     Null and empty texts have no words, no runs and an empty collapsed text; texts
     below 24 words have no runs. Repeated rows and null ids stay rows; extra columns
     are not carried. Narrow: no shuffle."""
-    def setup():
-        def find(texts):
-            words = [words_of(t) for t in texts]
-            runs = [x for i, j in groups_of([len(w) for w in words]) for x in runs_of(words[i:j])]
-            kept = [b" ".join(collapsed(w, r)).decode() for w, r in zip(words, runs)]
-            return [[len(w) for w in words], [[dict(zip(RUN.names, x)) for x in r] for r in runs], kept]
-        return find
-    return map_texts(df, setup, [StructField("n_words", LongType()), StructField("runs", ArrayType(RUN)),
-                                 StructField("collapsed", StringType())], id_col, text_col)
-
-
-def strongest(runs: list[tuple[int, int, int]]) -> tuple[int, int, int] | None:
-    """The run with the greatest exact length / period; of equal ones the first,
-    then that of the smallest period."""
-    return min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2])) if len(runs) > 1 else runs[0] if runs else None
-
-
-def planted(doc_id, words: list[bytes]) -> list[bytes]:
-    """The words with a repetition in every tenth document, by a digest of its id (a null id: of no text)."""
-    h = crc32(b"" if doc_id is None else str(doc_id).encode())
+    source = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+                       F.col(id_col).cast("string").alias("key"))
+    schema = StructType([source.schema["doc_id"], StructField("n_words", LongType()),
+                         StructField("runs", ArrayType(RUN)), StructField("collapsed", StringType())])
+    arrow = to_arrow_schema(schema)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            texts, keys = part.column(1).to_pylist(), part.column(2).to_pylist()
+            for i, j in text_groups(texts, BATCH_CHARS):
+                words = [words_of(t) for t in texts[i:j]]
+                if edit:
+                    words = list(map(edit, keys[i:j], words))
+                runs = runs_of(words)
+                columns = ([len(w) for w in words], [[dict(zip(RUN.names, x)) for x in r] for r in runs],
+                           [b" ".join(collapsed(w, r)).decode() for w, r in zip(words, runs)])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).slice(i, j - i).cast(arrow.field(0).type),
+                     *[pa.array(c, f.type) for c, f in zip(columns, list(arrow)[1:])]], schema=arrow)
+
+    return source.mapInArrow(run, schema)
+
+
+def strongest(runs: Column) -> Column:
+    """Of runs by start, then period, the first with the greatest exact length /
+    period; null for none."""
+    return F.aggregate(runs, F.get(runs, F.lit(0)), lambda best, r: F.when(
+        r["length"] * best["period"] > best["length"] * r["period"], r).otherwise(best))
+
+
+def digests(found: DataFrame) -> DataFrame:
+    """Count, strongest run and digests of the rows of :func:`periodic_runs`."""
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("top", strongest(F.col("runs"))).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "top.start", "top.length", "top.period",
+        F.expr("1000 * top.length DIV top.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def planted(doc_id: str | None, words: list[bytes]) -> list[bytes]:
+    """The words with a repetition in every tenth document, by a digest of its id
+    (a null id: of no text)."""
+    h = crc32((doc_id or "").encode())
     n = len(words)
     if h % 10 or not n:
         return words
@@ -314,32 +327,4 @@ def planted(doc_id, words: list[bytes]) -> list[bytes]:
 
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs in the documents, of which every tenth gets a repetition first."""
-    docs = table(spark, sf_dir, "documents")
-    both = docs.select("doc_id", F.struct(F.col("doc_id").cast("string").alias("id"),
-                                          F.coalesce("text", F.lit("")).alias("text")).alias("row"))
-    edited = map_values(both, lambda: lambda rows: [[b" ".join(planted(r["id"], words_of(r["text"]))).decode()
-                                                     for r in rows]], [StructField("text", StringType())])
-    return digests(periodic_runs(edited))
-
-
-def digests(found: DataFrame) -> DataFrame:
-    """Count, strongest run and digests of the rows of :func:`periodic_runs`."""
-    names = ("start", "length", "period", "exponent_milli")
-
-    def setup():
-        def digest(lists):
-            out = [[] for _ in range(6)]
-            for dicts in lists:
-                runs = [(d["start"], d["length"], d["period"]) for d in dicts]
-                top = strongest(runs)
-                for column, value in zip(out, (*top, 1000 * top[1] // top[2]) if top else (None,) * 4):
-                    column.append(value)
-                out[4].append(len(runs))
-                out[5].append(hashlib.sha256("".join(f"{s},{n},{q}\n" for s, n, q in runs).encode()).hexdigest())
-            return out
-        return digest
-
-    source = found.select(F.struct("doc_id", F.sha2("collapsed", 256).alias("collapsed_sha256")).alias("doc_id"), "runs")
-    made = map_values(source, setup, [*[StructField(c, LongType()) for c in (*names, "n_runs")],
-                                      StructField("runs_sha256", StringType())])
-    return made.select("doc_id.doc_id", "n_runs", *names, "runs_sha256", "doc_id.collapsed_sha256")
+    return digests(periodic_runs(table(spark, sf_dir, "documents"), edit=planted))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from stratum.llm import fill_in_middle as fim
 from stratum.llm import language_id, runs
+from stratum.llm.common import text_groups
 
 from .conftest import SF
 
@@ -286,7 +287,7 @@ def test_middles_restore_any_text(spark, odd, empty):
     assert {r.form for r in got.where("doc_id IN (1, 2)").collect()} == {"plain"}
 
 
-def test_a_long_text_has_a_matrix_of_its_own(monkeypatch):
+def test_a_long_text_stands_alone():
     texts = ["a b", "c " * 50, "", "d", "e f g"]
-    assert list(fim.batches_of(texts, 10)) == [(0, 1), (1, 2), (2, 5)]
-    assert list(runs.groups_of([3, 100, 0, 1, 3], 10)) == [(0, 1), (1, 2), (2, 5)]
+    assert list(text_groups(texts, 10)) == [(0, 1), (1, 2), (2, 5)]
+    assert list(text_groups([], 10)) == [] and list(text_groups([""], 10)) == [(0, 1)]
