@@ -33,6 +33,8 @@ LONGEST, LEAST_WORDS = 5, 2
 #: added to each count
 PRIOR = 0.5
 UNKNOWN = "und"
+#: languages whose shares are broadcast
+MAX_LANGUAGES = 100_000
 #: unseen words whose scores a task remembers
 MAX_WORDS = 200_000
 _WORDS = re.compile(r"[^\W\d_]+")
@@ -139,6 +141,8 @@ def sampled(rows: DataFrame, chars: int = SAMPLE_CHARS) -> DataFrame:
     even = chars / len(sizes)
     share = rows.sparkSession.createDataFrame([(r.lang, min(1.0, even / max(1, r.chars))) for r in sizes],
                                               "lang string, share double")
+    if len(sizes) <= MAX_LANGUAGES:  # a few MB; more are joined by a shuffle
+        share = F.broadcast(share)
     place = F.xxhash64("text").cast("double") / F.lit(2.0 ** 64) + 0.5
     return rows.join(share, "lang").where(place < F.col("share")).select("lang", "text").dropDuplicates()
 
