@@ -55,6 +55,12 @@ class RefineSpec:
     # Storage layout of the refined table: partition folders that never change
     # for a key, so a daily upsert reads and rewrites only the touched ones.
     partition_by: tuple[str, ...] = ()
+    # Columns kept beside the published ones: what a later merge compares or looks up.
+    hidden: tuple[tuple[str, str], ...] = (("__landed", "_ingestion_date"),)
+
+
+#: hidden column with the landing date of a refined row
+LANDED = "__landed"
 
 
 def type_columns(df: DataFrame, spec: RefineSpec) -> DataFrame:
@@ -82,10 +88,13 @@ def drop_lineage(df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     return df.drop(*LINEAGE, *extra)
 
 
-def refine(df: DataFrame, spec: RefineSpec) -> DataFrame:
+def refine(df: DataFrame, spec: RefineSpec, hidden: bool = False) -> DataFrame:
+    """``hidden`` adds the columns that a table keeps beside the published ones."""
     typed = type_columns(df, spec)
     deduped = dedup_latest(typed, spec.keys, NEWEST_FIRST)
     derived = spec.derive(deduped) if spec.derive else deduped
+    if hidden:
+        derived = derived.withColumns({name: F.col(of) for name, of in spec.hidden})
     out = drop_lineage(derived, spec.drop)
     if spec.required:
         out = out.dropna(subset=list(spec.required))
@@ -150,7 +159,8 @@ SPECS: dict[str, RefineSpec] = {
                  "product_width_cm"),
         derive=derive_products,
         drop=("product_category_name", "product_category_name_english"),
-        required=("product_id",)),
+        required=("product_id",),
+        hidden=((LANDED, "_ingestion_date"), ("__category", "product_category_name"))),
     "sellers": RefineSpec("sellers", ("seller_id",), required=("seller_id",)),
     "order_reviews": RefineSpec(
         "order_reviews", ("review_id",), ints=("review_score",),
@@ -167,43 +177,58 @@ MERGE_KEYS = {name: spec.keys for name, spec in SPECS.items()}
 PARTITION_COLUMNS = {name: spec.partition_by for name, spec in SPECS.items()}
 
 
-def refine_orders(df: DataFrame) -> DataFrame:
-    return refine(df, SPECS["orders"])
+def refine_orders(df: DataFrame, hidden: bool = False) -> DataFrame:
+    return refine(df, SPECS["orders"], hidden)
+
 
+def refine_order_items(df: DataFrame, hidden: bool = False) -> DataFrame:
+    return refine(df, SPECS["order_items"], hidden)
 
-def refine_order_items(df: DataFrame) -> DataFrame:
-    return refine(df, SPECS["order_items"])
 
+def refine_order_payments(df: DataFrame, hidden: bool = False) -> DataFrame:
+    return refine(df, SPECS["order_payments"], hidden)
 
-def refine_order_payments(df: DataFrame) -> DataFrame:
-    return refine(df, SPECS["order_payments"])
 
+def refine_customers(df: DataFrame, hidden: bool = False) -> DataFrame:
+    return refine(df, SPECS["customers"], hidden)
 
-def refine_customers(df: DataFrame) -> DataFrame:
-    return refine(df, SPECS["customers"])
+
+def newest_names(translation: DataFrame) -> DataFrame:
+    """One English name per category: of a category landed more than once the newest."""
+    newest = dedup_latest(translation, ["product_category_name"],
+                          [c for c in NEWEST_FIRST if c in translation.columns])
+    return newest.select("product_category_name", "product_category_name_english")
 
 
-def refine_products(products: DataFrame, translation: DataFrame) -> DataFrame:
+def refine_products(products: DataFrame, translation: DataFrame, hidden: bool = False) -> DataFrame:
     """Products with an English category where a translation exists, else the
     source name; of a category landed more than once the newest counts. The translation is a small dimension; the planner broadcasts
     it when its measured size is under the broadcast threshold."""
-    newest = dedup_latest(translation, ["product_category_name"],
-                          [c for c in NEWEST_FIRST if c in translation.columns])
-    names = newest.select("product_category_name", "product_category_name_english")
-    joined = products.join(names, on="product_category_name", how="left")
-    return refine(joined, SPECS["products"])
+    joined = products.join(newest_names(translation), on="product_category_name", how="left")
+    return refine(joined, SPECS["products"], hidden)
+
+
+def renamed_products(silver: DataFrame, names: DataFrame) -> DataFrame:
+    """Stored products (hidden columns among them) whose category is called something
+    else in ``names``, under its new name. Of the products only the source category and
+    the name are compared; all their columns are read for the affected ones."""
+    called = names.select(F.col("product_category_name").alias("__name"),
+                          F.coalesce("product_category_name_english", "product_category_name").alias("__called"))
+    # a null category has no name to look up, so equality will do
+    found = silver.join(called, F.col("__category") == F.col("__name")).where(~F.col("category").eqNullSafe(F.col("__called")))
+    return found.withColumn("category", F.col("__called")).select(*silver.columns)
 
 
-def refine_sellers(df: DataFrame) -> DataFrame:
-    return refine(df, SPECS["sellers"])
+def refine_sellers(df: DataFrame, hidden: bool = False) -> DataFrame:
+    return refine(df, SPECS["sellers"], hidden)
 
 
-def refine_order_reviews(df: DataFrame) -> DataFrame:
-    return refine(df, SPECS["order_reviews"])
+def refine_order_reviews(df: DataFrame, hidden: bool = False) -> DataFrame:
+    return refine(df, SPECS["order_reviews"], hidden)
 
 
-def refine_geolocation(df: DataFrame) -> DataFrame:
-    return refine(df, SPECS["geolocation"])
+def refine_geolocation(df: DataFrame, hidden: bool = False) -> DataFrame:
+    return refine(df, SPECS["geolocation"], hidden)
 
 
 REFINERS: dict[str, Callable[..., DataFrame]] = {

@@ -15,10 +15,10 @@ SILVER_TABLES = ("orders", "order_items", "order_payments", "customers", "produc
                  "sellers", "order_reviews", "geolocation")
 
 
-def refine_table(name: str, bronze: dict[str, DataFrame]) -> DataFrame:
+def refine_table(name: str, bronze: dict[str, DataFrame], hidden: bool = False) -> DataFrame:
     if name == "products":
-        return REFINERS[name](bronze["products"], bronze["category_translation"])
-    return REFINERS[name](bronze[name])
+        return REFINERS[name](bronze["products"], bronze["category_translation"], hidden)
+    return REFINERS[name](bronze[name], hidden)
 
 
 def bronze_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

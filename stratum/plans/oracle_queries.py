@@ -309,3 +309,37 @@ SQL["dq_bronze_text"] = _dq_text_sql()
 SQL["pipeline_end_to_end"] = _layered_report()
 # A merge scoped to partition folders must give the same table.
 SQL["upsert_merge_partitioned"] = SQL["upsert_merge"]
+
+# Bucket folders, failures on the way and duplicate sources don't change what a merge gives.
+SQL["upsert_merge_bucketed"] = SQL["upsert_merge"]
+SQL["upsert_retry_first_load"] = f"SELECT *, 'created' AS action FROM ({SQL['silver_orders']}) s"
+_DAY1_SILVER = (f"WITH day1_b AS (SELECT {_DAY1_COLS}, {o.lineage('orders', *_D1)} FROM {_ORDERS} r "
+                f"WHERE order_purchase_timestamp < TIMESTAMP '1998-01-01') {_S1}")
+SQL["upsert_duplicate_keys"] = (f"SELECT 'before' AS state, true AS raised, b.* FROM ({_DAY1_SILVER}) b\nUNION ALL\n"
+                                f"SELECT 'after', true, a.* FROM ({SQL['upsert_merge']}) a")
+# Of the orders landed on both days the newer row stays, the others have the first day's.
+_BACKFILLED = ", ".join("CASE WHEN customer_id % 4 = 0 THEN 'processing' ELSE order_status END AS order_status"
+                        if c == "order_status" else c for c in o.ROLE_COLUMNS["orders"])
+SQL["upsert_backfill"] = (f"WITH day2_b AS (SELECT {_BACKFILLED}, {o.lineage('orders', *_D2)} FROM {_ORDERS} r) {_S2}")
+SQL["csv_scan_mixed_headers"] = SQL["csv_scan"]
+_LINE = "order_id || ',' || order_item_id || ',' || product_id"
+SQL["bronze_quarantine"] = f"""
+WITH lines AS (
+  SELECT CASE WHEN order_item_id % 5 = 0 OR order_item_id % 7 = 0 THEN 'quarantine' ELSE 'bronze' END AS kind,
+         CASE WHEN order_item_id % 5 = 0 THEN {_LINE} || ',' || seller_id || ',more'
+              WHEN order_item_id % 7 = 0 THEN {_LINE} ELSE {_LINE} || ',' || seller_id END AS line
+  FROM ({o.ROLE_SQL['order_items']}) r)
+SELECT kind, line FROM lines
+UNION ALL
+SELECT k.kind || ' rows', CAST((SELECT COUNT(*) FROM lines l WHERE l.kind = k.kind) AS VARCHAR)
+FROM (VALUES ('bronze'), ('quarantine')) k(kind)"""
+_ITEM_COLS = [c for c in o.ROLE_COLUMNS["order_items"] if c not in ("freight_value", "order_item_id")]
+SQL["parquet_scan_evolved"] = "\nUNION ALL\n".join(
+    f"SELECT {', '.join(_ITEM_COLS)}, CAST(order_item_id AS BIGINT) AS order_item_id, {freight} AS freight_value, "
+    f"{gift} AS gift, {o.lineage('order_items', *day)} FROM ({o.ROLE_SQL['order_items']}) r"
+    for freight, gift, day in (("CAST(NULL AS DOUBLE)", "CAST(NULL AS BOOLEAN)", _D1), ("freight_value", "order_id % 2 = 0", _D2)))
+SQL["silver_names_changed"] = SQL["silver_products"]
+SQL["pipeline_gate_blocks_publish"] = (
+    "SELECT *, 'gold:gold_sales_summary' AS failed, false AS gold_published, true AS silver_published "
+    f"FROM ({_GOLD_HELD}) c")
+SQL["sales_summary_incremental"] = SQL["sales_summary"]

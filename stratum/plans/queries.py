@@ -29,8 +29,9 @@ from stratum.functions import (
 from stratum.operators import marts
 from stratum.operators.dedup import dedup_latest
 from stratum.operators.lineage import add_lineage
-from stratum.operators.quality import evaluate_suites, gate
+from stratum.operators.quality import evaluate_suites, gate, row_count_between
 from stratum.operators.refine import (
+    LANDED,
     MERGE_KEYS,
     PARTITION_COLUMNS,
     SPECS,
@@ -51,6 +52,9 @@ from stratum.plans.pipeline import (
     contents,
     gold_tables,
     ingest_bronze,
+    prepare_sales,
+    prepare_silver_table,
+    read_quarantine,
     run_gold,
     run_pipeline,
     run_silver,
@@ -63,8 +67,9 @@ from stratum.plans.roles import (
     read_tables,
 )
 from stratum.session import new_path
-from stratum.sources.files import read_bronze, read_csv, read_table, string_schema, write_csv
-from stratum.sources.sinks import overwrite, upsert, write_partitioned
+from stratum.sources.files import CSV_OPTIONS, read_bronze, read_csv, read_table, string_schema, write_csv
+from stratum.sources.sinks import DuplicateKeyError, overwrite, upsert, write_partitioned
+from stratum.sources.versions import commit_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -478,6 +483,44 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, string_schema(items.columns))
 
 
+@query("csv_scan_mixed_headers")
+def csv_scan_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landing folder whose files have their columns in different orders, some of
+    them with a column more: each is read by its own header."""
+    items = _role_frames(spark, sf_dir)["order_items"]
+    path, third = new_path(spark, "landing-items"), F.col("order_id") % 3
+    parts = (items.where(third == 0), items.where(third == 1).select(*reversed(items.columns)),
+             items.where(third == 2).withColumn("note", F.lit('a "quoted", note')).select("note", *sorted(items.columns)))
+    for part in parts:
+        part.write.mode("append").options(**CSV_OPTIONS).csv(path)
+    return read_csv(spark, path, string_schema(items.columns))
+
+
+LINE_COLUMNS = ["order_id", "order_item_id", "product_id", "seller_id"]
+
+
+@query("bronze_quarantine")
+def bronze_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item lines of which some have a field too many or too few: the others land in
+    bronze, these as raw text in the quarantine table, by one pass; both as lines, and
+    the counts that the landing reports."""
+    items = _role_frames(spark, sf_dir)["order_items"]
+    nth = F.col("order_item_id")
+    line = (F.when(nth % 5 == 0, F.concat_ws(",", *LINE_COLUMNS, F.lit("more")))
+            .when(nth % 7 == 0, F.concat_ws(",", *LINE_COLUMNS[:3])).otherwise(F.concat_ws(",", *LINE_COLUMNS)))
+    base = new_path(spark, "lake")
+    # no text holds this separator, so lines and header are written as they are
+    (items.select(line.alias(",".join(LINE_COLUMNS))).write.options(header="true", sep="\x01", quote="")
+     .csv(f"{base}/landing"))
+    layout, source = Layout(base), Source(f"{base}/landing", string_schema(LINE_COLUMNS), "order_items.csv")
+    _, _, good, _, bad = ingest_bronze(spark, {"order_items": source}, layout, DAY1_TS, quarantine=True)[0]
+    landed = read_bronze(spark, layout.bronze("order_items"), [DAY1]).select(
+        F.lit("bronze").alias("kind"), F.concat_ws(",", *LINE_COLUMNS).alias("line"))
+    kept = read_quarantine(spark, layout, "order_items", [DAY1]).select(F.lit("quarantine"), "line")
+    counts = spark.createDataFrame([("bronze rows", str(good)), ("quarantine rows", str(bad))], "kind string, line string")
+    return landed.union(kept).union(counts)
+
+
 @query("bronze_ingest_report")
 def bronze_ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land all nine sources (CSV -> lineage -> date partition) with row
@@ -540,6 +583,19 @@ def parquet_scan_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_bronze(spark, path, [DAY2])
 
 
+@query("parquet_scan_evolved")
+def parquet_scan_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two landed dates with different columns: the first lacks one, and has another as
+    a smaller type; both are read under the united schema."""
+    items = _role_frames(spark, sf_dir)["order_items"].withColumn("freight_value", F.col("freight_value").cast("double"))
+    path = new_path(spark, "bronze-items")
+    older = items.drop("freight_value").withColumn("order_item_id", F.col("order_item_id").cast("int"))
+    newer = items.withColumns({"order_item_id": F.col("order_item_id").cast("bigint"), "gift": F.col("order_id") % 2 == 0})
+    write_partitioned(add_lineage(older, "order_items.csv", DAY1_TS), path)
+    write_partitioned(add_lineage(newer, "order_items.csv", DAY2_TS), path)
+    return read_bronze(spark, path)
+
+
 @query("table_scan")
 def table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "silver-orders")
@@ -634,20 +690,86 @@ def upsert_moved_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path)
 
 
+@query("upsert_merge_bucketed")
+def upsert_merge_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same two merges into a table laid out in hash buckets of its key, and then
+    a third that touches few of them. Same result as ``upsert_merge``."""
+    day1, day2 = upsert_days(_role_frames(spark, sf_dir)["orders"])
+    path = new_path(spark, "silver-orders")
+    upsert(spark, refine_orders(day1), path, MERGE_KEYS["orders"], buckets=16)
+    few = F.col("order_id") < 5
+    for part in (day2.where(~few), day2.where(few)):
+        upsert(spark, refine_orders(part), path, MERGE_KEYS["orders"])
+    return read_table(spark, path)
+
+
+@query("upsert_retry_first_load")
+def upsert_retry_first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first load that fails in its tasks is simply run again: it creates the table.
+    The rows, and which action each run took."""
+    orders = _silver(spark, sf_dir)["orders"]
+    path = new_path(spark, "silver-orders")
+    broken = orders.withColumn("order_status", F.raise_error(F.lit("lost")).cast("string"))
+    try:
+        upsert(spark, broken, path, MERGE_KEYS["orders"], partition_by=PARTITION_COLUMNS["orders"])
+    except Exception as e:  # noqa: BLE001 the failure is the point
+        if "lost" not in str(e):
+            raise
+    action, _ = upsert(spark, orders, path, MERGE_KEYS["orders"], partition_by=PARTITION_COLUMNS["orders"])
+    return read_table(spark, path).withColumn("action", F.lit(action))
+
+
+@query("upsert_duplicate_keys")
+def upsert_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source with several rows for a key raises and leaves the table as it was;
+    with one row each it merges."""
+    day1, day2 = upsert_days(_role_frames(spark, sf_dir)["orders"])
+    path = new_path(spark, "silver-orders")
+    upsert(spark, refine_orders(day1), path, MERGE_KEYS["orders"], buckets=8)
+    clean = refine_orders(day2)
+    raised = False
+    try:
+        upsert(spark, clean.unionByName(clean.where(F.col("customer_id") % 3 == 0)), path, MERGE_KEYS["orders"])
+    except DuplicateKeyError:
+        raised = True
+    before = read_table(spark, path).select(F.lit("before").alias("state"), F.lit(raised).alias("raised"), "*")
+    upsert(spark, clean, path, MERGE_KEYS["orders"])
+    return before.union(read_table(spark, path).select(F.lit("after"), F.lit(raised), "*"))
+
+
 @query("upsert_backfill")
 def upsert_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two landed dates, the later refined first, then the earlier again: newer
-    rows stay."""
+    rows stay. Each run reads its own date alone; the merge compares landing dates."""
     orders = _role_frames(spark, sf_dir)["orders"]
     bronze, path = new_path(spark, "bronze-orders"), new_path(spark, "silver-orders")
     older = orders.withColumn("order_status", F.lit("processing"))
     write_partitioned(add_lineage(older, "orders.csv", DAY1_TS), bronze)
-    write_partitioned(add_lineage(orders, "orders.csv", DAY2_TS), bronze)
+    write_partitioned(add_lineage(orders.where(F.col("customer_id") % 4 != 0), "orders.csv", DAY2_TS), bronze)
     for day in (DAY2, DAY1):
-        upsert(spark, refine_orders(read_bronze(spark, bronze, since=day)), path, MERGE_KEYS["orders"])
+        upsert(spark, refine_orders(read_bronze(spark, bronze, [day]), hidden=True), path, MERGE_KEYS["orders"],
+               newest_by=LANDED)
     return read_table(spark, path)
 
 
+@query("silver_names_changed")
+def silver_names_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products land on the first day, under old names of their categories; on the
+    second day only names land, and a few products. All products get the new names."""
+    frames = _role_frames(spark, sf_dir)
+    names, products = frames["category_translation"], frames["products"]
+    older = names.withColumn("product_category_name_english", F.concat(F.lit("zz_"), "product_category_name_english"))
+    layout = Layout(new_path(spark, "lake"), buckets={"products": 4})
+    few = products.where(F.col("product_id") % 10 == 0)
+    for day, landed in ((DAY1_TS, {"products": products, "category_translation": older}),
+                        (DAY2_TS, {"products": few, "category_translation": names})):
+        for name, frame in landed.items():
+            write_partitioned(add_lineage(frame, SOURCE_FILES[name], day), layout.bronze(name))
+        bronze = bronze_tables(spark, layout, ["products"], [day[:10]]) | bronze_tables(spark, layout, ["category_translation"])
+        prepare_silver_table(spark, layout, "products", bronze, [day[:10]]).publish()
+    return read_table(spark, layout.silver("products"))
+
+
 @query("silver_products_all_dates")
 def silver_products_all_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Products and category names landed on two dates, names changed in between:
@@ -750,5 +872,50 @@ def pipeline_two_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     no_gates = {"bronze": {}, "silver": {}, "gold": {}}
     for ts, changed in ((DAY1_TS, {"orders": drop_lineage(older)}), (DAY2_TS, {})):
         sources = export_landing(spark, sf_dir, f"{base}/{ts[:10]}", changed)
-        run_pipeline(spark, sources, base, ts, suites=no_gates)
+        run_pipeline(spark, sources, base, ts, suites=no_gates, buckets={"order_items": 8, "order_payments": 8})
     return contents(_stored(spark, Layout(base)))
+
+
+@query("pipeline_gate_blocks_publish")
+def pipeline_gate_blocks_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first run, then one whose orders are all canceled: its gold gate, before
+    publishing, finds no sales, and readers keep every mart of the first run."""
+    base = new_path(spark, "lake")
+    no_gates = {"bronze": {}, "silver": {}, "gold": {}}
+    run_pipeline(spark, export_landing(spark, sf_dir, f"{base}/1"), base, DAY1_TS, suites=no_gates)
+    canceled = _role_frames(spark, sf_dir)["orders"].withColumn("order_status", F.lit("canceled"))
+    write_csv(canceled, f"{base}/2/orders")
+    report = run_pipeline(
+        spark, {"orders": Source(f"{base}/2/orders", canceled.schema, SOURCE_FILES["orders"])}, base, DAY2_TS,
+        suites=no_gates | {"gold": {"gold_sales_summary": [row_count_between(1, None)]}},
+        on_failure="stop", gate_before_publish=True)
+    published = {layer for layer, *_ in report.tables}
+    held = contents(gold_tables(spark, Layout(base), list(MART_BUILDERS)))
+    return held.withColumns({"failed": F.lit(",".join(f"{layer}:{table}" for layer, table, *_ in report.failures)),
+                             "gold_published": F.lit("gold" in published), "silver_published": F.lit("silver" in published)})
+
+
+@query("sales_summary_incremental")
+def sales_summary_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily sales built in full on the first day, when the latest orders were not yet
+    delivered and some stood under another day; the second day lands these orders alone
+    and only the days they touch are computed again. Same result as ``sales_summary``."""
+    layout = Layout(new_path(spark, "lake"), buckets={"order_items": 8, "order_payments": 8})
+    frames = {n: f for n, f in _role_frames(spark, sf_dir).items() if n in ("orders", "order_items", "order_payments")}
+    purchase = F.col("order_purchase_timestamp")
+    late = purchase >= F.lit("2001-06-01").cast("timestamp_ntz")
+    moved = F.when(F.col("customer_id") % 3 == 0, purchase - F.expr("INTERVAL 700 DAYS")).otherwise(purchase)
+    first = frames["orders"].withColumns({
+        "order_purchase_timestamp": F.when(late, moved).otherwise(purchase),
+        "order_status": F.when(late & (F.col("customer_id") % 2 == 0), "processing").otherwise(F.col("order_status"))})
+    second = {"orders": frames["orders"].where(late)}
+    second |= {n: frames[n].limit(0) for n in ("order_items", "order_payments")}
+    for day, landed in ((DAY1_TS, frames | {"orders": first}), (DAY2_TS, second)):
+        for name, frame in landed.items():
+            write_partitioned(add_lineage(frame, SOURCE_FILES[name], day), layout.bronze(name))
+        before = commit_of(spark, layout.silver("orders"))
+        bronze = bronze_tables(spark, layout, list(frames), [day[:10]])
+        for name in frames:
+            prepare_silver_table(spark, layout, name, bronze, [day[:10]]).publish()
+        prepare_sales(spark, layout, day[:10], before).publish()
+    return read_table(spark, layout.gold("gold_sales_summary"))

@@ -7,12 +7,16 @@ turns codes such as ``01037`` into numbers).
 
 from __future__ import annotations
 
-import uuid
+import re
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType
+
+from stratum.sources.versions import COMMITS, DATA, HIDDEN, commit_of, names, read_commit, versions
 
 # Text form of wall-clock timestamps in landing files.
 TIMESTAMP_TEXT = "yyyy-MM-dd HH:mm:ss"
@@ -35,21 +39,82 @@ def string_schema(columns: Sequence[str]) -> StructType:
     return StructType([StructField(c, StringType(), True) for c in columns])
 
 
+def _first_line(spark: SparkSession, file: str, whole_quotes: bool) -> str:
+    """First line of a file that isn't empty, unpacked if need be; with
+    ``whole_quotes`` as many lines as its quoted names span."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    jpath = jvm.org.apache.hadoop.fs.Path(file)
+    stream = jpath.getFileSystem(conf).open(jpath)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(jpath)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(
+            codec.createInputStream(stream) if codec else stream, "UTF-8"))
+        line = reader.readLine()
+        while line is not None and not line.strip():
+            line = reader.readLine()
+        while whole_quotes and line is not None and line.count('"') % 2:
+            more = reader.readLine()
+            if more is None:
+                break
+            line += "\n" + more
+        return line or ""
+    finally:
+        stream.close()
+
+
+def _as_pattern(file: str) -> str:
+    """A file's own name, where a reader takes patterns."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", file)
+
+
+def files_by_header(spark: SparkSession, path: str, multi_line: bool = False) -> dict[str, list[str]]:
+    """The files of a landing file, folder or pattern by their header lines; files
+    without any line have none and are left out. Only first lines are read, several
+    files at a time."""
+    sc = spark.sparkContext
+    jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(sc._jsc.hadoopConfiguration())
+    files = []
+    for found in fs.globStatus(jpath) or ():
+        inside = fs.listStatus(found.getPath()) if found.isDirectory() else [found]
+        files += [f.getPath().toString() for f in inside
+                  if not f.isDirectory() and not f.getPath().getName().startswith(("_", "."))]
+    groups: dict[str, list[str]] = {}
+    with ThreadPoolExecutor(16) as pool:
+        for file, line in zip(files, pool.map(lambda f: _first_line(spark, f, multi_line), files)):
+            if line:
+                groups.setdefault(line, []).append(file)
+    return groups
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType,
              multi_line: bool = False, malformed: str | None = None) -> DataFrame:
     """CSV with header under an explicit schema, whose columns are found by their
-    names in the header, in any order there. ``malformed`` names a further column
+    names in the header, in any order there. The files of a folder may have different
+    headers: files with the same header line are read together, and the groups are
+    united. ``malformed`` names a further column
     that holds the text of lines with too many or too few fields, or with a value
     that its type can't hold (null for all others).
 
     ``multi_line`` is needed only for sources whose quoted fields contain line
     breaks; such files cannot be split, so it is off by default to keep one
     task per file split."""
+    groups = files_by_header(spark, path, multi_line)
+    if not groups:
+        raise ValueError(f"{path}: no file with a header")
+    parts = [_read_group(spark, [path] if len(groups) == 1 else [_as_pattern(f) for f in files], schema, multi_line, malformed)
+             for _, files in sorted(groups.items())]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _read_group(spark: SparkSession, paths: list[str], schema: StructType, multi_line: bool,
+                malformed: str | None) -> DataFrame:
+    """Files of one header."""
     reader = spark.read.options(**CSV_OPTIONS).option("multiLine", str(multi_line).lower())
-    header = reader.csv(path).columns  # reads the first line
+    header = reader.csv(paths[:1]).columns  # reads the first line
     missing = [c for c in schema.names if c not in header]
     if missing:
-        raise ValueError(f"{path}: the header lacks {', '.join(missing)}")
+        raise ValueError(f"{paths[0]}: the header lacks {', '.join(missing)}")
     # every column of the header, in its order; then those asked for
     types = {f.name: f for f in schema.fields}
     full = StructType([types.get(c, StructField(c, StringType())) for c in header])
@@ -57,7 +122,7 @@ def read_csv(spark: SparkSession, path: str, schema: StructType,
         # a line's fields can be counted only if none is pruned
         reader = reader.option("columnPruning", "false").option("columnNameOfCorruptRecord", malformed)
         full = full.add(malformed, StringType())
-    return reader.schema(full).csv(path).select(*schema.names, *([malformed] if malformed else []))
+    return reader.schema(full).csv(paths).select(*[f"`{c}`" for c in schema.names], *([malformed] if malformed else []))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -65,12 +130,49 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
+#: a column's type may grow from one date to a later one
+WIDENED = {("tinyint", "smallint"), ("tinyint", "int"), ("tinyint", "bigint"), ("smallint", "int"), ("smallint", "bigint"),
+           ("int", "bigint"), ("int", "double"), ("float", "double"), ("void", "string")}
+
+
+def united_schema(schemas: Sequence[tuple[str, StructType]]) -> StructType:
+    """All columns of several schemas, by first appearance, each with the widest of
+    its types. Names tell where a type can't be widened to the others."""
+    found: dict[str, tuple[str, StructField]] = {}
+    for name, schema in schemas:
+        for f in schema.fields:
+            if f.name not in found:
+                found[f.name] = (name, StructField(f.name, f.dataType, True))
+                continue
+            other, held = found[f.name]
+            pair = (held.dataType.simpleString(), f.dataType.simpleString())
+            if pair in WIDENED:
+                found[f.name] = (name, StructField(f.name, f.dataType, True))
+            elif pair[0] != pair[1] and pair[::-1] not in WIDENED:
+                raise ValueError(f"column {f.name} is {pair[0]} in {other} but {pair[1]} in {name}")
+    return StructType([f for _, f in found.values()])
+
+
 def read_bronze(spark: SparkSession, path: str, dates: Sequence[str] | None = None,
                 since: str | None = None) -> DataFrame:
     """Bronze table partitioned by ``_ingestion_date``; ``dates`` restricts
     the scan to those partitions, ``since`` to that date and later ones (partition pruning, no file is opened for
-    other dates)."""
-    df = spark.read.option("basePath", path).parquet(path)
+    other dates).
+
+    The columns are those of all dates asked for, each date's taken from the footer
+    of one of its files (a date is landed by one job): a column that a date lacks is
+    null there, a type that grew is read as the wider one, types that don't go
+    together raise. Columns whose names start with ``__`` are left out."""
+    folders = [n for n in names(spark, path) if n.startswith("_ingestion_date=")]
+    chosen = [n for n in folders if (not dates or n.split("=")[1] in dates) and (not since or n.split("=")[1] >= since)]
+    reader = spark.read.option("basePath", path)
+    if folders:
+        with ThreadPoolExecutor(16) as pool:  # opening a folder is a small job
+            seen = list(pool.map(lambda n: (n, spark.read.parquet(f"{path}/{n}").schema), chosen or folders[-1:]))
+        schema = united_schema(seen).add("_ingestion_date", DateType())
+        reader = reader.schema(schema)
+    df = reader.parquet(path)
+    df = df.drop(*[c for c in df.columns if c.startswith(HIDDEN)])
     if dates:
         df = df.where(F.col("_ingestion_date").isin(
             *[F.lit(d).cast("date") for d in dates]))
@@ -81,58 +183,23 @@ def read_bronze(spark: SparkSession, path: str, dates: Sequence[str] | None = No
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """A refined or mart table in any data-source format (parquet, orc,
-    delta when the session has it)."""
-    return spark.read.format(fmt).load(path if fmt == "delta" else location(spark, path))
+    delta when the session has it): its last version, or the files as they are
+    where others wrote them."""
+    commit = None if fmt == "delta" else commit_of(spark, path)
+    return read_commit(spark, path, commit, fmt) if commit else spark.read.format(fmt).load(path)
 
 
 def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
-    """True when ``path`` holds a readable table of format ``fmt``."""
+    """True when ``path`` holds a table of format ``fmt``. A folder that holds
+    nothing but what a first write left before its commit is none; any other
+    folder without a commit counts, whatever is in it."""
     if fmt == "delta":
         try:
             from delta.tables import DeltaTable  # optional dependency
         except ImportError:
             return False
         return DeltaTable.isDeltaTable(spark, path)
-    return path_exists(spark, path)
-
-
-# A table written by this library is a folder of versions. A version counts once
-# an empty file of its name stands among the commits; the greatest name is the
-# current one, so a write that fails leaves the version before it in place.
-COMMITS, VERSIONS = "_commits", "_versions"
-
-
-def _names(spark: SparkSession, path: str) -> list[str]:
-    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return sorted(f.getPath().getName() for f in fs.listStatus(jpath)) if fs.exists(jpath) else []
-
-
-def versions(spark: SparkSession, path: str) -> list[str]:
-    """Committed versions of a table, oldest first."""
-    return _names(spark, f"{path}/{COMMITS}")
-
-
-def location(spark: SparkSession, path: str) -> str:
-    """Folder of a table's current files: its last committed version, or the
-    folder itself for tables that others wrote."""
-    done = versions(spark, path)
-    return f"{path}/{VERSIONS}/{done[-1]}" if done else path
-
-
-def new_version(spark: SparkSession, path: str) -> str:
-    done = versions(spark, path)
-    return f"{int(done[-1].split('-')[0]) + 1 if done else 1:012d}-{uuid.uuid4().hex[:8]}"
-
-
-def commit_version(spark: SparkSession, path: str, version: str, keep: int = 2) -> None:
-    """Make a written version the current one; drop all but the last ``keep``, so
-    that readers of the one before can end."""
-    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{COMMITS}/{version}")
-    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(jpath, False).close()
-    for old in versions(spark, path)[:-keep]:
-        remove_path(spark, f"{path}/{COMMITS}/{old}")
-        remove_path(spark, f"{path}/{VERSIONS}/{old}")
+    return path_exists(spark, path) and (bool(versions(spark, path)) or names(spark, path) not in ([DATA], [COMMITS, DATA]))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -144,16 +211,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(jpath.getFileSystem(sc._jsc.hadoopConfiguration()).exists(jpath))
 
 
-def remove_path(spark: SparkSession, path: str) -> bool:
-    """Delete a folder (recursively) through the session's Hadoop
-    configuration; True when something was deleted. Used for staged copies
-    in the shared scratch folder once they are no longer needed."""
-    sc = spark.sparkContext
-    jvm = sc._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(jpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(jpath, True))
-
-
 def remove_on_exit(spark: SparkSession, path: str) -> None:
     """Delete ``path`` when the application's file system is closed (end of
     the application): for staged tables that a returned DataFrame still

@@ -8,26 +8,34 @@ write.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import NullType
+from pyspark.sql.types import StructType
 
 from stratum.session import new_path
-from stratum.sources.files import (
-    VERSIONS,
-    commit_version,
-    location,
+from stratum.sources.files import read_table, table_exists
+from stratum.sources.versions import (
+    BUCKET,
+    DATA,
+    Commit,
+    commit_of,
     new_version,
-    read_table,
+    publish,
+    read_commit,
     remove_path,
-    table_exists,
-    versions,
+    write_folders,
+    written_folders,
 )
 
 
+class DuplicateKeyError(ValueError):
+    """A source holds several rows for one key."""
+
+
 def observed_write(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
     """Run ``write`` on ``df`` and return the number of rows it wrote."""
     rows, df = observed(df, F.count(F.lit(1)))
@@ -37,28 +45,21 @@ def observed_write(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
 
 def observed(df: DataFrame, measure: Column) -> tuple[Callable[[], int], DataFrame]:
     """``df`` with an aggregate that is taken when it is first written, and the
-    function that gives its value from then on."""
+    function that gives its value from then on (0 for a null, and for a plan that the
+    optimizer found to be empty, of which nothing is observed)."""
     obs = Observation()
-    return (lambda: int(obs.get["measure"])), df.observe(obs, measure.alias("measure"))
-
 
-def _clustered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Group rows by their partition folder before a partitioned write, so a
-    folder gets a few well-sized files rather than one small file per task.
-    AQE's rebalance splits a folder that holds a large share of the rows
-    across tasks and merges small ones, so a hot partition is not one task."""
-    return df.hint("rebalance", *partition_by)
+    def value() -> int:
+        return int(obs.get["measure"] or 0) if obs._jo.getRow().length() else 0
+    return value, df.observe(obs, measure.alias("measure"))
 
 
 def write_partitioned(df: DataFrame, path: str,
                       partition_by: str | Sequence[str] = "_ingestion_date",
-                      fmt: str = "parquet", cluster: bool = False) -> int:
+                      fmt: str = "parquet") -> int:
     """Replace only the partitions present in ``df`` (dynamic overwrite);
-    partitions of other dates are left as they are. ``cluster`` groups the
-    rows by folder first (for writes spanning many folders)."""
+    partitions of other dates are left as they are."""
     cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
-    if cluster:
-        df = _clustered(df, cols)
 
     def write(d: DataFrame) -> None:
         (d.write.format(fmt).mode("overwrite")
@@ -67,48 +68,63 @@ def write_partitioned(df: DataFrame, path: str,
     return observed_write(df, write)
 
 
-def overwrite(df: DataFrame, path: str, fmt: str = "parquet",
-              partition_by: Sequence[str] = ()) -> int:
-    """Full rewrite of a table (laid out by ``partition_by`` when given), written
-    once as a new version: until it is complete, readers and a failed run keep
-    the version before it."""
-    spark = df.sparkSession
-    if partition_by:
-        df = _clustered(df, partition_by)
-    version = new_version(spark, path)
-    target = path if fmt == "delta" else f"{path}/{VERSIONS}/{version}"
+@dataclass
+class Pending:
+    """A written version that no reader sees yet. ``frame`` reads the table as it
+    would then be, for an audit; ``publish`` makes it current, ``discard`` drops it."""
+    spark: SparkSession
+    path: str
+    fmt: str
+    #: none where a merge had nothing to change
+    commit: Commit | None
+    action: str
+    rows: int
 
-    def write(d: DataFrame) -> None:
-        w = d.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.save(target)
-    rows = observed_write(df, write)
-    if fmt != "delta":
-        commit_version(spark, path, version)
-    return rows
+    def frame(self) -> DataFrame:
+        if not self.commit:
+            return read_table(self.spark, self.path, self.fmt)
+        return read_commit(self.spark, self.path, self.commit, self.fmt)
+
+    def publish(self) -> tuple[str, int]:
+        if self.commit:
+            publish(self.spark, self.path, self.commit)
+        return self.action, self.rows
+
+    def discard(self) -> None:
+        if not self.commit:
+            return
+        for folder in written_folders(self.spark, self.path, self.commit):
+            remove_path(self.spark, f"{self.path}/{DATA}/{folder}")
 
 
-def partition_values(df: DataFrame, partition_by: Sequence[str]) -> set[Row]:
-    """Distinct partition values of ``df``: one row per partition, bounded by the
-    table's partition count (the metadata the driver already lists)."""
-    return set(df.select(*partition_by).distinct().collect())
+def _written(df: DataFrame, path: str, fmt: str, commit: Commit, action: str,
+             others: Sequence[str] = ()) -> Pending:
+    """Write ``df`` as a version that also keeps the folders ``others``."""
+    spark = df.sparkSession
+    rows = observed_write(df, lambda d: write_folders(d, path, commit, fmt))
+    folders = (*others, *written_folders(spark, path, commit))
+    return Pending(spark, path, fmt, replace(commit, folders=folders), action, rows)
+
+
+def _layout(df: DataFrame, path: str, partition_by: Sequence[str], keys: Sequence[str], buckets: int) -> Commit:
+    if partition_by and buckets:
+        raise ValueError("a table is laid out by partition columns or by hash buckets, not both")
+    schema = StructType([f for f in df.schema.fields if f.name != BUCKET])
+    return Commit(new_version(df.sparkSession, path), schema, tuple(partition_by), tuple(keys) if buckets else (), buckets, ())
 
 
-def in_partitions(values: set[Row], target: DataFrame, partition_by: Sequence[str]) -> Column:
-    """Predicate selecting those partitions of the target (null-safe, so a null
-    partition value matches its own partition). As a literal predicate it prunes
-    the target scan to those partitions' folders."""
-    types = {f.name: f.dataType for f in target.schema.fields}
+def prepare_overwrite(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> Pending:
+    """Full rewrite of a table, written once as a version to be published."""
+    return _written(df, path, fmt, _layout(df, path, partition_by, (), 0), "overwritten")
 
-    def value(c: str, v) -> Column:
-        # a folder column whose only folder is the null one is typed void
-        return F.lit(v) if isinstance(types[c], NullType) else F.lit(v).cast(types[c])
 
-    match = [reduce(lambda a, b: a & b,
-                    [F.col(c).eqNullSafe(value(c, row[c])) for c in partition_by])
-             for row in sorted(values, key=str)]
-    return reduce(lambda a, b: a | b, match) if match else F.lit(False)
+def overwrite(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> int:
+    """Full rewrite of a table (laid out by ``partition_by`` when given), written
+    once as a new version: until it is complete, readers and a failed run keep
+    the version before it."""
+    if fmt == "delta":
+        return observed_write(df, lambda d: d.write.format(fmt).mode("overwrite").save(path))
+    return prepare_overwrite(df, path, fmt, partition_by).publish()[1]
 
 
 def _null_safe_match(target: DataFrame, source: DataFrame, keys: Sequence[str]):
@@ -116,78 +132,161 @@ def _null_safe_match(target: DataFrame, source: DataFrame, keys: Sequence[str]):
                   [target[k].eqNullSafe(source[k]) for k in keys])
 
 
-def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str],
+                 newest_by: str | None = None, gone: DataFrame | None = None) -> DataFrame:
     """Update-all / insert-all / no delete, as a relational plan: target rows
     whose key has no match in the source, plus every source row. Keys match
     null-safely, so a rerun with a null key replaces instead of duplicating.
     Both sides must have the same columns: a source without one would null it in
     every matched row. The anti join shuffles on the keys; a small daily source is broadcast by
-    the planner when its measured size allows."""
-    kept = target.join(source, _null_safe_match(target, source, keys), "left_anti")
+    the planner when its measured size allows.
+
+    ``newest_by``: a source row gives way to a target row of its key with a greater
+    value there (a null is the smallest). Only that column and the keys of the target
+    are looked at for it. ``gone``: keys whose target rows go, whatever the source has."""
+    if newest_by:
+        t, s = target.select(*keys, newest_by), source.select(*keys, newest_by)
+        newer = s[newest_by].isNull() & t[newest_by].isNotNull() | (t[newest_by] > s[newest_by])
+        ahead = t.join(s, _null_safe_match(t, s, keys) & newer, "left_semi").select(*keys)
+        source = source.join(ahead, _null_safe_match(source, ahead, keys), "left_anti")
+    replaced = source.select(*keys).unionByName(gone.select(*keys)) if gone is not None else source
+    kept = target.join(replaced, _null_safe_match(target, replaced, keys), "left_anti")
     return kept.unionByName(source)
 
 
+def one_row_a_key(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Callable[[], int]]:
+    """``df`` grouped by its keys, and a check to be called once it was written: it
+    raises where a key had several rows, else gives the most rows of a key (0 or 1).
+    The rows of a key are counted by the same
+    job, with a partial aggregate before the shuffle; rows that come grouped by the
+    keys already, as refined ones do, are not shuffled for it."""
+    rest = [c for c in df.columns if c not in keys]
+    row = F.first(F.struct(*[F.col(f"`{c}`") for c in rest])).alias("__row") if rest else F.first(F.lit(1)).alias("__row")
+    grouped = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(row, F.count(F.lit(1)).alias("__n"))
+    most, grouped = observed(grouped, F.max("__n"))
+    single = grouped.select(*[F.col(f"`{c}`") if c in keys else F.col("__row").getField(c).alias(c) for c in df.columns])
+
+    def check() -> int:
+        if most() > 1:
+            raise DuplicateKeyError(f"the source has up to {most()} rows for one key ({', '.join(keys)})")
+        return most()
+    return single, check
+
+
+def _same_columns(source: DataFrame, target: StructType, path: str) -> None:
+    ours, theirs = ({f.name: f.dataType.simpleString() for f in s.fields} for s in (source.schema, target))
+    if differing := set(ours) ^ set(theirs):
+        raise ValueError(f"source and {path} differ in columns: {', '.join(sorted(differing))}")
+    if changed := [f"{c} ({ours[c]}, not {theirs[c]})" for c in ours if ours[c] != theirs[c]]:
+        raise ValueError(f"source and {path} differ in types: {', '.join(sorted(changed))}")
+
+
+def _prefix(layout: Sequence[str]) -> Column:
+    """Folder of a row, by its layout columns, as Spark names it."""
+    def name(c: str) -> Column:
+        value = F.col(f"`{c}`").cast("string")
+        return F.concat(F.lit(f"{c}="), F.coalesce(F.when(value != "", value), F.lit("__HIVE_DEFAULT_PARTITION__")))
+    return F.concat_ws("\0", *map(name, layout))
+
+
+def touched_folders(spark: SparkSession, frames: Sequence[DataFrame], commit: Commit) -> set[str]:
+    """Folders of the rows of ``frames``: one row each, bounded by the number of
+    folders the driver lists anyway."""
+    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    rows = reduce(DataFrame.unionByName, [f.select(_prefix(commit.layout).alias("folder")) for f in frames])
+    return {"/".join("=".join(map(escape, part.split("=", 1))) for part in r.folder.split("\0"))
+            for r in rows.distinct().collect()}
+
+
+def prepare_upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
+                   fmt: str = "parquet", partition_by: Sequence[str] = (), buckets: int = 0,
+                   newest_by: str | None = None, gone: DataFrame | None = None) -> Pending:
+    """:func:`upsert` up to the written version, to be published after an audit."""
+    keys = list(keys)
+    single, check = one_row_a_key(source, keys)
+    if not table_exists(spark, path, fmt):
+        made = _written(single, path, fmt, _layout(source, path, partition_by, keys, buckets), "created")
+        try:
+            check()
+        except DuplicateKeyError:
+            made.discard()
+            raise
+        return made
+    held = commit_of(spark, path)
+    if held:
+        target_schema = held.schema
+    else:
+        try:
+            target_schema = read_table(spark, path, fmt).schema
+        except AnalysisException as e:
+            raise RuntimeError(f"{path} exists but holds no readable table; it is not taken for a first load") from e
+    _same_columns(source, target_schema, path)
+    # One snapshot of the source serves the check of its keys, the list of touched
+    # folders and the merge: were it evaluated twice and its input changed in between,
+    # a folder missing from the list would lose its unread target rows.
+    staged = new_path(spark, "upsert-source")
+    try:
+        single.write.parquet(staged)
+        if not check() and gone is None:
+            return Pending(spark, path, fmt, None, "merged", 0)
+        source = spark.read.schema(source.schema).parquet(staged)
+        if not held or not held.layout:
+            target = read_commit(spark, path, held, fmt, hidden=True) if held else read_table(spark, path, fmt)
+            layout = _layout(target, path, partition_by, keys, buckets)
+            return _written(merge_frames(target, source, keys, newest_by, gone), path, fmt, layout, "merged")
+        if held.buckets:
+            looked = [f.select(*keys).withColumn(BUCKET, held.bucket()) for f in (source, gone) if f is not None]
+        else:
+            index = read_commit(spark, path, held, fmt, hidden=True).select(*dict.fromkeys([*keys, *held.layout]))
+            looked = [source, *[index.join(f, _null_safe_match(index, f, keys), "left_semi")
+                                for f in (source, gone) if f is not None]]
+        touched = touched_folders(spark, looked, held)
+        inside = [f for f in held.folders if f.rsplit("/", 1)[0] in touched]
+        target = read_commit(spark, path, held, fmt, inside, hidden=True)
+        return _written(merge_frames(target, source, keys, newest_by, gone), path, fmt,
+                        replace(held, version=new_version(spark, path), folders=()), "merged",
+                        [f for f in held.folders if f not in set(inside)])
+    finally:
+        remove_path(spark, staged)
+
+
 def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
-           fmt: str = "parquet", partition_by: Sequence[str] = ()) -> tuple[str, int]:
+           fmt: str = "parquet", partition_by: Sequence[str] = (), buckets: int = 0,
+           newest_by: str | None = None, gone: DataFrame | None = None) -> tuple[str, int]:
     """Keyed upsert of ``source`` into the table at ``path``.
 
     Returns ``(action, rows_written)``; action is ``created`` on first load.
     With Delta available and ``fmt="delta"`` this is a ``MERGE``. For plain
     file formats the merged rows are written once, as a new version of the table
-    that counts from its commit on: a failure midway leaves the table as it was.
-    Single-writer. A target that exists but can't be read is an error, never a
-    first load.
-
-    ``partition_by`` lays the table out in partition folders and scopes the
-    merge to them: only the partitions that hold the source's keys, before or
-    after the merge, are read in full, merged and replaced in the current
-    version by dynamic partition overwrite. Which partitions held a key that
-    moves is found by a scan of the target's key and partition columns alone.
-    ``rows_written`` then counts the rewritten partitions only.
+    that counts from its commit on: a failure midway leaves the table as it was, and
+    a first load that failed is simply run again. Single-writer. A target that exists
+    but can't be read is an error, never a first load.
+
+    A source with several rows for one key raises :class:`DuplicateKeyError`, also on
+    first load (``MERGE`` raises where they match); columns and types must be the
+    target's.
+
+    Which files are read and rewritten follows from the table's layout, given at its
+    first load. ``partition_by``: folders by those columns; only the folders that hold
+    the source's keys, before or after the merge, are merged. Which folders held a
+    key that moves is found by a scan of the target's key and partition columns alone.
+    ``buckets``: that many folders by a hash of the keys, so a key's folder follows
+    from the key, nothing is scanned for it, and only the source's buckets are merged.
+    Neither: the whole table is. ``rows_written`` counts the rewritten folders only.
+
+    ``newest_by``: a column by which a source row that is older than the target's row
+    of its key gives way to it, in whatever order the days are merged. ``gone``: keys
+    whose rows are taken out first. A source without rows changes nothing.
     """
-    partition_by = list(partition_by)
-    if not table_exists(spark, path, fmt):
-        return "created", overwrite(source, path, fmt, partition_by)
-    if fmt == "delta":
+    if fmt == "delta" and table_exists(spark, path, fmt):
+        if gone is not None:
+            raise ValueError("rows can't be taken out of a delta table here")
         from delta.tables import DeltaTable  # optional dependency
         cond = " AND ".join(f"t.`{k}` <=> s.`{k}`" for k in keys)
+        newer = f"NOT coalesce(t.`{newest_by}` > s.`{newest_by}`, false)" if newest_by else None
         (DeltaTable.forPath(spark, path).alias("t").merge(source.alias("s"), cond)
-         .whenMatchedUpdateAll().whenNotMatchedInsertAll().execute())
+         .whenMatchedUpdateAll(newer).whenNotMatchedInsertAll().execute())
         return "merged", read_table(spark, path, fmt).count()
-    try:
-        target = read_table(spark, path, fmt)
-    except AnalysisException as e:
-        condition = getattr(e, "getCondition", getattr(e, "getErrorClass", lambda: None))()
-        if condition == "UNABLE_TO_INFER_SCHEMA" and versions(spark, path):
-            # a committed version of no rows, written in partition folders: nothing to merge with
-            return "created", overwrite(source, path, fmt, partition_by)
-        raise RuntimeError(f"{path} exists but holds no readable table; it is not taken for a first load") from e
-    differing = set(source.columns) ^ set(target.columns)
-    if differing:
-        raise ValueError(f"source and {path} differ in columns: {', '.join(sorted(differing))}")
-    if not partition_by:
-        return "merged", overwrite(merge_frames(target, source, keys), path, fmt)
-    # One snapshot of the source serves the touched-partition list and the merge:
-    # were it evaluated twice and its input changed in between, a partition missing
-    # from the list would be overwritten without its unread target rows.
-    staged_source = new_path(spark, "upsert-source")
-    source.write.parquet(staged_source)
-    source = read_table(spark, staged_source)
-    index = target.select(*dict.fromkeys([*keys, *partition_by]))
-    held = index.join(source, _null_safe_match(index, source, keys), "left_semi").select(*partition_by)
-    touched = partition_values(source.select(*partition_by).unionByName(held), partition_by)
-    target = target.where(in_partitions(touched, target, partition_by))
-    staged = new_path(spark, "upsert")
-    merge_frames(target, source, keys).write.parquet(staged)
-    merged = read_table(spark, staged)
-    rows = write_partitioned(merged, location(spark, path), partition_by, fmt, cluster=True)
-    # A partition whose keys all moved away gets no rows, so the write left it as
-    # it was. Removed last: a run that ends before is mended by running it again.
-    utils = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    for row in touched - partition_values(merged, partition_by):
-        folder = "/".join(utils.getPartitionPathString(c, None if row[c] is None else str(row[c]))
-                          for c in partition_by)
-        remove_path(spark, f"{location(spark, path)}/{folder}")
-    for folder in (staged, staged_source):
-        remove_path(spark, folder)
-    return "merged", rows
+    if fmt == "delta":
+        return "created", overwrite(source, path, fmt)
+    return prepare_upsert(spark, source, path, keys, fmt, partition_by, buckets, newest_by, gone).publish()

@@ -1,12 +1,27 @@
 """The layered run: gate modes and a second daily run that merges."""
 
 import pytest
+from pyspark.sql import functions as F
 
-from stratum.operators.quality import QualityGateError
+from stratum.operators import marts
+from stratum.operators.lineage import add_lineage
+from stratum.operators.quality import QualityGateError, row_count_between
 from stratum.plans import suites
-from stratum.plans.pipeline import Layout, gold_tables, run_pipeline, silver_tables
-from stratum.plans.queries import all_marts, export_landing
+from stratum.plans.layers import MART_BUILDERS, SILVER_TABLES, refine_table
+from stratum.plans.pipeline import (
+    Layout,
+    bronze_tables,
+    gold_tables,
+    prepare_sales,
+    prepare_silver_table,
+    run_pipeline,
+    silver_tables,
+)
+from stratum.plans.queries import _role_frames, all_marts, export_landing
 from stratum.session import new_path
+from stratum.sources.files import read_bronze, read_table
+from stratum.sources.sinks import write_partitioned
+from stratum.sources.versions import commit_of, names, versions
 
 SF = "/root/testdata/sf0.001"
 
@@ -47,3 +62,110 @@ def test_second_day_merges_and_marts_match_a_fresh_build(spark):
     published = gold_tables(spark, layout, list(fresh))
     for name, df in fresh.items():
         assert _rows(published[name].select(*df.columns)) == _rows(df), name
+
+
+def _three(spark, base, orders, ts):
+    """The sources of the sales mart, with these orders."""
+    frames = _role_frames(spark, SF)
+    layout = Layout(base, buckets={"order_items": 4})
+    for name, df in (("orders", orders), ("order_items", frames["order_items"]), ("order_payments", frames["order_payments"])):
+        write_partitioned(add_lineage(df, f"{name}.csv", ts), layout.bronze(name))
+    return layout
+
+
+def test_a_failed_gate_before_publishing_leaves_every_table(spark):
+    base = new_path(spark, "lake")
+    sources = export_landing(spark, SF, base)
+    none = {"bronze": {}, "silver": {}, "gold": {}}
+    run_pipeline(spark, sources, base, "2026-01-01T06:00:00", suites=none)
+    layout = Layout(base)
+    before = {n: _rows(df) for n, df in gold_tables(spark, layout, list(MART_BUILDERS)).items()}
+    silver = {n: versions(spark, layout.silver(n)) for n in SILVER_TABLES}
+    never = [row_count_between(10 ** 9, None)]
+    # at bronze: the date isn't landed; at silver: no version is committed; at gold: the same
+    for layer, table in (("bronze", "orders"), ("silver", "order_items"), ("gold", "gold_seller_performance")):
+        with pytest.raises(QualityGateError, match=layer):
+            run_pipeline(spark, sources, base, "2026-01-02T06:00:00", suites=none | {layer: {table: never}},
+                         gate_before_publish=True)
+        dates = [n for n in names(spark, layout.bronze("orders")) if n.startswith("_ingestion_date")]
+        assert len(dates) == (1 if layer == "bronze" else 2)
+        if layer != "gold":
+            assert {n: versions(spark, layout.silver(n)) for n in SILVER_TABLES} == silver
+        assert {n: _rows(df) for n, df in gold_tables(spark, layout, list(MART_BUILDERS)).items()} == before
+        assert all(len(versions(spark, layout.gold(n))) == 1 for n in MART_BUILDERS)
+    # a run that is told to go on publishes and reports
+    report = run_pipeline(spark, sources, base, "2026-01-02T06:00:00", suites=none | {"gold": {"gold_seller_performance": never}},
+                          gate_before_publish=True, on_failure="continue")
+    assert {t[0] for t in report.tables} == {"bronze", "silver", "gold"} and [g[2] for g in report.gates] == [0, 0, 1]
+    assert len(versions(spark, layout.gold("gold_seller_performance"))) == 2
+
+
+def test_sales_of_changed_days_alone(spark):
+    orders = _role_frames(spark, SF)["orders"]
+    layout = _three(spark, new_path(spark, "lake"), orders, "2026-01-01T06:00:00")
+    tables = ["orders", "order_items", "order_payments"]
+
+    def run(date, before):
+        bronze = bronze_tables(spark, layout, tables, [date])
+        for name in tables:
+            prepare_silver_table(spark, layout, name, bronze, [date]).publish()
+        return prepare_sales(spark, layout, date, before).publish()
+
+    path = layout.gold("gold_sales_summary")
+    run("2026-01-01", None)
+    first = commit_of(spark, path).folders
+    # one order moves to another day, one is canceled, one is new
+    ids = [r.order_id for r in orders.where("order_status = 'delivered'").orderBy("order_id").limit(2).collect()]
+    changed = orders.where(F.col("order_id").isin(ids)).withColumns({
+        "order_purchase_timestamp": F.when(F.col("order_id") == ids[0], F.lit("1999-05-05 10:00:00").cast("timestamp_ntz"))
+        .otherwise(F.col("order_purchase_timestamp")),
+        "order_status": F.when(F.col("order_id") == ids[1], "canceled").otherwise("delivered")})
+    new = changed.where(F.col("order_id") == ids[0]).withColumn("order_id", F.lit(10 ** 9).cast("long"))
+    write_partitioned(add_lineage(changed.unionByName(new), "orders.csv", "2026-01-02T06:00:00"), layout.bronze("orders"))
+    for name in tables[1:]:
+        write_partitioned(add_lineage(read_bronze(spark, layout.bronze(name)).drop("_ingested_at", "_source_file", "_ingestion_date")
+                                      .limit(0), f"{name}.csv", "2026-01-02T06:00:00"), layout.bronze(name))
+    run("2026-01-02", commit_of(spark, layout.silver("orders")))
+    silver = {n: read_table(spark, layout.silver(n)) for n in tables}
+    full = marts.sales_summary(silver["orders"], silver["order_payments"], silver["order_items"])
+    got = read_table(spark, path)
+    assert _rows(got.select(*full.columns)) == _rows(full)
+    assert got.where("order_date = DATE '1999-05-05'").count() == 1
+    after = commit_of(spark, path).folders
+    assert 0 < len(set(after) - set(first)) <= 3 and len(set(after) & set(first)) > len(after) // 2
+
+
+def test_a_rerun_reads_one_bronze_date(spark):
+    orders = _role_frames(spark, SF)["orders"]
+    layout = _three(spark, new_path(spark, "lake"), orders, "2026-01-01T06:00:00")
+    write_partitioned(add_lineage(orders, "orders.csv", "2026-01-02T06:00:00"), layout.bronze("orders"))
+    bronze = bronze_tables(spark, layout, ["orders"], ["2026-01-01"])
+    assert {f.split("_ingestion_date=")[1][:10] for f in refine_table("orders", bronze).inputFiles()} <= {"2026-01-01", "2026-01-02"}
+    plan = refine_table("orders", bronze)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_ingestion_date" in plan and "2026-01-01" in plan
+
+
+def test_names_reach_products_of_earlier_days(spark):
+    layout = Layout(new_path(spark, "lake"))
+    schema = "product_id string, product_category_name string"
+    names_schema = "product_category_name string, product_category_name_english string"
+
+    def run(day, products, translated):
+        ts = f"2026-01-0{day}T06:00:00"
+        for name, rows, s in (("products", products, schema), ("category_translation", translated, names_schema)):
+            write_partitioned(add_lineage(spark.createDataFrame(rows, s), "f.csv", ts), layout.bronze(name))
+        date = ts[:10]
+        bronze = bronze_tables(spark, layout, ["products"], [date]) | bronze_tables(spark, layout, ["category_translation"])
+        made = prepare_silver_table(spark, layout, "products", bronze, [date])
+        return made.publish(), {r.product_id: r.category for r in read_table(spark, layout.silver("products")).collect()}
+
+    assert run(1, [("p", "brinq"), ("q", "livro"), ("r", None), ("s", "cama")], [("brinq", "toy"), ("cama", "toy")])[1] == {
+        "p": "toy", "q": "livro", "r": None, "s": "toy"}
+    # two categories of one name part, another gets its first name, a product changes its category the same day
+    got = run(2, [("s", "livro")], [("brinq", "toys"), ("livro", "book")])
+    assert got[1] == {"p": "toys", "q": "book", "r": None, "s": "book"}
+    # nothing called otherwise: nothing is written
+    assert run(3, [], [("brinq", "toys")])[0] == ("merged", 0)
+    # an older day again: its product rows give way, today's names stay
+    assert run(1, [("s", "cama"), ("t", "brinq")], [("brinq", "toy"), ("cama", "toy")])[1] == {
+        "p": "toys", "q": "book", "r": None, "s": "book", "t": "toys"}

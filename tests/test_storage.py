@@ -97,12 +97,14 @@ def test_upsert_leaves_no_staged_copy(spark):
     assert sorted(map(tuple, read_table(spark, path).collect())) == [(1, "a"), (2, "c"), (3, "d")]
 
 
-def test_partitioned_upsert_rewrites_only_touched_partitions(spark):
-    import os
+def _folders(spark, path):
+    """Folders of the current version, with the names of their files."""
+    from stratum.sources.versions import DATA, commit_of, names
+
+    return {f: names(spark, f"{path}/{DATA}/{f}") for f in commit_of(spark, path).folders}
 
-    from stratum.sources.files import location
-    from stratum.sources.sinks import in_partitions, partition_values
 
+def test_partitioned_upsert_rewrites_only_touched_partitions(spark):
     schema = "k int, p int, v string"
     day1 = spark.createDataFrame([(1, 1, "a"), (2, 1, "b"), (3, 2, "c"), (4, None, "d"),
                                   (5, 3, "e")], schema)
@@ -111,30 +113,190 @@ def test_partitioned_upsert_rewrites_only_touched_partitions(spark):
     for src in (day1, day2):
         upsert(spark, src, flat, ["k"])
     assert upsert(spark, day1, parted, ["k"], partition_by=["p"])[0] == "created"
-    local = location(spark, parted).replace("file:", "")
-    untouched = {d: sorted(os.listdir(os.path.join(local, d))) for d in ("p=2", "p=3")}
+    before = _folders(spark, parted)
+    reader = read_table(spark, parted)
     action, n = upsert(spark, day2, parted, ["k"], partition_by=["p"])
     assert (action, n) == ("merged", 4)  # partitions p=1 (3 rows) and null (1 row)
-    # untouched partitions keep their files
-    assert {d: sorted(os.listdir(os.path.join(local, d))) for d in untouched} == untouched
+    # untouched partitions keep their folders and files
+    after = _folders(spark, parted)
+    same = {f for f in before if after.get(f) == before[f]}
+    assert {f.split("/")[0] for f in same} == {"p=2", "p=3"} and len(after) == 4
+    assert reader.count() == 5  # a reader of the version before can end
     got = sorted(map(tuple, read_table(spark, parted).select("k", "p", "v").collect()),
                  key=repr)
     want = sorted(map(tuple, read_table(spark, flat).select("k", "p", "v").collect()), key=repr)
     assert got == want
     assert (4, None, "D") in got and (5, 3, "e") in got
-    # the merge's target scan is pruned to the touched partitions
-    target = read_table(spark, parted)
-    plan = target.where(in_partitions(partition_values(day2, ["p"]), target, ["p"]))._jdf.queryExecution() \
-        .executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "<=>" in plan
+    assert read_table(spark, parted).columns == ["k", "p", "v"]
+
+
+def _bucket_of(spark, rows, schema, buckets):
+    from pyspark.sql import functions as F
+
+    return {r.k: r.b for r in spark.createDataFrame(rows, schema).select(
+        "k", F.pmod(F.xxhash64("k"), F.lit(buckets)).alias("b")).collect()}
+
+
+def test_bucketed_upsert_reads_and_writes_only_touched_buckets(spark, monkeypatch):
+    from stratum.sources import sinks
+
+    schema = "k int, v string"
+    rows = [(i, "a") for i in range(200)] + [(None, "a")]
+    path = new_path(spark, "t-buckets")
+    assert upsert(spark, spark.createDataFrame(rows, schema), path, ["k"], buckets=32) == ("created", 201)
+    before = _folders(spark, path)
+    assert len(before) == 32
+    bucket = _bucket_of(spark, rows, schema, 32)
+    day2 = [(3, "b"), (None, "b"), (1000, "b")]
+    touched = {f"__bucket={b}" for b in [bucket[3], bucket[None], _bucket_of(spark, day2, schema, 32)[1000]]}
+    read, merge = [], sinks.merge_frames
+
+    def watched(target, *rest):
+        read.extend(target.inputFiles())
+        return merge(target, *rest)
+
+    monkeypatch.setattr(sinks, "merge_frames", watched)
+    # the number of buckets is the table's, whatever is asked for later
+    action, n = upsert(spark, spark.createDataFrame(day2, schema), path, ["k"], buckets=5)
+    assert action == "merged"
+    assert {f.split("/")[-3] for f in read} == touched
+    after = _folders(spark, path)
+    assert {f.split("/")[0] for f in set(after) - set(before)} == touched
+    assert {f for f in before if f.split("/")[0] not in touched} <= set(after)
+    assert n == 1 + sum(f"__bucket={b}" in touched for b in bucket.values())
+    got = {r.k: r.v for r in read_table(spark, path).collect()}
+    assert got == dict(rows) | dict(day2) and read_table(spark, path).columns == ["k", "v"]
+    # only its own files are opened
+    assert read_table(spark, path).count() == 202
+
+
+def test_a_large_bucket_is_split_across_tasks(spark):
+    """Three buckets of many rows: written in more files than buckets, none by one task."""
+    keep = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.advisoryPartitionSizeInBytes",)}
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        path = new_path(spark, "t-large")
+        upsert(spark, spark.range(60_000).selectExpr("id AS k", "sha2(string(id), 256) AS v"), path, ["k"], buckets=3)
+    finally:
+        for c, v in keep.items():
+            spark.conf.set(c, v)
+    held = _folders(spark, path)
+    assert len(held) == 3
+    assert all(sum(n.endswith(".parquet") for n in files) > 3 for files in held.values())
+    assert read_table(spark, path).count() == 60_000
+
+
+def test_duplicate_source_keys_raise_and_change_nothing(spark):
+    import pytest
+
+    from stratum.sources.sinks import DuplicateKeyError
+    from stratum.sources.versions import versions
+
+    schema = "k int, p int, v string"
+    rows = spark.createDataFrame([(1, 1, "a"), (None, 2, "a")], schema)
+    twice = [spark.createDataFrame([(1, 1, "x"), (1, 2, "y"), (3, 1, "z")], schema),   # matched
+             spark.createDataFrame([(7, 1, "x"), (7, 1, "x")], schema),                # not matched
+             spark.createDataFrame([(None, 1, "x"), (None, 1, "y")], schema)]          # null keys
+    for layout in ({}, {"partition_by": ["p"]}, {"buckets": 4}):
+        path = new_path(spark, "t-twice")
+        with pytest.raises(DuplicateKeyError, match="2 rows for one key"):
+            upsert(spark, twice[0], path, ["k"], **layout)
+        assert upsert(spark, rows, path, ["k"], **layout) == ("created", 2)
+        for source in twice:
+            with pytest.raises(DuplicateKeyError):
+                upsert(spark, source, path, ["k"], **layout)
+        assert len(versions(spark, path)) == 1
+        assert {tuple(r) for r in read_table(spark, path).select("k", "p", "v").collect()} == {(1, 1, "a"), (None, 2, "a")}
+
+
+def test_hot_duplicate_key_is_counted_before_the_shuffle(spark):
+    """Half of a source's rows have one key: each task sends one row for it."""
+    import pytest
+
+    from stratum.sources.sinks import DuplicateKeyError, one_row_a_key
+
+    rows = spark.range(0, 20_000, 1, 4).selectExpr("CASE WHEN id % 2 = 0 THEN 0 ELSE id END AS k", "id AS v")
+    single, _ = one_row_a_key(rows, ["k"])
+    plan = single._jdf.queryExecution().executedPlan().toString()
+    assert "partial_first" in plan and "partial_count" in plan
+    with pytest.raises(DuplicateKeyError, match="10000 rows"):
+        upsert(spark, rows, new_path(spark, "t-hot"), ["k"])
+
+
+def test_refined_rows_are_not_shuffled_again_to_check_their_keys(spark):
+    from stratum.operators.refine import refine_sellers
+    from stratum.sources.sinks import one_row_a_key
+
+    raw = add_lineage(spark.range(10).selectExpr("string(id) AS seller_id", "id AS v"), "s.csv", "2026-01-01T06:00:00")
+    single, _ = one_row_a_key(refine_sellers(raw), ["seller_id"])
+    plan = single._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_a_first_load_that_failed_is_simply_run_again(spark):
+    import pytest
+    from pyspark.sql import functions as F
+
+    rows = spark.createDataFrame([(1, 1, "a"), (2, 2, "b")], "k int, p int, v string")
+    broken = rows.withColumn("v", F.when(F.col("k") == 2, F.raise_error(F.lit("lost")).cast("string")).otherwise("a"))
+    for layout in ({}, {"partition_by": ["p"]}, {"buckets": 2}):
+        path = new_path(spark, "t-retry")
+        with pytest.raises(Exception, match="lost"):
+            upsert(spark, broken, path, ["k"], **layout)
+        # also where the failed run left a folder of data
+        rows.write.mode("append").parquet(f"{path}/_data/__v=000000000001-deadbeef")
+        assert upsert(spark, rows, path, ["k"], **layout) == ("created", 2)
+        assert read_table(spark, path).count() == 2
+
+
+def test_source_types_must_be_the_targets(spark):
+    import pytest
+
+    path = new_path(spark, "t-types")
+    upsert(spark, spark.createDataFrame([(1, "a", 1)], "k int, v string, n int"), path, ["k"])
+    with pytest.raises(ValueError, match=r"types: n \(bigint, not int\), v \(double, not string\)"):
+        upsert(spark, spark.createDataFrame([(1, 0.5, 1)], "k int, v double, n long"), path, ["k"])
+    assert upsert(spark, spark.createDataFrame([], "k int, v string, n int"), path, ["k"]) == ("merged", 0)
+    assert read_table(spark, path).count() == 1
+
+
+def test_newer_rows_stay_in_whatever_order_days_are_merged(spark):
+    schema = "k int, v string, __landed int"
+    days = [[(1, "a", 1), (2, "a", 1), (3, "a", 1)], [(2, "b", 2), (4, "b", 2)], [(2, "c", 3), (3, "c", 3)]]
+    for layout in ({}, {"buckets": 3}):
+        for order in ([0, 1, 2], [2, 1, 0], [1, 2, 0], [0, 1, 2, 0, 1]):
+            path = new_path(spark, "t-newest")
+            for d in order:
+                upsert(spark, spark.createDataFrame(days[d], schema), path, ["k"], newest_by="__landed", **layout)
+            got = {r.k: r.v for r in read_table(spark, path).collect()}
+            assert got == {1: "a", 2: "c", 3: "c", 4: "b"}
+            assert read_table(spark, path).columns == ["k", "v"]
+
+
+def test_pending_versions_are_seen_by_their_audit_alone(spark):
+    from stratum.sources.sinks import prepare_overwrite, prepare_upsert
+
+    schema = "k int, v string"
+    path = new_path(spark, "t-pending")
+    upsert(spark, spark.createDataFrame([(i, "a") for i in range(20)], schema), path, ["k"], buckets=8)
+    held = _folders(spark, path)
+    made = prepare_upsert(spark, spark.createDataFrame([(1, "b"), (30, "b")], schema), path, ["k"])
+    assert {r.k: r.v for r in made.frame().collect()} == {i: "a" for i in range(20)} | {1: "b", 30: "b"}
+    assert read_table(spark, path).where("v = 'b'").count() == 0
+    made.discard()
+    assert _folders(spark, path) == held
+    assert upsert(spark, spark.createDataFrame([(1, "c")], schema), path, ["k"])[0] == "merged"
+    full = prepare_overwrite(spark.createDataFrame([(0, "z")], schema), path)
+    assert read_table(spark, path).count() == 20 and full.frame().count() == 1
+    assert full.publish() == ("overwritten", 1) and read_table(spark, path).count() == 1
 
 
 def test_failed_write_leaves_the_table(spark):
     import pytest
     from pyspark.sql import functions as F
 
-    from stratum.sources.files import versions
     from stratum.sources.sinks import overwrite
+    from stratum.sources.versions import versions
 
     path = new_path(spark, "t-safe")
     rows = spark.createDataFrame([(i, "a") for i in range(3)], "k int, v string")
@@ -229,3 +391,84 @@ def test_checksum_is_of_contents_not_of_order(spark):
     none, other = df.where("k = 5"), df.where("k = 2").distinct()
     assert none.agg(checksum(none)).first()[0] == "0"
     assert other.agg(checksum(other)).first()[0] != want
+
+
+def test_csv_files_of_a_folder_are_read_by_their_own_headers(spark, tmp_path):
+    import gzip
+
+    import pytest
+
+    from stratum.sources.files import files_by_header
+
+    folder = tmp_path / "in[1] {a}"
+    folder.mkdir()
+    (folder / "1.csv").write_text("a,b\n1,2\n3,4\n")
+    (folder / "2.csv").write_text("b,a\n6,5\nshort\n")
+    (folder / "3.csv").write_text("")
+    (folder / "_SUCCESS").write_text("")
+    with gzip.open(folder / "4.csv.gz", "wt") as f:
+        f.write("\nc,b,a\n0,8,7\n")
+    pattern = str(tmp_path / "in*")
+    assert sorted(len(g) for g in files_by_header(spark, pattern).values()) == [1, 1, 1]
+    got = read_csv(spark, pattern, string_schema(["a", "b"]), malformed="bad").collect()
+    assert sorted((r.a, r.b) for r in got if not r.bad) == [("1", "2"), ("3", "4"), ("5", "6"), ("7", "8")]
+    assert [r.bad for r in got if r.bad] == ["short"]
+    with pytest.raises(ValueError, match=r"1\.csv: the header lacks c|2\.csv: the header lacks c"):
+        read_csv(spark, pattern, string_schema(["a", "c"]))
+    with pytest.raises(ValueError, match="no file with a header"):
+        read_csv(spark, str(folder / "3.csv").replace("[", "?").replace("]", "?").replace("{", "?").replace("}", "?"),
+                 string_schema(["a"]))
+
+
+def test_quoted_names_over_several_lines(spark, tmp_path):
+    for n, text in enumerate(('id,"a\nname"\n1,"x\ny"\n', '"a\nname",id\nz,2\n')):
+        (tmp_path / f"{n}.csv").write_text(text)
+    got = read_csv(spark, str(tmp_path), string_schema(["id", "a\nname"]), multi_line=True)
+    assert sorted(map(tuple, got.collect())) == [("1", "x\ny"), ("2", "z")]
+
+
+def test_bronze_dates_with_other_columns(spark):
+    import pytest
+
+    path = new_path(spark, "t-evolved")
+    days = {"01": ("a int, b int", (1, 1)), "02": ("a bigint, c string", (2 ** 40, "x")), "03": ("b double, a int", (0.5, 3))}
+    for day, (schema, row) in days.items():
+        df = spark.createDataFrame([row], schema)
+        write_partitioned(add_lineage(df, "f.csv", f"2026-01-{day}T06:00:00"), path)
+    got = read_bronze(spark, path)
+    assert got.columns == ["a", "b", "_ingested_at", "_source_file", "c", "_ingestion_date"]
+    assert {(r.a, r.b, r.c) for r in got.collect()} == {(1, 1.0, None), (2 ** 40, None, "x"), (3, 0.5, None)}
+    one = read_bronze(spark, path, ["2026-01-01"])  # as that date has them
+    assert dict(one.dtypes)["a"] == "int" and "c" not in one.columns
+    assert read_bronze(spark, path, since="2026-01-02").count() == 2
+    assert read_bronze(spark, path, ["2027-01-01"]).count() == 0
+    write_partitioned(add_lineage(spark.createDataFrame([("t",)], "a string"), "f.csv", "2026-01-04T06:00:00"), path)
+    with pytest.raises(ValueError, match="column a is bigint in _ingestion_date=2026-01-0[12] but string in _ingestion_date=2026-01-04"):
+        read_bronze(spark, path)
+
+
+def test_malformed_lines_in_quarantine(spark, tmp_path):
+    from stratum.plans.pipeline import read_quarantine
+
+    path, layout = tmp_path / "lines.csv", Layout(str(tmp_path / "lake"))
+    source = {"lines": Source(str(path), string_schema(["a", "b"]), "lines.csv")}
+
+    def land(text, day):
+        path.write_text(text)
+        return ingest_bronze(spark, source, layout, f"2026-01-0{day}T06:00:00", quarantine=True)[0][2:]
+
+    assert read_quarantine(spark, layout, "lines").count() == 0
+    assert land('a,b\n1,2\nshort\n"q,",3\nlong,2,3\n', 1) == (2, "partition_replaced", 2)
+    assert land("a,b\n5,6\nonly\n", 2) == (1, "partition_replaced", 1)
+
+    def held():
+        bad = {(r.line, str(r._ingestion_date)) for r in read_quarantine(spark, layout, "lines").collect()}
+        rows = {(r.a, r.b) for r in read_bronze(spark, layout.bronze("lines")).collect()}
+        return rows, bad
+    assert held() == ({("1", "2"), ("q,", "3"), ("5", "6")},
+                      {("short", "2026-01-01"), ("long,2,3", "2026-01-01"), ("only", "2026-01-02")})
+    # the date mended and landed again: its quarantine is empty, the other date's stays
+    assert land("a,b\n1,2\n", 1) == (1, "partition_replaced", 0)
+    assert held() == ({("1", "2"), ("5", "6")}, {("only", "2026-01-02")})
+    assert read_bronze(spark, layout.bronze("lines")).columns == ["a", "b", "_ingested_at", "_source_file", "_ingestion_date"]
+    assert os.listdir(tmp_path / "lake/_landing") == [] and read_quarantine(spark, layout, "lines", ["2026-01-01"]).count() == 0
