@@ -55,15 +55,26 @@ def total(expr: str) -> str:
     return f"CAST(SUM(CAST(CAST(CAST({expr} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,18))) AS DOUBLE)"
 
 
+#: as in :mod:`stratum.functions.checksum`
+_SCALE = ("CASE WHEN abs({x}) < 1.0 THEN 1e17 WHEN abs({x}) < 1e2 THEN 1e15 WHEN abs({x}) < 1e4 THEN 1e13 "
+          "WHEN abs({x}) < 1e6 THEN 1e11 WHEN abs({x}) < 1e8 THEN 1e9 WHEN abs({x}) < 1e12 THEN 1e5 "
+          "WHEN abs({x}) < 1e18 THEN 1e0 END")
+
+
 def checksum(columns: list[str]) -> str:
-    """Sum over rows of 32 bits of the md5 of each row's text."""
+    """Sum over rows of the first characters of the md5 of each row's text."""
     def text(c: str) -> str:
         number = f"TRY_CAST(CAST({c} AS VARCHAR) AS DOUBLE)"
-        places = f"CAST(TRY_CAST(floor({number} * 1000000 + 0.5) AS BIGINT) AS VARCHAR)"
-        return (f"COALESCE(CASE WHEN typeof({c}) = 'DOUBLE' AND abs({number}) < 1e12 THEN {places} "
-                f"ELSE CAST({c} AS VARCHAR) END, '~')")
+        scale = _SCALE.format(x=number)
+        places = (f"CAST(TRY_CAST(floor({number} * ({scale}) + 0.5) AS BIGINT) AS VARCHAR) || '/' || "
+                  f"CAST(CAST({scale} AS BIGINT) AS VARCHAR)")
+        plain = f"CAST({c} AS VARCHAR)"
+        return (f"COALESCE(CASE typeof({c}) WHEN 'DOUBLE' THEN {places} "
+                f"WHEN 'VARCHAR' THEN CAST(length({plain}) AS VARCHAR) || ':' || {plain} END, {plain}, '~')")
     row = f"concat_ws('|', {', '.join(text(c) for c in sorted(columns))})"
-    return f"COALESCE(CAST(SUM(CAST('0x' || substr(md5({row}), 1, 8) AS BIGINT)) AS VARCHAR), '0')"
+    high, low = ("SUM(CAST(" + " + ".join(f"ascii(substr(md5({row}), {at + i}, 1)) * {1 << 21 - 7 * i}" for i in range(4))
+                 + " AS BIGINT))" for at in (1, 5))
+    return f"COALESCE(CAST({high} * {1 << 28} + {low} AS VARCHAR), '0')"
 
 
 def total_mean(expr: str) -> str:

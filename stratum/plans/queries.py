@@ -59,6 +59,7 @@ from stratum.plans.pipeline import (
     run_pipeline,
     run_silver,
     silver_tables,
+    stage_bronze,
 )
 from stratum.plans.roles import (
     ROLE_BUILDERS,
@@ -524,12 +525,11 @@ def bronze_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("bronze_ingest_report")
 def bronze_ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land all nine sources (CSV -> lineage -> date partition) with row
-    counts and malformed lines observed during the writes, a checksum of what
-    then lies in bronze, and a grand total."""
+    counts, malformed lines and a checksum observed during the writes, and a grand
+    total."""
     base = new_path(spark, "ingest")
-    rows = ingest_bronze(spark, export_landing(spark, sf_dir, base), Layout(base), DAY1_TS)
-    held = _held(contents(bronze_tables(spark, Layout(base), [r[1] for r in rows])))
-    report = [(name, n, bad, held[name][1]) for _, name, n, _, bad in rows]
+    landed = stage_bronze(spark, export_landing(spark, sf_dir, base), Layout(base), DAY1_TS, summed=True)
+    report = [(name, x.publish()[1], x.malformed, x.checksum) for name, x in landed.items()]
     report.append(("TOTAL", sum(r[1] for r in report), sum(r[2] for r in report), None))
     return spark.createDataFrame(report, "table_name string, row_count bigint, malformed_rows bigint, checksum string")
 
@@ -842,13 +842,12 @@ def pipeline_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV landing -> bronze -> gate -> silver -> gate -> gold -> gate, with
     the source pipeline's suites. Gates run in ``continue`` mode so the
     report lists every layer; the gate outcome of each layer is joined onto
-    its table rows."""
+    its table rows. Checksums are of what each write wrote."""
     base = new_path(spark, "lake")
     report = run_pipeline(spark, export_landing(spark, sf_dir, base), base, DAY1_TS,
-                          on_failure="continue")
+                          on_failure="continue", summed=True)
     gates = {layer: (checks, failed) for layer, checks, failed in report.gates}
-    held = _held(contents(_stored(spark, Layout(base))))
-    rows = [(layer, name, n, action, *gates.get(layer, (0, 0)), held[f"{layer}.{name}"][1])
+    rows = [(layer, name, n, action, *gates.get(layer, (0, 0)), report.checksums[f"{layer}.{name}"])
             for layer, name, n, action in report.tables]
     return spark.createDataFrame(
         rows, "layer string, table_name string, row_count bigint, action string, "

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from stratum.functions.checksum import HALF, row_halves
 from stratum.session import new_path
 from stratum.sources.files import read_table, table_exists
 from stratum.sources.versions import (
@@ -38,9 +39,22 @@ class DuplicateKeyError(ValueError):
 
 def observed_write(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
     """Run ``write`` on ``df`` and return the number of rows it wrote."""
-    rows, df = observed(df, F.count(F.lit(1)))
-    write(df)
-    return rows()
+    return summed_write(df, write, False)[0]
+
+
+def summed_write(df: DataFrame, write: Callable[[DataFrame], None], summed: bool) -> tuple[int, str | None]:
+    """The same, with the checksum of the written rows where ``summed``: both are
+    taken by the write itself."""
+    obs = Observation()
+    measures = [F.count(F.lit(1)).alias("rows")]
+    if summed:
+        # columns, so that generated code makes them and the observer only adds
+        df = df.withColumns(dict(zip(("__high", "__low"), row_halves(df))))
+        measures += [F.sum("__high").alias("high"), F.sum("__low").alias("low")]
+    df = df.observe(obs, *measures)
+    write(df.drop("__high", "__low") if summed else df)
+    got = obs.get if obs._jo.getRow().length() else {"rows": 0}
+    return got["rows"], str((got.get("high") or 0) * HALF + (got.get("low") or 0)) if summed else None
 
 
 def observed(df: DataFrame, measure: Column) -> tuple[Callable[[], int], DataFrame]:
@@ -79,6 +93,8 @@ class Pending:
     commit: Commit | None
     action: str
     rows: int
+    #: of the whole table's published columns, where it was asked for and written whole
+    checksum: str | None = None
 
     def frame(self) -> DataFrame:
         if not self.commit:
@@ -98,12 +114,12 @@ class Pending:
 
 
 def _written(df: DataFrame, path: str, fmt: str, commit: Commit, action: str,
-             others: Sequence[str] = ()) -> Pending:
+             others: Sequence[str] = (), summed: bool = False) -> Pending:
     """Write ``df`` as a version that also keeps the folders ``others``."""
     spark = df.sparkSession
-    rows = observed_write(df, lambda d: write_folders(d, path, commit, fmt))
+    rows, total = summed_write(df, lambda d: write_folders(d, path, commit, fmt), summed and not others)
     folders = (*others, *written_folders(spark, path, commit))
-    return Pending(spark, path, fmt, replace(commit, folders=folders), action, rows)
+    return Pending(spark, path, fmt, replace(commit, folders=folders), action, rows, total)
 
 
 def _layout(df: DataFrame, path: str, partition_by: Sequence[str], keys: Sequence[str], buckets: int) -> Commit:
@@ -113,9 +129,10 @@ def _layout(df: DataFrame, path: str, partition_by: Sequence[str], keys: Sequenc
     return Commit(new_version(df.sparkSession, path), schema, tuple(partition_by), tuple(keys) if buckets else (), buckets, ())
 
 
-def prepare_overwrite(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> Pending:
+def prepare_overwrite(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (),
+                      summed: bool = False) -> Pending:
     """Full rewrite of a table, written once as a version to be published."""
-    return _written(df, path, fmt, _layout(df, path, partition_by, (), 0), "overwritten")
+    return _written(df, path, fmt, _layout(df, path, partition_by, (), 0), "overwritten", summed=summed)
 
 
 def overwrite(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> int:
@@ -200,12 +217,12 @@ def touched_folders(spark: SparkSession, frames: Sequence[DataFrame], commit: Co
 
 def prepare_upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
                    fmt: str = "parquet", partition_by: Sequence[str] = (), buckets: int = 0,
-                   newest_by: str | None = None, gone: DataFrame | None = None) -> Pending:
+                   newest_by: str | None = None, gone: DataFrame | None = None, summed: bool = False) -> Pending:
     """:func:`upsert` up to the written version, to be published after an audit."""
     keys = list(keys)
     single, check = one_row_a_key(source, keys)
     if not table_exists(spark, path, fmt):
-        made = _written(single, path, fmt, _layout(source, path, partition_by, keys, buckets), "created")
+        made = _written(single, path, fmt, _layout(source, path, partition_by, keys, buckets), "created", summed=summed)
         try:
             check()
         except DuplicateKeyError:
@@ -233,7 +250,7 @@ def prepare_upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequ
         if not held or not held.layout:
             target = read_commit(spark, path, held, fmt, hidden=True) if held else read_table(spark, path, fmt)
             layout = _layout(target, path, partition_by, keys, buckets)
-            return _written(merge_frames(target, source, keys, newest_by, gone), path, fmt, layout, "merged")
+            return _written(merge_frames(target, source, keys, newest_by, gone), path, fmt, layout, "merged", summed=summed)
         if held.buckets:
             looked = [f.select(*keys).withColumn(BUCKET, held.bucket()) for f in (source, gone) if f is not None]
         else:
@@ -245,7 +262,7 @@ def prepare_upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequ
         target = read_commit(spark, path, held, fmt, inside, hidden=True)
         return _written(merge_frames(target, source, keys, newest_by, gone), path, fmt,
                         replace(held, version=new_version(spark, path), folders=()), "merged",
-                        [f for f in held.folders if f not in set(inside)])
+                        [f for f in held.folders if f not in set(inside)], summed)
     finally:
         remove_path(spark, staged)
 

@@ -382,9 +382,11 @@ def test_malformed_lines_are_landed_and_counted(spark, tmp_path):
 def test_checksum_is_of_contents_not_of_order(spark):
     df = spark.createDataFrame([(1, "x", 0.1, None), (2, None, 2.5, True), (2, None, 2.5, True)],
                                "k int, s string, d double, b boolean")
-    rows = ["~|0.100000|1|x", "true|2.500000|2|~", "true|2.500000|2|~"]
-    texts = ["|".join([b, str(round(float(d) * 1e6)), k, s]) for b, d, k, s in (r.split("|") for r in rows)]
-    want = str(sum(int(hashlib.md5(t.encode()).hexdigest()[:8], 16) for t in texts))
+    rows = [(None, f"{10 ** 16}/{10 ** 17}", "1", "x"), ("true", f"{25 * 10 ** 14}/{10 ** 15}", "2", None)]
+    texts = ["|".join("~" if v is None else f"{len(v)}:{v}" if v in ("x",) else v for v in r) for r in (rows[0], rows[1], rows[1])]
+    halves = [[sum(ord(c) << 21 - 7 * i for i, c in enumerate(hashlib.md5(t.encode()).hexdigest()[at:at + 4])) for t in texts]
+              for at in (0, 4)]
+    want = str((sum(halves[0]) << 28) + sum(halves[1]))
     assert df.agg(checksum(df)).first()[0] == want
     moved = df.orderBy("d", ascending=False).select("s", "b", "d", "k").repartition(3)
     assert moved.agg(checksum(moved)).first()[0] == want
@@ -472,3 +474,27 @@ def test_malformed_lines_in_quarantine(spark, tmp_path):
     assert held() == ({("1", "2"), ("5", "6")}, {("only", "2026-01-02")})
     assert read_bronze(spark, layout.bronze("lines")).columns == ["a", "b", "_ingested_at", "_source_file", "_ingestion_date"]
     assert os.listdir(tmp_path / "lake/_landing") == [] and read_quarantine(spark, layout, "lines", ["2026-01-01"]).count() == 0
+
+
+def test_checksums_tell_texts_and_digits_apart(spark):
+    def of(rows, schema):
+        df = spark.createDataFrame(rows, schema)
+        return df.agg(checksum(df)).first()[0]
+    two = "a string, b string"
+    assert len({of([r], two) for r in (("x|1:y", None), ("x", "y"), ("~", "x"), (None, "x"), ("", "x"), ("x", ""))}) == 6
+    numbers = [0.5, 50.0, 0.1, 0.1 + 1e-16, 1e-9, 2e-9, 123.4567890123, 123.4567890124, 1e17, 1e18, 1e300, -0.5]
+    assert len({of([(x,)], "x double") for x in numbers}) == len(numbers)
+    df = spark.createDataFrame([(1, 2)], "k int, __landed int")
+    assert df.agg(checksum(df)).first()[0] == of([(1,)], "k int")
+
+
+def test_checksums_are_taken_by_the_write(spark):
+    from stratum.sources.sinks import prepare_overwrite, prepare_upsert
+
+    rows = spark.createDataFrame([(i, i / 3, None) for i in range(50)], "k int, v double, __landed int")
+    shown = rows.drop("__landed")
+    want = shown.agg(checksum(shown)).first()[0]
+    for made in (prepare_overwrite(rows, new_path(spark, "t-sum"), summed=True),
+                 prepare_upsert(spark, rows, new_path(spark, "t-sum"), ["k"], buckets=3, summed=True)):
+        assert (made.rows, made.checksum) == (50, want)
+    assert prepare_overwrite(rows.where("k < 0"), new_path(spark, "t-sum"), summed=True).checksum == "0"
