@@ -22,6 +22,7 @@ import re
 from array import array
 from functools import lru_cache
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField
@@ -231,12 +232,61 @@ class Utf8Stream:
         return rest.decode("utf-8", "replace")
 
 
-class Codec:
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        import regex
+@lru_cache(maxsize=1)
+def character_classes() -> dict[str, str]:
+    """Letters, numbers and white space (``L``, ``N``, ``s``) as the target library's
+    own tables have them, as the inside of a character class.
+
+    The library is asked, not another Unicode table: behind ``a``, ``1`` or ``!`` a
+    character's first byte merges with it, in a vocabulary that has these pairs, just if
+    the pattern takes both into one pre-token."""
+    import tiktoken
+
+    marks = {"L": "a", "N": "1", "other": "!"}
+    ranks = {bytes((b,)): b for b in range(256)}
+    for m in marks.values():
+        ranks |= {m.encode() + bytes((b,)): len(ranks) + b for b in range(256)}
+    probe = tiktoken.Encoding("probe", pat_str=r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+|\s+", mergeable_ranks=ranks, special_tokens={})
+    points = [*range(0xD800), *range(0xE000, 0x110000)]
+    sizes = np.array([len(chr(p).encode()) for p in (0, 0x80, 0x800, 0x10000)])[
+        np.searchsorted([0x80, 0x800, 0x10000], points, side="right")] + 2
+    starts = np.cumsum(sizes) - sizes
+    found, seen = {}, np.zeros(len(points), bool)
+    lengths = np.array([1] * 256 + [2] * (len(ranks) - 256))
+    for name, mark in marks.items():
+        tokens = lengths[probe.encode_to_numpy("".join([f"{mark}{chr(p)}\n" for p in points]))]
+        at = np.cumsum(tokens) - tokens
+        found[name] = tokens[np.searchsorted(at, starts)] == 2
+        seen |= found[name]
+    found["s"] = ~seen
+    out = {}
+    for name in ("L", "N", "s"):
+        own = np.array(points)[found[name]]
+        first = np.flatnonzero(np.diff(own, prepend=-2) > 1)
+        last = np.append(first[1:], len(own)) - 1
+        out[name] = "".join([f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(own[first].tolist(), own[last].tolist())])
+    return out
+
+
+def spelled_out(pattern: str, classes: dict[str, str]) -> str:
+    """A splitting pattern with its letters, numbers and white space written as ranges."""
+    out, inside = [], False
+    for part in re.findall(r"\\p\{[LN]\}|\\.|.", pattern, re.DOTALL):
+        name = {r"\p{L}": "L", r"\p{N}": "N", r"\s": "s", r"\S": "s"}.get(part)
+        if name and inside and part == r"\S":
+            raise ValueError(f"{pattern}: a negated class inside brackets")
+        if name:
+            part = classes[name] if inside else f"[^{classes[name]}]" if part == r"\S" else f"[{classes[name]}]"
+        elif part in "[]":
+            inside = part == "["
+        out.append(part)
+    return "".join(out)
+
 
+class Codec:
+    def __init__(self, ranks: dict[bytes, int], pattern: str, classes: dict[str, str] | None = None):
         self.transducer = MergeTransducer(ranks)
-        self.words = regex.compile(pattern)
+        self.words = re.compile(spelled_out(pattern, classes or character_classes()))
         self.bytes_of = {i: t for t, i in ranks.items()}
         self.chunks: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
@@ -275,19 +325,26 @@ class Codec:
         return "".join(self.decode_stream(ids))
 
 
-@lru_cache(maxsize=2)
-def codec(path: str, pattern: str) -> Codec:
-    made = Codec(load_ranks(path), pattern)
-    gc.freeze()  # the tables live as long as the worker: not worth scanning for cycles
-    gc.set_threshold(200_000, 20, 50)
-    return made
+_made: dict[tuple[str, str], Codec] = {}
+
+
+def codec(path: str, pattern: str, classes: dict[str, str]) -> Codec:
+    """A task's codec, kept as long as its worker lives."""
+    if (path, pattern) not in _made:
+        _made.clear()
+        _made[path, pattern] = Codec(load_ranks(path), pattern, classes)
+        gc.freeze()  # the tables live as long as the worker: not worth scanning for cycles
+        gc.set_threshold(200_000, 20, 50)
+    return _made[path, pattern]
 
 
 def encode_texts(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """``doc_id, ids``: the token ids of every whole text (null text: none)."""
+    classes = character_classes()
+
     def setup():
-        encode = codec(ranks_path, pattern).encode
+        encode = codec(ranks_path, pattern, classes).encode
         return lambda texts: [[encode(t) for t in texts]]
     return map_texts(df, setup, [StructField("ids", ArrayType(IntegerType()))], id_col, text_col)
 
@@ -297,8 +354,10 @@ def decode_ids(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_
     """``doc_id, text`` from id lists (null or empty list: empty text)."""
     source = df.select(F.col(id_col).alias("doc_id"), F.col(ids_col).alias("ids"))
 
+    classes = character_classes()
+
     def setup():
-        decode = codec(ranks_path, pattern).decode
+        decode = codec(ranks_path, pattern, classes).decode
         return lambda lists: [[decode(x or []) for x in lists]]
     return map_values(source, setup, [StructField("text", StringType())])
 
@@ -310,8 +369,10 @@ def round_trip(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_
 
     Null and empty texts have no tokens and the digests of nothing; repeated
     rows and null ids stay rows of their own; extra columns are not carried."""
+    classes = character_classes()
+
     def setup():
-        c = codec(ranks_path, pattern)
+        c = codec(ranks_path, pattern, classes)
         names = {i: str(i) for i in c.bytes_of}
 
         def digest(texts):

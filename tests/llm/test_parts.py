@@ -275,3 +275,23 @@ def test_toxicity_learns_pairs_that_tell_nothing_alone(spark):
     rows = made(400, 2)
     predicted = machine.scorer()([text for _, text, _ in rows])[1]
     assert np.mean([p == label for p, (*_, label) in zip(predicted, rows)]) > 0.9
+
+
+@pytest.mark.parametrize("context", ["{0}'ll", "a{0}1 {0}", " {0} x{0}'s"])
+def test_every_code_point_is_split_as_the_library_does(codec, context):
+    """All planes that hold characters, and every 97th of the others."""
+    import tiktoken
+
+    target = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=codec.transducer.ranks, special_tokens={})
+    points = [p for p in (*range(0x32400), *range(0xE0000, 0xE0200), *range(0x32400, 0x110000, 97)) if not 0xD800 <= p < 0xE000]
+    for i in range(0, len(points), 500):
+        text = "\n".join([context.format(chr(p)) for p in points[i:i + 500]])
+        assert codec.encode(text) == target.encode_ordinary(text)
+
+
+def test_patterns_are_spelled_out():
+    classes = {"L": "a-z", "N": "0-9", "s": " \\t"}
+    assert bpe.spelled_out(r" ?\p{L}+|[^\s\p{L}\p{N}]+|\s+(?!\S)|\\s\.", classes) == (
+        r" ?[a-z]+|[^ \ta-z0-9]+|[ \t]+(?![^ \t])|\\s\.")
+    with pytest.raises(ValueError, match="inside brackets"):
+        bpe.spelled_out(r"[\S]", classes)
