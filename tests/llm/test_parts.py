@@ -169,30 +169,84 @@ def test_intervals_and_most_specific_entry(spark):
     assert {r.page_id: r.blocked for r in got.collect()} == {n: b for n, (_, _, b) in enumerate(urls)}
 
 
+def _made_model(rng, words=300, rare=0):
+    from stratum.llm import language_model as lm
+
+    names = [f"w{i}".encode() for i in range(words)]
+    counts = np.sort(rng.integers(2, 4000, words))[::-1]
+    v = lm.Vocabulary(np.array([lm.word_hash(w) for w in names]), counts, int(counts.sum()) + rare, words + rare)
+    hashes = np.array([lm.word_hash(f"r{i}".encode()) for i in range(rare)], np.int64).view(np.uint64)
+    masses = np.bincount((hashes & np.uint64((1 << 18) - 1)).astype(np.int64), np.full(rare, 2.0), 1 << 18)
+    return lm.empty_model(v, lm.classes_of(v, rng.integers(0, lm.KINDS + 1, words)), masses), hashes
+
+
 def test_language_model_probabilities_sum_to_one():
+    """Class, share and pair weights together: over all words after the same two words."""
     from stratum.llm import language_model as lm
 
     rng = np.random.default_rng(8)
-    words = [f"w{i}".encode() for i in range(300)]
-    counts = np.sort(rng.integers(1, 4000, 300))[::-1]
-    v = lm.Vocabulary(np.array([lm.word_hash(w) for w in words]), counts, int(counts.sum()), 300)
-    texts = [rng.integers(0, 300, 40) for _ in range(50)]
-    m = lm.empty_model(v, lm.find_classes(v, texts), lm.word_kinds(v, texts, lm.FINER_KINDS, 5))
+    m, rare = _made_model(rng, 300, 40)
     m.weights[:] = rng.normal(0, 0.5, m.weights.shape)
-    # every word, and the class of the rest, after the same two words
-    flat = np.concatenate([[3, 5, w] for w in range(301)]).astype(np.int32)
-    both = m.text_scores(flat, np.full(301, 3))
-    before = m.text_scores(np.tile([3, 5], 301).astype(np.int32), np.full(301, 2))
-    assert (10 ** (both - before)).sum() == pytest.approx(1.0, abs=1e-5)
-    # words alone in their place of a class, and words that share one
-    assert ((m.slot[:300] >= 0) & (m.within[:300] == 0)).any() and ((m.slot[:300] >= 0) & (m.within[:300] < 0)).any()
+    hashes = np.append(m.vocabulary.hashes.view(np.uint64), rare)
+    words = np.concatenate([[3, 5, w] for w in range(340)])
+    numbers, sizes = np.minimum(words, 300).astype(np.int32), np.full(340, 3)
+    keys = lm.pair_keys(hashes[words], numbers, sizes, m.classes)
+    last = np.arange(2, len(words), 3)
+    unique = np.unique(keys)
+    n = np.where(np.isin(unique, keys[last]) & (rng.random(len(unique)) < 0.3), rng.integers(1, 50, len(unique)), 0)
+    logs = dict(zip(unique.tolist(), lm.fitted(unique, n, m.share).tolist()))
+    log_p = m.token_scores(numbers, sizes)[last] + [logs[k] for k in keys[last].tolist()]
+    log_p[300:] += np.log(2.0 / m.rare_total)  # words without a number, each seen once
+    unknown = m.token_scores(np.array([3, 5, 300], np.int32), np.array([3]))[2] - np.log(m.rare_total)
+    left = [logs[k] for k in keys[last][300:].tolist()]  # what the words without a weight have lost to the others
+    assert np.exp(log_p).sum() + np.exp(unknown + min(left)) == pytest.approx(1.0, abs=1e-5)
+    assert (n > 0).sum() > 50
+
+
+def test_language_model_weights_maximise_the_counts():
+    """The gradient is zero, and weights that differ from 0 are those of pairs that occur."""
+    from stratum.llm import language_model as lm
+
+    rng = np.random.default_rng(4)
+    share = np.zeros(1 << lm.ITEM_BITS)
+    share[:40] = rng.dirichlet(np.ones(40))
+    groups = np.repeat(np.arange(1, 9, dtype=np.uint64), 40)
+    keys = (groups << np.uint64(lm.ITEM_BITS)) | np.tile(np.arange(40, dtype=np.uint64), 8)
+    n = np.where(rng.random(320) < 0.4, rng.integers(1, 60, 320), 0)
+    n[:40] = 0  # a group that is only asked for
+    old, lm.FIT_STEPS = lm.FIT_STEPS, 60
+    try:
+        got = lm.fitted(keys, n, share)
+    finally:
+        lm.FIT_STEPS = old
+    assert (got[:40] == 0).all()
+    for g in range(1, 8):
+        part, c = got[40 * g:40 * g + 40], n[40 * g:40 * g + 40]
+        p = share[:40] * np.exp(part)
+        assert p.sum() == pytest.approx(1)
+        log_z = -part[c == 0][0]  # pairs without a weight have the normaliser alone
+        assert (part[c == 0] == -log_z).all()
+        assert c[c > 0] - c.sum() * p[c > 0] == pytest.approx((part[c > 0] + log_z) / lm.VARIANCE, abs=1e-5)
+    soon = lm.fitted(keys, n, share)
+    assert np.abs(soon - got).max() < 0.05  # the steps that are taken come near
+
+
+def test_language_model_messages_keep_their_numbers():
+    from stratum.llm import language_model as lm
+
+    x = np.random.default_rng(0).normal(0, 6, 999)
+    assert lm._unpacked_logs(lm._packed_logs(x)) == pytest.approx(x, abs=2.0 ** -19)
+    for n, width in ((np.array([0, 1, (1 << 40) - 1]), 5), (np.array([0, 7, (1 << 32) - 1]), 4)):
+        assert (lm._from_planes(lm._planes(n, width), width) == n).all()
+    keys = np.array([1 << 63, (1 << 64) - 1, 5], np.uint64)
+    assert (lm._from_planes(lm._planes(keys, 8), 8).view(np.uint64) == keys).all()
 
 
 def test_language_model_sees_three_words_back():
     from stratum.llm import language_model as lm
 
     classes = np.arange(20, dtype=np.int32) % lm.CLASSES
-    one, other = (lm.contexts(np.array([a, 2, 3, 4], np.int32), np.array([4]), classes)[0] for a in (1, 5))
+    one, other = (lm.contexts(np.array([a, 2, 3, 4], np.int32), np.array([4]), classes) for a in (1, 5))
     assert (one[:, 3] != other[:, 3]).sum() == 1  # the third back alone
     assert lm.CLASSES == 58
 
@@ -227,36 +281,47 @@ def test_language_model_counts_all_contexts(spark, monkeypatch):
     got = {r.doc_id: r for r in lm.language_model_scores(docs).collect()}
     assert got[out[0]].held_out and got[out[1]].held_out
     assert got[out[0]].score > got[out[1]].score + 0.5
-    # a training text: without itself in the counts, so near to a held-out one
     assert got[None].score == pytest.approx(got[out[0]].score, abs=0.1)
 
 
-def test_language_model_counts_by_hand(spark, monkeypatch):
-    from stratum.llm import language_model as lm
+@pytest.mark.parametrize("most,chunk,bits", [(2000, 1 << 21, 4), (50, 3000, 6), (1, 700, 4), (1 << 18, 5000, 5)])
+def test_language_model_equals_a_plain_version(spark, monkeypatch, docs, most, chunk, bits):
+    """Counts of all words, numbered or not, in texts to learn from and held out, and the
+    scores from pairs counted by hand, whatever chunks and blocks they pass through."""
+    import math
 
-    monkeypatch.setattr(lm, "CHUNK", 5)
-    asked = []
-    monkeypatch.setattr(lm, "context_counts", lambda t, v, b, f=lm.context_counts: asked.append((f(t, v, b), b)) or asked[0][0])
-    texts = ["a b a b", "a b c", "c a b", "", "a"]
-    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 7 != 2][:5]
-    lm.language_model_scores(spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")).collect()
-    words = [[np.uint64(lm.word_hash(w) % (1 << 64)) for w in lm.split_words(t)] for t in texts]
-    after = Counter(int(k) for w in words for k in lm.keys_of(np.array(w), np.zeros(0, int), np.array([len(w)])).counted(np.array([0])) for k in k)
-    rows, bits = asked[0][0].collect(), asked[0][1]
-    got = {k: n for r in rows for k, n in zip(*(x.tolist() for x in lm._unpacked(r.bucket, r["keys"], r.n)))}
-    seen = {k >> 16 - bits: n for k, n in after.items()}
-    assert {k: seen[k] for k in got} == got and got.keys() >= {k for k, n in seen.items() if n > 1}
-    pair = int(lm._key(np.array([words[0][0]]), np.array([words[0][1]]), 1)[0])
-    assert after[pair] == 4  # a b
-
-
-def test_language_model_interpolation_sums_to_one():
     from stratum.llm import language_model as lm
 
-    rng = np.random.default_rng(1)
-    n = [rng.integers(0, 9, 50) for _ in range(3)]
-    p = lm.interpolated(rng.dirichlet(np.ones(50)), [(x, np.full(50, x.sum())) for x in n])
-    assert p.sum() == pytest.approx(1.0)
+    monkeypatch.setattr(lm, "MAX_WORDS", most)
+    monkeypatch.setattr(lm, "CHUNK", chunk)
+    monkeypatch.setattr(lm, "block_bits", lambda spark, tokens: bits)
+    made = []
+    monkeypatch.setattr(lm, "train", lambda *a, f=lm.train: made.append(f(*a)) or made[0])
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in lm.language_model_scores(frame).collect()}
+    words = {i: lm.split_words(t) for i, t in docs.items()}
+    learn = {i for i in docs if zlib.crc32(str(i).encode()) % 7 != 2}
+    c = Counter(w for i in learn for w in words[i])
+    total, kinds = sum(c.values()), len(c)
+    m = made[0]
+    numbered = len(m.vocabulary.hashes)
+    assert numbered <= most and m.vocabulary.words == kinds
+    hashes = {w: np.int64(lm.word_hash(w)).view(np.uint64) for ws in words.values() for w in ws}
+    keys = {i: lm.pair_keys(np.array([hashes[w] for w in words[i]]), m.vocabulary.numbers(words[i]), np.array([len(words[i])]),
+                            m.classes).tolist() for i in docs}
+    pairs = Counter(k for i in learn for k in keys[i])  # the end is alone in its class, if it has a number
+    every = np.array(sorted({k for ks in keys.values() for k in ks}), np.uint64)
+    logs = dict(zip(every.tolist(), lm.fitted(every, np.array([pairs[k] for k in every.tolist()]), m.share)))
+    for i, ws in words.items():
+        r = got[i]
+        assert (r.held_out, r.n_tokens, r.train_tokens) == (i not in learn, len(ws), total)
+        assert r.n_known == sum(w in c for w in ws)
+        assert r.base_score == pytest.approx(sum(math.log10((c[w] + 1) / (total + kinds + 1)) for w in ws), rel=1e-9)
+        score = m.token_scores(m.vocabulary.numbers(ws), np.array([len(ws)]))
+        for k, (w, n) in enumerate(zip(ws, m.vocabulary.numbers(ws))):
+            score[k] += 0 if m.classes[n] == lm.CLASSES - 2 else logs[keys[i][k]]
+            score[k] += math.log((c[w] + 1) / m.rare_total) if n == numbered else 0
+        assert r.score == pytest.approx(score.sum() / math.log(10), abs=1e-3)
 
 
 def test_toxicity_learns_pairs_that_tell_nothing_alone(spark):
