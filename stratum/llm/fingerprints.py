@@ -19,9 +19,9 @@ from functools import lru_cache
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from stratum.llm.common import map_texts, table, texts_of
 
@@ -101,7 +101,7 @@ class Hasher:
         before = np.roll(h, 1)
         before[np.flatnonzero(np.diff(home, prepend=home[0] + np.uint64(1)))] = 0  # pairs don't cross paragraphs
         pair = mixed(h ^ (before * MIX + (before >> np.uint64(29))))
-        short = [(k, g) for k, ws in enumerate(split) if len(ws) < SHORT for g in trigrams(ws)]
+        short = [(k, g) for k, ws in enumerate(split) if 0 < len(ws) < SHORT for g in trigrams(ws)]
         if short:
             pair = np.append(pair, mixed(np.array([xxhash.xxh64_intdigest(g, 7) for _, g in short], np.uint64)))
             home = np.append(home, np.array([k for k, _ in short], np.uint64))
@@ -140,38 +140,59 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return map_texts(df, setup, [StructField("fingerprint", StringType())], id_col, text_col)
 
 
+#: sampled keys for each range
+KEYS_A_RANGE = 50
+
+
+def _range_of(key: Column, cuts: list[Column]) -> Column:
+    """How many of the ascending ``cuts`` are below ``key``: first among every
+    so-manieth of them, then among those between."""
+    if not cuts:
+        return F.lit(0)
+    step = int(len(cuts) ** 0.5) + 1
+    groups = [cuts[i:i + step] for i in range(0, len(cuts), step)]
+
+    def below(some: Column) -> Column:
+        return F.aggregate(some, F.lit(0), lambda n, c: n + F.when(key > c, 1).otherwise(0))
+    coarse = below(F.array(*[g[0] for g in groups]))  # the group that ends below the key
+    rest = F.array(*[F.array(*g) for g in groups])
+    return F.when(coarse == 0, 0).otherwise((coarse - 1) * step + below(F.get(rest, coarse - 1)))
+
+
 def with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-              ranges: int | None = None) -> tuple[DataFrame, object]:
-    """Rows dealt to contiguous ranges of ascending ids; the first row of each
-    range also ends the range before (``tail``), so a range has the followers of
-    all its rows. Also the smallest id. One row per range passes the driver."""
+              ranges: int | None = None) -> DataFrame:
+    """``doc_id, text, h, row, range, tail``: rows dealt to contiguous ranges of ascending
+    keys, and for each range a ``tail``: the first text of the next range that holds rows, of
+    the last range that of the first.
+
+    A key is the id (null ones first), a hash of the text and the row's number, so rows that share
+    an id, or are equal, are dealt to several ranges as well. Cuts come from a sample of
+    KEYS_A_RANGE keys a range, over all rows by a hash; the driver holds these, and one
+    id and hash a range."""
     spark = df.sparkSession
-    rows = texts_of(df, id_col, text_col)
-    ranges = ranges or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    share = [i / ranges for i in range(1, ranges)]
-    cuts = rows.agg(F.percentile_approx("doc_id", share, 10_000)).first()[0] if share else None
-    cuts = sorted(set(cuts or []))
-    at = F.lit(0)
-    if cuts:
-        at = F.aggregate(F.array(*[F.lit(c) for c in cuts]), F.lit(0),
-                         lambda n, c: n + F.coalesce((F.col("doc_id") > c).cast("int"), F.lit(0)))
-    rows = rows.withColumn("range", at)
-    first = {r["range"]: r for r in rows.groupBy("range").agg(
-        F.min(F.struct(F.col("doc_id").isNotNull().alias("some"), "doc_id")).alias("first")).collect()}
-    order = sorted(first)
-    before = {b: a for a, b in zip(order, order[1:])}
-    # ties of the first id stand in the same range: all of its rows go along, the smallest text counts
-    ids = [first[r]["first"]["doc_id"] if r in first else None for r in range(ranges)]
+    rows = texts_of(df, id_col, text_col).withColumns({"h": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
     id_type = rows.schema["doc_id"].dataType
-    first_id = F.element_at(F.array(*[F.lit(i).cast(id_type) for i in ids]), F.col("range") + 1)
-    previous = F.element_at(F.array(*[F.lit(before.get(r)).cast("int") for r in range(ranges)]), F.col("range") + 1)
-    heads = F.when(previous.isNotNull() & F.col("doc_id").eqNullSafe(first_id),
-                   F.array(previous)).otherwise(F.array().cast("array<int>"))
-    own = F.struct(F.col("range").alias("range"), F.lit(False).alias("tail"))
-    also = F.transform(heads, lambda a: F.struct(a.alias("range"), F.lit(True).alias("tail")))
-    dealt = (rows.select("doc_id", "text", F.explode(F.concat(F.array(own), also)).alias("to"))
-             .select("doc_id", "text", "to.range", "to.tail"))
-    return dealt, first[order[0]]["first"]["doc_id"] if order else None
+    ranges = ranges or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    key = F.struct(F.col("doc_id").isNotNull().alias("some"), "doc_id", "h", "row")
+    share = min(1.0, KEYS_A_RANGE * ranges / max(1, rows.count()))
+    place = F.xxhash64("doc_id", "h", "row").cast("double") / F.lit(2.0 ** 64) + 0.5
+    keys = [r.key for r in rows.where(place < share).select(key.alias("key")).orderBy("key").collect()]
+    chosen = [keys[i * len(keys) // ranges] for i in range(1, ranges)] if keys else []
+    cuts = [F.struct(F.lit(k.some).alias("some"), F.lit(k.doc_id).cast(id_type).alias("doc_id"),
+                     F.lit(k.h).alias("h"), F.lit(k.row).alias("row")) for k in dict.fromkeys(chosen)]
+    dealt = rows.withColumn("range", _range_of(key, cuts))
+    heads = sorted((r.range, r.head) for r in dealt.groupBy("range").agg(
+        F.min(F.struct(F.col("doc_id").isNotNull().alias("some"), "doc_id", "h")).alias("head")).collect())
+    if not heads:
+        return dealt.withColumn("tail", F.lit(False))
+    follow = [(at, head.doc_id, head.h) for (at, _), (_, head) in zip(heads, [*heads[1:], heads[0]])]
+    asked = F.broadcast(spark.createDataFrame(follow, StructType([  # a row for each range
+        StructField("to", IntegerType()), StructField("id", id_type), StructField("hash", LongType())])))
+    tails = (rows.join(asked, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("h") == F.col("hash")))
+             .groupBy("to", "id", "hash").agg(F.first("text").alias("text")))
+    return dealt.withColumn("tail", F.lit(False)).unionByName(tails.select(
+        F.col("id").alias("doc_id"), "text", F.col("hash").alias("h"), F.lit(0).cast("long").alias("row"),
+        F.col("to").alias("range"), F.lit(True).alias("tail")))
 
 
 def edited_neighbours(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -180,14 +201,13 @@ def edited_neighbours(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     code points, rounded down) replaced by as much of the next document's start.
 
     ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
-    near_edited, near_next``. Next is by ascending id, then text; after the last
+    near_edited, near_next``. Next is by ascending id, of any type that sorts, then by a
+    hash of the text; after the last
     comes the first. A null text is empty; null ids come first; repeated rows
     follow one another as rows of their own; a single row is its own next; an
     empty table gives an empty result; extra columns are not carried."""
-    dealt, first_id = with_next(df, id_col, text_col, ranges)
-    source = texts_of(df, id_col, text_col)
-    wrap_text = source.where(F.col("doc_id").eqNullSafe(F.lit(first_id))).agg(F.min("text")).first()[0] or ""
-    schema = StructType([source.schema["doc_id"], StructField("n_chars", LongType()),
+    dealt = with_next(df, id_col, text_col, ranges)
+    schema = StructType([dealt.schema["doc_id"], StructField("n_chars", LongType()),
                          StructField("edited_sha256", StringType()), StructField("fingerprint", StringType()),
                          StructField("edited_fingerprint", StringType()),
                          StructField("near_edited", DoubleType()), StructField("near_next", DoubleType())])
@@ -214,22 +234,15 @@ def edited_neighbours(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
         for batch in batches:
             rows = []
             for doc_id, text, at, tail in zip(*(c.to_pylist() for c in batch.columns)):
-                if tail and held_range != at:
-                    continue  # more rows of the same first id
                 now = (doc_id, text, h.text(text))
-                if held is not None and held_range != at:
-                    rows.append(line(held, (None, wrap_text, h.text(wrap_text))))
-                    held = None
-                if held is not None:
+                if held is not None and held_range == at:
                     rows.append(line(held, now))
-                held, held_range = (None, None) if tail else (now, at)
+                held, held_range = (None, None) if tail else (now, at)  # each range ends with its tail
             yield out(rows)
-        if held is not None:  # the very last row
-            yield out([line(held, (None, wrap_text, h.text(wrap_text)))])
 
     sorted_rows = (dealt.repartition("range")
-                   .sortWithinPartitions("range", "tail", F.col("doc_id").asc_nulls_first(), "text"))
-    return sorted_rows.mapInArrow(run, schema)
+                   .sortWithinPartitions("range", "tail", F.col("doc_id").asc_nulls_first(), "h", "row"))
+    return sorted_rows.select("doc_id", "text", "range", "tail").mapInArrow(run, schema)
 
 
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -360,3 +360,90 @@ def test_patterns_are_spelled_out():
         r" ?[a-z]+|[^ \ta-z0-9]+|[ \t]+(?![^ \t])|\\s\.")
     with pytest.raises(ValueError, match="inside brackets"):
         bpe.spelled_out(r"[\S]", classes)
+
+
+def _plain_fingerprint(text):
+    """A text's fingerprint from its definition, word by word: the sum of a keyed hash of each
+    paragraph, and of signed counts of its distinct neighbouring pairs and, where short, trigrams."""
+    import hashlib
+
+    import xxhash
+
+    mask, mix = (1 << 64) - 1, 0x9E3779B97F4A7C15
+
+    def mixed(x):
+        x = x * mix & mask
+        x ^= x >> 32
+        return x * mix & mask
+
+    equal, like = [0] * 8, [0] * 192
+    for n, part in enumerate(text.split("\n")):
+        digest = hashlib.blake2b(part.encode(), digest_size=64).digest()
+        for k in range(8):
+            equal[k] = equal[k] + int.from_bytes(digest[8 * k:8 * k + 8], "little") & mask
+        words, before, found = part.split(), 0, set()
+        for w in words:
+            h = xxhash.xxh64_intdigest(w.encode())
+            found.add(mixed(h ^ (before * mix & mask) + (before >> 29) & mask))
+            before = h
+        if words and len(words) < 8:
+            line = " ".join(words)
+            found |= {mixed(xxhash.xxh64_intdigest(line[i:i + 3].encode(), 7)) for i in range(max(1, len(line) - 2))}
+        for x in found:
+            like[(x >> 40) % 192] += 1 - 2 * (x >> 39 & 1)
+    return b"".join(x.to_bytes(8, "little") for x in equal).hex() + b"".join(x.to_bytes(4, "little", signed=True) for x in like).hex()
+
+
+def test_fingerprints_from_their_definition(docs):
+    h = fingerprints.Hasher()
+    for text in ["", "one", "a b\n\n a  b \nb a", "Ünï 漢字 🙂\nx", *list(docs.values())[:25]]:
+        assert h.text(text).hex() == _plain_fingerprint(text)
+
+
+def _followers(rows):
+    """Next texts by id (null first), then a hash of the text, by sorting all rows."""
+    import xxhash
+
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] if r[0] is not None else 0,
+                                        np.uint64(xxhash.xxh64_intdigest(r[1].encode(), 42)).astype(np.int64)))
+    return [(a, b[1]) for a, b in zip(order, [*order[1:], order[0]])]
+
+
+@pytest.mark.parametrize("kind", ["numbers", "texts"])
+def test_next_documents_with_hot_ids(spark, kind):
+    """A third of the rows share an id, a third have none, one text stands many times; ids of any type."""
+    import hashlib
+
+    rows = [(7 if i % 3 == 0 else None if i % 3 == 1 else i, "same text" if i % 5 == 0 else f"text of {i}\nand more {i * 7}")
+            for i in range(600)]
+    if kind == "texts":
+        rows = [(None if i is None else f"id {i:05d}", t) for i, t in rows]
+    frame = spark.createDataFrame(rows, "doc_id long, text string" if kind == "numbers" else "doc_id string, text string")
+    dealt = fingerprints.with_next(frame.repartition(4), ranges=12)
+    sizes = [r["count"] for r in dealt.where("NOT tail").groupBy("range").count().collect()]
+    assert len(sizes) > 8 and max(sizes) < 150 and dealt.where("tail").count() == len(sizes)
+    got = fingerprints.edited_neighbours(frame.repartition(4), ranges=12).collect()
+    want = Counter()
+    for (doc_id, text), after in _followers(rows):
+        half = len(text) // 2
+        want[doc_id, hashlib.sha256((text[:len(text) - half] + after[:half]).encode()).hexdigest()] += 1
+    assert Counter((r.doc_id, r.edited_sha256) for r in got) == want
+
+
+def test_range_of_a_key(spark):
+    from pyspark.sql import functions as F
+
+    for n in (0, 1, 2, 5, 17, 40):
+        cuts = [3 * i for i in range(n)]
+        got = spark.range(-2, 130).select("id", fingerprints._range_of(F.col("id"), [F.lit(c) for c in cuts]).alias("at"))
+        assert [r.at for r in got.orderBy("id").collect()] == [sum(x > c for c in cuts) for x in range(-2, 130)]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["", " ", "a", "a b", "one two three", "x " * 9]), max_size=6), st.integers(0, 40),
+       st.sampled_from(["", "\n", "a\n\nb", "new words"]))
+def test_edits_are_sums(lines, keep, new):
+    h, text = fingerprints.Hasher(), "\n".join(lines)
+    mark, edited = h.replaced(h.text(text), text, min(keep, len(text)), new)
+    assert mark.hex() == h.text(edited).hex()
+    assert sum((h.paragraphs([p]) for p in text.split("\n")), fingerprints.Multiset()).hex() == h.text(text).hex()
