@@ -30,6 +30,13 @@ def staged(df: DataFrame, purpose: str, compression: str = "snappy") -> DataFram
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column has it."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def texts_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, text)`` with null texts as empty ones; other columns are left out,
     so names that clash with an operator's results can't disturb it."""

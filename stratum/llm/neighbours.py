@@ -1,7 +1,8 @@
 """Approximate nearest neighbours by a small-world graph per shard.
 
 Equal vectors are merged first (a vector a third of all rows share is one
-node). Distinct vectors are dealt to shards of bounded size. Each shard builds
+node). Distinct vectors are dealt to about as many shards as there are cores, to
+more where a shard would outgrow a task's memory. Each shard builds
 a hierarchical navigable small-world graph: every node links to near but
 mutually distant others, a random few also on sparser upper levels; links are
 flat integer arrays. A query walks greedily down the levels and searches the
@@ -22,8 +23,9 @@ from pyspark.sql import functions as F
 
 from stratum.llm.common import staged, table
 
-#: distinct vectors of a shard, queries of a block: bound a task's memory
-SHARD_ROWS = 6_000
+#: distinct vectors of a shard: at least so many, as more shards mean more searches for each
+#: query, and at most so many, which with BLOCK_ROWS queries bounds a task's memory
+SHARD_ROWS, MOST_ROWS = 6_000, 1 << 17
 BLOCK_ROWS = 512
 LINKS = 16
 BUILD_LIST, SEARCH_LIST = 80, 160
@@ -193,18 +195,26 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & fine & F.exists(vector, lambda x: x != 0)
 
 
+def shards_for(n: int, cores: int, least: int = SHARD_ROWS, most: int = MOST_ROWS) -> int:
+    """A shard for each core, of ``least`` vectors or more; further ones only where a shard
+    would hold more than ``most``. Every query is searched in every shard, so shards that
+    grow with the table keep the searches in proportion to the queries."""
+    return max(1, min(-(-n // least), cores), -(-n // most))
+
+
 _GRAPHS = "dim int, shard int, vectors binary, ids binary, graph binary"
 
 
-def build_graphs(vectors: DataFrame, per_vector: int, shard_rows: int = SHARD_ROWS) -> tuple[DataFrame, int]:
+def build_graphs(vectors: DataFrame, per_vector: int, shard_rows: int | None = None) -> tuple[DataFrame, int]:
     """One graph per shard of ``vectors(vec_id, embedding)``: ``dim, shard, vectors``
     (32-bit floats), ``ids`` (the ``per_vector`` smallest of each) and ``graph``;
-    also the number of shards."""
+    also the number of shards (``shard_rows``: of that many vectors each). A shard is built in a task of its own."""
     order = Window.partitionBy("embedding").orderBy("vec_id")
     merged = staged(vectors.distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_vector)
                     .groupBy("embedding").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
                     .withColumn("dim", F.size("embedding")), "vectors")
-    shards = -(-merged.count() // shard_rows) or 1
+    n = merged.count()
+    shards = -(-n // shard_rows) or 1 if shard_rows else shards_for(n, vectors.sparkSession.sparkContext.defaultParallelism)
 
     def build(group: pa.Table) -> pa.Table:
         ids = group.column("ids").to_pylist()
@@ -219,7 +229,7 @@ def build_graphs(vectors: DataFrame, per_vector: int, shard_rows: int = SHARD_RO
                          "graph": [Graph(units(own)).flat()]})
 
     return staged(merged.withColumn("shard", F.pmod(F.xxhash64("embedding"), F.lit(shards)).cast("int"))
-                  .groupBy("dim", "shard").applyInArrow(build, _GRAPHS), "graphs"), shards
+                  .repartitionByRange(shards, "shard").groupBy("dim", "shard").applyInArrow(build, _GRAPHS), "graphs"), shards
 
 
 _BLOCKS = "dim int, block int, ids binary, vectors binary"
@@ -241,7 +251,7 @@ def query_blocks(queries: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
 
 
 def nearest(table_: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding",
-            shard_rows: int = SHARD_ROWS, search_list: int = SEARCH_LIST) -> DataFrame:
+            shard_rows: int | None = None, search_list: int = SEARCH_LIST) -> DataFrame:
     """The ``k`` nearest found of all rows for each row that ``queries`` selects:
     ``query_id, rank, vec_id, score`` (cosine in double precision).
 

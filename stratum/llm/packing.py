@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from stratum.llm.common import explode_texts, staged, table
+from stratum.llm.common import explode_texts, staged, table, unused
 
 #: pieces a shard may hold: its packing runs in one task's memory
 SHARD_PIECES = 60_000
@@ -148,7 +148,8 @@ def pack(pieces: DataFrame, capacity: int = 2048, shard_pieces: int = SHARD_PIEC
     spread evenly; the number of shards follows the number of rows."""
     rows = staged(pieces, "pack-pieces")
     shards = -(-rows.count() // shard_pieces) or 1
-    dealt = rows.withColumn("__shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)))
+    in_shard, in_row = unused(rows, "shard"), unused(rows, "row")
+    dealt = rows.withColumn(in_shard, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)))
     out = StructType([*rows.schema.fields, StructField("sequence_id", LongType()),
                       StructField("offset", LongType())])
     names = [f.name for f in rows.schema.fields]
@@ -157,14 +158,14 @@ def pack(pieces: DataFrame, capacity: int = 2048, shard_pieces: int = SHARD_PIEC
         import pyarrow as pa
 
         # rows arrive in any order: a fixed one makes a repeated task give the same places
-        group = group.sort_by([("__row", "ascending")])
+        group = group.sort_by([(in_row, "ascending")])
         seq, off = pack_lengths(group.column("length").to_numpy().astype(np.int64), capacity)
-        shard = group.column("__shard")[0].as_py()
+        shard = group.column(in_shard)[0].as_py()
         return (group.select(names).append_column("sequence_id", pa.array(seq + shard * ID_BLOCK, pa.int64()))
                 .append_column("offset", pa.array(off, pa.int64())))
 
-    return (dealt.withColumn("__row", F.monotonically_increasing_id())
-            .groupBy("__shard").applyInArrow(place, out))
+    return (dealt.withColumn(in_row, F.monotonically_increasing_id())
+            .groupBy(in_shard).applyInArrow(place, out))
 
 
 def pack_texts(df: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0,

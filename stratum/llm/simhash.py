@@ -166,6 +166,16 @@ def block_masks(most: int, blocks: int | None = None) -> list[int]:
     return [m - (1 << BITS) if m >> (BITS - 1) else m for m in masks]
 
 
+def blocks_for(n: int, most: int) -> int:
+    """Blocks for ``n`` distinct fingerprints: the fewest by which a list holds a run's
+    rows at most, were the fingerprints evenly spread. The result is the same for any
+    number; lists of few bits grow with the table, and what is compared in them with its square."""
+    for blocks in range(most + 1, 2 * most + 2):
+        if n <= RUN << (BITS * (blocks - most) // blocks):
+            return blocks
+    return 2 * most + 2
+
+
 _FOUND = "a long, b long, list int, value long, shared long, pattern long, members binary"
 
 
@@ -251,6 +261,7 @@ def simhash_groups(df: DataFrame, words: int = 4, most: int = 4, blocks: int | N
 
     docs = staged(map_texts(df, setup, [StructField("fp", LongType())], id_col, text_col), "simhash-docs")
     distinct = staged(docs.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
+    blocks = blocks or blocks_for(distinct.count(), most)
     roots = components(hamming_links(distinct.select("fp"), most, blocks))
     # both written, so that the last join may split a large group's rows
     rooted = staged(distinct.join(roots, F.col("fp") == F.col("node"), "left")

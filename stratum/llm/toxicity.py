@@ -2,10 +2,11 @@
 
 Terms are a text's distinct lower-case words and their first letters (so that
 other endings of a known stem count too), as 64-bit hashes. Terms in too few
-training texts are left out; the rest, up to a bound the most frequent, gets
-factors each, as a pair may tell what neither term does. Terms whose share among
-toxic texts is beyond chance get a weight too and are fitted first, so that the
-others only learn what those leave open. A score adds the weights of a text's terms
+training texts are left out; each of the rest gets a weight and factors, as a pair
+may tell what neither term does. Terms whose share among
+toxic texts is beyond chance are fitted first, in larger steps, so that the
+others only learn what those leave open. Scores are brought to probabilities by a line
+through the scores of a part of the training texts, from a machine fitted without them. A score adds the weights of a text's terms
 and, for every pair of them, the product of their factors, which is linear to
 compute: half of the squared sum less the sum of squares. So two terms that
 mean little alone can say much together.
@@ -23,14 +24,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField
 
-from stratum.llm.common import map_texts, table
+from stratum.llm.common import map_texts, staged, table
 
 #: labelled rows the model is fitted on, about; all are used if there are fewer
 SAMPLE_ROWS = 16_384
-#: terms that get parameters; with the factors this bounds what is broadcast (10 MB)
-MAX_TERMS = 1 << 18
 MIN_TEXTS = 3
-#: terms that tell less of the label by chance alone in all but one of 1000 cases have no weight, factors only
+#: terms that tell less of the label by chance alone in all but one of 1000 cases wait for the second part of the fit
 LEAST_TOLD = 10.83
 FACTORS = 8
 STEMS = (4, 5)
@@ -65,20 +64,25 @@ class Terms:
 class Machine:
     """Parameters: a bias, and per term its weight, its factors and their squared norm."""
 
-    def __init__(self, terms: np.ndarray, bias: float, weight: np.ndarray, factors: np.ndarray):
-        self.terms, self.bias = terms, bias
+    def __init__(self, terms: np.ndarray, bias: float, weight: np.ndarray, factors: np.ndarray,
+                 line: tuple[float, float] = (1.0, 0.0)):
+        self.terms, self.bias, self.line = terms, bias, line
         self.packed = np.column_stack([weight, (factors ** 2).sum(1), factors]).astype(np.float32)
 
+    def scores(self, rows: list[np.ndarray]) -> np.ndarray:
+        """Log odds of texts by the places of their terms."""
+        out = []
+        for at in rows:
+            total = self.packed[at].sum(axis=0, dtype=np.float64)
+            out.append(self.bias + total[0] + 0.5 * ((total[2:] ** 2).sum() - total[1]))
+        return self.line[0] * np.array(out, np.float64) + self.line[1]
+
     def scorer(self) -> Callable[[list[str]], list[list]]:
         terms = Terms({h: i for i, h in enumerate(self.terms.tolist())})
 
         def score(texts):
-            out = []
-            for text in texts:
-                at = np.fromiter(sorted(terms.of(text)), np.int64)
-                total = self.packed[at].sum(axis=0, dtype=np.float64)
-                out.append(self.bias + total[0] + 0.5 * ((total[2:] ** 2).sum() - total[1]))
-            p = 1.0 / (1.0 + np.exp(-np.clip(np.array(out, np.float64), -500, 500)))
+            z = self.scores([np.fromiter(sorted(terms.of(t)), np.int64) for t in texts])
+            p = 1.0 / (1.0 + np.exp(-np.clip(z, -500, 500)))
             return [p.tolist(), (p >= 0.5).astype(int).tolist()]
         return score
 
@@ -87,7 +91,8 @@ def fit_machine(rows: list[np.ndarray], labels: np.ndarray, tells: np.ndarray, f
                 seed: int = 7) -> tuple[float, np.ndarray, np.ndarray]:
     """Bias, weights and factors by mini-batch gradient steps on the logistic
     loss, each parameter with its own decreasing step: ``first`` epochs over the
-    terms that tell of the label alone, then factors of all terms, in smaller steps."""
+    terms that tell of the label alone, then all terms, in smaller steps. Steps and
+    epochs were chosen on a part of the training rows."""
     n_terms, whole = len(tells), rows
     rng = np.random.default_rng(seed)
     weight = np.zeros(n_terms)
@@ -113,17 +118,43 @@ def fit_machine(rows: list[np.ndarray], labels: np.ndarray, tells: np.ndarray, f
             error = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels[batch]
             bias -= 0.02 * float(error.mean())
             terms, place = np.unique(flat, return_inverse=True)
-            if alone:
-                g = np.bincount(place, error[home], len(terms)) + 1e-3 * weight[terms]
-                seen_w[terms] += g ** 2
-                weight[terms] -= 0.5 * g / np.sqrt(seen_w[terms])
+            g = np.bincount(place, error[home], len(terms)) + (1e-3 if alone else 1e-2) * weight[terms]
+            seen_w[terms] += g ** 2
+            weight[terms] -= (0.5 if alone else 0.01) * g / np.sqrt(seen_w[terms])
             for f in range(FACTORS):
                 g = np.bincount(place, error[home] * (sums[home, f] - v[:, f]), len(terms)) + 1e-2 * factors[terms, f]
                 seen_f[terms, f] += g ** 2
-                factors[terms, f] -= (0.05 if alone else 0.01) * g / np.sqrt(seen_f[terms, f])
+                factors[terms, f] -= (0.05 if alone else 0.005) * g / np.sqrt(seen_f[terms, f])
     return bias, weight, factors
 
 
+def line_through(z: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
+    """Slope and shift that make scores log odds: a logistic regression on one value,
+    held near slope 1; as they are where labels are of one kind only."""
+    if len(set(labels.tolist())) < 2:
+        return 1.0, 0.0
+    a, b = 1.0, 0.0
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(a * z + b, -30, 30)))
+        w = p * (1 - p) + 1e-9
+        g = np.array([((p - labels) * z).sum() + 0.1 * (a - 1), (p - labels).sum()])
+        h = np.array([[(w * z * z).sum() + 0.1, (w * z).sum()], [(w * z).sum(), w.sum()]])
+        step = np.linalg.solve(h, g)
+        a, b = a - float(np.clip(step[0], -1, 1)), b - float(np.clip(step[1], -2, 2))
+    return max(a, 0.1), b
+
+
+def calibrated(places: np.ndarray, rows: list[np.ndarray], labels: np.ndarray, tells: np.ndarray, seed: int = 7) -> "Machine":
+    """A machine fitted on all rows, whose scores go through the line found on a quarter
+    of them by a machine fitted on the others."""
+    apart = np.random.default_rng(seed).random(len(rows)) < 0.25
+    line = (1.0, 0.0)
+    if 0 < apart.sum() < len(rows):
+        trial = Machine(places, *fit_machine([r for r, x in zip(rows, apart) if not x], labels[~apart], tells))
+        line = line_through(trial.scores([r for r, x in zip(rows, apart) if x]), labels[apart])
+    return Machine(places, *fit_machine(rows, labels, tells), line)
+
+
 def held_out(id_col: Column, parts: int, part: int) -> Column:
     """Rows whose id, as text, has this remainder of crc32 (a null id: as empty)."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit(""))) % parts == part
@@ -145,7 +176,7 @@ def told(n: Column, ones: Column, rows: int, positive: int) -> Column:
     return 2 * (part(ones.cast("double"), share) + part((n - ones).cast("double"), 1 - share))
 
 
-def train(texts: DataFrame, sample_rows: int = SAMPLE_ROWS, max_terms: int = MAX_TERMS) -> Machine:
+def train(texts: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Machine:
     """A machine for ``texts(doc_id, text, label)``. Terms are counted by Spark
     over the bounded sample; term places of its rows come to the driver, which
     takes the gradient steps. Rows are chosen by id and text and equal ones count
@@ -158,8 +189,8 @@ def train(texts: DataFrame, sample_rows: int = SAMPLE_ROWS, max_terms: int = MAX
     total = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     counted = (hashes.select("doc_id.label", F.explode("terms").alias("term")).groupBy("term")
                .agg(F.count("*").alias("n"), F.sum("label").alias("ones")).where(F.col("n") >= MIN_TEXTS))
-    kept = (counted.orderBy(F.col("n").desc(), "term").limit(max_terms)
-            .select("term", (told(F.col("n"), F.col("ones"), *total) >= LEAST_TOLD).alias("tells")).toPandas())
+    kept = (counted.select("term", (told(F.col("n"), F.col("ones"), *total) >= LEAST_TOLD).alias("tells"))
+            .toPandas().sort_values("term"))
     places = kept["term"].to_numpy(np.int64)
     known = sample.sparkSession.sparkContext.broadcast({h: i for i, h in enumerate(places.tolist())})
 
@@ -169,10 +200,8 @@ def train(texts: DataFrame, sample_rows: int = SAMPLE_ROWS, max_terms: int = MAX
     at = got.column("at").combine_chunks()
     ends, flat = at.offsets.to_numpy(), at.values.to_numpy()
     labels = got.column("label").to_numpy().astype(np.float64)
-    bias, weight, factors = fit_machine([flat[a:b] for a, b in zip(ends, ends[1:])], labels, kept["tells"].to_numpy(bool))
     known.unpersist()
-    return Machine(places, bias, weight, factors)
-
+    return calibrated(places, [flat[a:b] for a, b in zip(ends, ends[1:])], labels, kept["tells"].to_numpy(bool))
 
 
 def score_texts(df: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

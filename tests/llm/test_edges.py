@@ -61,6 +61,13 @@ def test_packing_odd_and_empty(odd, empty):
     assert packing.pack_texts(empty, path).count() == 0
 
 
+def test_packing_beside_columns_of_its_own_names(spark):
+    rows = [(i, 100 * i + 1, "s", 2.5, "r") for i in range(20)]
+    pieces = spark.createDataFrame(rows, "doc_id long, length long, shard string, row double, __shard string")
+    got = packing.pack(pieces, 2048).collect()
+    assert sorted(tuple(r)[:5] for r in got) == rows and len({(r.sequence_id, r.offset) for r in got}) == 20
+
+
 def test_neighbours_odd_and_empty(spark):
     rows = [(0, [1.0, 0.0]), (50, [2.0, 0.0]), (50, [2.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.1]), (3, None), (4, []),
             (5, [0.0, 0.0]), (6, [float("nan"), 1.0]), (7, [None, 1.0]), (8, [float("inf"), 1.0]), (None, [1.0, 0.0]),

@@ -447,3 +447,51 @@ def test_edits_are_sums(lines, keep, new):
     mark, edited = h.replaced(h.text(text), text, min(keep, len(text)), new)
     assert mark.hex() == h.text(edited).hex()
     assert sum((h.paragraphs([p]) for p in text.split("\n")), fingerprints.Multiset()).hex() == h.text(text).hex()
+
+
+def test_blocks_and_shards_follow_the_table():
+    from stratum.llm import neighbours
+
+    for most in (0, 2, 4):
+        sizes = [simhash.blocks_for(n, most) for n in (0, 1, 10 ** 5, 10 ** 8, 10 ** 10, 10 ** 12)]
+        assert sizes == sorted(sizes) and sizes[0] == most + 1
+    assert [simhash.blocks_for(n, 4) for n in (10 ** 7, 10 ** 8, 10 ** 11)] == [5, 6, 7]
+    assert [neighbours.shards_for(n, 8) for n in (0, 10, 7_000, 10 ** 5, 10 ** 6, 10 ** 7)] == [1, 1, 2, 8, 8, 77]
+
+
+@pytest.mark.parametrize("blocks", [5, 6, 7])
+def test_links_don_t_depend_on_the_blocks(spark, monkeypatch, blocks):
+    """A list value that many fingerprints share over many short runs, repeated rows among them."""
+    monkeypatch.setattr(simhash, "RUN", 40)
+    rng = np.random.default_rng(5)
+    far = [int(x) for x in rng.integers(0, 1 << 63, 120, dtype=np.uint64)]
+    hot = [int(x) for x in rng.integers(0, 1 << 20, 150, dtype=np.uint64)]  # their upper blocks are all zero
+    near = [x ^ sum(1 << int(b) for b in rng.choice(64, rng.integers(1, 6), replace=False)) for x in (far + hot)[::3]]
+    every = sorted({*far, *hot, *near})
+    distinct = spark.createDataFrame([(int(np.uint64(x).astype(np.int64)),) for x in every], "fp long")
+    got = {(r.a, r.b) for r in simhash.hamming_links(distinct, 4, blocks).collect()}
+    place = {int(np.uint64(x).astype(np.int64)): i for i, x in enumerate(every)}
+
+    def groups(links):
+        home = list(range(len(every)))
+
+        def root(i):
+            while home[i] != i:
+                i = home[i]
+            return i
+        for a, b in links:
+            x, y = sorted((root(a), root(b)))
+            home[y] = x
+        return [root(i) for i in range(len(every))]
+    want = [(i, j) for i, a in enumerate(every) for j in range(i) if (a ^ every[j]).bit_count() <= 4]
+    assert groups([(place[a], place[b]) for a, b in got]) == groups(want) and len(want) > 50
+
+
+def test_toxicity_line_makes_log_odds():
+    from stratum.llm import toxicity
+
+    rng = np.random.default_rng(3)
+    z = rng.normal(0, 3, 20_000)
+    labels = (rng.random(20_000) < 1 / (1 + np.exp(-(2 * z + 1)))).astype(float)
+    assert toxicity.line_through(z, labels) == pytest.approx((2, 1), abs=0.1)
+    assert toxicity.line_through(z, np.zeros(20_000)) == (1.0, 0.0)
