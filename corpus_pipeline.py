@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.llm import packing, quality, simhash, toxicity
-from stratum.llm.common import staged, table
+from stratum.llm.common import staged, table, unused
 
 #: no SQL for run(): two stages train models and one packs greedily
 ORACLE_SQL = None
@@ -43,10 +43,9 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays: the smallest id, of equal
     ids the first row."""
-    row = "row"
-    while row in docs.columns:
-        row += "_"
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())  # as Spark reads the written table
+    row = unused(docs, "row")
+    # written once: numbered anew at each reading, rows could get other numbers
+    numbered = staged(docs.withColumn(row, F.monotonically_increasing_id()), "pipeline-rows")
     groups = simhash.simhash_groups(numbered.select(F.struct("doc_id", row).alias("doc_id"), "text"))
     stay = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col(f"doc_id.{row}").alias(row))
     return numbered.join(stay, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
