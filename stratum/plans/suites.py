@@ -22,8 +22,11 @@ PAYMENT_TYPES = ("credit_card", "boleto", "voucher", "debit_card", "not_defined"
 CUSTOMER_SEGMENTS = ("Champion", "Loyal", "New Customer", "At Risk", "Lost")
 ORDERS_DERIVED = ("is_late", "delivery_days", "order_year", "order_month", "order_dow")
 
-# Expected order volume of the source data set.
+# Expected order volume of the source data set; the area that coordinates lie in;
+# the range of scores; and, in the suites below, every bound and share of a check.
 ORDER_ROWS = (90_000, 120_000)
+LATITUDES, LONGITUDES = (-34, 6), (-74, -34)
+SCORES = (1, 5)
 
 Suite = dict[str, list[Expectation]]
 
@@ -50,12 +53,12 @@ def bronze_suite(order_rows: tuple[int | None, int | None] = ORDER_ROWS) -> Suit
         "sellers": [not_null("seller_id"), unique("seller_id")],
         "order_reviews": [
             not_null("review_id", mostly=0.999),
-            between("review_score", 1, 5, mostly=0.97),
+            between("review_score", *SCORES, mostly=0.97),
             not_null("order_id", mostly=0.97),
         ],
         "geolocation": [
             not_null("geolocation_zip_code_prefix"),
-            between("geolocation_lat", -34, 6), between("geolocation_lng", -74, -34),
+            between("geolocation_lat", *LATITUDES), between("geolocation_lng", *LONGITUDES),
         ],
     }
 
@@ -74,10 +77,10 @@ def silver_suite() -> Suite:
         "customers": [no_lineage, not_null("customer_id"), unique("customer_id")],
         "products": [no_lineage, not_null("product_id"), column_exists("category")],
         "sellers": [no_lineage, not_null("seller_id")],
-        "order_reviews": [no_lineage, between("review_score", 1, 5)],
+        "order_reviews": [no_lineage, between("review_score", *SCORES)],
         "geolocation": [
             no_lineage, not_null("geolocation_zip_code_prefix"),
-            between("geolocation_lat", -34, 6), between("geolocation_lng", -74, -34),
+            between("geolocation_lat", *LATITUDES), between("geolocation_lng", *LONGITUDES),
         ],
     }
 
@@ -96,6 +99,6 @@ def gold_suite() -> Suite:
                                    in_set("segment", CUSTOMER_SEGMENTS)],
         "gold_seller_performance": [
             between("total_orders", 1, None), between("late_rate", 0, 100),
-            between("avg_review_score", 1, 5),
+            between("avg_review_score", *SCORES),
         ],
     }
