@@ -211,7 +211,7 @@ def test_language_model_weights_maximise_the_counts():
     share = np.zeros(1 << lm.ITEM_BITS)
     share[:40] = rng.dirichlet(np.ones(40))
     groups = np.repeat(np.arange(1, 9, dtype=np.uint64), 40)
-    keys = (groups << np.uint64(lm.ITEM_BITS)) | np.tile(np.arange(40, dtype=np.uint64), 8)
+    keys = ((groups << np.uint64(lm.ITEM_BITS)) | np.tile(np.arange(40, dtype=np.uint64), 8)) << np.uint64(1)
     n = np.where(rng.random(320) < 0.4, rng.integers(1, 60, 320), 0)
     n[:40] = 0  # a group that is only asked for
     old, lm.FIT_STEPS = lm.FIT_STEPS, 60
@@ -265,7 +265,8 @@ def test_language_model_kinds_cover_all_texts(spark, monkeypatch):
     counts = np.array([n // 2 * 3] * 12 + [1] * n)
     v = lm.Vocabulary(np.arange(12 + n), counts, int(counts.sum()), 12 + n)
     monkeypatch.setattr(lm, "ANCHORS", 12)
-    lm.train(spark.createDataFrame(list(enumerate(texts)), "row long, numbers array<int>"), v)
+    packed = [(i, np.array(t, "<i4").tobytes()) for i, t in enumerate(texts)]
+    lm.train(spark.createDataFrame(packed, "row long, numbers binary"), v)
     own = made[0][12:]
     assert set(own) == {0, 1} and len(set(own[::2])) == len(set(own[1::2])) == 1
 
