@@ -68,7 +68,7 @@ from stratum.plans.roles import (
     read_tables,
 )
 from stratum.session import new_path
-from stratum.sources.files import CSV_OPTIONS, read_bronze, read_csv, read_table, string_schema, write_csv
+from stratum.sources.files import CSV_OPTIONS, read_bronze, read_csv, read_table, remove_on_exit, string_schema, write_csv
 from stratum.sources.sinks import DuplicateKeyError, overwrite, upsert, write_partitioned
 from stratum.sources.versions import commit_of
 
@@ -133,8 +133,26 @@ def seller_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     s["order_reviews"])
 
 
+#: refined tables that more than one mart reads
+SHARED = ("orders", "order_items", "order_payments", "order_reviews")
+
+
+def _silver_once(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The refined tables, those that several marts read written once for all of them."""
+    silver = _silver(spark, sf_dir)
+
+    def write(name: str):
+        def job() -> DataFrame:
+            path = new_path(spark, f"silver-{name}")
+            silver[name].write.parquet(path)
+            remove_on_exit(spark, path)
+            return spark.read.schema(silver[name].schema).parquet(path)
+        return job
+    return silver | run_all(spark, {name: write(name) for name in SHARED})
+
+
 def all_marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return build_marts(_silver(spark, sf_dir))
+    return build_marts(_silver_once(spark, sf_dir))
 
 
 # --- projections and filters ---------------------------------------
