@@ -157,3 +157,28 @@ def test_pipeline_equals_a_plain_chain(spark):
     got = corpus_pipeline.run(spark, sf).collect()
     assert {r.doc_id for r in got} == {i for i in ids if root(i) == i}
     assert len({(r.doc_id, r.piece) for r in got}) == len(got)
+
+
+def test_a_vector_that_a_third_of_the_rows_share(spark):
+    """Its rows are one node, and each other's nearest, smaller ids first; the others' results are whole."""
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    vectors = rng.normal(size=(900, 8)).astype(np.float32)
+    vectors[::3] = vectors[0]
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)] + [(0, vectors[0].tolist())] * 50
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = {}
+    for r in neighbours.nearest(table, F.col("vec_id") % 50 == 0, shard_rows=150).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    wide = vectors.astype(np.float64)
+    wide /= np.linalg.norm(wide, axis=1, keepdims=True)
+    same = hits = 0
+    for q in range(0, 900, 50):
+        score = np.round(wide @ wide[q], 12)
+        want = [int(x) for x in np.lexsort((np.arange(900), -score)) if x != q][:5]
+        if q % 3 == 0:
+            assert got[q] == want == [x for x in range(0, 21, 3) if x != q][:5]
+            same += 1
+        hits += len(set(got[q]) & set(want))
+    assert same == 6 and hits >= 0.95 * 5 * 18
