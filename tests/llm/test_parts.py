@@ -496,3 +496,27 @@ def test_toxicity_line_makes_log_odds():
     labels = (rng.random(20_000) < 1 / (1 + np.exp(-(2 * z + 1)))).astype(float)
     assert toxicity.line_through(z, labels) == pytest.approx((2, 1), abs=0.1)
     assert toxicity.line_through(z, np.zeros(20_000)) == (1.0, 0.0)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from(list("aB \t\n\x0b\x0c\r\x1c\x85\xa0É漢\x00")), max_size=12), max_size=5))
+def test_language_model_splits_columns_as_texts(texts):
+    import pyarrow as pa
+
+    from stratum.llm import language_model as lm
+
+    for column in (pa.array(texts, pa.string()), pa.array(["x y", *texts], pa.string()).slice(1)):
+        distinct, token, sizes = lm.coded(column)
+        words = [distinct[i] for i in token]
+        assert words == [w for t in texts for w in lm.split_words(t)]
+        assert sizes.tolist() == [len(lm.split_words(t)) for t in texts]
+
+
+def test_language_model_stretch_sums():
+    from stratum.llm import language_model as lm
+
+    rng = np.random.default_rng(1)
+    a = rng.normal(size=(500, 7)).astype(np.float32)
+    first = np.unique(np.append(0, rng.integers(0, 500, 90)))
+    first = first[(first < 100) | (first > 240)]  # a long one among them
+    assert lm.stretch_sums(a, first) == pytest.approx(np.add.reduceat(a, first, axis=0), abs=1e-4)
