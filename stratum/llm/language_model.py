@@ -40,9 +40,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BinaryType, DoubleType, LongType, StructField, StructType
 
 from stratum.llm.common import staged, table, texts_of
-from stratum.llm.toxicity import about
 
-#: words that get numbers (3 MB to broadcast), and texts that the kinds of text are placed by, about
+#: words that get numbers (3 MB to broadcast), and texts whose frequent words are looked at together
 MAX_WORDS = 1 << 18
 CLASS_TEXTS = 6_000
 #: kinds of text, frequency bins of each (and of words of no kind); rare words and the end have own classes
@@ -171,36 +170,121 @@ class TextKinds:
     mean: np.ndarray
     centre: np.ndarray  # (kind, frequent word)
 
-    def held(self, texts: list[np.ndarray]) -> np.ndarray:
-        out = np.zeros((len(texts), len(self.mean)), np.float32)
-        for i, t in enumerate(texts):
-            out[i, np.unique(t[t < len(self.mean)])] = 1
-        out -= self.mean
-        return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-6)
+    def of_bits(self, bits: np.ndarray) -> np.ndarray:
+        """Kind of each text, from which words it holds (1 or 0)."""
+        return (bits @ self.centre.T - self.mean @ self.centre.T).argmax(axis=1)
 
     def of(self, texts: list[np.ndarray]) -> np.ndarray:
-        return (self.held(texts) @ self.centre.T).argmax(axis=1)
-
-
-def text_kinds(texts: list[np.ndarray], anchors: int, kinds: int, seed: int) -> TextKinds:
-    """Kinds of sample texts, of which the ``anchors`` most frequent words are looked at."""
-    found = TextKinds(np.zeros(anchors, np.float32), np.zeros((kinds, anchors), np.float32))
-    if texts:
-        for t in texts:
-            found.mean[np.unique(t[t < anchors])] += 1
-        found.mean /= len(texts)
-        held = found.held(texts)
-        rng = np.random.default_rng(seed)
-        centre = [held[rng.integers(len(held))]]
-        for _ in range(kinds - 1):  # far from those chosen
-            centre.append(held[int(np.max(held @ np.array(centre).T, axis=1).argmin())])
-        found.centre = np.array(centre)
-        for _ in range(25):
-            kind_of_text = (held @ found.centre.T).argmax(axis=1)
-            for k in range(kinds):
-                if (kind_of_text == k).any():
-                    found.centre[k] = held[kind_of_text == k].mean(axis=0)
-            found.centre /= np.maximum(np.linalg.norm(found.centre, axis=1, keepdims=True), 1e-6)
+        bits = np.zeros((len(texts), len(self.mean)), np.float32)
+        for i, t in enumerate(texts):
+            bits[i, t[t < len(self.mean)]] = 1
+        return self.of_bits(bits)
+
+
+def held_words(texts: DataFrame, anchors: int) -> DataFrame:
+    """``row, held`` of ``texts(row, numbers)``, written once: which of the ``anchors`` most
+    frequent words each text holds, a bit each."""
+    arrow = pa.schema([("row", pa.int64()), ("held", pa.binary())])
+
+    def run(batches):
+        for batch in batches:
+            flat, sizes = _lists(batch.column(1))
+            home, some = np.repeat(np.arange(len(sizes)), sizes), flat < anchors
+            bits = np.zeros((len(sizes), anchors), bool)
+            bits[home[some], flat[some]] = True
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in np.packbits(bits, axis=1)], pa.binary())],
+                                             schema=arrow)
+
+    return staged(texts.select("row", "numbers").mapInArrow(run, "row long, held binary"), "lm-held")
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, CLASS_TEXTS):
+            yield batch.slice(at, CLASS_TEXTS)
+
+
+def _bits(column: pa.Array, anchors: int) -> np.ndarray:
+    packed, _ = _lists(column, "u1")
+    return np.unpackbits(packed.reshape(len(column), -1), axis=1, count=anchors).astype(np.float32)
+
+
+#: a text's weight in its kind's centre is a whole multiple of this, so that sums don't depend on their order
+_GRAIN = 2.0 ** -16
+
+
+def kind_sums(held: DataFrame, found: TextKinds, weighted: bool = True) -> np.ndarray:
+    """Over all of ``held``, by kind: the sums of the texts' weights (what brings a text's held
+    words, less the mean, to length 1; or 1 each) by word, and last of all of the kind's texts.
+    Tasks add up before anything is shuffled."""
+    kinds, anchors = found.centre.shape
+    arrow = pa.schema([("kind", pa.int32()), ("word", pa.int32()), ("total", pa.float64())])
+
+    def run(batches):
+        total = np.zeros((kinds, anchors + 1))
+        for batch in _blocks(batches):
+            bits = _bits(batch.column(0), anchors)
+            size = np.maximum(np.linalg.norm(bits - found.mean, axis=1), 1e-6)
+            own = np.zeros((kinds, len(bits)))
+            own[found.of_bits(bits), np.arange(len(bits))] = np.rint(1 / size / _GRAIN) if weighted else 1
+            total += own @ np.column_stack([bits, np.ones(len(bits), np.float32)])
+        kind, word = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(kind.astype(np.int32)), pa.array(word.astype(np.int32)), pa.array(total[kind, word])],
+                                         schema=arrow)
+
+    got = held.select("held").mapInArrow(run, "kind int, word int, total double").groupBy("kind", "word").agg(F.sum("total").alias("total"))
+    out = np.zeros((kinds, anchors + 1))
+    for kind, word, total in got.collect():  # a row per kind and frequent word
+        out[kind, word] = total
+    return out
+
+
+def farthest(held: DataFrame, found: TextKinds) -> bytes:
+    """The held words of the text that is least like its nearest centre: each task names one."""
+    arrow = pa.schema([("like", pa.float64()), ("row", pa.int64()), ("held", pa.binary())])
+
+    def run(batches):
+        best = None
+        for batch in _blocks(batches):
+            bits = _bits(batch.column(1), len(found.mean)) - found.mean
+            like = (bits @ found.centre.T).max(axis=1) / np.maximum(np.linalg.norm(bits, axis=1), 1e-6)
+            at = int(np.lexsort((batch.column(0).to_numpy(), like))[0])
+            own = (float(like[at]), batch.column(0)[at].as_py(), batch.column(1)[at].as_py())
+            best = min(best or own, own)
+        if best:
+            yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(best, arrow)], schema=arrow)
+
+    return held.select("row", "held").mapInArrow(run, "like double, row long, held binary").orderBy("like", "row").first()["held"]
+
+
+def text_kinds(texts: DataFrame, anchors: int, kinds: int, seed: int) -> TextKinds:
+    """Kinds of all of ``texts(row, numbers)``, of which the ``anchors`` most frequent words are
+    looked at: centres far from each other, then moved to the mean of their texts until
+    they stay or have moved 25 times. A centre's sums come to the driver, no texts."""
+    found = TextKinds(np.zeros(anchors, np.float32), np.zeros((1, anchors), np.float32))
+    held = held_words(texts, anchors) if anchors else None
+    first = held.orderBy(F.xxhash64("row", F.lit(seed)), "row").first() if anchors else None
+    if not first:
+        return TextKinds(found.mean, np.zeros((kinds, anchors), np.float32))
+
+    def direction(packed: bytes) -> np.ndarray:
+        x = _bits(pa.array([packed], pa.binary()), anchors)[0] - found.mean
+        return x / max(np.linalg.norm(x), 1e-6)
+
+    *seen, rows = kind_sums(held, found, weighted=False)[0]
+    found.mean = (np.array(seen) / rows).astype(np.float32)
+    found.centre = direction(first["held"])[None]
+    for _ in range(kinds - 1):  # far from those chosen
+        found.centre = np.vstack([found.centre, direction(farthest(held, found))])
+    before = None
+    for _ in range(25):
+        total = kind_sums(held, found)
+        if before is not None and (total == before).all():
+            break
+        before = total
+        some = total[:, -1] > 0
+        found.centre[some] = (total[some, :-1] / total[some, -1:] - found.mean).astype(np.float32)
+        found.centre /= np.maximum(np.linalg.norm(found.centre, axis=1, keepdims=True), 1e-6)
     return found
 
 
@@ -520,24 +604,11 @@ def empty_model(vocabulary: Vocabulary, classes: np.ndarray, rare: np.ndarray |
 
 
 def train(texts: DataFrame, vocabulary: Vocabulary, rare: np.ndarray | None = None) -> Model:
-    """The class factor of ``texts(row, numbers)``. To the driver come which frequent words a
-    bounded sample's texts hold (it only places the kinds of text), a count per
-    numbered word and kind of text over all texts, and, each round, one summed
-    change per weight row."""
+    """The class factor of ``texts(row, numbers)``. To the driver come sums by kind of text and
+    frequent word, a count per numbered word and kind of text, both over all texts, and, each
+    round, one summed change per weight row."""
     anchors = min(ANCHORS, len(vocabulary.hashes))
-    arrow = pa.schema([("row", pa.int64()), ("held", pa.binary())])
-
-    def frequent(batches):
-        for batch in batches:
-            flat, sizes = _lists(batch.column(1))
-            ends = np.cumsum([0, *sizes])
-            held = [np.unique(flat[a:b][flat[a:b] < anchors]).astype("<i4").tobytes() for a, b in zip(ends, ends[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(held, pa.binary())], schema=arrow)
-
-    sample = (about(texts, CLASS_TEXTS, "row").select("row", "numbers").mapInArrow(frequent, "row long, held binary")
-              .toArrow().sort_by([("row", "ascending")]))
-    known = [np.frombuffer(x, "<i4") for x in sample.column("held").to_pylist()]
-    kind, = counted_kinds(texts, len(vocabulary.hashes), [text_kinds(known, anchors, KINDS, 3)])
+    kind, = counted_kinds(texts, len(vocabulary.hashes), [text_kinds(texts, anchors, KINDS, 3)])
     model = empty_model(vocabulary, classes_of(vocabulary, kind), rare)
     for k in range(ROUNDS):  # each round its own share of the texts
         train_round(model, texts.where(F.pmod(F.xxhash64("row", F.lit(23)), F.lit(ROUNDS)) == k))

@@ -271,6 +271,23 @@ def test_language_model_kinds_cover_all_texts(spark, monkeypatch):
     assert set(own) == {0, 1} and len(set(own[::2])) == len(set(own[1::2])) == 1
 
 
+def test_language_model_kinds_are_placed_by_all_texts(spark, monkeypatch):
+    """The shares of the frequent words, and the centres, are those of every training text."""
+    from stratum.llm import language_model as lm
+
+    monkeypatch.setattr(lm, "CLASS_TEXTS", 40)
+    made, counted = [], lm.counted_kinds
+    monkeypatch.setattr(lm, "counted_kinds", lambda texts, words, found: made.append(found[0]) or counted(texts, words, found))
+    rows = [(i, "the cat sat" if i % 3 else "a dog ran " + "far " * (i % 7 == 0)) for i in range(400)]
+    lm.language_model_scores(spark.createDataFrame(rows, "doc_id long, text string"))
+    texts = [set(lm.split_words(x)) for i, x in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    words = sorted({w for t in texts for w in t})
+    shares = sorted(sum(w in t for t in texts) / len(texts) for w in words)
+    found, = made
+    assert sorted(found.mean.tolist()) == pytest.approx(shares, abs=1e-6)
+    assert np.linalg.norm(found.centre, axis=1) == pytest.approx(1, abs=1e-5)
+
+
 def test_language_model_counts_all_contexts(spark, monkeypatch):
     """Words beyond the numbered ones are told apart by what stands before them."""
     from stratum.llm import language_model as lm
