@@ -191,3 +191,13 @@ def test_two_days_with_every_switch_on(spark):
     published = gold_tables(spark, layout, list(fresh))
     for name, df in fresh.items():
         assert _rows(published[name].select(*df.columns)) == _rows(df), name
+
+
+def test_landed_sources_are_taken_as_they_are(spark, tmp_path):
+    """A later day writes the files that differ alone; the sources of the others stay those of the first day."""
+    first = export_landing(spark, SF, f"{tmp_path}/1")
+    kept = {name: source for name, source in first.items() if name != "orders"}
+    second = export_landing(spark, SF, f"{tmp_path}/2", landed=kept)
+    assert [p.name for p in (tmp_path / "2" / "landing").iterdir()] == ["orders"]
+    assert set(second) == set(first) and {n: second[n] for n in kept} == kept
+    assert second["orders"].path == f"{tmp_path}/2/landing/orders"
