@@ -1,5 +1,7 @@
 """The layered run: gate modes and a second daily run that merges."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -201,3 +203,42 @@ def test_landed_sources_are_taken_as_they_are(spark, tmp_path):
     assert [p.name for p in (tmp_path / "2" / "landing").iterdir()] == ["orders"]
     assert set(second) == set(first) and {n: second[n] for n in kept} == kept
     assert second["orders"].path == f"{tmp_path}/2/landing/orders"
+
+
+def test_marts_share_what_they_read_by_order(spark, monkeypatch):
+    """Each big table is read once for all marts, and they are those of the tables alone."""
+    from pyspark.sql import DataFrameWriter
+    from stratum.plans.pipeline import prepare_gold
+    from stratum.sources.sinks import overwrite
+
+    t0 = dt.datetime(2018, 1, 1)
+    late = [(f"o{i}", f"c{i % 3}", "delivered" if i % 4 else "shipped", t0 + dt.timedelta(days=i % 5), 2018, 1, i % 6, [True, False, None][i % 3])
+            for i in range(12)]
+    frames = {
+        "orders": spark.createDataFrame(late, "order_id string, customer_id string, order_status string, order_purchase_timestamp timestamp_ntz, "
+                                              "order_year int, order_month int, delivery_days int, is_late boolean"),
+        # an order with a product twice, lines without a product or a seller, an order without lines
+        "order_items": spark.createDataFrame([(f"o{i}", n, [f"p{n % 2}", None][i == 5], [f"s{i % 2}", None][i == 7], 10.0 + i + n / 3, 1.5 * n)
+                                              for i in range(11) for n in range(1, 4)],
+                                             "order_id string, order_item_id int, product_id string, seller_id string, price double, freight_value double"),
+        "order_payments": spark.createDataFrame([(f"o{i}", n, 0.1 * i + n) for i in range(10) for n in range(2)],
+                                                "order_id string, payment_sequential int, payment_value double"),
+        "order_reviews": spark.createDataFrame([(f"r{i}", f"o{i // 2}", i % 5 + 1) for i in range(9)], "review_id string, order_id string, review_score int"),
+        "customers": spark.createDataFrame([("c0", "SP", "x"), ("c1", None, "y")], "customer_id string, customer_state string, customer_city string"),
+        "products": spark.createDataFrame([("p0", "toys"), ("p9", "toys")], "product_id string, category string"),
+        "sellers": spark.createDataFrame([("s0", "SP")], "seller_id string, seller_state string"),
+        "geolocation": spark.createDataFrame([(1,)], "geolocation_zip_code_prefix int")}
+    layout = Layout(new_path(spark, "lake"))
+    for name, frame in frames.items():
+        overwrite(frame, layout.silver(name))
+    read = []
+    for method in ("save", "parquet"):
+        def watched(self, *args, write=getattr(DataFrameWriter, method), **options):
+            read.append(self._df.inputFiles())
+            return write(self, *args, **options)
+        monkeypatch.setattr(DataFrameWriter, method, watched)
+    made = prepare_gold(spark, layout)
+    for name in ("order_items", "order_payments", "order_reviews"):
+        assert sum(any(f"/silver/{name}/" in f for f in files) for files in read) == 1, name
+    for name, build in MART_BUILDERS.items():
+        assert _rows(made[name].frame()) == _rows(build(frames)), name
