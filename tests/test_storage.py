@@ -518,3 +518,32 @@ def test_versions_are_packed(spark, tmp_path):
     assert overwrite(spark.range(9), path) == 9
     files = read_table(spark, path).inputFiles()
     assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
+def test_a_source_as_large_as_its_table_becomes_the_next_version(spark, monkeypatch):
+    """Its rows are written once, and of the table's rows only those it has no row for are read whole."""
+    from stratum.sources import sinks
+
+    schema, old = "k int, p int, v string, __landed int", [(i, i % 3, "a", 1) for i in range(12)] + [(None, None, "a", 1)]
+    new = [(i, i % 2, "b", 2) for i in range(4, 16)] + [(None, 0, "b", 2)]
+    want = {r[0]: r[:3] for r in old} | {r[0]: r[:3] for r in new}
+    shown = spark.createDataFrame(list(want.values()), "k int, p int, v string")
+    full = shown.agg(checksum(shown)).first()[0]
+
+    def whole_merge(*_):
+        raise AssertionError("the rows of both sides are merged")
+
+    for layout in ({}, {"partition_by": ["p"]}, {"buckets": 3}):
+        path = new_path(spark, "t-adopt")
+        upsert(spark, spark.createDataFrame(old, schema), path, ["k"], newest_by="__landed", **layout)
+        with monkeypatch.context() as patch:
+            patch.setattr(sinks, "merge_frames", whole_merge)
+            made = sinks.prepare_upsert(spark, spark.createDataFrame(new, schema), path, ["k"], newest_by="__landed", summed=True)
+        assert (made.action, made.rows, made.checksum) == ("merged", len(want), full)
+        assert read_table(spark, path).where("v = 'b'").count() == 0
+        made.publish()
+        assert {r.k: (r.k, r.p, r.v) for r in read_table(spark, path).collect()} == want
+        # an older day again: its rows give way, those of new keys come in
+        upsert(spark, spark.createDataFrame([(i, 1, "c", 1) for i in range(8, 30)], schema), path, ["k"], newest_by="__landed")
+        held = {r.k: r.v for r in read_table(spark, path).collect()}
+        assert held == {k: r[2] for k, r in want.items()} | {i: "c" for i in range(16, 30)}
