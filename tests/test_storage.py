@@ -547,3 +547,33 @@ def test_a_source_as_large_as_its_table_becomes_the_next_version(spark, monkeypa
         upsert(spark, spark.createDataFrame([(i, 1, "c", 1) for i in range(8, 30)], schema), path, ["k"], newest_by="__landed")
         held = {r.k: r.v for r in read_table(spark, path).collect()}
         assert held == {k: r[2] for k, r in want.items()} | {i: "c" for i in range(16, 30)}
+
+
+def test_landing_files_are_packed_and_small(spark, tmp_path, monkeypatch):
+    from stratum.sources import files
+
+    monkeypatch.setattr(files, "FILE_LINES", 40)
+    rows = spark.range(0, 100, 1, 1).selectExpr("id AS k", "concat('a, \"b\" ', id) AS v", "IF(id % 7 = 0, null, id / 3) AS d")
+    files.write_csv(rows, f"{tmp_path}/f")
+    made = [f for f in os.listdir(tmp_path / "f") if not f.startswith((".", "_"))]
+    assert len(made) == 3 and all(f.endswith(".csv.gz") for f in made)
+    assert sorted(map(tuple, read_csv(spark, f"{tmp_path}/f", rows.schema).collect())) == sorted(map(tuple, rows.collect()))
+
+
+def test_a_landing_goes_to_one_folder_unsorted(spark, tmp_path, monkeypatch):
+    """Only with a quarantine are rows told apart by folder, which sorts them."""
+    from pyspark.sql import DataFrameWriter
+
+    def sorting(self, *_):
+        raise AssertionError("rows are sorted by folder")
+
+    monkeypatch.setattr(DataFrameWriter, "partitionBy", sorting)
+    (tmp_path / "l.csv").write_text("a,b\n1,2\n3\n")
+    (tmp_path / "e.csv").write_text("a,b\n")
+    lake, text = Layout(str(tmp_path / "lake")), string_schema(["a", "b"])
+    landed = ingest_bronze(spark, {n: Source(f"{tmp_path}/{n}.csv", text, f"{n}.csv") for n in "le"}, lake, "2026-01-01T06:00:00")
+    assert [r[2:] for r in landed] == [(2, "partition_replaced", 1), (0, "partition_replaced", 0)]
+    files = os.listdir(tmp_path / "lake/bronze/l/_ingestion_date=2026-01-01")
+    assert any(f.endswith(".zstd.parquet") for f in files) and not os.path.exists(tmp_path / "lake/bronze/e")
+    assert sorted((r.a, r.b, str(r._ingestion_date)) for r in read_bronze(spark, lake.bronze("l")).collect()) \
+        == [("1", "2", "2026-01-01"), ("3", None, "2026-01-01")]
