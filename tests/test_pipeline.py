@@ -242,3 +242,21 @@ def test_marts_share_what_they_read_by_order(spark, monkeypatch):
         assert sum(any(f"/silver/{name}/" in f for f in files) for files in read) == 1, name
     for name, build in MART_BUILDERS.items():
         assert _rows(made[name].frame()) == _rows(build(frames)), name
+
+
+def test_run_settings_leave_the_clusters_own(spark):
+    """Shuffle files go with their statement; a value that isn't Spark's default stays."""
+    from stratum.session import large_run_settings
+
+    cleanup, split = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "spark.sql.files.maxPartitionBytes"
+    assert (spark.conf.get(cleanup), spark.conf.get(split)) == ("true", "32m")
+    try:
+        spark.conf.set(split, "16m")
+        large_run_settings(spark, False)
+        assert (spark.conf.get(cleanup), spark.conf.get(split)) == ("false", "16m")
+    finally:
+        spark.conf.unset(split)
+        large_run_settings(spark)
+    assert (spark.conf.get(cleanup), spark.conf.get(split)) == ("true", "32m")
+    counts = spark.range(1000).groupBy(F.col("id") % 10).count()
+    assert len(counts.collect()) == len(counts.collect()) == 10
