@@ -577,3 +577,23 @@ def test_a_landing_goes_to_one_folder_unsorted(spark, tmp_path, monkeypatch):
     assert any(f.endswith(".zstd.parquet") for f in files) and not os.path.exists(tmp_path / "lake/bronze/e")
     assert sorted((r.a, r.b, str(r._ingestion_date)) for r in read_bronze(spark, lake.bronze("l")).collect()) \
         == [("1", "2", "2026-01-01"), ("3", None, "2026-01-01")]
+
+
+def test_few_buckets_are_written_without_a_shuffle(spark, monkeypatch):
+    from stratum.sources import versions
+
+    plans = []
+    for buckets in (versions.FEW_BUCKETS, versions.FEW_BUCKETS + 1):
+        path, hints = new_path(spark, "t-few"), []
+        df = spark.range(500).selectExpr("id AS k", "id % 7 AS v")
+
+        def watched(self, name, *columns, hints=hints):
+            hints.append((name, *columns))
+            return self
+
+        with monkeypatch.context() as patch:
+            patch.setattr(type(df), "hint", watched)
+            upsert(spark, df, path, ["k"], buckets=buckets)
+        plans.append(hints)
+        assert read_table(spark, path).count() == 500 and len(_folders(spark, path)) == buckets
+    assert plans == [[], [("rebalance", "__bucket")]]
