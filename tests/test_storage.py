@@ -547,6 +547,11 @@ def test_a_source_as_large_as_its_table_becomes_the_next_version(spark, monkeypa
         upsert(spark, spark.createDataFrame([(i, 1, "c", 1) for i in range(8, 30)], schema), path, ["k"], newest_by="__landed")
         held = {r.k: r.v for r in read_table(spark, path).collect()}
         assert held == {k: r[2] for k, r in want.items()} | {i: "c" for i in range(16, 30)}
+        # most of the table's rows stay
+        with monkeypatch.context() as patch:
+            patch.setattr(sinks, "merge_frames", whole_merge)
+            upsert(spark, spark.createDataFrame([(i, 2, "d", 3) for i in range(28, 60)], schema), path, ["k"], newest_by="__landed")
+        assert {r.k: r.v for r in read_table(spark, path).collect()} == held | {i: "d" for i in range(28, 60)}
 
 
 def test_landing_files_are_packed_and_small(spark, tmp_path, monkeypatch):
